@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import suffix_dedup
 from .common import table
 from .minhash_dedup import near_duplicates
 
@@ -14,8 +15,12 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_minhash_dedup,)}
+    return {f.__name__: f for f in (op6_minhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
