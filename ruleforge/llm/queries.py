@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, source_mix, suffix_dedup
+from . import chat_format, decontaminate, source_mix, suffix_dedup, toxicity
 from .common import table
 from .minhash_dedup import near_duplicates
 
@@ -26,6 +26,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op4_source_mixing, op6_minhash_dedup, op10_suffix_dedup)
+QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op4_source_mixing, op5_toxicity, op6_minhash_dedup, op10_suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
