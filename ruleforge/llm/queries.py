@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, source_mix, suffix_dedup, toxicity
+from . import chat_format, chunk_dedup, decontaminate, html_extract, quality_lm, source_mix, suffix_dedup, toxicity
 from .common import table
 from .minhash_dedup import near_duplicates
 
@@ -17,11 +17,14 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    text = "</s>[INST] ok [/INST]"
-    own = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    own = spark.sql("SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
     return chat_format.digests(turns.unionByName(own))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -34,11 +37,19 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.counted(table(spark, sf_dir, "pages"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op4_source_mixing, op5_toxicity, op6_minhash_dedup, op10_suffix_dedup)
+QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op3_quality_classifier, op4_source_mixing, op5_toxicity, op6_minhash_dedup, op7_substring_dedup, op9_html_extraction, op10_suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
