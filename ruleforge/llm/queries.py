@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, chunk_dedup, decontaminate, html_extract, quality_lm, source_mix, suffix_dedup, toxicity
+from . import chat_format, chunk_dedup, decontaminate, embedding_dedup, html_extract, quality_lm, source_mix, suffix_dedup, toxicity
 from .common import table
 from .minhash_dedup import near_duplicates
 
@@ -41,6 +41,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.counted(table(spark, sf_dir, "pages"))
 
@@ -49,7 +53,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op3_quality_classifier, op4_source_mixing, op5_toxicity, op6_minhash_dedup, op7_substring_dedup, op9_html_extraction, op10_suffix_dedup)
+QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op3_quality_classifier, op4_source_mixing, op5_toxicity, op6_minhash_dedup, op7_substring_dedup, op8_embedding_dedup, op9_html_extraction, op10_suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -57,4 +61,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": chat_format.ORACLE}
+    return {"op2_chat_formatting": chat_format.ORACLE, "op8_embedding_dedup": embedding_dedup.ORACLE}
