@@ -50,6 +50,13 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Arrow batches bounded in bytes and rows, as one row may hold a very long text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 24))
+    return spark
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: lineage ends here and survives lost executors."""
     path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
@@ -105,52 +112,111 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered; emptied when it holds too many words to stay small."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+_ODD = [np.uint64(2 * (0x9E3779B97F4A7C15 * (i + 1) % (1 << 63)) + 1 & (1 << 64) - 1) for i in range(64)]
 
 
-_ODD = [np.uint64(2 * (0x9E3779B97F4A7C15 * (i + 1) % (1 << 63)) + 1 & (1 << 64) - 1) for i in range(64)]
+_IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_BASE = 0x9E3779B97F4A7C15 | 1
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i < n."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            x = np.full(max(n, 1 << 16), base, np.uint64)
+            x[0] = 1
+            _POWERS[i] = np.multiply.accumulate(x)
+    return _POWERS[0], _POWERS[1]
+
+
+def hashed_words(raw: np.ndarray, offs: np.ndarray, piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all words, first word of each document and the number of words) of texts in one buffer.
+
+    Words are those of words_of(): UTF-8 has no space or capital inside another character. The hash of a word is a
+    polynomial in its bytes modulo 2**64, finished by a mixer.
+    """
+    lo, hi = int(offs[0]), int(offs[-1])
+    raw, offs = raw[lo:hi], offs - lo
+    word = ~_IS_SPACE[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offs] = True
+    start = word.copy()
+    start[1:] &= ~word[:-1] | edge[1:-1]
+    end = word
+    end[:-1] &= ~np.logical_and(word[1:], ~edge[1:-1])
+    s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
+    out = np.empty(len(s), np.uint64)
+    i = 0
+    while i < len(s):  # as many whole words as a piece holds, one at least
+        j = max(i + 1, int(np.searchsorted(e, s[i] + piece, side="right")))
+        part = raw[s[i] : e[j - 1]]
+        up, down = _powers(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * up[: len(part)], out=total[1:])
+        a, b = s[i:j] - s[i], e[i:j] - s[i]
+        out[i:j] = mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
+        i = j
+    return out, np.searchsorted(s, offs)
 
 
 def shingle_hashes(hashes: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:
-    """Distinct 64-bit hashes of the n-word shingles, sorted; fewer words than n make one shingle."""
+    """Hashes of the n-word shingles in order; fewer words than n make one shingle."""
     if not len(hashes):
         return hashes
     k = min(n, len(hashes))
-    acc = np.zeros(len(hashes) - k + 1, np.uint64)
+    acc = np.full(len(hashes) - k + 1, k, np.uint64)
     for i in range(k):
         acc += mix64(hashes[i : len(hashes) - k + 1 + i] * _ODD[i])
-    return np.unique(mix64(acc + np.uint64(k)))
+    return mix64(acc)
 
 
-def text_chunks(batches, rows_bytes: int = 1 << 22):
-    """Slices Arrow batches so that each slice holds about ``rows_bytes`` of text in column ``text`` (one row at least)."""
+def shingle_sets(column, n: int = SHINGLE_WORDS):
+    """For each text of an Arrow column: the sorted distinct hashes of its n-word shingles."""
+    raw, offs = string_buffer(column)
+    words, first = hashed_words(raw, offs)
+    every = shingle_hashes(words, n)
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        yield np.unique(every[a : b - n + 1] if b - a >= n else shingle_hashes(words[a:b], n))
+
+
+def text_chunks(batches, size: int = 1 << 22, columns: tuple[str, ...] = ("text",)):
+    """Slices Arrow batches so that each slice holds about ``size`` bytes in the text columns, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        i = batch.schema.get_field_index("text")
-        _, offs = string_buffer(batch.column(i))
+        ends = sum(string_buffer(batch.column(batch.schema.get_field_index(c)))[1] for c in columns)
         start = 0
         while start < batch.num_rows:
-            end = int(np.searchsorted(offs, offs[start] + rows_bytes, side="right")) - 1
+            end = int(np.searchsorted(ends, ends[start] + size, side="right")) - 1
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
 
 
-def fix_row_count(spark: SparkSession, rows: int) -> None:
-    """Arrow batches of few rows, as one row may hold a very long text."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def runs(batches, keys: list[str]):
+    """From batches sorted by ``keys``: record batches of whole groups, as many groups together as come in a batch.
+
+    A group is held until it ends, so groups must be bounded.
+    """
+    import pyarrow as pa
+
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        cols = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+        last = np.ones(batch.num_rows, bool)
+        for c in cols:
+            x = c.to_numpy(zero_copy_only=False)
+            last &= x == x[-1]
+        cut = batch.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+        if cut:
+            held[-1] = batch.slice(0, cut)
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = [batch.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

@@ -6,9 +6,10 @@ of a union are the elementwise maxima, and with b near 1 two registers agree abo
 Bands of registers give candidates; the joint likelihood of the registers that are larger, smaller and equal
 screens them; both whole sets confirm each link.
 
-Groups: documents with equal sets meet once, under their smallest id. In a bucket every member is compared
-with the smallest id only; members that this leaves in another component are compared with each other.
-So a group of n copies or near copies costs about n comparisons a bucket, not n squared.
+Groups: documents with equal sets meet once, under their smallest id. In a bucket every member is first compared with
+the smallest id only. Where that leaves a bucket in several components, registers are compared in blocks of bounded
+size, first for the best partner of each member, then for all pairs that are still apart, and only pairs that the
+likelihood lets through leave a block. So a group of n near copies costs about n exact comparisons, not n squared.
 """
 
 from __future__ import annotations
@@ -19,27 +20,30 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE_WORDS, SIMILARITY, WordHashes, discard, materialize, mix64, release_shuffles, shingle_hashes, text_chunks, words_of
+from .common import SIMILARITY, discard, materialize, mix64, prepare, release_shuffles, runs, shingle_sets, string_buffer, text_chunks
 from .components import connected_components
 
-#: Registers, band width, base, rate and largest register value. 32 bands of 4 miss a pair at 0.75 once in 200,000.
-REGISTERS, BAND, BASE, RATE, TOP = 128, 4, 1.001, 20.0, (1 << 16) - 2
+#: Registers, those of them in bands, band width, base, rate and largest register value. 32 bands of 4 miss a pair at 0.75 once in 200,000.
+#: All registers are computed only for documents that share a band with another one.
+REGISTERS, BANDED, BAND, BASE, RATE, TOP = 1024, 128, 4, 1.001, 20.0, (1 << 16) - 2
 #: Standard deviations below the limit at which the likelihood estimate still lets a pair through to the exact test.
-MARGIN = 6.0
+MARGIN = 4.5
+#: Members of a bucket that meet in one block.
+BLOCK = 1024
 
 _RNG = np.random.default_rng(20210101)
 _MUL = (_RNG.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
-    """SetSketch registers (uint16) of a set of 64-bit hashes; all zero for the empty set."""
+def registers(hashes: np.ndarray, count: int = REGISTERS) -> np.ndarray:
+    """The first ``count`` SetSketch registers (uint16) of a set of 64-bit hashes; all zero for the empty set."""
     if not len(hashes):
-        return np.zeros(REGISTERS, np.uint16)
-    low = np.full(REGISTERS, 0xFFFFFFFF, np.uint32)
+        return np.zeros(count, np.uint16)
+    low = np.full(count, 0xFFFFFFFF, np.uint32)
     h32 = (hashes >> np.uint64(32)).astype(np.uint32)
     for s in range(0, len(h32), 512):
-        np.minimum(low, (h32[s : s + 512, None] * _MUL + _ADD).min(axis=0), out=low)
+        np.minimum(low, (h32[s : s + 512, None] * _MUL[:count] + _ADD[:count]).min(axis=0), out=low)
     x = -np.log1p(-(low + 0.5) / 2.0**32) / RATE
     return np.clip(np.floor(1 - np.log(x) / math.log(BASE)), 0, TOP + 1).astype(np.uint16)
 
@@ -72,35 +76,46 @@ def joint_estimate(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b
     return (lo + hi) / 2
 
 
-def _sketch(batches):
+def _banded(batches):
     import pyarrow as pa
+    import xxhash
 
-    hashes = WordHashes()
     for batch in text_chunks(batches):
-        sizes, digests, sketches, bands = [], [], [], []
-        for text in batch.column("text").to_pylist():
-            s = shingle_hashes(hashes.of(words_of(text)))
+        sizes, digests, bands = [], [], []
+        for s in shingle_sets(batch.column("text")):
             sizes.append(len(s))
-            if not len(s):
-                digests.append(None), sketches.append(None), bands.append(None)
-                continue
-            r = registers(s)
-            digests.append(_digest(s))
-            sketches.append(r.tobytes())
-            keys = np.arange(REGISTERS // BAND, dtype=np.uint64)
-            for c in r.reshape(-1, BAND).astype(np.uint64).T:
-                keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + c)
-            bands.append(keys.view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "digest", "sketch", "bands"],
-        )
-
-
-def _digest(s: np.ndarray) -> bytes:
-    import xxhash
+            digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+            bands.append(band_keys(registers(s, BANDED)[None])[0].view(np.int64) if len(s) else None)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "bands"])
+
+
+def _sketched(batches):
+    import pyarrow as pa
+
+    for batch in text_chunks(batches):
+        sets = list(shingle_sets(batch.column("text")))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([registers(s).tobytes() for s in sets], pa.binary())], ["doc_id", "n_shingles", "sketch"])
+
+
+def band_keys(r: np.ndarray) -> np.ndarray:
+    """For rows of registers: a hash of each band and its number."""
+    keys = np.tile(np.arange(BANDED // BAND, dtype=np.uint64), (len(r), 1))
+    bands = r[:, :BANDED].reshape(len(r), -1, BAND).astype(np.uint64)
+    for i in range(BAND):
+        keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, i])
+    return keys
+
 
-    return xxhash.xxh3_128_digest(s.tobytes())
+def _let_through(x: np.ndarray, y: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, limit: float) -> np.ndarray:
+    """The estimates of pairs, negative where a pair cannot reach the limit."""
+    j = joint_estimate((x > y).sum(axis=-1), (x < y).sum(axis=-1), n_a, n_b)
+    ok = (j >= limit - MARGIN * math.sqrt(limit * (1 - limit) / REGISTERS)) & (np.minimum(n_a, n_b) >= limit * np.maximum(n_a, n_b) - 1e-9)
+    return np.where(ok, j, -1.0)
+
+
+def _registers_of(column) -> np.ndarray:
+    raw, offs = string_buffer(column)
+    return raw[offs[0] : offs[-1]].view(np.uint16).reshape(-1, REGISTERS)
 
 
 def _screened(limit: float):
@@ -110,27 +125,70 @@ def _screened(limit: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("sketch_a", "sketch_b"))
             n_a, n_b = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("n_a", "n_b"))
-            j = joint_estimate((x > y).sum(axis=1), (x < y).sum(axis=1), n_a, n_b)
-            ok = (j >= limit - MARGIN * math.sqrt(limit * (1 - limit) / REGISTERS)) & (np.minimum(n_a, n_b) >= limit * np.maximum(n_a, n_b) - 1e-9)
+            ok = _let_through(_registers_of(batch.column("sketch_a")), _registers_of(batch.column("sketch_b")), n_a, n_b, limit) >= 0
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
+def _compared(limit: float, best: int | None):
+    """Pairs of different components in each block (key, i, j) that the likelihood lets through; the best of each member only, if asked."""
+
+    def pairs(own, a, b, ids, comp, n, reg, key):
+        i, j = np.nonzero((comp[a][:, None] != comp[b][None]) & ((ids[a][:, None] < ids[b][None]) if own else True))
+        i, j = a[i], b[j]
+        for s in range(0, len(i), 1 << 15):
+            p, q = i[s : s + (1 << 15)], j[s : s + (1 << 15)]
+            # a pair counts in the first band alone in which it agrees
+            same = (reg[p, :BANDED].reshape(len(p), -1, BAND) == reg[q, :BANDED].reshape(len(p), -1, BAND)).all(axis=2)
+            first = same.argmax(axis=1)
+            mine = same.any(axis=1) & (band_keys(reg[p])[np.arange(len(p)), first].view(np.int64) == key)
+            p, q = p[mine], q[mine]
+            e = _let_through(reg[p], reg[q], n[p], n[q], limit)
+            yield p[e >= 0], q[e >= 0], e[e >= 0]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in runs(batches, ["key", "i", "j"]):
+            ids, comp, key, bi, bj, block = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "key", "i", "j", "block"))
+            n, reg = batch.column("n_shingles").to_numpy(zero_copy_only=False).astype(float), _registers_of(batch.column("sketch"))
+            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])])
+            out = []
+            for s, t in zip(new, np.r_[new[1:], len(key)], strict=True):
+                at = np.arange(s, t)
+                a, b = at[block[s:t] == bi[s]], at[block[s:t] == bj[s]]
+                found = list(pairs(bi[s] == bj[s], a, b, ids, comp, n, reg, key[s]))
+                p, q, e = (np.concatenate([f[x] for f in found]) if found else np.zeros(0, np.int64) for x in range(3))
+                if best and len(p):
+                    order = np.argsort(-e, kind="stable")
+                    p, q = p[order], q[order]
+                    rank = np.minimum(_nth(p), _nth(q))
+                    p, q = p[rank < best], q[rank < best]
+                out.append((np.minimum(ids[p], ids[q]), np.maximum(ids[p], ids[q])))
+            x, y = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _nth(x: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each value."""
+    order = np.argsort(x, kind="stable")
+    first = np.flatnonzero(np.r_[True, x[order][1:] != x[order][:-1]])
+    out = np.empty(len(x), np.int64)
+    out[order] = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
+    return out
+
+
 def _verified(percent: int):
     def run(batches):
         import pyarrow as pa
 
-        hashes, of = WordHashes(), (None, None)
-        for batch in batches:
-            a, b, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
+        for batch in text_chunks(batches, 1 << 22, ("text_a", "text_b")):
             ok = []
-            for i in range(len(a)):
-                if of[0] != a[i]:
-                    of = a[i], shingle_hashes(hashes.of(words_of(x[i])))
-                s, t = of[1], shingle_hashes(hashes.of(words_of(y[i])))
+            for s, t in zip(shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b")), strict=True):
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 ok.append(100 * both >= percent * (len(s) + len(t) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -138,17 +196,11 @@ def _verified(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Of the pairs (a, b), those whose whole sets reach the similarity."""
-    side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("sketch").alias(f"sketch_{c}"), F.col("n_shingles").alias(f"n_{c}"))
-    screened = materialize(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(_screened(similarity), "a long, b long"), "screened")
-    needed = screened.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = materialize(docs.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
     text = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    both = screened.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
-    out = materialize(both.mapInArrow(_verified(round(100 * similarity)), "a long, b long"), "links")
-    discard(texts), discard(screened)
-    return out
+    both = pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
+    return materialize(both.mapInArrow(_verified(round(100 * similarity)), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -160,31 +212,45 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     0 and is linked with nothing. Rows that repeat a doc_id share one component. A null doc_id gives a row with
     null component_id, kept true. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark = prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prepared = materialize(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>"), "sketches")
+    prepared = materialize(docs.mapInArrow(_banded, "doc_id long, n_shingles long, digest binary, bands array<long>"), "banded")
     sets = prepared.filter("digest is not null and doc_id is not null")
-    reps = materialize(sets.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "sketch", "bands")).alias("r")).select("digest", "r.*"), "reps")
-    copies = sets.join(reps.select("digest", F.col("doc_id").alias("rep")), "digest").filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    low = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most"))
+    copies = materialize(sets.join(low.filter("rep < most").select("digest", "rep"), "digest").filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(), "copies")
+    reps = sets.join(copies.select(F.col("b").alias("doc_id")).hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
 
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).filter("n > 1").select("key", "low")
-    members = materialize(banded.join(buckets, "key").select("key", "low", "doc_id"), "members")
-    tried = materialize(members.filter("low != doc_id").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
-    stars = _links(tried, reps, docs, similarity)
-
-    label = connected_components(stars)
-    placed = members.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    rest = materialize(placed.join(mixed, "key"), "rest")
-    other = rest.select("key", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-    crossed = rest.withColumnRenamed("doc_id", "a").join(other, "key").filter("a < b and component != other").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _links(materialize(crossed, "crossed"), reps, docs, similarity)
-    discard(members), discard(rest), discard(tried)
-
-    found = materialize(connected_components(copies.unionByName(stars).unionByName(more)), "found")
+    buckets = banded.groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).filter("n > 1")
+    members = materialize(banded.join(buckets.hint("merge"), "key").select("key", "low", "n", "doc_id"), "members")
+    # A sort-merge join at every size: a plan that changed with the size would hide how the shuffle grows.
+    inside = members.select("doc_id").distinct().hint("merge")
+    texts = materialize(docs.join(inside, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
+    sketched = materialize(texts.mapInArrow(_sketched, "doc_id long, n_shingles long, sketch binary"), "sketched")
+
+    side = lambda c: sketched.select(F.col("doc_id").alias(c), F.col("sketch").alias(f"sketch_{c}"), F.col("n_shingles").alias(f"n_{c}"))
+    tried = members.filter("low != doc_id").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
+    screened = tried.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(_screened(similarity), "a long, b long")
+    tried = materialize(screened, "stars")
+    links = [copies, _links(tried, texts, similarity)]
+    found = materialize(connected_components(links[1]), "found")
+    for best in (1, None):
+        placed = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+        rest = placed.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        # Each block meets itself and every other one, in the order of their numbers.
+        rest = rest.join(sketched, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rest = rest.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n_shingles", "sketch")
+        crossed = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compared(similarity, best), "a long, b long")
+        crossed = materialize(crossed.distinct().join(tried, ["a", "b"], "left_anti"), "crossed")
+        links.append(_links(crossed, texts, similarity))
+        tried = tried.unionByName(crossed)
+        more = materialize(connected_components(links[1].unionByName(links[2]) if best else links[1].unionByName(links[2]).unionByName(links[3]).unionByName(copies)), "found")
+        discard(found)
+        found = more
+    discard(members), discard(sketched), discard(texts)
     release_shuffles(spark)
-    out = prepared.select("doc_id", "n_shingles").join(found, prepared.doc_id == found.id, "left")
+    out = prepared.select("doc_id", "n_shingles").join(found.hint("merge"), prepared.doc_id == found.id, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
