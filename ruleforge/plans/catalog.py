@@ -126,7 +126,7 @@ def q11_id_map(spark, d):
     return dense_ids(_split_orders(spark, d), "o_orderkey", "new_id", by=("others",)).select("o_orderkey", F.when(F.col("others"), "others").otherwise("classes").alias("file"), "new_id")
 
 
-@query("""SELECT p_brand, p_type, row_number() OVER (ORDER BY min(p_partkey)) - 1 AS island_id, count(*) AS size FROM part GROUP BY 1, 2""")
+@query("""SELECT p_brand, p_type, (row_number() OVER (ORDER BY min(p_partkey)) - 1)::INT AS island_id, count(*) AS size FROM part GROUP BY 1, 2""")
 def q12_islands(spark, d):
     return aggregate.islands(table(spark, d, "part"), "p_brand", "p_type", "p_partkey")
 
