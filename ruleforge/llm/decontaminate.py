@@ -134,3 +134,21 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     """The rows of ``docs``, all columns, that hold no benchmark item."""
     leaks = matches(docs, benchmark, similarity).select("doc_id").distinct()
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+ORACLE = r"""
+WITH iw AS (SELECT item_id, list_filter(string_split_regex(translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+i AS (SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k FROM iw WHERE len(w) > 0),
+d AS (SELECT doc_id, list_filter(string_split_regex(translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE "text" IS NOT NULL),
+ig AS (SELECT item_id, n, k, p, array_to_string(w[p + 1 : p + k], ' ') AS g FROM (SELECT *, unnest(range(n - k + 1)) AS p FROM i)),
+dg AS (SELECT doc_id, len(w) AS dn, k, p, array_to_string(w[p + 1 : p + k], ' ') AS g FROM (SELECT d.*, ks.k, unnest(range(len(d.w) - ks.k + 1)) AS p FROM d, (SELECT DISTINCT k FROM i) ks WHERE len(d.w) >= ks.k)),
+win AS (SELECT DISTINCT doc_id, n, k, greatest(least(dg.p - ig.p, dn - n), 0) AS start FROM dg JOIN ig USING (k, g)),
+ww AS (SELECT win.*, d.w[start + 1 : start + n] AS w FROM win JOIN d USING (doc_id)),
+wg AS (SELECT doc_id, n, k, start, g, count(*) AS c FROM (SELECT doc_id, n, k, start, array_to_string(w[p + 1 : p + k], ' ') AS g FROM (SELECT *, unnest(range(len(w) - k + 1)) AS p FROM ww WHERE len(w) >= k)) GROUP BY ALL),
+wn AS (SELECT doc_id, n, k, start, sum(c) AS t FROM wg GROUP BY ALL),
+ic AS (SELECT item_id, n, k, g, count(*) AS c FROM ig GROUP BY ALL),
+tn AS (SELECT item_id, n, k, sum(c) AS t FROM ic GROUP BY ALL),
+both_ AS (SELECT doc_id, item_id, n, k, start, sum(least(wg.c, ic.c)) AS m FROM wg JOIN ic USING (n, k, g) GROUP BY ALL),
+sim AS (SELECT doc_id, item_id, b.n, start, m, wn.t + tn.t - m AS u FROM both_ b JOIN wn USING (doc_id, n, k, start) JOIN tn USING (item_id, n, k))
+SELECT doc_id, item_id, max(m / u)::DOUBLE AS similarity, arg_min(start, (-m / u, start))::INT AS start_word, max(n)::INT AS n_words FROM sim WHERE 100 * m >= 75 * u GROUP BY 1, 2
+"""
