@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
 # Hash side, oversampling, bits that may differ, least grey deviation, most similarity to white.
 HASH_SIDE, OVERSAMPLE, MAX_DISTANCE, MIN_DEVIATION, MAX_WHITE = 16, 4, 2, 2.0, 0.99
@@ -61,7 +62,6 @@ def is_blank(pixels: np.ndarray) -> bool:
 
 def hashed_images(df, image: str = "pixels"):
     """Adds phash (array of longs) and blank to rows whose ``image`` is struct<h int, w int, channels int, data binary>."""
-    import pandas as pd
     from pyspark.sql import functions as F
 
     @F.pandas_udf("phash array<long>, blank boolean")

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +64,8 @@ def ask(df: DataFrame, provider: ModelProvider, prompt: str = "prompt", retry: R
 
     With ``parse``, a response that it returns None for is asked for again, ``parses`` times in all.
     """
-    schema = df.withColumn("response", F.lit("")).withColumn("error", F.lit("")).schema
+    none = F.lit(None).cast("string")
+    schema = df.withColumn("response", none).withColumn("error", none).schema
 
     def one(text: str) -> tuple[str | None, str | None]:
         try:
@@ -86,7 +88,6 @@ def ask(df: DataFrame, provider: ModelProvider, prompt: str = "prompt", retry: R
 def embedded(df: DataFrame, text: str = "text", size: int = 64) -> DataFrame:
     """Adds ``embedding``: unit vectors of hashed words, a stand-in for a model's."""
     import numpy as np
-    import pandas as pd
 
     @F.pandas_udf("array<float>")
     def encode(texts: pd.Series) -> pd.Series:
