@@ -147,11 +147,14 @@ def next_generation(rules: DataFrame, tags: DataFrame, generation: int, settings
     return materialize(kept.unionByName(created)), created
 
 
-def evolve(rules: DataFrame, settings: Settings = Settings(), on_generation=None) -> DataFrame:
-    """All rules of all generations, seeds first. ``on_generation(generation, population, created)`` may save each generation."""
+def evolve(rules: DataFrame, settings: Settings = Settings(), on_generation=None, done: tuple[int, DataFrame, DataFrame] | None = None) -> DataFrame:
+    """All rules of all generations, seeds first. ``on_generation(generation, population, created)`` may save each generation.
+
+    ``done`` (generation, population, all rules so far) goes on from a saved generation, with the same result as a run without a break.
+    """
     population, tags = seeded(rules)
-    every = population
-    for g in range(1, settings.generations + 1):
+    first, population, every = (0, population, population) if done is None else done
+    for g in range(first + 1, settings.generations + 1):
         next_id = every.agg(F.max("id")).first()[0]
         if next_id is None:
             break

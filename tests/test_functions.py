@@ -130,3 +130,20 @@ def test_fitted(spark, w, h, expected):
     got = spark.range(1).select(*(c.alias(str(i)) for i, c in enumerate(fitted(F.lit(w), F.lit(h), F.lit(80), F.lit(80))))).first()
     assert abs(got[0] - expected[0]) <= 0 and tuple(got)[1:] == expected[1:]
     assert tuple(spark.range(1).select(*(c.alias(str(i)) for i, c in enumerate(canvas(F.lit(100), F.lit(10))))).first())[:2] == (520, 485)
+
+
+def test_sheets_and_png():
+    import zlib
+
+    from ruleforge.functions import raster
+
+    rng = np.random.default_rng(0)
+    figures = [rng.integers(0, 256, (40 + 10 * i, 60, c)).astype(np.uint8) for i, c in enumerate((3, 4, 3, 4, 3, 3, 3, 3, 3, 3))]
+    four, ten = raster.sheet(figures[:4], figures[4:8]), raster.sheet(figures[:4], figures)
+    assert four.shape[1] == 800 and ten.shape[1] == 1000 and four.min() < 50 and (four[:5] == 255).all()
+    data = raster.png(four)
+    assert data[:8] == b"\x89PNG\r\n\x1a\n" and data.endswith(b"IEND\xaeB`\x82")
+    at = data.index(b"IDAT")
+    raw = np.frombuffer(zlib.decompress(data[at + 4 : at + 4 + int.from_bytes(data[at - 4 : at], "big")]), np.uint8).reshape(four.shape[0], -1)
+    assert (raw[:, 1:].reshape(four.shape) == four).all()
+    assert (raster.rgb(np.zeros((2, 2, 4))) == 255).all() and raster.rgb(np.zeros((2, 2))).shape == (2, 2, 3)

@@ -171,6 +171,15 @@ def test_evolution_invariants(spark):
     assert 0.03 < share < 0.35
 
 
+def test_evolution_goes_on_from_a_saved_generation(spark):
+    seeds = spark.createDataFrame([(i, [f"r{i}"], "t" + str(i % 2), "k") for i in range(16)], "id long, rule_content array<string>, question_type string, knowledge_point string")
+    saved = {}
+    whole = evolve.evolve(seeds, evolve.Settings(generations=2), on_generation=lambda g, p, c: saved.update({g: (p, c)}))
+    every = evolve.seeded(seeds)[0].unionByName(saved[1][1])
+    again = evolve.evolve(seeds, evolve.Settings(generations=2), done=(1, saved[1][0], every))
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, whole.collect()))
+
+
 def test_migration_moves_few_and_one_island_stays(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(200, 2)], "id long, island_id int")
     after = {r.id: r.island_id for r in evolve.migrated(df, 1, 3).collect()}

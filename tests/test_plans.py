@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from ruleforge.operators.evolve import Settings
 from ruleforge.operators.providers import Offline
-from ruleforge.plans import puzzles, rules
+from ruleforge.plans import puzzles, rules, templates
 
 
 def test_seed_rules_to_chosen_rules(spark):
@@ -41,3 +41,19 @@ def test_puzzles_to_dataset(spark):
     style = four.withColumn("prompt", F.lit("p")).withColumn("image", F.concat(F.lit("images/"), F.col("id"), F.lit(".png")))
     out = puzzles.dataset([style, style.limit(2)]).collect()
     assert len(out) == 9 and all(r.image == f"images/image_{r.id}.png" for r in out)
+
+
+def test_templates_and_records(spark, tmp_path):
+    (tmp_path / "scoring.md").write_text("own {{rule}}")
+    assert templates.template(spark, "scoring", str(tmp_path)) == "own {{rule}}"
+    assert templates.template(spark, "judge", str(tmp_path)) == templates.TEMPLATES["judge"] and templates.template(spark, "no such") == ""
+    q = spark.createDataFrame([("p?", {"A": "a"}, "because", "img"), ("p?", {"A": "a"}, None, None)], "prompt string, options map<string,string>, explanation string, image string")
+    kinds = [[p.type for p in r[0]] for r in q.select(templates.puzzle_prompt("verify")).collect()]
+    assert kinds == [["text", "image", "text"], ["text"]]
+    answers = spark.createDataFrame([(9, "1. a\n2. b", 3, 1, 2, "t", "k", 4), (10, "# none", 3, 1, 1, "t", "k", 0)], "id long, response string, generation int, p1 long, p2 long, question_type string, knowledge_point string, depth int")
+    made = templates.crossover_records(answers)
+    assert [(r.id, r.rule_content, r.parents, r.ancestry_depth) for r in made.collect()] == [(9, ["a", "b"], [1, 2], 5)]
+    changed = templates.mutation_records(made.unionByName(made.withColumn("id", F.lit(11).cast("long"))), spark.createDataFrame([(11, "- c"), (9, "")], "id long, response string"))
+    assert {r.id: (r.rule_content, r.mutated, r.parents) for r in changed.collect()} == {9: (["a", "b"], False, [1, 2]), 11: (["c"], True, [11])}
+    assert "- a" in made.select(templates.rule_prompt("scoring", F.col("rule_content"))).first()[0]
+    assert {r.credential for r in templates.keyed_round_robin(spark.range(5).withColumnRenamed("id", "pos"), 3).collect()} == {0, 1, 2}

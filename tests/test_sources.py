@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ruleforge.sources import checkpoints, directory, json_io
+from ruleforge.sources import checkpoints, directory, files, json_io
 from ruleforge.streaming.resume import run_available
 
 SCHEMA = "id long, name string, tags array<string>"
@@ -99,3 +99,12 @@ def test_streaming_resume(spark, tmp_path):
     go()
     go()
     assert sorted((r.id, r.answer) for r in spark.read.json(log).collect()) == [(1, 10), (2, 20), (3, 30)] and sum(calls) == 3
+
+
+def test_files(spark, tmp_path):
+    df = spark.createDataFrame([("a/1.png", bytearray(b"one")), ("b.png", None)], "path string, content binary")
+    assert {(r.path, r.error is None) for r in files.write_files(df, str(tmp_path)).collect()} == {("a/1.png", True), ("b.png", False)}
+    assert (tmp_path / "a/1.png").read_bytes() == b"one"
+    moves = spark.createDataFrame([("x/2.png", "/no/such", str(tmp_path / "a/1.png")), ("y.png", None, "/none")], "target string, p string, q string")
+    got = {r.target: (r.source, r.error) for r in files.copy_files(moves, str(tmp_path), ["p", "q"]).collect()}
+    assert got == {"x/2.png": (str(tmp_path / "a/1.png"), None), "y.png": (None, "no source")} and (tmp_path / "x/2.png").read_bytes() == b"one"
