@@ -59,7 +59,7 @@ def _chunked(batches):
             ends, data, start = cuts(text), text.tobytes(), 0
             for j, end in enumerate(ends):
                 digest.append(xxhash.xxh3_128_digest(data[start:end]))
-                place.append(start << 8 | end - start)
+                place.append(start << 9 | end - start)
                 number.append(j)
                 start = end
             doc.append(len(ends))

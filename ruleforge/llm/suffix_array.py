@@ -76,7 +76,7 @@ def _induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, starts: np.ndarray) -
     return sa
 
 
-def _by_doubling(t: np.ndarray) -> np.ndarray:
+def _by_doubling(t: np.ndarray, depth: int) -> np.ndarray:
     rank, width, n = t.astype(np.int64), 1, len(t)
     while True:
         key = rank * (int(rank.max()) + 2)
@@ -85,19 +85,20 @@ def _by_doubling(t: np.ndarray) -> np.ndarray:
         sorted_keys = key[sa]
         new = np.empty(n, np.int64)
         new[sa] = np.cumsum(np.r_[0, sorted_keys[1:] != sorted_keys[:-1]])
-        if new[sa[-1]] == n - 1:
+        if new[sa[-1]] == n - 1 or 2 * width >= depth:
             return sa.astype(np.int32)
         rank, width = new, 2 * width
 
 
-def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Positions of the suffixes of ``t`` (non-negative integers) in ascending order."""
+def suffix_array(t: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Positions of the suffixes of ``t`` (non-negative integers) in ascending order, by their first ``depth`` symbols at least."""
     n = len(t)
+    depth = n if depth is None else min(depth, n)
     if n < 2:
         return np.zeros(n, np.int32)
     k = int(t.max()) + 1
     if k > ALPHABET:
-        return _by_doubling(t)
+        return _by_doubling(t, depth)
     s = s_types(t)
     lms = np.flatnonzero(s[1:] & ~s[:-1]).astype(np.int32) + 1
     starts = np.r_[0, np.cumsum(np.bincount(t, minlength=k))].astype(np.int64)
@@ -112,7 +113,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         names[ranked] = np.cumsum(np.r_[0, _differ(t, size, ranked)])
         reduced = names[lms]
         if int(reduced.max()) + 1 < len(lms):
-            lms = lms[suffix_array(reduced)]
+            lms = lms[suffix_array(reduced, depth)]  # a name spans a symbol at least
         else:
             lms = ranked
     return _induce(t, s, lms, starts)

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _ODD, discard, materialize, mix64, release_shuffles, string_buffer, text_chunks
+from .common import _ODD, discard, materialize, mix64, prepare, release_shuffles, string_buffer, text_chunks
 from .suffix_array import permuted_prefixes, suffix_array, words8
 
 SPAN, GRAM = 50, 16
@@ -24,7 +24,11 @@ WIDTH = SPAN - GRAM + 1
 BEFORE = WIDTH - 1
 CONTEXT = BEFORE + SPAN
 #: Bytes of contexts in one suffix array, and of text in one pass.
-SHARD_BYTES, PIECE_BYTES = 1 << 22, 1 << 22
+SHARD_BYTES, PIECE_BYTES = 1 << 20, 1 << 21
+#: Contexts of one gram that meet in one shard; where there are more, they are parted further.
+HOT_RUN = 4096
+#: Different codes of the bytes beside a gram; with 0 they fill 10 bits.
+CODES = 1023
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -38,14 +42,14 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, first: np.ndarray, last: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(document number, gram hash, context hash, place in the document, bytes before, bytes after) of the anchors in ``raw``.
+    """(document number, gram hash, context hash, packed place) of the anchors in ``raw``.
 
     Document d has its windows start in [first[d], last[d]) and its bytes in [begin[d], end[d]).
     """
     n = len(raw)
     some = last > first
     if n < SPAN or not some.any():
-        return (np.zeros(0, np.int64),) * 6
+        return (np.zeros(0, np.int64),) * 4
     w = words8(raw)
     h = mix64(w[:-8] * _ODD[0] + (w[8:] ^ (w[8:] >> np.uint64(31))) * _ODD[1]) | np.uint64(1)
     low = _slide(h, WIDTH, np.minimum)
@@ -73,15 +77,32 @@ def anchors(raw: np.ndarray, first: np.ndarray, last: np.ndarray, begin: np.ndar
         for i in range(part.shape[1]):
             acc += mix64(part[:, i] * _ODD[i + 20])
         context[cut] = mix64(acc)
-    return doc, h[at], context, at - begin[doc], before, after
-
-
-def _pack(at, before, after):
-    return (at << 12) | (before << 6) | after
+    # Codes of the 17 bytes on either side of the gram; 0 where there are fewer.
+    half = (SPAN - GRAM) // 2
+    codes = []
+    for ok, o in ((before >= half, -half), (after >= GRAM + half, GRAM)):
+        p, code = at[ok] + o, np.zeros(len(at), np.int64)
+        code[ok] = 1 + (mix64(mix64(w[p]) + mix64(w[p + 8] * _ODD[1]) + w[p + half - 8] * _ODD[2]) % np.uint64(CODES)).astype(np.int64)
+        codes.append(code)
+    # The codes follow from the context, so they can be the lowest bits of its hash.
+    context = context & ~np.uint64((1 << 20) - 1) | (codes[0] << 10 | codes[1]).astype(np.uint64)
+    # A context that a document repeats, as in a line said again and again, goes out once and is found again when the text is cut.
+    order = np.argsort(mix64(mix64(h[at]) + context + doc.astype(np.uint64) * _ODD[3]), kind="stable")
+    new = np.ones(len(at), bool)
+    new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (doc, h[at], context)], axis=0)
+    first = np.flatnonzero(new)
+    again = np.diff(np.r_[first, len(at)]) > 1
+    keep = order[first]
+    return doc[keep], h[at][keep], context[keep], _pack(at[keep] - begin[doc[keep]], again, before[keep], after[keep])
+
+
+def _pack(at, again, before, after):
+    """Place in the document, whether the context stands in it more than once, bytes before the gram and from its start on."""
+    return (at << 13) | (again.astype(np.int64) << 12) | (before << 6) | after
 
 
 def _unpack(place):
-    return place >> 12, (place >> 6) & 63, place & 63
+    return place >> 13, (place >> 12) & 1, (place >> 6) & 63, place & 63
 
 
 def _anchored(batches):
@@ -100,8 +121,19 @@ def _anchored(batches):
                 a, b = max(0, s - 2 * CONTEXT), min(n, s + PIECE_BYTES + 2 * CONTEXT)
                 one = lambda x, a=a: np.array([x - a])
                 parts.append(anchors(raw[lo + a : lo + b], one(s), one(min(s + PIECE_BYTES, n - SPAN + 1)), one(0), one(n)))
-        for doc, h, c, at, before, after in parts:
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(ids[doc]), pa.array(_pack(at, before, after))], ["h", "c", "doc_id", "place"])
+        for doc, h, c, place in parts:
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(ids[doc]), pa.array(place)], ["h", "c", "doc_id", "place"])
+
+
+def _met(run: np.ndarray, c: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """True where another context of the same run has the same code; a code of 0 meets nothing."""
+    out = np.zeros(len(run), bool)
+    at = np.flatnonzero(code)
+    if len(at):
+        at = at[np.lexsort((code[at], run[at]))]
+        new = np.flatnonzero(np.r_[True, (run[at][1:] != run[at][:-1]) | (code[at][1:] != code[at][:-1])])
+        out[at] = np.repeat(np.minimum.reduceat(c[at], new) != np.maximum.reduceat(c[at], new), np.diff(np.r_[new, len(at)]))
+    return out
 
 
 def _settled(batches):
@@ -135,7 +167,18 @@ def _settled(batches):
             held = [x[keep & last] for x in (h, c, d, p)]
             keep &= ~last
         keep &= open_
-        yield out(h[keep], d[keep], p[keep], np.zeros(int(keep.sum()), bool))
+        # Equal windows share the gram and all 17 bytes on its left or on its right.
+        at = np.flatnonzero(keep)
+        of_run = np.repeat(np.arange(len(run)), sizes)[at]
+        at = at[_met(of_run, c[at], (c[at] >> 10) & 1023) | _met(of_run, c[at], c[at] & 1023)]
+        of_run = np.repeat(np.arange(len(run)), sizes)[at]
+        hot = np.bincount(of_run, minlength=1)[of_run] > HOT_RUN if len(at) else np.zeros(0, bool)
+        yield out(h[at[~hot]], d[at[~hot]], p[at[~hot]], np.zeros(int((~hot).sum()), bool))
+        # The contexts of a gram in a great many of them meet by either side's code instead.
+        for side, code in ((1, c[at[hot]] >> 10 & 1023), (2, c[at[hot]] & 1023)):
+            x = at[hot][code > 0]
+            key = mix64(h[x].view(np.uint64) * _ODD[side] + code[code > 0].astype(np.uint64)).view(np.int64)
+            yield out(key, d[x], p[x], np.zeros(len(x), bool))
 
     for batch in batches:
         rows.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
@@ -156,13 +199,13 @@ def _contexts(batches):
         count = np.diff(lists.offsets.to_numpy())
         h, place = (wanted.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         base = np.repeat(offs[:-1], count)
-        at, before, after = _unpack(place)
+        at, again, before, after = _unpack(place)
         start, stop = base + at - before, base + at + after
         sizes = stop - start
         ends = np.cumsum(sizes)
         index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - sizes), sizes)
         text = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32).tobytes()), pa.py_buffer(raw[index].tobytes())])
-        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), count)), pa.array(at - before), text], ["h", "doc_id", "start", "context"])
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), count)), pa.array((at - before) << 1 | again), text], ["h", "doc_id", "start", "context"])
 
 
 def repeated_windows(raw: np.ndarray, offs: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,7 +215,7 @@ def repeated_windows(raw: np.ndarray, offs: np.ndarray, doc: np.ndarray) -> tupl
     text = np.zeros(len(raw) + len(sizes), np.int16)
     text[np.arange(len(raw)) + np.repeat(np.arange(len(sizes)), sizes)] = raw.astype(np.int16) + 1
     begin = offs[:-1] + np.arange(len(sizes))
-    sa = suffix_array(text)
+    sa = suffix_array(text, SPAN)
     owner = np.repeat(np.arange(len(sizes)), sizes + 1)
     full = sa[sa + SPAN <= (begin + sizes)[owner[sa]]]
     if not len(full):
@@ -201,7 +244,7 @@ def _sorted_out(batches):
             new = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (o[1:] > o[:-1] + SPAN)])
             stop = np.r_[new[1:], len(which)] - 1
             size = o[stop] + SPAN - o[new]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[which[new]]), pa.array(((start[which[new]] + o[new]) << 8) | size)], ["doc_id", "span"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[which[new]]), pa.array(((start[which[new]] >> 1) + o[new]) << 9 | (start[which[new]] & 1) << 8 | size)], ["doc_id", "span"])
 
     held, size = [], 0
     for batch in batches:
@@ -223,39 +266,59 @@ def _sorted_out(batches):
 def _joined(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of the union of packed spans."""
     spans = np.sort(spans)
-    start, stop = spans >> 8, np.maximum.accumulate((spans >> 8) + (spans & 255))
+    start, stop = spans >> 9, np.maximum.accumulate((spans >> 9) + (spans & 255))
     new = np.flatnonzero(np.r_[True, start[1:] > stop[:-1]])
     return start[new], np.r_[stop[new[1:] - 1], stop[-1]]
 
 
-def _cut_out(batches):
-    import pyarrow as pa
+def cut_out(least: int, copy_bytes: int):
+    """Cuts the union of packed spans (start << 9 | again << 8 | size) out of each text where a run has ``least`` bytes; all of a copy of ``copy_bytes`` or more.
+
+    A span marked ``again`` stands for every place of its bytes in the text.
+    """
+
+    def spread(text, spans):
+        data, more, seen = text.tobytes(), [], set()
+        for x in spans[(spans >> 8) & 1 == 1].tolist():
+            piece = data[x >> 9 : (x >> 9) + (x & 255)]
+            if piece in seen:
+                continue
+            seen.add(piece)
+            at = data.find(piece)
+            while at >= 0:
+                more.append(at << 9 | len(piece))
+                at = data.find(piece, at + 1)
+        return np.r_[spans, np.array(more, np.int64)]
+
+    def ranges(text, copy, spans):
+        if copy:
+            return [(0, len(text))] if len(text) >= max(copy_bytes, 1) else []
+        if not len(spans):
+            return []
+        start, stop = _joined(spread(text, spans))
+        return [(a, b) for a, b in zip(start.tolist(), np.minimum(stop, len(text)).tolist(), strict=True) if b - a >= least]
+
+    def run(batches):
+        import pyarrow as pa
 
-    for batch in text_chunks(batches, PIECE_BYTES):
-        raw, offs = string_buffer(batch.column("text"))
-        copy = batch.column("is_copy").to_pylist()
-        spans, begin = batch.column("spans"), None
-        values, begin = spans.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum([0 if x is None else len(x) for x in spans])]
-        kept, removed = [], []
-        for i in range(batch.num_rows):
-            text = raw[offs[i] : offs[i + 1]]
-            if copy[i]:
-                cuts = [(0, len(text))] if len(text) >= SPAN else []
-            elif begin[i] < begin[i + 1]:
-                cuts = [(int(a), int(min(b, len(text)))) for a, b in zip(*_joined(values[begin[i] : begin[i + 1]]), strict=True) if a < len(text)]
-            else:
-                cuts = []
-            at, pieces = 0, []
-            for a, b in cuts:
-                pieces.append(text[at:a].tobytes())
-                at = b
-            pieces.append(text[at:].tobytes())
-            kept.append(b"".join(pieces))
-            removed.append([{"start": a, "stop": b} for a, b in cuts])
         fields = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-        rest = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "is_copy", "spans")]
-        names = [name for name in batch.schema.names if name not in ("text", "is_copy", "spans")]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(np.diff(offs)), pa.array(removed, fields), pa.array(kept, pa.binary())], [*names, "n_bytes", "removed", "kept"])
+        for batch in text_chunks(batches, PIECE_BYTES):
+            raw, offs = string_buffer(batch.column("text"))
+            copy, spans = batch.column("is_copy").to_pylist(), batch.column("spans")
+            values, begin = spans.flatten().to_numpy(zero_copy_only=False), spans.offsets.to_numpy() - spans.offsets[0].as_py()
+            kept, removed = [], []
+            for i in range(batch.num_rows):
+                text, at, pieces = raw[offs[i] : offs[i + 1]], 0, []
+                cuts = ranges(text, copy[i], values[begin[i] : begin[i + 1]])
+                for a, b in cuts:
+                    pieces.append(text[at:a].tobytes())
+                    at = b
+                pieces.append(text[at:].tobytes())
+                kept.append(b"".join(pieces))
+                removed.append([{"start": a, "stop": b} for a, b in cuts])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offs)), pa.array(removed, fields), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "removed", "kept"])
+
+    return run
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -267,7 +330,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     are one document: neither removes bytes of the other, and what is found at a place in one is removed at that
     place in the other. Only doc_id and text are read; an empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark = prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     long = docs.filter(f"doc_id is not null and octet_length(text) >= {SPAN}")
     digests = materialize(long.select("doc_id", F.unhex(F.md5("text")).alias("digest")), "digests")
@@ -287,11 +350,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     del wanted, contexts
     release_shuffles(spark)
 
-    whole = settled.filter("covered").select("doc_id", F.expr("(((place >> 12) - ((place >> 6) & 63)) << 8) | (((place >> 6) & 63) + (place & 63))").alias("span"))
+    whole = settled.filter("covered").select("doc_id", F.expr("(((place >> 13) - ((place >> 6) & 63)) << 9) | (((place >> 12) & 1) << 8) | (((place >> 6) & 63) + (place & 63))").alias("span"))
     spans = whole.unionByName(compared).groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
     marks = spans.join(copies.withColumn("is_copy", F.lit(True)), "doc_id", "full").withColumn("is_copy", F.coalesce("is_copy", F.lit(False)))
     joined = docs.join(marks, "doc_id", "left").select("doc_id", "text", F.coalesce("is_copy", F.lit(False)).alias("is_copy"), F.coalesce("spans", F.array().cast("array<long>")).alias("spans"))
-    return joined.mapInArrow(_cut_out, "doc_id long, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary")
+    return joined.mapInArrow(cut_out(1, SPAN), "doc_id long, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -324,3 +387,19 @@ def _column(docs: DataFrame, name: str, text):
     if name == "text":
         return text.alias("text")
     return F.char_length(text).cast(docs.schema[name].dataType).alias(name) if name == "n_chars" else docs[name]
+
+
+ORACLE = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce("text", ''))) AS h, octet_length(encode(coalesce("text", '')))::BIGINT AS n FROM documents),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(n - 49)) AS i FROM b WHERE n >= 50)),
+low AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM win JOIN low USING (s) WHERE doc_id > m),
+run AS (SELECT doc_id, i, sum((before IS NULL OR i > before + 50)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM hit),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM run GROUP BY doc_id, r),
+piece AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM span
+  UNION ALL SELECT doc_id, coalesce(max(z), 0), any_value(n) FROM b LEFT JOIN span USING (doc_id) GROUP BY doc_id
+), kept AS (SELECT doc_id, string_agg(substr(h, 2 * piece.a + 1, 2 * (piece.z - piece.a)), '' ORDER BY piece.a) AS k FROM piece JOIN b USING (doc_id) GROUP BY doc_id),
+cut AS (SELECT doc_id, sum(z - a) AS gone, count(*) AS spans FROM span GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256 FROM b JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)
+"""
