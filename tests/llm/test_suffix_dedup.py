@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -41,14 +43,37 @@ def test_against_brute_force(docs):
     check(docs)
 
 
-def test_overlapping_repeats_and_pieces(spark, monkeypatch):
+def in_this_process(rows):
+    """The steps of remove_repeats one after another, without Spark, so that the module's constants can be changed."""
+    docs = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["doc_id", "text"])
+    found = pa.Table.from_batches(m._anchored([docs])).sort_by([(c, "ascending") for c in ("h", "c", "doc_id", "place")])
+    settled = pa.Table.from_batches(m._settled(found.to_batches(max_chunksize=37))).to_pylist()
+    spans = {}
+    for r in settled:
+        at, again, before, after = m._unpack(r["place"])
+        if r["covered"]:
+            spans.setdefault(r["doc_id"], []).append((at - before) << 9 | again << 8 | before + after)
+    wanted = [[(r["h"], r["place"]) for r in settled if not r["covered"] and r["doc_id"] == i] for i, _ in rows]
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("place", pa.int64())]))
+    contexts = pa.Table.from_batches(m._contexts([docs.append_column("wanted", pa.array([[{"h": h, "place": p} for h, p in w] for w in wanted], kind))]))
+    for batch in m._sorted_out(contexts.sort_by([("h", "ascending")]).to_batches(max_chunksize=11)):
+        for r in batch.to_pylist():
+            spans.setdefault(r["doc_id"], []).append(r["span"])
+    full = docs.append_column("is_copy", pa.array([False] * len(rows))).append_column("spans", pa.array([spans.get(i, []) for i, _ in rows], pa.list_(pa.int64())))
+    out = pa.Table.from_batches(m.cut_out(1, m.SPAN)([full])).to_pylist()
+    return {r["doc_id"]: (r["n_bytes"], sum(x["stop"] - x["start"] for x in r["removed"]), len(r["removed"]), hashlib.sha256(r["kept"]).hexdigest()) for r in out}
+
+
+@pytest.mark.parametrize("hot,piece,shard", [(4096, 1 << 21, 1 << 20), (1, 200, 1000), (3, 5000, 300)])
+def test_overlapping_repeats_with_small_pieces_shards_and_runs(monkeypatch, hot, piece, shard):
     rng = random.Random(2)
     base = prose(rng, 300)
     rows = [(i, base[(a := rng.randrange(600)) : a + rng.randint(30, 400)] + rng.choice(["", "x", prose(rng, 8)]) + base[(b := rng.randrange(900)) : b + rng.randint(40, 80)]) for i in range(60)]
-    rows += [(100, "a" * 300), (101, "a" * 49), (102, "a" * 50), (103, "b" + "a" * 120)]
-    monkeypatch.setattr(m, "PIECE_BYTES", 200)
-    monkeypatch.setattr(m, "SHARD_BYTES", 1000)
-    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    rows += [(100, "a" * 300), (101, "a" * 49), (102, "a" * 50), (103, "b" + "a" * 120), (104, "line of text again, " * 40), (105, "x line of text again, line of text again, line of text again"), (106, base)]
+    monkeypatch.setattr(m, "HOT_RUN", hot)
+    monkeypatch.setattr(m, "PIECE_BYTES", piece)
+    monkeypatch.setattr(m, "SHARD_BYTES", shard)
+    assert in_this_process(rows) == brute([(i, t.encode()) for i, t in rows])
 
 
 def test_empty_table_and_rewrite(docs, empty):
