@@ -208,8 +208,8 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, score, evidence (nearest examples: doc_id, toxic, cosine).
 
     docs needs doc_id and text; labels doc_id and toxic (0, 1 or null; of repeated rows the greatest counts). A score is read from the text alone.
-    Texts without a term of the vocabulary, so null and empty ones, get the score of the base rate. Without labels of both kinds all
-    scores are the share of label 1 (0 without any label). An empty table gives no rows.
+    Texts without a term of the vocabulary, so null and empty ones, get the score of the base rate. Without labels of both kinds, or
+    any term that tells them apart, all scores are the share of label 1 (0 without any label). An empty table gives no rows.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -219,15 +219,18 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     total = training.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("ones")).first()
     n, ones = total.n, total.ones
     base = ones / n if n else 0.0
+    none = "array<struct<doc_id:long,toxic:int,cosine:double>>"
+    same = docs.select("doc_id", F.lit(base).alias("score"), F.array().cast(none).alias("evidence"))
     if not 0 < ones < n:
-        none = "array<struct<doc_id:long,toxic:int,cosine:double>>"
-        return docs.select("doc_id", F.lit(base).alias("score"), F.array().cast(none).alias("evidence"))
+        return same
 
     xlogy = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(0.0)
     m, a = F.col("n").cast("double"), F.col("ones").cast("double")
     ratio = 2 * (xlogy(a, m * base) + xlogy(m - a, m * (1 - base)) + xlogy(ones - a, ones - m * base) + xlogy((n - ones) - (m - a), (n - ones) - m * (1 - base)))
     found = training.mapInArrow(_counted, "gram long, n long, ones long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
     chosen = found.filter(a / m > base).withColumn("ratio", ratio).filter(F.col("ratio") > MIN_RATIO).orderBy(F.desc("ratio"), "gram").select("gram").limit(TERMS).collect()
+    if not chosen:
+        return same
     terms = Terms(np.array([r.gram for r in chosen], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(terms)
     counts = dict(docs.mapInArrow(_frequencies(shared), "term long, n long").groupBy("term").agg(F.sum("n")).collect())

@@ -77,6 +77,8 @@ def test_evidence_and_missing_labels(spark, tables, empty):
     assert len(r.evidence) == 2 and r.evidence[0].toxic == 1 and not held(r.evidence[0].doc_id)
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in m.score(docs, none).collect()} == {0.0}
+    few = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    assert len({r.score for r in m.score(docs, few).collect()}) == 1
     assert m.predictions(empty, labels).count() == 0
     kept = m.without_toxic(docs, labels)
     assert kept.columns == docs.columns and 5003 not in {r.doc_id for r in kept.collect()}
