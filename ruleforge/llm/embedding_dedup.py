@@ -3,7 +3,7 @@
 Vectors with equal components and label meet once, with their number. The vectors of a label are dealt to shards by their nearest
 pivots: a shard above SHARD vectors is split by pivots far apart, and each vector goes to its nearest pivot, which owns it, and
 to up to OVERLAP - 1 more that are nearly as near. Each shard builds a robust-pruned graph (as in DiskANN) of its members; the
-adjacency lists that a vector has in several shards are united. Each vector is then searched once, in the shard that owns
+adjacency lists, back links included, that a vector has in several shards are united. Each vector is then searched once, in the shard that owns
 it: greedily from the shard's medoid and its own node, then by expanding every node within twice the range. Neighbours outside the
 shard that the united lists name are verified by a join. Cosines are taken in double precision.
 
@@ -55,6 +55,16 @@ def robust_pruned(x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def with_back_links(lists: list[np.ndarray]) -> list[np.ndarray]:
+    """Each list with those that list its owner: in a crowd of like vectors some are among the nearest of none."""
+    owner = np.repeat(np.arange(len(lists)), [len(a) for a in lists])
+    to = np.concatenate(lists) if lists else owner
+    a, b = np.r_[owner, to], np.r_[to, owner]
+    pairs = np.unique(a * max(len(lists), 1) + b)
+    cuts = np.searchsorted(pairs, np.arange(len(lists) + 1) * len(lists))
+    return [pairs[s:t] % len(lists) for s, t in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def range_search(x: np.ndarray, adjacent: list[np.ndarray], medoid: int, q: int, limit: float = COSINE) -> np.ndarray:
     """Nodes other than q with cosine of ``limit`` or more to it, found along the graph."""
     v = x[q]
@@ -135,7 +145,7 @@ def _built(batches):
     for batch in runs(batches, ["cell"]):
         for g in _groups(batch):
             x, ids = _matrix(g.column("v")), g.column("rep").to_numpy()
-            lists = [[{"id": int(ids[j]), "cos": float(x[i] @ x[j])} for j in a] for i, a in enumerate(robust_pruned(x))]
+            lists = [[{"id": int(ids[j]), "cos": float(x[i] @ x[j])} for j in a] for i, a in enumerate(with_back_links(robust_pruned(x)))]
             yield pa.RecordBatch.from_arrays([g.column("rep"), pa.array(lists, kind)], ["rep", "near"])
 
 
