@@ -106,8 +106,8 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     dealt = dealt.groupBy("s", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("copy", "shard"))), lambda x: x["shard"]).alias("shards"))
     of_block = blocks.join(dealt, ["s", "block"], "left").select("s", "block", "room", "more", F.coalesce("shards", F.array().cast("array<int>")).alias("shards"))
 
-    joined = placed.join(of_block, ["s", "block"]).select("doc_id", "source", "size", "key", "s", "source_size", "target", "whole", "block", "room", "more", "shards", F.rand(seed).alias("_"))
-    joined = materialize(joined.drop("_"), "placed")
+    joined = placed.join(of_block, ["s", "block"]).select("doc_id", "source", "size", "key", "s", "source_size", "target", "whole", "block", "room", "more", "shards")
+    joined = materialize(joined, "placed")
     edge = blocks.filter("more").groupBy("s").agg(F.min("room").alias("room"))  # the room left is least in the last block taken
     cut = joined.join(edge, ["s", "room"], "left_semi").filter("more")
     in_block = Window.partitionBy("s", "block")
