@@ -53,15 +53,30 @@ def scratch_root(spark: SparkSession) -> str:
 def prepare(spark: SparkSession) -> SparkSession:
     """Arrow batches bounded in bytes and rows, as one row may hold a very long text."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 24))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 22))
     return spark
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: lineage ends here and survives lost executors."""
-    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes ``df`` to the shared folder and reads it again: lineage ends here and survives lost executors.
+
+    The shuffle files of the write go as soon as it is done, as nothing can read them again.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
 
@@ -132,7 +147,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def hashed_words(raw: np.ndarray, offs: np.ndarray, piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(raw: np.ndarray, offs: np.ndarray, piece: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of all words, first word of each document and the number of words) of texts in one buffer.
 
     Words are those of words_of(): UTF-8 has no space or capital inside another character. The hash of a word is a
@@ -182,7 +197,20 @@ def shingle_sets(column, n: int = SHINGLE_WORDS):
         yield np.unique(every[a : b - n + 1] if b - a >= n else shingle_hashes(words[a:b], n))
 
 
-def text_chunks(batches, size: int = 1 << 22, columns: tuple[str, ...] = ("text",)):
+def give_back() -> None:
+    """Returns freed memory to the system: a Python worker lives on between tasks beside its executor's heap."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not a GNU system
+        pass
+
+
+def text_chunks(batches, size: int = 1 << 20, columns: tuple[str, ...] = ("text",)):
     """Slices Arrow batches so that each slice holds about ``size`` bytes in the text columns, one row at least."""
     for batch in batches:
         if not batch.num_rows:
@@ -194,6 +222,7 @@ def text_chunks(batches, size: int = 1 << 22, columns: tuple[str, ...] = ("text"
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    give_back()
 
 
 def runs(batches, keys: list[str]):
@@ -220,3 +249,4 @@ def runs(batches, keys: list[str]):
             held = [batch.slice(cut)]
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    give_back()

@@ -138,8 +138,8 @@ def _compared(limit: float, best: int | None):
     def pairs(own, a, b, ids, comp, n, reg, key):
         i, j = np.nonzero((comp[a][:, None] != comp[b][None]) & ((ids[a][:, None] < ids[b][None]) if own else True))
         i, j = a[i], b[j]
-        for s in range(0, len(i), 1 << 15):
-            p, q = i[s : s + (1 << 15)], j[s : s + (1 << 15)]
+        for s in range(0, len(i), 1 << 13):
+            p, q = i[s : s + (1 << 13)], j[s : s + (1 << 13)]
             # a pair counts in the first band alone in which it agrees
             same = (reg[p, :BANDED].reshape(len(p), -1, BAND) == reg[q, :BANDED].reshape(len(p), -1, BAND)).all(axis=2)
             first = same.argmax(axis=1)
@@ -186,7 +186,7 @@ def _verified(percent: int):
     def run(batches):
         import pyarrow as pa
 
-        for batch in text_chunks(batches, 1 << 22, ("text_a", "text_b")):
+        for batch in text_chunks(batches, columns=("text_a", "text_b")):
             ok = []
             for s, t in zip(shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b")), strict=True):
                 both = len(np.intersect1d(s, t, assume_unique=True))

@@ -24,7 +24,7 @@ WIDTH = SPAN - GRAM + 1
 BEFORE = WIDTH - 1
 CONTEXT = BEFORE + SPAN
 #: Bytes of contexts in one suffix array, and of text in one pass.
-SHARD_BYTES, PIECE_BYTES = 1 << 20, 1 << 21
+SHARD_BYTES, PIECE_BYTES = 1 << 19, 1 << 20
 #: Contexts of one gram that meet in one shard; where there are more, they are parted further.
 HOT_RUN = 4096
 #: Different codes of the bytes beside a gram; with 0 they fill 10 bits.

@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are 5-byte grams of lower-cased text in which every run of ASCII signs and spaces is one space; so a term can hold the start or end of
-a word, and inflected forms share terms. The vocabulary is the TERMS terms that the training labels tie to label 1 most
+Terms are 5-byte grams of lower-cased text in which every run of ASCII signs and spaces is one space, and the 8 bytes from each space on; so a
+term can hold the start or end of a word, and inflected forms share terms. The vocabulary is the TERMS terms that the training labels tie to label 1 most
 (likelihood ratio above MIN_RATIO). Document frequencies count all documents. Examples and queries are unit vectors of
 (1 + log tf) * idf. The index keeps, for each term, its weight in each example and the largest weight in each block of
 examples; a query takes blocks by falling upper bound until none can change its K best, so the K best are exact.
@@ -17,11 +17,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, prepare, string_buffer, text_chunks
+from .common import discard, materialize, mix64, prepare, string_buffer, text_chunks
 from .suffix_array import words8
 
-GRAM, TERMS, MIN_RATIO, K, BLOCK = 5, 1024, 25.0, 25, 64
-MAX_LABELLED, MAX_EXAMPLES, CALIBRATED = 20_000, 8192, 2048
+GRAM, START, TERMS, MIN_RATIO, K, BLOCK = 5, 8, 1024, 15.0, 25, 64
+MAX_LABELLED, MAX_EXAMPLES, CALIBRATED = 20_000, 4096, 2048
 #: Weight of the base rate among the votes.
 PRIOR = 0.5
 
@@ -31,7 +31,7 @@ for _b in range(128):
 
 
 def grams(column) -> tuple[np.ndarray, np.ndarray]:
-    """(document number, gram) at every place of the texts of an Arrow column."""
+    """(document number, gram) of the texts of an Arrow column, with the highest bit set in those that start at a space."""
     raw, offs = string_buffer(column)
     raw, offs, n = raw[offs[0] : offs[-1]], offs - offs[0], len(column)
     doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(offs) + 2)
@@ -43,9 +43,12 @@ def grams(column) -> tuple[np.ndarray, np.ndarray]:
     text, doc = text[keep], doc[keep]
     if len(text) < GRAM:
         return np.zeros(0, np.int32), np.zeros(0, np.uint64)
-    g = words8(np.r_[text, np.zeros(8, np.uint8)])[: len(text) - GRAM + 1] & np.uint64((1 << 8 * GRAM) - 1)
+    w = words8(np.r_[text, np.zeros(8, np.uint8)])
+    g = w[: len(text) - GRAM + 1] & np.uint64((1 << 8 * GRAM) - 1)
     own = doc[: len(g)] == doc[GRAM - 1 :]
-    return doc[: len(g)][own], g[own]
+    at = np.flatnonzero(text[: max(len(text) - START + 1, 0)] == 32)
+    at = at[doc[at] == doc[at + START - 1]]
+    return np.r_[doc[: len(g)][own], doc[at]], np.r_[g[own], w[at] | np.uint64(1 << 63)]
 
 
 def _slot(g: np.ndarray) -> np.ndarray:
@@ -118,16 +121,16 @@ def _vectors(rows, idf: np.ndarray):
             yield int(doc[a]), term[a:b], value[a:b] / norm
 
 
-def _curve(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve over the log odds of the votes, by Newton steps on smoothed targets."""
+def _curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve over the log odds of weighted votes, by Newton steps on smoothed targets."""
     x = _log_odds(votes)
-    ones = labels.sum()
-    t = np.where(labels > 0, (ones + 1) / (ones + 2), 1 / (len(labels) - ones + 2))
+    ones, zeros = weights[labels > 0].sum(), weights[labels == 0].sum()
+    t = np.where(labels > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     w = np.array([1.0, 0.0])
     for _ in range(30):
         p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
-        g = np.array([((p - t) * x).sum(), (p - t).sum()]) + 1e-2 * (w - [1.0, 0.0])
-        r = p * (1 - p)
+        g = np.array([(weights * (p - t) * x).sum(), (weights * (p - t)).sum()]) + 1e-2 * (w - [1.0, 0.0])
+        r = weights * p * (1 - p)
         h = np.array([[(r * x * x).sum(), (r * x).sum()], [(r * x).sum(), r.sum()]]) + 1e-2 * np.eye(2)
         step = np.linalg.solve(h, g)
         w = w - np.clip(step, -1, 1)
@@ -185,8 +188,7 @@ def _scored(shared, evidence: int):
     def run(batches):
         import pyarrow as pa
 
-        terms, idf, index, base, (slope, offset) = shared.value
-        none = float(1 / (1 + np.exp(-(slope * _log_odds(base) + offset))))
+        terms, idf, index, base, (slope, offset), none = shared.value
         fields = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
         for batch in text_chunks(batches):
             scores, found = np.full(batch.num_rows, none), [[] for _ in range(batch.num_rows)]
@@ -208,7 +210,7 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, score, evidence (nearest examples: doc_id, toxic, cosine).
 
     docs needs doc_id and text; labels doc_id and toxic (0, 1 or null; of repeated rows the greatest counts). A score is read from the text alone.
-    Texts without a term of the vocabulary, so null and empty ones, get the score of the base rate. Without labels of both kinds, or
+    Texts without a term of the vocabulary, so null and empty ones, get the share of label 1 among such labelled rows. Without labels of both kinds, or
     any term that tells them apart, all scores are the share of label 1 (0 without any label). An empty table gives no rows.
     """
     spark = prepare(docs.sparkSession)
@@ -238,20 +240,26 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     idf = np.log((1 + counts.get(len(df), 0)) / (1 + df))
 
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    rows = training.select("doc_id", "toxic", "text").mapInArrow(_sparse(shared), "doc_id long, toxic int, terms array<long>, counts array<long>").filter("size(terms) > 0").orderBy(*order).limit(MAX_EXAMPLES).collect()
+    vectors = materialize(training.select("doc_id", "toxic", "text").mapInArrow(_sparse(shared), "doc_id long, toxic int, terms array<long>, counts array<long>"), "vectors")
+    rows = vectors.filter("size(terms) > 0").orderBy(*order).limit(MAX_EXAMPLES).collect()
+    known = {(r.has, r.toxic): r.n for r in vectors.groupBy((F.size("terms") > 0).alias("has"), "toxic").agg(F.count("*").alias("n")).collect()}
+    discard(training), discard(vectors)
     weights = np.zeros((len(rows), len(df)), np.float32)
     for i, r in enumerate(rows):
         for _, t, v in _vectors((np.zeros(len(r.terms), np.int64), np.array(r.terms, np.int64), np.array(r.counts)), idf):
             weights[i, t] = v
     index = Index(weights, np.array([r.toxic for r in rows], np.int64), np.array([r.doc_id for r in rows], np.int64))
-    votes = np.full(min(len(rows), CALIBRATED), base)
-    own = {d: i for i, d in enumerate(index.ids.tolist())}
+    # The curve is fitted to leave-one-out votes, beside the rows without a term, whose vote is the base rate.
+    votes, own = np.full(min(len(rows), CALIBRATED) + 2, base), {d: i for i, d in enumerate(index.ids.tolist())}
     for i, r in enumerate(rows[:CALIBRATED]):
         t = np.flatnonzero(weights[i])
         if len(t):
             votes[i] = index.vote(*index.nearest(t, weights[i, t], without=own[r.doc_id]), base)
-    curve = _curve(votes, np.array([r.toxic for r in rows[:CALIBRATED]])) if len(votes) else (1.0, 0.0)
-    model = spark.sparkContext.broadcast((terms, idf, index, base, curve))
+    bare = np.array([known.get((False, y), 0) for y in (0, 1)], float)
+    share = (len(votes) - 2) / max(1, sum(v for (has, _), v in known.items() if has))
+    curve = _curve(votes, np.array([*(r.toxic for r in rows[:CALIBRATED]), 0, 1]), np.r_[np.ones(len(votes) - 2), bare * share])
+    none = float((bare[1] + base) / (bare.sum() + 1))
+    model = spark.sparkContext.broadcast((terms, idf, index, base, curve, none))
     return docs.mapInArrow(_scored(model, evidence), "doc_id long, score double, evidence array<struct<doc_id:long,toxic:int,cosine:double>>")
 
 
