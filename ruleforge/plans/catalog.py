@@ -180,7 +180,7 @@ _LINES = r"""SELECT doc_id, list_transform(list_filter(list_transform(string_spl
 
 
 def _bulleted(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.slice(text.bullets(F.col("text")), 1, 8).alias("b"))
+    return table(spark, d, "documents").select("doc_id", text.bullets(F.col("text")).alias("b"))
 
 
 @query(f"""WITH l AS ({_LINES}), p AS (SELECT x.doc_id AS id, list_concat(x.b, y.b) AS b FROM l x JOIN l y ON y.doc_id = x.doc_id + 1),
