@@ -15,26 +15,29 @@ def edges(rules: DataFrame, key: str = "id", parents: str = "parents") -> DataFr
     return up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
 
-def relatives(rules: DataFrame, valid: DataFrame, wanted: int = 2, max_depth: int = 6, key: str = "id", parents: str = "parents") -> DataFrame:
+def relatives(rules: DataFrame, valid: DataFrame, wanted: int = 2, key: str = "id", parents: str = "parents") -> DataFrame:
     """(id, relatives): up to ``wanted`` valid rules reached first over parents and children, by depth, then id.
 
-    All roots advance together, a layer a round; roots that have enough, or whose frontier is empty, take no further part.
-    Each round writes its visited pairs, so plans stay short and a lost executor costs one round at most.
+    Valid rules spread over the graph, a layer a round, until nothing new arrives. A node keeps its ``wanted`` + 1 first ones, itself counted if valid:
+    what it drops is also too far for its neighbours. So a round moves rows in proportion to the edges, however deep the lineage.
+    Each round writes what arrived, so plans stay short and a lost executor costs one round at most.
     """
     graph = materialize(edges(rules, key, parents))
-    valid = materialize(valid.select(F.col(key).alias("node")).distinct())
-    front = rules.select(F.col(key).alias("root"), F.col(key).alias("node"))
-    seen, found = front, None
-    for depth in range(1, max_depth + 1):
-        step = front.join(graph, front["node"] == graph["src"]).select("root", F.col("dst").alias("node")).distinct()
-        front = materialize(step.join(seen, ["root", "node"], "left_anti"))
-        new = front.join(valid, "node", "left_semi").select("root", "node", F.lit(depth).alias("depth"))
-        found = materialize(new if found is None else found.unionByName(new))
-        enough = found.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") >= wanted).select("root")
-        front = materialize(front.join(enough, "root", "left_anti"))
-        if front.isEmpty():
-            break
-        seen = seen.unionByName(front)
-    nth = F.row_number().over(Window.partitionBy("root").orderBy("depth", "node"))
-    best = found.withColumn("nth", nth).filter(F.col("nth") <= wanted).groupBy("root").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "node"))), lambda x: x["node"]).alias("relatives"))
-    return rules.select(F.col(key).alias("id")).join(best, F.col("id") == F.col("root"), "left").select("id", F.coalesce("relatives", F.array().cast("array<long>")).alias("relatives"))
+    front = materialize(valid.select(F.col(key).alias("node")).filter("node is not null").distinct().select("node", F.col("node").alias("source"), F.lit(0).alias("depth")))
+    found, last, most, depth = front, front, wanted + 1, 0
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("source"))
+    while not front.isEmpty():
+        depth += 1
+        step = front.select(F.col("node").alias("src"), "source").join(graph, "src").select(F.col("dst").alias("node"), "source").distinct()
+        # Edges go both ways, so what a node has already came in the last two layers.
+        step = step.join(last.unionByName(front).select("node", "source"), ["node", "source"], "left_anti")
+        held = found.groupBy("node").agg(F.count("*").alias("held"))
+        step = step.join(held, "node", "left").filter(F.coalesce("held", F.lit(0)) < most).withColumn("nth", nth).filter(F.col("nth") <= most)
+        new = materialize(step.filter(F.col("nth") + F.coalesce("held", F.lit(0)) <= most).select("node", "source", F.lit(depth).alias("depth")))
+        last, front = front, new
+        found = found.unionByName(new)
+        if depth % 8 == 0:
+            found = materialize(found)
+    others = found.filter("node != source").withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("depth", "source"))).filter(F.col("nth") <= wanted)
+    best = others.groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "source"))), lambda x: x["source"]).alias("relatives"))
+    return rules.select(F.col(key).alias("id")).join(best, F.col("id") == F.col("node"), "left").select("id", F.coalesce("relatives", F.array().cast("array<long>")).alias("relatives"))

@@ -347,7 +347,7 @@ def _lineage(spark, d):
 
 def _relatives(spark, d):
     rules = _lineage(spark, d)
-    return lineage.relatives(rules, rules.filter("valid").select("id"), max_depth=8)
+    return lineage.relatives(rules, rules.filter("valid").select("id"))
 
 
 _RELATIVES = """WITH RECURSIVE up AS (SELECT p_partkey AS src, unnest([p_partkey // 2, p_partkey // 3]) AS dst FROM part), e AS (SELECT src, dst FROM up WHERE dst > 0 AND dst <> src UNION SELECT dst, src FROM up WHERE dst > 0 AND dst <> src),

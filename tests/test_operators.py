@@ -130,6 +130,27 @@ def test_relatives(spark):
     assert got == {1: [4], 2: [1, 4], 3: [4, 1], 4: [1], 5: [], 6: [7], 7: []}
 
 
+def test_relatives_however_far(spark):
+    """Chains of 11 steps against a search from each rule, with a branch, a ring and a part without valid rules."""
+    parents = {1: [], **{i: [i - 1] for i in range(2, 13)}, 20: [3], 21: [20, 4], 30: [32], 31: [30], 32: [31], 40: [41], 41: []}
+    valid, near = {1, 12, 21, 31}, {i: set() for i in parents}
+    for i, ps in parents.items():
+        for p in ps:
+            near[i].add(p)
+            near[p].add(i)
+    expected = {}
+    for i in parents:
+        seen, front, expected[i] = {i}, {i}, []
+        while front:
+            front = {y for x in front for y in near[x]} - seen
+            seen |= front
+            expected[i] += sorted(front & valid)
+    assert expected[12][:2] == [21, 1]
+    r = spark.createDataFrame(list(parents.items()), "id long, parents array<long>")
+    got = {x.id: x.relatives for x in lineage.relatives(r, spark.createDataFrame([(i,) for i in valid], "id long")).collect()}
+    assert got == {i: x[:2] for i, x in expected.items()}
+
+
 def groups(spark):
     return spark.createDataFrame([(i, [f"{i}c{k}" for k in range(5)], [f"{i}w{k}" for k in range(3)]) for i in range(30)] + [(99, ["a"], ["b"])], "id long, correct array<string>, incorrect array<string>")
 
