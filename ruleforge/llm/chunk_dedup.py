@@ -3,7 +3,8 @@
 A gear rolling hash of the last 32 bytes cuts a text where its top bits are zero, MIN_CHUNK bytes after the last cut at
 the earliest and MAX_CHUNK at the latest; so after an insertion the cuts fall into step again. Chunks are keyed by a 128-bit digest and
 the first by (doc_id, position) is the original. Runs of neighbouring chunks that all repeat an original are removed where
-they hold MIN_RUN bytes or more, which leaves chance repeats of a phrase alone.
+they hold MIN_RUN bytes or more. That is the least chunk a cut can make, so that only a text's shorter rest stays: any longer
+limit loses shared passages whose edges fall into chunks that differ.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import materialize, prepare, release_shuffles, string_buffer, text_chunks
 from .suffix_dedup import cut_out
 
-MIN_CHUNK, MASK_BITS, MAX_CHUNK, MIN_RUN = 16, 5, 255, 128
+MIN_CHUNK, MASK_BITS, MAX_CHUNK, MIN_RUN = 16, 5, 255, 16
 
 _GEAR = np.random.default_rng(64).integers(0, 1 << 32, 256, dtype=np.uint32)
 
