@@ -64,6 +64,12 @@ def _visited(parts: Column) -> tuple[Column, Column]:
     return F.array_join(body, "\n"), attached
 
 
+def typed(turns: DataFrame) -> DataFrame:
+    """The turns with their text as an array of one typed text part."""
+    part = "named_struct('type', 'text', 'text', cast(text as string), 'uri', cast(null as string), 'width', cast(null as int), 'height', cast(null as int), 'seconds', cast(null as double), 'pages', cast(null as int))"
+    return turns.withColumn("parts", F.array(F.expr(part))).drop("text")
+
+
 def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """One row per conv_id: n_turns, formatted, loss (array of start, stop), attachments, n_tokens_attached.
 

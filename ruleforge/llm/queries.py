@@ -18,7 +18,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.sql("SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
-    return chat_format.digests(turns.unionByName(own))
+    return chat_format.digests(chat_format.typed(turns.unionByName(own)))
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,3 +50,14 @@ def test_parts(spark):
 
 def test_empty_table(spark):
     assert m.digests(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_query_visits_typed_parts(spark, monkeypatch):
+    from ruleforge.llm import chat_format, queries
+
+    seen, visited = [], chat_format._visited
+    monkeypatch.setattr(chat_format, "_visited", lambda parts: seen.append(parts) or visited(parts))
+    got = {tuple(r) for r in queries.op2_chat_formatting(spark, "/root/testdata/sf0.001").collect()}
+    assert seen
+    plain = queries.table(spark, "/root/testdata/sf0.001", "conversations").select("conv_id", "turn", "role", "text")
+    assert {tuple(r) for r in chat_format.digests(plain).collect()} == {r for r in got if r[0] != -7}
