@@ -41,13 +41,19 @@ def n_words_col(c: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(c, F.lit("")), SPACE), lambda w: w != "")).cast("long")
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The shared folder of ``spark.checkpoint.dir``. Where that is unset: a temporary folder in local mode, the warehouse on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_ROOTS:
+        local = spark.sparkContext.master.startswith("local")
+        _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="scratch-") if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{app}"
+    return _OWN_ROOTS[app]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -90,6 +96,24 @@ def discard(df: DataFrame | None) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Keys that hold more than one HOT-th of all rows; there are fewer than HOT of them, whatever the input.
+HOT = 1000
+
+
+def attach(rows: DataFrame, side: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """``rows`` joined (inner) to ``side``, which has one row a key and in ``n`` how many of ``rows`` have it; ``n`` stays a column.
+
+    ``total`` is the number of rows, or more. Rows of a hot key stay where they are, as the side's hot rows, HOT at most, are broadcast;
+    all other keys meet by a shuffle in which none of them fills a task. Both tables are read more than once, so they should be written ones.
+    """
+    limit = max(total // HOT, 1)
+    hot = side.filter(F.col(n) > limit)
+    if hot.isEmpty():
+        return rows.join(side.hint("merge"), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(side.filter(F.col(n) <= limit).hint("merge"), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
     import gc

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import attach, discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -16,8 +16,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(id, component) for every id in ``links``; component is the smallest id reachable.
 
     Each round joins edges to the smallest neighbour of a node, first over all neighbours, then over
-    smaller ones; the number of rounds grows with the logarithm of the longest chain. Only two numbers a
-    round reach the driver. Links with a null end and self links count for nothing; no links give no rows.
+    smaller ones; the number of rounds grows with the logarithm of the longest chain. The links of a hub stay spread over the tasks. Only two
+    numbers a round reach the driver. Links with a null end and self links count for nothing; no links give no rows.
     """
     edges = materialize(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -26,15 +26,17 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         "edges",
     )
     seen = _state(edges)
-    while True:
+    while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u != v").distinct()
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "low")
+        large = attach(both, low, "u", 2 * seen[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = materialize(large, "large")
+        down = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "down")
+        small = attach(large, down, "u", 2 * seen[0])
+        small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u != v").distinct()
         new = materialize(small, "edges")
         now = _state(new)
-        discard(edges)
+        discard(edges), discard(large), discard(low), discard(down)
         edges = new
         if now == seen:
             break

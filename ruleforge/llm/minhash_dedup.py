@@ -6,7 +6,8 @@ of a union are the elementwise maxima, and with b near 1 two registers agree abo
 Bands of registers give candidates; the joint likelihood of the registers that are larger, smaller and equal
 screens them; both whole sets confirm each link.
 
-Groups: documents with equal sets meet once, under their smallest id. In a bucket every member is first compared with
+Groups: documents with equal sets meet once, under their smallest id. Rows of a digest or bucket that holds more than a thousandth of all
+rows are joined where they are (``common.attach``). In a bucket every member is first compared with
 the smallest id only. Where that leaves a bucket in several components, registers are compared in blocks of bounded
 size, first for the best partner of each member, then for all pairs that are still apart, and only pairs that the
 likelihood lets through leave a block. So a group of n near copies costs about n exact comparisons, not n squared.
@@ -20,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SIMILARITY, discard, materialize, mix64, prepare, release_shuffles, runs, shingle_sets, string_buffer, text_chunks
+from .common import SIMILARITY, attach, discard, materialize, mix64, prepare, release_shuffles, runs, shingle_sets, string_buffer, text_chunks
 from .components import connected_components
 
 #: Registers, those of them in bands, band width, base, rate and largest register value. 32 bands of 4 miss a pair at 0.75 once in 200,000.
@@ -86,7 +87,7 @@ def _banded(batches):
             sizes.append(len(s))
             digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             bands.append(band_keys(registers(s, BANDED)[None])[0].view(np.int64) if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("own"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["own", "doc_id", "n_shingles", "digest", "bands"])
 
 
 def _sketched(batches):
@@ -209,23 +210,51 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     docs needs doc_id (long) and text; other columns are not read. Two documents are linked when the Jaccard
     similarity of their sets of distinct 5-word shingles reaches ``similarity`` (sets are of 64-bit hashes of
     the shingles). Fewer words than 5 make one shingle. A null, empty or blank text has an empty set, n_shingles
-    0 and is linked with nothing. Rows that repeat a doc_id share one component. A null doc_id gives a row with
-    null component_id, kept true. An empty table gives no rows.
+    0 and is linked with nothing. Rows that repeat a doc_id share one component, and the links of all their texts count. A null doc_id
+    gives a row with null component_id, kept true. An empty table gives no rows.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prepared = materialize(docs.mapInArrow(_banded, "doc_id long, n_shingles long, digest binary, bands array<long>"), "banded")
+    mark = F.xxhash64("text")
+    several = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("x"), F.max(mark).alias("y")).filter("x < y").select("doc_id", F.lit(True).alias("several"))
+    several = materialize(several, "several")
+    if several.isEmpty():
+        return _flagged(_classes(docs.withColumn("name", F.col("doc_id")), None, similarity))
+    # Texts of one doc_id get names of their own, tied to the doc_id by a link each.
+    named = docs.join(several, "doc_id", "left").withColumn("name", F.when(F.col("several"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id")))
+    ties = materialize(named.filter("several").select(F.col("name").alias("a"), F.col("doc_id").alias("b")).distinct(), "ties")
+    rows = materialize(_classes(named.select("name", "doc_id", "text"), ties, similarity), "classes")
+    # A component may be called after a name that is no doc_id.
+    least = materialize(rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "least")
+    placed = attach(rows, least, "component", rows.count()).select("doc_id", "n_shingles", F.col("least").alias("component"))
+    return _flagged(placed.unionByName(rows.filter("component is null").select("doc_id", "n_shingles", "component")))
+
+
+def _flagged(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def _classes(docs: DataFrame, ties: DataFrame | None, similarity: float) -> DataFrame:
+    """(doc_id, n_shingles, component) for each row of ``docs`` (name, doc_id, text), where a name has one text; ``ties`` (a, b) are links besides."""
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").alias("own"), F.col("name").alias("doc_id"), "text")
+    prepared = materialize(docs.mapInArrow(_banded, "own long, doc_id long, n_shingles long, digest binary, bands array<long>"), "banded")
     sets = prepared.filter("digest is not null and doc_id is not null")
-    low = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most"))
-    copies = materialize(sets.join(low.filter("rep < most").select("digest", "rep"), "digest").filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(), "copies")
+    low = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most"), F.count("*").alias("n")).filter("rep < most").select("digest", "rep", "n")
+    low = materialize(low, "low")
+    total = low.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    copies = attach(sets.select("digest", "doc_id"), low, "digest", total).filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+    copies = materialize(copies, "copies")
     reps = sets.join(copies.select(F.col("b").alias("doc_id")).hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
 
-    banded = reps.select("doc_id", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).filter("n > 1")
-    members = materialize(banded.join(buckets.hint("merge"), "key").select("key", "low", "n", "doc_id"), "members")
+    banded = materialize(reps.select("doc_id", F.explode("bands").alias("key")), "keys")
+    buckets = materialize(banded.groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).filter("n > 1"), "buckets")
+    total = buckets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    members = materialize(attach(banded, buckets, "key", total).select("key", "low", "n", "doc_id"), "members")
+    discard(banded), discard(low)
     # A sort-merge join at every size: a plan that changed with the size would hide how the shuffle grows.
     inside = members.select("doc_id").distinct().hint("merge")
-    texts = materialize(docs.join(inside, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
+    texts = materialize(docs.drop("own").join(inside, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
     sketched = materialize(texts.mapInArrow(_sketched, "doc_id long, n_shingles long, sketch binary"), "sketched")
 
     side = lambda c: sketched.select(F.col("doc_id").alias(c), F.col("sketch").alias(f"sketch_{c}"), F.col("n_shingles").alias(f"n_{c}"))
@@ -235,9 +264,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = [copies, _links(tried, texts, similarity)]
     found = materialize(connected_components(links[1]), "found")
     for best in (1, None):
-        placed = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-        rest = placed.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        placed = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", F.col("n").alias("size"), "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        mixed = materialize(placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("size").alias("n")).filter("x < y").select("key", "n"), "mixed")
+        rest = attach(placed, mixed, "key", total).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
         # Each block meets itself and every other one, in the order of their numbers.
         rest = rest.join(sketched, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rest = rest.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "n_shingles", "sketch")
@@ -245,13 +274,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         crossed = materialize(crossed.distinct().join(tried, ["a", "b"], "left_anti"), "crossed")
         links.append(_links(crossed, texts, similarity))
         tried = tried.unionByName(crossed)
-        more = materialize(connected_components(links[1].unionByName(links[2]) if best else links[1].unionByName(links[2]).unionByName(links[3]).unionByName(copies)), "found")
+        every = links[1].unionByName(links[2])
+        if not best:
+            every = every.unionByName(links[3]).unionByName(copies)
+            every = every if ties is None else every.unionByName(ties)
+        more = materialize(connected_components(every), "found")
         discard(found)
         found = more
-    discard(members), discard(sketched), discard(texts)
+    discard(members), discard(sketched), discard(texts), discard(buckets)
+    for x in links:
+        discard(x)
     release_shuffles(spark)
-    out = prepared.select("doc_id", "n_shingles").join(found.hint("merge"), prepared.doc_id == found.id, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return prepared.select("own", "doc_id", "n_shingles").join(found.hint("merge"), prepared.doc_id == found.id, "left").select(F.col("own").alias("doc_id"), "n_shingles", "component")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

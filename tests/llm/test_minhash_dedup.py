@@ -57,6 +57,25 @@ def test_large_group_of_near_copies(spark):
         m.BLOCK = block
 
 
+def test_repeated_ids_with_several_texts(spark):
+    """All texts of an id link it: 5 holds A and B, 7 is near B, 9 near A, 3 near 9's other text; rows without an id stay apart."""
+    rng = random.Random(3)
+    a, b, c = (prose(rng, 40) for _ in range(3))
+    rows = [(5, a), (5, b), (7, b + " word"), (9, a + " more"), (9, c), (3, c + " end"), (5, None), (11, prose(rng, 30)), (None, a), (None, prose(rng, 8))]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+
+
+def test_hot_digests_and_bands(spark, monkeypatch):
+    """Copies and near copies that fill most of the table, with every key of more than two rows sent by broadcast."""
+    from ruleforge.llm import common
+
+    monkeypatch.setattr(common, "HOT", 50)
+    rng = random.Random(4)
+    base, near = prose(rng, 60), prose(rng, 90)
+    rows = [(i, base) for i in range(60)] + [(100 + i, edited(rng, near, rng.randint(0, 3))) for i in range(40)] + [(200 + i, prose(rng, 30)) for i in range(10)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+
+
 def test_empty_table_and_columns_kept(docs, empty):
     assert m.near_duplicates(empty).count() == 0
     kept = m.keep_one(docs)
