@@ -1,14 +1,19 @@
 """Benchmark decontamination by SimHash of item-sized windows, in DataFrame functions only.
 
-A window has as many words as the item it is held against. Windows that share no shingle with an item have similarity 0
-with it, so only windows around a shared shingle are built: a bitmap of the items' shingles picks positions
-without exploding a document, and an equi-join with the items' shingles places the windows. Each window and each item has
-a 64-bit SimHash of its words. Fingerprints are cut into RADIUS + 1 blocks; two that differ in at most RADIUS bits agree
-in one block at least, so the join on (length, block number, block value) finds all of them. Candidates within the radius are then verified:
-the similarity is the sum of the lesser over the sum of the greater shingle counts of window and item.
-
-What grows with the benchmark alone (its shingles, fingerprints and blocks) is broadcast if it has at most
-BROADCAST_ROWS rows, which are counted first, and joined by shuffle otherwise.
+A window has as many words as the item it is held against. A window and an item reach the similarity only if the window holds enough
+of the item's shingles, so windows are built from shared shingles: a bitmap of the items' shingles picks positions
+without exploding a document, and an equi-join with the items' rarest shingles names the items of each document (any match holds one of
+these). For each such document and item, a running count over the places of shared shingles tells how many of them a
+window from each start would hold. That count grows only where a shared shingle comes in at the window's end; so the best window, and the first of equally good ones, is among
+those that end with a shared shingle, or start at the first word, whatever the order of the item's parts in the document.
+
+Each of these windows and each item has a 64-bit SimHash of its words, cut into RADIUS + 1 blocks: two fingerprints that differ in at most RADIUS bits
+agree in one block at least. Windows that agree with their item in a block and lie within the radius are then verified:
+the similarity is the sum of the lesser over the sum of the greater shingle counts of window and item. Blocks are compared for the pairs that share
+shingles alone, as RADIUS + 1 blocks have 3 bits and would join nearly all windows with all items of a length.
+
+What grows with the benchmark alone (its shingles and fingerprints) is broadcast if it has at most BROADCAST_ROWS rows and BROADCAST_BYTES bytes,
+which are counted first, and joined by shuffle otherwise.
 """
 
 from __future__ import annotations
@@ -16,9 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE_WORDS, SIMILARITY, materialize, words_col
+from pyspark.sql.window import Window
 
-RADIUS, BROADCAST_ROWS = 20, 500_000
+from .common import SHINGLE_WORDS, SIMILARITY, discard, materialize, words_col
+
+RADIUS, BROADCAST_ROWS, BROADCAST_BYTES = 20, 500_000, 32_000_000
 #: Longs in the bitmap, at most; a full bitmap only lets more positions through to the join.
 MAX_BITMAP = 1 << 18
 
@@ -34,20 +41,19 @@ def fingerprint(words: Column) -> Column:
 
 
 def blocks(fp: Column) -> Column:
-    """array<struct<block, value>>: the fingerprint in RADIUS + 1 runs of bits."""
+    """array<long>: the fingerprint in RADIUS + 1 runs of bits, each with its number above it."""
     edges = [64 * i // (RADIUS + 1) for i in range(RADIUS + 2)]
     one = lambda i: F.shiftrightunsigned(fp, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    return F.array(*(F.struct(F.lit(i).alias("block"), one(i).cast("int").alias("value")) for i in range(RADIUS + 1)))
+    return F.array(*(one(i) + F.lit(i << 32) for i in range(RADIUS + 1)))
 
 
-def counted_shingles(words: Column, k: Column) -> Column:
-    """The k-word shingles; the n-th of equal ones has n - 1 put after it, so that multisets meet as sets."""
-    grams = F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.array_join(F.slice(words, i + 1, k), " "))
-    return F.transform(grams, lambda g, i: F.concat_ws("\n", g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda x: x == g)).cast("string")))
+def shingles(words: Column, k: Column) -> Column:
+    """The k-word shingles in order; none of fewer words."""
+    return F.when(F.size(words) >= k, F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.array_join(F.slice(words, i + 1, k), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _bounded(df: DataFrame, rows: int, size: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -56,18 +62,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     Columns: doc_id, item_id, similarity, start_word, n_words (of the item), distance (bits between the fingerprints).
     Words have A-Z lower-cased; shingles are of 5 words, of an item with fewer words all of them. A document with fewer
     words than the item is one window. Of equally similar windows the first counts. Null, empty or blank texts, and rows with a null
-    id, match nothing. Rows that repeat a doc_id count as one document with the matches of all; of a repeated item_id the least text counts.
+    id, match nothing. Rows that repeat a doc_id count as one document with the matches of all their texts; of a repeated item_id the least text counts.
+    Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    percent = round(100 * similarity)
     items = benchmark.filter("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")).select("item_id", words_col(F.col("text")).alias("words")).filter("size(words) > 0")
     items = items.select("item_id", "words", F.size("words").alias("n"), F.least(F.size("words"), F.lit(SHINGLE_WORDS)).alias("k"))
-    items = items.select("*", counted_shingles(F.col("words"), F.col("k")).alias("grams"), fingerprint(F.col("words")).alias("fp"))
-    items = materialize(items, "items")
-    hashed = items.select("item_id", "n", "k", F.transform("words", lambda w: F.xxhash64(w)).alias("wh"))
+    items = items.withColumn("total", F.col("n") - F.col("k") + 1).withColumn("item_fp", fingerprint(F.col("words"))).withColumn("item_grams", shingles(F.col("words"), F.col("k")))
+    # Shared shingles that a match needs: m / (total + other - m) >= s, where a window has total shingles too, and a shorter document m at least.
+    items = items.withColumn("need", F.ceil(F.col("total") * percent / 100).cast("int")).withColumn("need_full", F.ceil(F.col("total") * (2 * percent) / (100 + percent)).cast("int"))
+    items = materialize(items.withColumn("repeats", F.size(F.array_distinct("item_grams")) < F.size("item_grams")), "items")
+    hashed = items.select("item_id", "n", "k", "total", "need", F.transform("words", lambda w: F.xxhash64(w)).alias("wh"))
     at = F.sequence(F.lit(0), F.col("n") - F.col("k"))
     of_size = lambda i: F.coalesce(*(F.when(F.col("k") == k, gram_hash("wh", i, k)) for k in range(1, SHINGLE_WORDS + 1)))
-    grams = materialize(hashed.select("item_id", "n", "k", F.posexplode(F.transform(at, of_size)).alias("item_at", "h")), "grams")
-    size = grams.agg(F.count("*").alias("n"), F.max("n").alias("most"), F.collect_set("k").alias("k")).first()
+    grams = materialize(hashed.select("item_id", "n", "k", "total", "need", F.explode(F.transform(at, of_size)).alias("h")), "grams")
+    size = grams.agg(F.count("*").alias("n"), F.collect_set("k").alias("k")).first()
     if not size.n:
         return docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(None).cast("double").alias("similarity"), *(F.lit(None).cast("int").alias(c) for c in ("start_word", "n_words", "distance"))).limit(0)
 
@@ -81,28 +91,49 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     hits = F.array().cast("array<struct<h:bigint,at:int>>")
     for k in sorted(size.k):
         hits = F.concat(hits, _hits(F.col("bitmap"), longs, k))
-    texts = texts.select("doc_id", "words", F.size("words").alias("doc_n"), hits.alias("hits"))
-    around = lambda x: F.greatest(x["at"] - F.lit(size.most), F.lit(0))
-    places = F.transform("hits", lambda x: F.struct(x["at"].alias("at"), x["h"].alias("h"), around(x).alias("first"), F.slice("words", around(x) + 1, F.lit(2 * size.most)).alias("near")))
-    # The outer form: for a plain explode the optimizer adds a filter that finds all hits a second time.
-    placed = texts.select("doc_id", "doc_n", F.explode_outer(places).alias("x")).filter("x is not null").select("doc_id", "doc_n", "x.*")
-    start = F.greatest(F.least(F.col("at") - F.col("item_at"), F.col("doc_n") - F.col("n")), F.lit(0))
-    windows = placed.join(_bounded(grams, size.n), "h").select("doc_id", "n", "k", start.alias("start"), "first", "near")
-    windows = windows.groupBy("doc_id", "start", "n", "k").agg(F.any_value(F.slice("near", F.col("start") - F.col("first") + 1, F.col("n"))).alias("words"))
-    windows = materialize(windows.select("*", fingerprint(F.col("words")).alias("fp")), "windows")
-
-    n_items = items.count()
-    left = windows.select("doc_id", "start", "n", "fp", F.explode(blocks(F.col("fp"))).alias("b")).select("doc_id", "start", "n", "fp", "b.*")
-    right = items.select("item_id", "n", F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"))).alias("b")).select("item_id", "n", "item_fp", "b.*")
+    # The outer form: for a plain filter the optimizer finds all hits a second time.
+    texts = texts.select("doc_id", "words", hits.alias("hits")).select("doc_id", "words", F.explode_outer(F.when(F.size("hits") > 0, F.array("hits"))).alias("hits")).filter("hits is not null")
+    texts = materialize(texts.withColumn("row", F.xxhash64("doc_id", "words")).dropDuplicates(["row"]), "suspects")
+    hits = texts.select("row", F.size("words").alias("doc_n"), F.explode("hits").alias("x")).select("row", "doc_n", "x.h", "x.at")
+
+    # Any match holds one of the item's total - need + 1 shingles that come first in any order; rare ones make few pairs.
+    often = grams.groupBy("h").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("often", "h"))
+    rare = grams.join(often, "h").withColumn("rank", rank).filter(F.col("rank") <= F.col("total") - F.col("need") + 1).select("item_id", "h").distinct()
+    pairs = hits.select("row", "h").distinct().join(_bounded(rare, size.n, 40 * size.n), "h").select("row", "item_id").distinct()
+    own = _bounded(grams.select("item_id", "h").distinct(), size.n, 40 * size.n)
+    shared = materialize(hits.join(materialize(pairs, "pairs"), "row").join(own, ["item_id", "h"]), "shared")
+
+    fields = items.select("item_id", "n", "k", "total", "need", "need_full", "repeats")
+    n_items, n_bytes = items.count(), items.agg(F.sum(F.size("words") * 200)).first()[0]
+    placed = shared.join(_bounded(fields, n_items, 60 * n_items), "item_id")
+    end = F.greatest(F.col("at") - F.col("total") + 1, F.lit(0))
+    step = placed.select("row", "item_id", "doc_n", "n", "need", "need_full", F.explode(F.array(F.struct(end.alias("start"), F.lit(1).alias("by")), F.struct((F.col("at") + 1).alias("start"), F.lit(-1).alias("by")))).alias("e")).select("*", "e.start", "e.by")
+    held = F.sum("by").over(Window.partitionBy("row", "item_id").orderBy("start"))
+    enough = F.when(F.col("doc_n") < F.col("n"), F.col("need")).otherwise(F.col("need_full"))
+    starts = step.withColumn("held", held).filter((F.col("by") > 0) & (F.col("held") >= enough)).select("row", "item_id", "start", "held").distinct()
+    # Where no shingle repeats, what a window holds is exact, and the first of the best windows is enough.
+    plain = placed.groupBy("row", "item_id").agg((~F.first("repeats") & (F.count("*") == F.count_distinct("h"))).alias("plain"))
+    best = F.row_number().over(Window.partitionBy("row", "item_id").orderBy(F.desc("held"), "start"))
+    starts = materialize(starts.withColumn("best", best).join(plain, ["row", "item_id"]).filter(~F.col("plain") | (F.col("best") == 1)).select("row", "item_id", "start"), "starts")
+
+    parts = items.select("item_id", "n", "k", "total", "item_fp", "item_grams")
+    windows = starts.join(texts.select("row", "doc_id", "words"), "row").join(_bounded(parts, n_items, n_bytes), "item_id")
+    windows = windows.withColumn("words", F.slice("words", F.col("start") + 1, F.col("n"))).withColumn("fp", fingerprint(F.col("words")))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = left.join(_bounded(right, n_items * (RADIUS + 1)), ["n", "block", "value"]).filter(distance <= RADIUS).select("doc_id", "start", "n", "item_id", distance.alias("distance")).distinct()
-    pairs = near.join(windows.select("doc_id", "start", "n", "k", "words"), ["doc_id", "start", "n"]).join(_bounded(items.select("item_id", "n", "k", "grams"), n_items), ["item_id", "n", "k"])
-    pairs = pairs.withColumn("w", F.when(F.size("words") >= F.col("k"), counted_shingles(F.col("words"), F.col("k"))).otherwise(F.array().cast("array<string>")))
-    both = F.size(F.array_intersect("w", "grams"))
-    union = F.size("w") + F.size("grams") - both
-    verified = pairs.select("doc_id", "item_id", "start", "n", "distance", both.alias("both"), union.alias("union")).filter(F.col("both") * 100 >= F.col("union") * round(100 * similarity))
+    near = windows.filter(F.arrays_overlap(blocks(F.col("fp")), blocks(F.col("item_fp")))).withColumn("distance", distance).filter(F.col("distance") <= RADIUS)
+    near = materialize(near.select("doc_id", "item_id", "start", "n", "total", "distance", shingles(F.col("words"), F.col("k")).alias("w"), "item_grams"), "near")
+    # Counts of equal shingles on both sides, by explosion: linear in the words, however long the item.
+    key = ["doc_id", "item_id", "start", "n", "total", "distance"]
+    side = lambda c, name: near.select(*key, F.size("w").alias("has"), F.explode(c).alias("g")).groupBy(*key, "has", "g").agg(F.count("*").alias(name))
+    common = side("w", "x").join(side("item_grams", "y"), [*key, "has", "g"]).groupBy(*key, "has").agg(F.sum(F.least("x", "y")).alias("both"))
+    union = F.col("has") + F.col("total") - F.col("both")
+    verified = common.withColumn("union", union).filter(F.col("both") * 100 >= F.col("union") * percent)
     best = verified.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("both") / F.col("union")).alias("s"), (-F.col("start")).alias("at"), F.col("n"), F.col("distance"))).alias("b"))
-    return best.select("doc_id", "item_id", F.col("b.s").alias("similarity"), (-F.col("b.at")).alias("start_word"), F.col("b.n").alias("n_words"), F.col("b.distance").alias("distance"))
+    out = materialize(best.select("doc_id", "item_id", F.col("b.s").alias("similarity"), (-F.col("b.at")).alias("start_word"), F.col("b.n").alias("n_words"), F.col("b.distance").alias("distance")), "matches")
+    for done in (items, grams, texts, shared, starts, near):
+        discard(done)
+    return out
 
 
 def gram_hash(name: str, i: Column, k: int) -> Column:
@@ -142,7 +173,7 @@ i AS (SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k FROM iw WHERE len(w)
 d AS (SELECT doc_id, list_filter(string_split_regex(translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE "text" IS NOT NULL),
 ig AS (SELECT item_id, n, k, p, array_to_string(w[p + 1 : p + k], ' ') AS g FROM (SELECT *, unnest(range(n - k + 1)) AS p FROM i)),
 dg AS (SELECT doc_id, len(w) AS dn, k, p, array_to_string(w[p + 1 : p + k], ' ') AS g FROM (SELECT d.*, ks.k, unnest(range(len(d.w) - ks.k + 1)) AS p FROM d, (SELECT DISTINCT k FROM i) ks WHERE len(d.w) >= ks.k)),
-win AS (SELECT DISTINCT doc_id, n, k, greatest(least(dg.p - ig.p, dn - n), 0) AS start FROM dg JOIN ig USING (k, g)),
+win AS (SELECT DISTINCT doc_id, n, k, unnest(range(greatest(p + k - n, 0), greatest(least(p, dn - n), 0) + 1)) AS start FROM (SELECT DISTINCT dg.doc_id, dg.dn, dg.p, k, ig.n FROM dg JOIN ig USING (k, g))),
 ww AS (SELECT win.*, d.w[start + 1 : start + n] AS w FROM win JOIN d USING (doc_id)),
 wg AS (SELECT doc_id, n, k, start, g, count(*) AS c FROM (SELECT doc_id, n, k, start, array_to_string(w[p + 1 : p + k], ' ') AS g FROM (SELECT *, unnest(range(len(w) - k + 1)) AS p FROM ww WHERE len(w) >= k)) GROUP BY ALL),
 wn AS (SELECT doc_id, n, k, start, sum(c) AS t FROM wg GROUP BY ALL),
