@@ -2,7 +2,9 @@
 
 Vectors with equal components and label meet once, with their number. The vectors of a label are dealt to shards by their nearest
 pivots: a shard above SHARD vectors is split by pivots far apart, and each vector goes to its nearest pivot, which owns it, and
-to up to OVERLAP - 1 more that are nearly as near. Each shard builds a robust-pruned graph (as in DiskANN) of its members; the
+to up to OVERLAP - 1 more that are nearly as near. A large shard is dealt in pieces of CHUNK vectors, each with a copy of the pivots, so neither a
+label nor a shard that holds most vectors fills a task. Each shard builds a robust-pruned graph (as in DiskANN) of its members; their candidates come
+from one product of the shard's vectors, as for SHARD vectors at most no search is cheaper. The
 adjacency lists, back links included, that a vector has in several shards are united. Each vector is then searched once, in the shard that owns
 it: greedily from the shard's medoid and its own node, then by expanding every node within twice the range. Neighbours outside the
 shard that the united lists name are verified by a join. Cosines are taken in double precision.
@@ -18,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import discard, materialize, prepare, runs
+from .common import attach, discard, materialize, prepare, runs
 from .components import connected_components
 
 COSINE, SHARD, PIVOTS, SAMPLE, OVERLAP, MARGIN = 0.98, 2048, 32, 512, 3, 0.1
 CANDIDATES, DEGREE, ALPHA, BEAM, LEVELS = 64, 24, 1.2, 16, 8
 #: Pivots closer than this count as one.
 APART = 0.9
+#: Vectors of a large shard that are dealt together, and queries of an audit.
+CHUNK, AUDITED = 8192, 10_000
 
 
 def robust_pruned(x: np.ndarray) -> list[np.ndarray]:
@@ -116,26 +120,35 @@ def _pivots(key, rows):
     while len(chosen) < PIVOTS and nearest.min() < APART:
         chosen.append(int(nearest.argmin()))
         nearest = np.maximum(nearest, x @ x[chosen[-1]])
-    return pd.DataFrame({"cell": [key[0]], "pivots": [x[chosen].ravel()], "n_pivots": [len(chosen)]})
+    return pd.DataFrame({"cell": [key[0]], "pivots": [x[chosen].ravel()], "n_pivots": [len(chosen)], "n": [rows["n"].iloc[0]]})
 
 
 def _dealt(batches):
+    """From rows sorted by cell and piece, the pivots of a piece before its vectors: each vector in the cells of its nearest pivots."""
     import pyarrow as pa
 
+    place, pivots = None, None
     for batch in batches:
-        for g in _groups(batch) if batch.num_rows else ():
-            x = _matrix(g.column("v"))
-            p = np.array(g.column("pivots")[0].as_py()).reshape(g.column("n_pivots")[0].as_py(), -1)
-            sims = x @ p.T
+        if not batch.num_rows:
+            continue
+        cells, pieces, kinds = (batch.column(c).to_pylist() for c in ("cell", "piece", "kind"))
+        keys = list(zip(cells, pieces, strict=True))
+        new = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]]
+        for a, b in zip(new, [*new[1:], len(keys)], strict=True):
+            if kinds[a] == 0:
+                count = batch.column("rep")[a].as_py()
+                place, pivots = keys[a], batch.column("v").slice(a, 1).flatten().to_numpy().reshape(count, -1)
+                a += 1
+            if a == b or keys[a] != place:  # pivots at the end of a batch, or a cell that pivots can't part
+                continue
+            g = batch.slice(a, b - a)
+            sims = _matrix(g.column("v")) @ pivots.T
             order = np.argsort(-sims, axis=1, kind="stable")[:, :OVERLAP]
             near = np.take_along_axis(sims, order, 1)
             row, nth = np.nonzero(near >= near[:, :1] - MARGIN)
-            cell = g.column("cell")[0].as_py()
             took = g.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{cell}/{i}" for i in order[row, nth]]), took.column("rep"), took.column("v"), took.column("m"), pa.array(np.array(took.column("owned").to_pylist(), bool) & (nth == 0))],
-                ["cell", "rep", "v", "m", "owned"],
-            )
+            owned = took.column("owned").to_numpy(zero_copy_only=False).astype(bool) & (nth == 0)
+            yield pa.RecordBatch.from_arrays([pa.array([f"{cells[b - 1]}/{i}" for i in order[row, nth]]), took.column("rep"), took.column("v"), took.column("m"), pa.array(owned)], ["cell", "rep", "v", "m", "owned"])
 
 
 def _built(batches):
@@ -240,24 +253,32 @@ def shards(reps: DataFrame, shard: int = SHARD) -> DataFrame:
     """(cell, rep, v, m, owned, n, whole): the members of each shard; whole is false for a large one that pivots can't part."""
     rows = materialize(reps.select("cell", "rep", "v", "m", F.lit(True).alias("owned")), "cells")
     done = []
+    pieces = F.ceil(F.col("n") / CHUNK).cast("int")
     for _ in range(LEVELS):
-        sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
-        rows = materialize(rows.join(sizes, "cell"), "sized")
+        rows, total = _sized(rows)
         done.append(rows.filter(F.col("n") <= shard).withColumn("whole", F.lit(True)))
         large = rows.filter(F.col("n") > shard)
         nth = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("rep"), "rep"))
-        sample = large.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE).select("cell", "rep", "v")
-        pivots = materialize(sample.groupBy("cell").applyInPandas(_pivots, "cell string, pivots array<double>, n_pivots int"), "pivots")
+        sample = large.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE).select("cell", "rep", "v", "n")
+        pivots = materialize(sample.groupBy("cell").applyInPandas(_pivots, "cell string, pivots array<double>, n_pivots int, n long"), "pivots")
         if pivots.isEmpty():
             return _united(done)
-        done.append(large.join(pivots.filter("n_pivots < 2").select("cell"), "cell", "left_semi").withColumn("whole", F.lit(False)))
-        parted = large.join(pivots.filter("n_pivots > 1"), "cell").select("cell", "rep", "v", "m", "owned", "pivots", "n_pivots")
+        done.append(attach(large.drop("n"), pivots.filter("n_pivots < 2").select("cell", "n"), "cell", total).select(*rows.columns, F.lit(False).alias("whole")))
+        vectors = large.select("cell", F.pmod(F.xxhash64("rep"), pieces).alias("piece"), F.lit(1).alias("kind"), "rep", "v", "m", "owned")
+        heads = pivots.filter("n_pivots > 1").select("cell", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), F.lit(0).alias("kind"), F.col("n_pivots").cast("long").alias("rep"), F.col("pivots").alias("v"), F.lit(0).cast("long").alias("m"), F.lit(False).alias("owned"))
+        parted = vectors.unionByName(heads).repartition("cell", "piece").sortWithinPartitions("cell", "piece", "kind", "rep")
         rows = materialize(parted.mapInArrow(_dealt, "cell string, rep long, v array<double>, m long, owned boolean"), "cells")
-    sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
-    done.append(rows.join(sizes, "cell").withColumn("whole", F.col("n") <= shard))
+    done.append(_sized(rows)[0].withColumn("whole", F.col("n") <= shard))
     return _united(done)
 
 
+def _sized(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(rows with the size of their cell in ``n``, number of rows)."""
+    sizes = materialize(rows.groupBy("cell").agg(F.count("*").alias("n")), "sizes")
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return materialize(attach(rows, sizes, "cell", total).select(*rows.columns, "n"), "sized"), total
+
+
 def _united(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -270,19 +291,22 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD)
 
     vectors needs vec_id (long), embedding (array of numbers) and label. Vectors are linked when label and number of components
     are equal and their cosine reaches ``cosine``. A null label or embedding, an empty or zero vector and one with null or non-finite
-    components is linked with nothing. n_links counts other rows. Rows of a repeated vec_id are vectors of their own under one component. A
+    components is linked with nothing; all other vectors count, however long or short. n_links counts other rows. Rows of a repeated vec_id are vectors of their own under one component. A
     null vec_id gives a row without links. An empty table gives no rows.
     """
     prepare(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"), F.col("label").cast("string").alias("label"))
     finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    norm = F.sqrt(_cosine(F.col("e"), F.col("e")))
-    fit = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("e") > 0) & finite & (norm > 0) & (norm < float("inf")), F.lit(False))
-    rows = materialize(rows.withColumn("fit", fit), "vectors")
-    groups = rows.filter("fit").groupBy("label", "e").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"))
-    unit = F.transform("e", lambda x: x / F.sqrt(_cosine(F.col("e"), F.col("e"))))
-    # One vec_id may stand for two different vectors; the search needs names of its own.
-    groups = materialize(groups.withColumn("v", unit).withColumn("cell", F.concat_ws("/", "label", F.size("e").cast("string"))), "groups")
+    most = lambda e: F.array_max(F.transform(e, lambda x: F.abs(x)))
+    fit = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("e") > 0) & finite & (most("e") > 0), F.lit(False))
+    rows = materialize(rows.withColumn("fit", fit).withColumn("key", F.struct("label", "e")), "vectors")
+    groups = rows.filter("fit").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"))
+    groups = groups.select("key", "key.label", "key.e", "rep", "m").withColumn("most", most("e"))
+    # By the largest component first, so that no finite vector is too long or too short for its square.
+    groups = groups.withColumn("v", F.transform("e", lambda x: x / F.col("most")))
+    groups = groups.withColumn("norm", F.sqrt(_cosine(F.col("v"), F.col("v")))).withColumn("v", F.transform("v", lambda x: x / F.col("norm"))).drop("most", "norm")
+    # One vec_id may stand for two different vectors; the search needs names of its own. The label is written so that it can't look like a part of a path.
+    groups = materialize(groups.withColumn("cell", F.concat_ws("/", F.hex("label"), F.size("e").cast("string"))), "groups")
     unique = groups.groupBy("rep").count().filter("count > 1").isEmpty()
     reps = groups.withColumn("name", F.col("rep") if unique else F.xxhash64("label", "e", "rep"))
     named = reps.select("cell", F.col("name").alias("rep"), "v", "m")
@@ -306,22 +330,24 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD)
     graph = connected_components(found.filter("kind = 1").select("a", "b").unionByName(outside.select("a", "b")))
 
     # From names back to rows, then rows of one vec_id together.
-    placed = reps.select("label", F.col("e").alias("_e"), "name", "rep", "m").join(links, F.col("name") == F.col("a"), "left").join(graph, F.col("name") == F.col("id"), "left")
-    placed = placed.select("label", "_e", "rep", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "name").alias("component"))
-    own = rows.filter("fit").join(placed.withColumnRenamed("label", "_label"), (F.col("label") == F.col("_label")) & (F.col("e") == F.col("_e"))).select("vec_id", "n_links", "component")
-    own = materialize(own, "placed")
-    least = own.groupBy("component").agg(F.min("vec_id").alias("least"))
-    own = own.join(least, "component").select("vec_id", "n_links", F.col("least").alias("component_id"))
+    placed = reps.select("key", "name", "rep", F.col("m").alias("n")).join(links.select("a", F.col("n").alias("linked")), F.col("name") == F.col("a"), "left").join(graph, F.col("name") == F.col("id"), "left")
+    placed = placed.select("key", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "name").alias("component"), "n")
+    fits = rows.filter("fit").select("vec_id", "key")
+    total = fits.count()
+    own = materialize(attach(fits, materialize(placed, "found"), "key", total).select("vec_id", "n_links", "component"), "placed")
+    least = materialize(own.groupBy("component").agg(F.min("vec_id").alias("least"), F.count("*").alias("n")), "least")
+    own = attach(own, least, "component", total).select("vec_id", "n_links", F.col("least").alias("component_id"))
     rest = rows.filter("not fit").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     discard(every), discard(united)
     return own.unionByName(rest).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def audit(vectors: DataFrame, cosine: float = COSINE, every: int = 50, shard: int = SHARD) -> dict[str, float]:
-    """Recall of links against brute force, with the rows whose vec_id is divisible by ``every`` as queries against all rows."""
-    near = near_vectors(vectors, cosine, shard).filter(F.pmod("vec_id", F.lit(every)) == 0).agg(F.sum("n_links")).first()[0] or 0
+    """Recall of links against brute force: the rows whose vec_id is divisible by ``every``, AUDITED of them at most by a hash, against all rows."""
     rows = vectors.filter("label is not null and embedding is not null").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
-    q = F.broadcast(rows.filter(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("q"), F.col("label").alias("l"), F.col("e").alias("f")))
+    asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(AUDITED)
+    q = F.broadcast(materialize(asked.select(F.col("vec_id").alias("q"), F.col("label").alias("l"), F.col("e").alias("f")), "asked"))
+    near = near_vectors(vectors, cosine, shard).join(q.select(F.col("q").alias("vec_id")).distinct(), "vec_id", "left_semi").agg(F.sum("n_links")).first()[0] or 0
     length = lambda c: F.sqrt(_cosine(F.col(c), F.col(c)))
     true = rows.join(q, (F.col("label") == F.col("l")) & (F.col("vec_id") != F.col("q"))).filter(_cosine(F.col("e"), F.col("f")) >= F.lit(cosine) * length("e") * length("f")).count()
     return {"links": float(true), "found": float(near), "recall": near / true if true else 1.0}
@@ -331,7 +357,9 @@ ORACLE = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
     AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
-), u AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS n FROM v),
+), s AS (SELECT vec_id, label, e, list_max(list_transform(e, lambda x: abs(x))) AS x FROM v),
+r AS (SELECT vec_id, label, list_transform(e, lambda y: y / x) AS e FROM s WHERE x > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS n FROM r),
 w AS (SELECT vec_id, label, list_transform(e, lambda x: x / n) AS e FROM u WHERE n > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM w a JOIN w b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_inner_product(a.e, b.e) >= 0.98),
 reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),

@@ -52,6 +52,37 @@ def test_against_all_pairs(spark, shard):
         assert sum(g[1] for g in got) >= 0.95 * sum(e[1] for e in expected)
 
 
+def test_labels_like_paths_and_extreme_lengths(spark):
+    """Labels that look like shards of one another never share one; long and short finite vectors have links like any other."""
+    rng = np.random.default_rng(9)
+    rows, i = [], 0
+    for label in ("a", "a/2", "a/2/0", "a/8"):
+        for x in rng.normal(size=(60, 8)):
+            rows.append((i, x.tolist(), label))
+            i += 1
+    rows += [(1000 + k, [v * s for v in rows[0][1]], "a") for k, s in enumerate((1e250, 1e-250, 1e-300))]
+    rows += [(2000, rows[5][1], "a/2"), (2001, rows[65][1], "a")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(3)
+    scaled = [(k, [v / max(map(abs, e)) for v in e], lab) for k, e, lab in rows]
+    expected = {k: (n, c) for (_, k), n, c in brute(scaled)}
+    for shard in (2048, 30):
+        assert {r.vec_id: (r.n_links, r.component_id) for r in m.near_vectors(df, shard=shard).collect()} == expected
+
+
+def test_one_vector_and_one_label_hold_most_rows(spark, monkeypatch):
+    from ruleforge.llm import common
+
+    monkeypatch.setattr(common, "HOT", 20)
+    monkeypatch.setattr(m, "CHUNK", 40)
+    rng = np.random.default_rng(10)
+    many = rng.normal(size=(500, 8))
+    rows = [(i, x.tolist(), "big") for i, x in enumerate(many)] + [(1000 + i, many[0].tolist(), "big") for i in range(200)] + [(2000 + i, rng.normal(size=8).tolist(), f"l{i}") for i in range(9)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in m.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(5), shard=64).collect()}
+    expected = {k: (n, c) for (_, k), n, c in brute(rows)}
+    assert set(got) == set(expected) and all(got[k][0] <= expected[k][0] for k in got)
+    assert sum(n for n, _ in got.values()) >= 0.95 * sum(n for n, _ in expected.values())
+
+
 def test_audit_and_empty(spark):
     df = spark.createDataFrame([(*r, "c", 1, "r") for r in vectors()], SCHEMA)
     assert m.audit(df.filter("vec_id < 10000").dropDuplicates(["vec_id"]), every=5, shard=200)["recall"] >= 0.9
