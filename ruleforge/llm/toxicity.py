@@ -1,10 +1,10 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
 Terms are 5-byte grams of lower-cased text in which every run of ASCII signs and spaces is one space, and the 8 bytes from each space on; so a
-term can hold the start or end of a word, and inflected forms share terms. The vocabulary is the TERMS terms that the training labels tie to label 1 most
-(likelihood ratio above MIN_RATIO). Document frequencies count all documents. Examples and queries are unit vectors of
-(1 + log tf) * idf. The index keeps, for each term, its weight in each example and the largest weight in each block of
-examples; a query takes blocks by falling upper bound until none can change its K best, so the K best are exact.
+term can hold the start or end of a word, and inflected forms share terms. The vocabulary is every term of the training texts that the labels tie to label 1
+(likelihood ratio above MIN_RATIO); over all terms the nearest texts are those of a like topic, not of a like tone. Document frequencies count all documents. Examples and queries are unit vectors of
+(1 + log tf) * idf. The index keeps a list of postings for each term, cut into blocks of examples, with the largest weight of each block;
+a query takes blocks by falling upper bound until none can change its K best, so the K best are exact.
 Votes weigh by squared cosine, with the base rate as a prior vote, and a logistic curve fitted to leave-one-out votes of the examples calibrates them.
 
 Training reads at most MAX_LABELLED labelled rows, and the index holds at most MAX_EXAMPLES of them, the first by a hash of doc_id.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import discard, materialize, mix64, prepare, string_buffer, text_chunks
 from .suffix_array import words8
 
-GRAM, START, TERMS, MIN_RATIO, K, BLOCK = 5, 8, 1024, 15.0, 25, 64
+GRAM, START, MIN_RATIO, K, BLOCK = 5, 8, 15.0, 25, 64
 MAX_LABELLED, MAX_EXAMPLES, CALIBRATED = 20_000, 4096, 2048
 #: Weight of the base rate among the votes.
 PRIOR = 0.5
@@ -74,33 +74,53 @@ class Terms:
         return key // max(len(self.terms), 1), key % max(len(self.terms), 1), n
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for size[0] numbers, then those from start[1], and so on."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
 class Index:
-    """Term-major weights of the examples, with the largest weight in each block of them."""
+    """Postings of the examples by term, in runs of one block of examples each, with the largest weight of each run."""
 
-    def __init__(self, weights: np.ndarray, labels: np.ndarray, ids: np.ndarray):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, terms: int):
         # Alike examples stand together, so that the blocks' maxima are tight.
-        order = np.lexsort((ids, weights.argmax(axis=1) if weights.shape[1] else ids, labels))
-        pad = -len(order) % BLOCK
-        self.labels = np.r_[labels[order], np.zeros(pad, labels.dtype)].astype(float)
-        self.ids = np.r_[ids[order], np.full(pad, -1)]
-        self.weights = np.ascontiguousarray(np.r_[weights[order], np.zeros((pad, weights.shape[1]))].T.astype(np.float32))
-        self.most = self.weights.reshape(weights.shape[1], -1, BLOCK).max(axis=2)
+        strongest = np.array([t[np.argmax(w)] if len(t) else -1 for t, w in vectors], np.int64)
+        order = np.lexsort((ids, strongest, labels))
+        self.labels, self.ids = labels[order].astype(float), ids[order]
+        vectors = [vectors[i] for i in order]
+        at = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+        term, weight = (np.concatenate([v[i] for v in vectors]) if vectors else np.zeros(0) for i in (0, 1))
+        order = np.lexsort((at, term))
+        term, self.at, self.weight = term[order].astype(np.int64), at[order].astype(np.int64), weight[order].astype(float)
+        block = self.at // BLOCK
+        self.first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
+        self.count = np.diff(np.r_[self.first, len(term)])
+        self.block = block[self.first]
+        self.most = np.maximum.reduceat(self.weight, self.first) if len(term) else np.zeros(0)
+        self.runs = np.searchsorted(term[self.first], np.arange(terms + 1))
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, cosines) of the k examples of greatest positive cosine; ``without`` is left out."""
-        values = values.astype(np.float32)
-        bound = values @ self.most[terms]
+        """(positions, cosines) of the k examples of greatest positive cosine, ties by position; ``without`` is left out."""
+        size = self.runs[terms + 1] - self.runs[terms]
+        run, value = _ranges(self.runs[terms], size), np.repeat(values, size)
+        bound = np.bincount(self.block[run], value * self.most[run], -(-len(self.ids) // BLOCK))
+        by_block = np.argsort(self.block[run], kind="stable")
+        run, value = run[by_block], value[by_block]
+        cuts = np.searchsorted(self.block[run], np.arange(len(bound) + 1))
         order = np.argsort(-bound, kind="stable")
-        at, best = np.zeros(0, np.int64), np.zeros(0, np.float32)
-        step = 4
+        at, best, step = np.zeros(0, np.int64), np.zeros(0), 4
         for s in range(0, len(order), step):
             blocks = order[s : s + step]
-            if bound[blocks[0]] <= 0 or len(best) >= k and best[k - 1] > bound[blocks[0]]:
+            if bound[blocks[0]] <= 0 or len(best) >= k and best[k - 1] > bound[blocks[0]] * (1 + 1e-9):
                 break
-            where = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            cos = values @ self.weights[terms[:, None], where]
-            more = np.flatnonzero((cos > 0) & (where != without))
-            at, best = np.r_[at, where[more]], np.r_[best, cos[more]]
+            mine = _ranges(cuts[blocks], cuts[blocks + 1] - cuts[blocks])
+            r, v = run[mine], np.repeat(value[mine], self.count[run[mine]])
+            post = _ranges(self.first[r], self.count[r])
+            found, place = np.unique(self.at[post], return_inverse=True)
+            cos = np.bincount(place, v * self.weight[post], len(found))
+            more = np.flatnonzero((cos > 0) & (found != without))
+            at, best = np.r_[at, found[more]], np.r_[best, cos[more]]
             top = np.lexsort((at, -best))[:k]
             at, best = at[top], best[top]
         return at, best
@@ -230,7 +250,7 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     m, a = F.col("n").cast("double"), F.col("ones").cast("double")
     ratio = 2 * (xlogy(a, m * base) + xlogy(m - a, m * (1 - base)) + xlogy(ones - a, ones - m * base) + xlogy((n - ones) - (m - a), (n - ones) - m * (1 - base)))
     found = training.mapInArrow(_counted, "gram long, n long, ones long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
-    chosen = found.filter(a / m > base).withColumn("ratio", ratio).filter(F.col("ratio") > MIN_RATIO).orderBy(F.desc("ratio"), "gram").select("gram").limit(TERMS).collect()
+    chosen = found.filter(a / m > base).withColumn("ratio", ratio).filter(F.col("ratio") > MIN_RATIO).select("gram").collect()  # terms of MAX_LABELLED texts
     if not chosen:
         return same
     terms = Terms(np.array([r.gram for r in chosen], np.int64).view(np.uint64))
@@ -244,17 +264,14 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     rows = vectors.filter("size(terms) > 0").orderBy(*order).limit(MAX_EXAMPLES).collect()
     known = {(r.has, r.toxic): r.n for r in vectors.groupBy((F.size("terms") > 0).alias("has"), "toxic").agg(F.count("*").alias("n")).collect()}
     discard(training), discard(vectors)
-    weights = np.zeros((len(rows), len(df)), np.float32)
-    for i, r in enumerate(rows):
-        for _, t, v in _vectors((np.zeros(len(r.terms), np.int64), np.array(r.terms, np.int64), np.array(r.counts)), idf):
-            weights[i, t] = v
-    index = Index(weights, np.array([r.toxic for r in rows], np.int64), np.array([r.doc_id for r in rows], np.int64))
+    unit = lambda r: next(((t, v) for _, t, v in _vectors((np.zeros(len(r.terms), np.int64), np.array(r.terms, np.int64), np.array(r.counts)), idf)), (np.zeros(0, np.int64), np.zeros(0)))
+    vectors = [unit(r) for r in rows]
+    index = Index(vectors, np.array([r.toxic for r in rows], np.int64), np.array([r.doc_id for r in rows], np.int64), len(df))
     # The curve is fitted to leave-one-out votes, beside the rows without a term, whose vote is the base rate.
     votes, own = np.full(min(len(rows), CALIBRATED) + 2, base), {d: i for i, d in enumerate(index.ids.tolist())}
     for i, r in enumerate(rows[:CALIBRATED]):
-        t = np.flatnonzero(weights[i])
-        if len(t):
-            votes[i] = index.vote(*index.nearest(t, weights[i, t], without=own[r.doc_id]), base)
+        if len(vectors[i][0]):
+            votes[i] = index.vote(*index.nearest(*vectors[i], without=own[r.doc_id]), base)
     bare = np.array([known.get((False, y), 0) for y in (0, 1)], float)
     share = (len(votes) - 2) / max(1, sum(v for (has, _), v in known.items() if has))
     curve = _curve(votes, np.array([*(r.toxic for r in rows[:CALIBRATED]), 0, 1]), np.r_[np.ones(len(votes) - 2), bare * share])
@@ -264,7 +281,11 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score(docs, labels).select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (the nearest examples: doc_id, toxic, cosine).
+
+    Null, empty and repeated rows, labels of one kind and empty tables as in score(). A null doc_id is not held out.
+    """
+    return score(docs, labels).select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:

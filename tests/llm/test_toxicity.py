@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -58,17 +60,77 @@ def test_labels_of_held_out_rows_change_nothing(spark, tables):
     assert sorted(m.predictions(docs, other).collect(), key=repr) == one
 
 
+def plain_terms(text):
+    """Terms of a text, written out: 5-byte grams, and 8 bytes from each space on, which are marked."""
+    raw = b" " + b" ".join("".join(c if not c.isascii() else c.lower() if c.isalnum() else " " for c in text or "").encode().split(b" ")) + b" "
+    while b"  " in raw:
+        raw = raw.replace(b"  ", b" ")
+    every = [raw[i : i + 5] for i in range(len(raw) - 4)]
+    return Counter(every + [b"!" + raw[i : i + 8] for i in range(len(raw) - 7) if raw[i : i + 1] == b" "])
+
+
+def test_scores_against_brute_force(spark):
+    """Vocabulary, frequencies, cosines, votes and evidence computed plainly; all scores lie on one logistic curve of the votes."""
+    rng = random.Random(14)
+    docs = []
+    for i in range(260):
+        words = prose(rng, rng.randint(3, 25)).split()
+        if i % 4 == 0:
+            words += rng.sample(BAD, rng.randint(1, 3)) * rng.randint(1, 3)
+        docs.append((i, " ".join(words)))
+    labels = {i: int(i % 4 == 0) for i in range(0, 260) if i % 13}
+    train = [(i, t) for i, t in docs if i in labels and not held(i)]
+    n, ones = len(train), sum(labels[i] for i, _ in train)
+    base = ones / n
+    have, bad = Counter(), Counter()
+    for i, t in train:
+        for g in plain_terms(t):
+            have[g] += 1
+            bad[g] += labels[i]
+
+    def ratio(g):
+        part = lambda o, e: o * math.log(o / e) if o else 0.0
+        x, y = have[g], bad[g]
+        return 2 * (part(y, x * base) + part(x - y, x * (1 - base)) + part(ones - y, ones - x * base) + part(n - ones - x + y, (n - ones) - x * (1 - base)))
+
+    vocabulary = {g for g in have if bad[g] / have[g] > base and ratio(g) > m.MIN_RATIO}
+    df = Counter(g for _, t in docs for g in plain_terms(t) if g in vocabulary)
+
+    def vector(t):
+        v = {g: (1 + math.log(c)) * math.log((1 + len(docs)) / (1 + df[g])) for g, c in plain_terms(t).items() if g in vocabulary}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {g: x / size for g, x in v.items()} if size else {}
+
+    examples = {i: vector(t) for i, t in train}
+    got = {r.doc_id: r for r in m.score(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), evidence=m.K).collect()}
+    seen = []
+    for i, t in docs:
+        v = vector(t)
+        cos = {j: sum(x * e.get(g, 0.0) for g, x in v.items()) for j, e in examples.items()}
+        best = sorted((c for c in cos.values() if c > 0), reverse=True)[: m.K]
+        assert np.allclose([e.cosine for e in got[i].evidence], best)
+        assert all(abs(cos[e.doc_id] - e.cosine) < 1e-9 and labels[e.doc_id] == e.toxic for e in got[i].evidence)
+        if v:
+            vote = (sum(e.cosine**2 * e.toxic for e in got[i].evidence) + m.PRIOR * base) / (sum(e.cosine**2 for e in got[i].evidence) + m.PRIOR)
+            seen.append((m._log_odds(vote), math.log(got[i].score / (1 - got[i].score))))
+    assert len({i for i, t in docs if not vector(t)}) > 100 and len({got[i].score for i, t in docs if not vector(t)}) == 1
+    (x0, y0), (x1, y1) = min(seen), max(seen)
+    slope = (y1 - y0) / (x1 - x0)
+    assert slope > 0 and np.allclose([y for _, y in seen], [y0 + slope * (x - x0) for x, _ in seen])
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(2)
     w = rng.random((500, 60)) * (rng.random((500, 60)) < 0.1)
     w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
-    index = m.Index(w.astype(np.float32), rng.integers(0, 2, 500), np.arange(500))
+    index = m.Index([(np.flatnonzero(x), x[x > 0]) for x in w], rng.integers(0, 2, 500), np.arange(500), 60)
     for _ in range(50):
         t = np.sort(rng.choice(60, 6, replace=False))
         v = rng.random(6)
         at, cos = index.nearest(t, v / np.linalg.norm(v), k=10)
-        every = np.sort((w[:, t].astype(np.float32) @ (v / np.linalg.norm(v)).astype(np.float32)))[::-1]
-        assert np.allclose(cos, every[every > 0][:10], atol=1e-5)
+        every = np.sort(w[:, t] @ (v / np.linalg.norm(v)))[::-1]
+        assert np.allclose(cos, every[every > 0][:10])
+        assert np.allclose(w[index.ids[at]][:, t] @ (v / np.linalg.norm(v)), cos)
 
 
 def test_evidence_and_missing_labels(spark, tables, empty):
