@@ -4,7 +4,8 @@ Text is read as bytes with A-Z lower-cased and white-space runs as one space, wi
 document labelled of good quality. Counts of the longest n-grams are summed by chunk, then by n-gram; those of shorter
 ones are the numbers of different bytes to their left. Discounts come from the counts of counts. Each order joins its contexts' sums and the
 next lower order's probabilities by n-gram, so count tables are sharded by key at every step. A document's perplexity is taken per byte;
-a document is kept up to the SHARE quantile of its language's trusted documents, times SLACK.
+a document is kept up to the SHARE quantile of its language. One in HELD_OUT trusted documents, by a hash of doc_id, is left out of training, and the quantile is
+taken over these alone, as a model likes the texts it has seen.
 
 The finished table is sent to the executors while it has at most BROADCAST_ROWS n-grams, which is counted first; beyond
 that each document's distinct n-grams are joined to it order by order.
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import materialize, mix64, prepare, string_buffer, text_chunks
 from .suffix_array import words8
 
-ORDER, SHARE, SLACK, BROADCAST_ROWS = 5, 0.995, 1.5, 3_000_000
-#: A language with fewer trusted documents than this takes the quantile of all languages.
+ORDER, SHARE, HELD_OUT, BROADCAST_ROWS = 5, 0.995, 5, 3_000_000
+#: A language with fewer held-out trusted documents than this takes the quantile of all languages.
 MIN_TRUSTED = 20
 
 _LOW = np.arange(256, dtype=np.uint8)
@@ -156,6 +157,11 @@ def _scored(shared):
     return run
 
 
+def _small(table: DataFrame, size: int) -> DataFrame:
+    """Tables of n-grams of one or two bytes have 65,536 rows at most, and their few keys would fill few tasks."""
+    return F.broadcast(table) if size <= 2 else table
+
+
 def _by_join(texts: DataFrame, every: DataFrame, contexts: DataFrame) -> DataFrame:
     """Sums of log probabilities by joins, order by order, of the n-grams that occur."""
     counts = materialize(texts.mapInArrow(_distinct, "key long, gram long, n long"), "distinct")
@@ -163,9 +169,9 @@ def _by_join(texts: DataFrame, every: DataFrame, contexts: DataFrame) -> DataFra
     for n in range(1, ORDER + 1):
         here = F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1))
         if n > 1:
-            c = contexts.filter(F.col("n") == n - 1).select(F.col("gram").alias("h"), "logg")
+            c = _small(contexts.filter(F.col("n") == n - 1).select(F.col("gram").alias("h"), "logg"), n - 1)
             known = known.withColumn("h", F.shiftright(here, 8)).join(c, "h", "left").select("gram", (F.col("logp") + F.coalesce("logg", F.lit(0.0))).alias("logp"))
-        t = every.filter(F.col("n") == n).select(F.col("gram").alias("h"), F.col("logp").alias("own"))
+        t = _small(every.filter(F.col("n") == n).select(F.col("gram").alias("h"), F.col("logp").alias("own")), n)
         known = known.withColumn("h", here).join(t, "h", "left").select("gram", F.coalesce("own", "logp").alias("logp"))
     sums = counts.join(known, "gram").groupBy("key").agg(F.sum(F.col("n") * F.col("logp")).alias("logp"), F.sum("n").alias("n"))
     return texts.select("key").join(sums, "key", "left").select("key", F.coalesce("logp", F.lit(0.0)).alias("logp"), F.coalesce("n", F.lit(0)).alias("n"))
@@ -191,27 +197,28 @@ def perplexities(texts: DataFrame, trusted: DataFrame, broadcast_rows: int = BRO
     return texts.mapInArrow(_scored(model), "key long, logp double, n long")
 
 
-def classify(docs: DataFrame, labels: DataFrame, share: float = SHARE, slack: float = SLACK, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, share: float = SHARE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, perplexity (per byte), threshold, kept.
 
     docs needs doc_id, text and lang; labels doc_id and quality. Trusted are documents labelled 1 (of repeated labels the greatest counts).
     A text without bytes other than white space has null perplexity and is not kept; null counts as empty. A null lang is a language of its own. Languages with fewer than
-    MIN_TRUSTED trusted documents take the quantile of all trusted ones. Without trusted text perplexity is null and all rows with text are kept.
+    MIN_TRUSTED held-out trusted documents take the quantile of all held-out ones. Without trusted text perplexity is null; without held-out trusted text the threshold is, and all rows with text are kept.
     Rows that repeat a doc_id each have their own result. An empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     good = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    trusted = docs.join(good.hint("merge"), "doc_id", "left_semi")  # the same plan at every size
+    good = good.withColumn("held_out", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
+    trusted = docs.join(good.filter(~F.col("held_out")).hint("merge"), "doc_id", "left_semi")  # the same plan at every size
     # Scores are joined to languages by a hash of the whole row, which the texts need not travel for.
     keyed = docs.withColumn("key", F.xxhash64("doc_id", "text", "lang"))
     scored = perplexities(keyed.select("key", "text"), trusted, broadcast_rows).dropDuplicates(["key"])
     blank = F.coalesce(F.trim(F.regexp_replace("text", r"\s+", " ")), F.lit("")) == ""
     rows = materialize(keyed.select("doc_id", "lang", "key", blank.alias("blank")).join(scored, "key").select("doc_id", "lang", F.when(~F.col("blank") & (F.col("n") > 0), F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), "blank"), "scored")
-    known = rows.join(good, "doc_id", "left_semi").filter("perplexity is not null")
+    known = rows.join(good.filter("held_out"), "doc_id", "left_semi").filter("perplexity is not null")
     at = F.percentile_approx("perplexity", F.lit(share), F.lit(100_000))
     limits = known.groupBy(F.col("lang").alias("of")).agg(at.alias("own"), F.count("*").alias("trusted")).filter(F.col("trusted") >= MIN_TRUSTED)
     overall = known.agg(at.alias("overall")).first().overall
-    out = rows.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left").select("doc_id", "lang", "perplexity", "blank", (F.coalesce("own", F.lit(overall)).cast("double") * slack).alias("threshold"))
+    out = rows.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left").select("doc_id", "lang", "perplexity", "blank", (F.coalesce("own", F.lit(overall)).cast("double")).alias("threshold"))
     return out.select("doc_id", "lang", "perplexity", "threshold", (~F.col("blank") & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"))
 
 
