@@ -5,7 +5,7 @@ takes every block floor(r) times and, of one more permuted pass, the first block
 block in which the target ends is cut between two documents. The block instances of all sources are then split among the
 output shards: a node of the tree splits its shards in two halves and draws the left half's blocks from the sources'
 quotas without replacement. So each shard's share of each source is exact in sum and random as a plain shuffle would make it.
-A shard takes the next run of the source's permuted instances and orders its documents by hash.
+A shard takes the next run of the source's permuted instances and orders its documents by hash. There is a shard for every SHARD_WORDS words of the mixture.
 
 Only one row a source and its quotas reach the driver. No step gathers the documents of a source in one task: sums are taken by block
 first, and documents are ordered only inside the one block a source that is cut.
@@ -22,7 +22,11 @@ from pyspark.sql.window import Window
 
 from .common import materialize, n_words_col
 
-WEIGHTS, CAP, BLOCK_DOCS, SHARDS, SEED = (1, 2, 3), 3, 2048, 16, 20240229
+WEIGHTS, CAP, BLOCK_DOCS, SEED = (1, 2, 3), 3, 2048, 20240229
+#: Blocks of a source, at most: beyond that blocks grow, as the blocks of a source are ordered in one task.
+MAX_BLOCKS = 65_536
+#: Words of a shard, and bounds on the number of shards: the driver holds a number for each shard and source.
+SHARD_WORDS, SHARDS, MAX_SHARDS, MAX_CELLS = 20_000_000, 16, 65_536, 20_000_000
 #: The driver holds one row a source: more sources than this are an error.
 MAX_SOURCES = 100_000
 
@@ -65,12 +69,13 @@ def _draw(quotas: np.ndarray, take: int, rng: np.random.Generator) -> np.ndarray
     return out
 
 
-def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source, source_size, target, taken, shards (one for each copy taken).
+def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source, source_size, target, taken, shards (one for each copy taken), key (a hash of the row).
 
     docs needs doc_id, text and source. size is the number of words (null text: 0). Sources, by code point and the null source last, get the
     weights in turn, repeating. A source without words has target 0 and gives nothing. Rows of a repeated doc_id are documents of
-    their own. The result depends on the rows and the seed alone. An empty table gives no rows.
+    their own. The result depends on the rows and the seed alone. ``shards`` is their number, by default one for each SHARD_WORDS words, SHARDS at least. An
+    empty table gives no rows.
     """
     spark = docs.sparkSession
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
@@ -86,7 +91,9 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     plan = []
     for r, aim in zip(rows, aims, strict=True):
         whole = int(aim // r.words) if r.words else 0
-        plan.append(((r.s.none, r.s.name), r.words, float(aim), whole, float(aim - whole * r.words), -(-r.docs // BLOCK_DOCS)))
+        plan.append(((r.s.none, r.s.name), r.words, float(aim), whole, float(aim - whole * r.words), min(MAX_BLOCKS, -(-r.docs // BLOCK_DOCS))))
+    if shards is None:
+        shards = max(SHARDS, min(MAX_SHARDS, MAX_CELLS // max(1, len(rows)), int(sum(aims)) // SHARD_WORDS))
     kind = "s struct<none:boolean,name:string>, source_size long, target double, whole int, extra double, n_blocks int"
     sources = F.broadcast(spark.createDataFrame(plan, kind))  # MAX_SOURCES rows at most
 
@@ -121,14 +128,22 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     rest = joined.join(edge, ["s", "room"], "left_anti").withColumn("in_", F.col("more"))
     every = cut.unionByName(rest)
     n = F.col("whole") + F.col("in_").cast("int")
-    return every.select("doc_id", "size", "source", "source_size", "target", (F.col("size") * n).cast("long").alias("taken"), F.slice("shards", F.lit(1), n).alias("shards"))
+    return every.select("doc_id", "size", "source", "source_size", "target", (F.col("size") * n).cast("long").alias("taken"), F.slice("shards", F.lit(1), n).alias("shards"), "key")
 
 
-def mixed(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, **options) -> DataFrame:
-    """The mixture itself: a row for each copy taken, with columns of ``docs`` and ``_shard``, partitioned and shuffled by shard.
+def mixed(docs: DataFrame, shards: int | None = None, seed: int = SEED, **options) -> DataFrame:
+    """The mixture itself: a row for each copy taken, with the columns of ``docs``, then ``_copy`` and ``_shard``, dealt by shard and shuffled inside.
 
-    Documents are found again by doc_id, which must be unique here.
+    Rows are found again by a hash of doc_id and text, so that rows of a repeated doc_id keep their own share; rows alike in both are taken as often as
+    all of them together. Null and empty texts have no words and come along with their block. An empty table gives no rows.
     """
-    plan = mix_plan(docs, shards=shards, seed=seed, **options).select("doc_id", F.posexplode("shards").alias("_copy", "_shard"))
-    rows = docs.join(plan, "doc_id").withColumn("_at", F.xxhash64(F.lit(seed + 4), F.col("doc_id"), F.col("_copy")))
-    return rows.repartition("_shard").sortWithinPartitions("_shard", "_at").select(*(docs[c] for c in docs.columns), "_copy", "_shard")
+    names = [c for c in docs.columns if c not in ("_copy", "_shard")]
+    plan = mix_plan(docs.select("doc_id", "source", "text"), shards=shards, seed=seed, **options)
+    taken = plan.select(F.col("key").alias("_key"), F.explode("shards").alias("_shard")).groupBy("_key").agg(F.sort_array(F.collect_list("_shard")).alias("_shards"))
+    # Equal rows: the first of them carries the copies of all.
+    rows = docs.select(F.xxhash64(F.lit(seed), "doc_id", "text").alias("_key"), F.struct(*names).alias("_row"))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key"))).filter("_nth = 1").drop("_nth")
+    rows = rows.join(taken, "_key").select("_key", "_row", F.posexplode("_shards").alias("_copy", "_shard"))
+    count = 1 + (plan.agg(F.max(F.array_max("shards"))).first()[0] or 0)
+    rows = rows.withColumn("_at", F.xxhash64(F.lit(seed + 4), "_key", "_copy")).repartition(count, "_shard").sortWithinPartitions("_shard", "_at")
+    return rows.select("_row.*", "_copy", "_shard")

@@ -60,12 +60,28 @@ def test_plan(spark, monkeypatch, block):
 
 
 def test_mixture_and_empty(spark, empty):
-    assert m.mix_plan(empty).count() == 0
+    assert m.mix_plan(empty).count() == 0 and m.mixed(empty).count() == 0
     rows, df = table(spark)
-    df = df.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    plan = {r.doc_id: sorted(r.shards) for r in m.mix_plan(df, shards=4).collect()}
+    plan = {}
+    for r in m.mix_plan(df, shards=4).collect():
+        plan.setdefault((r.doc_id, r.size), []).extend(r.shards)
     out = m.mixed(df, shards=4)
+    assert out.columns == [*df.columns, "_copy", "_shard"]
     made = {}
     for r in out.collect():
-        made.setdefault(r.doc_id, []).append(r._shard)
-    assert {k: sorted(v) for k, v in made.items()} == {k: v for k, v in plan.items() if v}
+        made.setdefault((r.doc_id, len(words_of(r.text))), []).append(r._shard)
+    assert {k: sorted(v) for k, v in made.items()} == {k: sorted(v) for k, v in plan.items() if v}
+
+
+def test_shards_follow_the_size(spark, monkeypatch):
+    _, df = table(spark)
+    monkeypatch.setattr(m, "SHARDS", 1)
+    monkeypatch.setattr(m, "SHARD_WORDS", 1000)
+    monkeypatch.setattr(m, "MAX_BLOCKS", 9)
+    monkeypatch.setattr(m, "BLOCK_DOCS", 2)
+    plan = m.mix_plan(df).collect()
+    used = [k for r in plan for k in r.shards]
+    assert max(used) + 1 == int(sum({r.source: r.target for r in plan}.values())) // 1000
+    for source in {r.source for r in plan}:
+        mine = [r for r in plan if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
