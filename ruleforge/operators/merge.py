@@ -1,4 +1,5 @@
-"""Keyed merges between stages. Right sides are made unique first (the last row of a key wins), so no join multiplies rows.
+"""Keyed merges between stages. Right sides are made unique first: the last row of a key wins, by the column ``pos`` where the side has one, else
+the greatest row, so that reruns agree. So no join multiplies rows.
 
 Joins carry no broadcast hints: statistics and adaptive execution choose the side, as neither side has a bound.
 """
@@ -14,9 +15,21 @@ from ..functions.text import normalized, prefix_key
 COPIED = ("rule_content", "question_type", "knowledge_point", "has_duplicate", "accuracy")
 
 
+def unique(df: DataFrame, key: str, pos: str = "pos") -> DataFrame:
+    """One row a key, without the position: the last one, or without a position the greatest."""
+    if pos in df.columns:
+        return last_wins(df, key, pos=pos).drop(pos)
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(key, *(F.col("_row")[c].alias(c) for c in rest)).select(*df.columns)
+
+
 def replaced(left: DataFrame, right: DataFrame, key: str, field: str, new: str) -> DataFrame:
-    """Left rows with ``field`` replaced by the right's ``new`` where both are there; ``matched`` and ``replaced`` tell what happened."""
-    r = right.filter(F.col(key).isNotNull()).select(key, F.col(new).alias("_new"), F.lit(True).alias("_there"))
+    """Left rows with ``field`` replaced by the right's last ``new`` where both are there; ``matched`` and ``replaced`` tell what happened.
+
+    Right rows without a key count for nothing, those without a new value as a match that replaces nothing.
+    """
+    value = F.max_by(new, F.when(F.col(new).isNotNull(), F.col("pos"))) if "pos" in right.columns else F.max(new)
+    r = right.filter(F.col(key).isNotNull()).groupBy(key).agg(value.alias("_new"), F.lit(True).alias("_there"))
     out = left.join(r, key, "left")
     done = F.col("_new").isNotNull() & F.col(field).isNotNull()
     return out.select(
@@ -26,6 +39,11 @@ def replaced(left: DataFrame, right: DataFrame, key: str, field: str, new: str)
     )
 
 
+def _kept(df: DataFrame, *columns: str) -> list[str]:
+    """The columns, and the position if there is one."""
+    return [*dict.fromkeys(columns), *(["pos"] if "pos" in df.columns and "pos" not in columns else [])]
+
+
 def merge_counters(replaced_rows: DataFrame) -> DataFrame:
     """One row: how many rows were replaced, had no partner, or lacked the field."""
     return replaced_rows.agg(
@@ -47,7 +65,8 @@ def reindexed(correct: DataFrame, questions: DataFrame, key: str = "id", pos: st
 
 
 def with_defaults(left: DataFrame, right: DataFrame, key: str, fields: tuple[str, ...], default: str = "") -> DataFrame:
-    r = right.select(key, *(F.col(f).alias(f"_{f}") for f in fields))
+    """Left rows with ``fields`` of the right's last row of the key; ``default`` where there is none or a field is null."""
+    r = unique(right.select(*_kept(right, key, *fields)), key).select(key, *(F.col(f).alias(f"_{f}") for f in fields))
     return left.join(r, key, "left").select(*(c for c in left.columns if c not in fields), *(F.coalesce(F.col(f"_{f}").cast("string"), F.lit(default)).alias(f) for f in fields))
 
 
@@ -64,19 +83,20 @@ def remapped_parents(rules: DataFrame, own: DataFrame, other: DataFrame, key: st
 
 
 def overlaid_scores(rules: DataFrame, scores: DataFrame, key: str = "id") -> DataFrame:
-    """Rules that have scores, with the scores' fields on top."""
-    return overlay(rules, scores, key, "inner")
+    """The last row of each rule that has scores, with the fields of its last scores on top."""
+    return overlay(last_wins(rules, key) if "pos" in rules.columns else rules, unique(scores, key), key, "inner")
 
 
 def with_meta(puzzles: DataFrame, rules: DataFrame, key: str = "id") -> DataFrame:
-    """Puzzles with rule_content (empty where the rule has none) and the tags; those without a rule have nulls."""
-    r = rules.select(key, F.coalesce("rule_content", F.array().cast("array<string>")).alias("rule_content"), "question_type", "knowledge_point")
+    """Puzzles with rule_content (empty where the rule has none) and the tags of the rule's last row; those without a rule have nulls."""
+    r = unique(rules.select(*_kept(rules, key, "rule_content", "question_type", "knowledge_point")), key).select(key, F.coalesce("rule_content", F.array().cast("array<string>")).alias("rule_content"), "question_type", "knowledge_point")
     return puzzles.join(r, key, "left")
 
 
 def without_blank(puzzles: DataFrame, summary: DataFrame, key: str = "id") -> DataFrame:
-    """Puzzles with a hash summary that isn't blank, with has_duplicate. Summary ids are strings."""
-    s = summary.select(F.col(key).try_cast("long").alias(key), "has_duplicate", "has_blank").filter(F.col(key).isNotNull())
+    """Puzzles whose last hash summary isn't blank, with has_duplicate. Summary ids are strings."""
+    s = summary.withColumn(key, F.col(key).try_cast("long")).filter(F.col(key).isNotNull())
+    s = unique(s.select(*_kept(s, key, "has_duplicate", "has_blank")), key)
     return puzzles.join(s, key).filter(~F.col("has_blank")).drop("has_blank")
 
 
@@ -86,14 +106,16 @@ def with_scores(questions: DataFrame, scores: DataFrame, key: str = "id", pos: s
 
 
 def with_accuracy(details: DataFrame, accuracy: DataFrame, key: str = "id") -> DataFrame:
-    """Details (string or number ids) with the accuracy under the same number; keys that are no number match nothing."""
-    a = accuracy.select(F.col("key").try_cast("long").alias("_id"), F.col("value").alias("accuracy")).filter(F.col("_id").isNotNull()).groupBy("_id").agg(F.max("accuracy").alias("accuracy"))
+    """Details (string or number ids) with the last accuracy under the same number; keys that are no number match nothing."""
+    a = accuracy.select(F.col("key").try_cast("long").alias("_id"), F.col("value").alias("accuracy"), *(["pos"] if "pos" in accuracy.columns else [])).filter(F.col("_id").isNotNull())
+    a = unique(a, "_id")
     return details.withColumn("_id", F.col(key).try_cast("long")).join(a, "_id", "left").drop("_id")
 
 
 def with_details(variants: DataFrame, details: DataFrame, fields: tuple[str, ...] = COPIED, key: str = "id", on: Column | None = None, null_accuracy: bool = False) -> DataFrame:
-    """Variants (``12_A``) with fields of the base row (12), and ``matched``; accuracy is null if asked."""
-    d = details.select(F.col(key).cast("long").alias("_id"), *(F.col(f).alias(f"_{f}") for f in fields), F.lit(True).alias("_there"))
+    """Variants (``12_A``) with fields of the last row of their base (12), and ``matched``; accuracy is null if asked. Base ids that are no number match nothing."""
+    d = details.withColumn(key, F.col(key).try_cast("long")).filter(F.col(key).isNotNull())
+    d = unique(d.select(*_kept(d, key, *fields)), key).select(F.col(key).alias("_id"), *(F.col(f).alias(f"_{f}") for f in fields), F.lit(True).alias("_there"))
     on = prefix_key(F.col(key)) if on is None else on
     out = variants.withColumn("_id", on).join(d, "_id", "left")
     value = lambda f: F.lit(None).cast("double") if null_accuracy and f == "accuracy" else F.col(f"_{f}")
