@@ -36,10 +36,7 @@ def dense_ids(df: DataFrame, order: str, name: str = "new_id", by: tuple[str, ..
     Rows fall into at most BUCKETS ranges by quantiles of ``order``; each range is numbered by itself and moved up by the
     rows before it. So no task orders all rows, which a window without a partition would need.
     """
-    bounds = df.select(F.percentile_approx(order, [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("q")).first().q or []
-    bounds = sorted({float(b) for b in bounds})
-    bucket = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b < F.col(order))) if bounds else F.lit(0)
-    rows = df.withColumn("_bucket", bucket)
+    rows = _ranged(df, order)
     sizes = rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
@@ -47,6 +44,23 @@ def dense_ids(df: DataFrame, order: str, name: str = "new_id", by: tuple[str, ..
     return rows.withColumn("_nth", nth).join(sizes, [*by, "_bucket"]).withColumn(name, F.col("_before") + F.col("_nth") - 1 + start).select(*df.columns, name)
 
 
+def running_sums(df: DataFrame, order: str, value: str, name: str, by: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the sum of ``value`` up to and with each row, by the numeric column ``order`` (then ``ties``), for each value of ``by``; ranges as in dense_ids()."""
+    rows = _ranged(df, order)
+    sums = rows.groupBy(*by, "_bucket").agg(F.sum(value).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    here = F.sum(value).over(Window.partitionBy(*by, "_bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("_here", here).join(sums, [*by, "_bucket"]).withColumn(name, F.col("_before") + F.col("_here")).select(*df.columns, name)
+
+
+def _ranged(df: DataFrame, order: str) -> DataFrame:
+    """With ``_bucket``: one of at most BUCKETS ranges by quantiles of ``order``."""
+    bounds = df.select(F.percentile_approx(order, [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("q")).first().q or []
+    bounds = sorted({float(b) for b in bounds})
+    return df.withColumn("_bucket", F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b < F.col(order))) if bounds else F.lit(0))
+
+
 def overlay(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Right-biased: columns of ``right`` that are not null there take the place of the left ones; new columns are added."""
     there = [c for c in right.columns if c != key]

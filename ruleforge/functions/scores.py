@@ -33,6 +33,11 @@ def child_depth(a: Column, b: Column) -> Column:
     return F.greatest(F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(0))) + 1
 
 
+def backoff(attempt: Column, base: float = 1.0, factor: float = 2.0, most: float = 300.0) -> Column:
+    """Seconds to wait after the failed call number ``attempt``, counted from 0."""
+    return F.least(F.lit(most), F.lit(base) * F.pow(F.lit(factor), attempt))
+
+
 def squared_distance(a: Column, b: Column) -> Column:
     """Squared Euclidean distance in double precision."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.pow(x.cast("double") - y.cast("double"), 2)), F.lit(0.0), lambda s, x: s + x)

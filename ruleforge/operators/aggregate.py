@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keyed import dense_ids
+
 
 def tag_counts(df: DataFrame, a: str = "question_type", b: str = "knowledge_point") -> DataFrame:
     blank = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
@@ -36,7 +38,7 @@ def score_histograms(df: DataFrame, metrics: list[str]) -> DataFrame:
     filled = df.select(*(F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics))
     total = sum((F.col(m) for m in metrics[1:]), F.col(metrics[0]))
     long = filled.withColumn("total", total).unpivot([], [*metrics, "total"], "metric", "score")
-    return long.groupBy("metric", "score").agg(F.count("*").alias("n"))
+    return long.groupBy("metric", "score").agg(F.count("*").alias("n")).orderBy("metric", "score")
 
 
 def category_counts(df: DataFrame, duplicate: str = "has_duplicate", blank: str = "has_blank") -> DataFrame:
@@ -51,11 +53,16 @@ def pass_rates(attempts: DataFrame, key: str = "id", correct: Column | None = No
 
 
 def islands(df: DataFrame, a: str = "question_type", b: str = "knowledge_point", pos: str = "pos") -> DataFrame:
-    """(a, b, island_id, size): tag pairs numbered in the order they are first seen. One row a pair, so the window over all is small."""
-    from pyspark.sql.window import Window
-
+    """(a, b, island_id, size): tag pairs numbered in the order they are first seen."""
     pairs = df.groupBy(a, b).agg(F.min(pos).alias("_first"), F.count("*").alias("size"))
-    return pairs.withColumn("island_id", F.row_number().over(Window.orderBy("_first")) - 1).select(a, b, "island_id", "size")
+    return dense_ids(pairs, "_first", "_island").select(a, b, F.col("_island").cast("int").alias("island_id"), "size")
+
+
+def qualified_count(df: DataFrame, least_total: int = 12, least_feasibility: int = 3) -> DataFrame:
+    """total, qualified: rules whose scores suffice, whatever their neighbours; missing scores count as 0."""
+    score = lambda c: F.coalesce(F.col(c), F.lit(0))
+    total = score("format_score") + score("content_quality_score") + score("feasibility_score")
+    return df.agg(F.count("*").alias("total"), F.count_if((total >= least_total) & (score("feasibility_score") >= least_feasibility)).alias("qualified"))
 
 
 def distinct_tags(df: DataFrame, a: str = "question_type", b: str = "knowledge_point") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.keyed import dense_ids, u
+from ..functions.keyed import dense_ids, running_sums, u
 from ..functions.scores import child_depth, elite_count, fitness, offspring_count
 from ..sources.tables import materialize
 from .aggregate import islands
@@ -31,20 +31,36 @@ class Settings:
     generations: int = 9
 
 
+#: A weight of 1 as a whole number that 1 to 16 divide: sums of weights are exact, so they don't depend on the order of addition.
+UNIT = 720_720
+
+
 def elites(rules: DataFrame, share: float = 0.1, island: str = "island_id", score: str = "fitness", pos: str = "id") -> DataFrame:
-    """Of each island the max(1, floor(share * n)) fittest, ties by position."""
+    """Of each island the max(1, floor(share * n)) fittest, ties by position. Ranks are taken by ranges, so no task orders an island."""
     n = rules.groupBy(island).agg(F.count("*").alias("_n"))
-    nth = F.row_number().over(Window.partitionBy(island).orderBy(F.desc(score), pos))
-    return rules.join(n, island).withColumn("_nth", nth).filter(F.col("_nth") <= elite_count(F.col("_n"), share)).drop("_n", "_nth")
+    ranked = dense_ids(rules.withColumn("_less", -F.col(score)), "_less", "_nth", by=(island,), ties=(pos,))
+    return ranked.join(n, island).filter(F.col("_nth") < elite_count(F.col("_n"), share)).drop("_n", "_nth", "_less")
 
 
-def pick_parents(candidates: DataFrame, group: str, key: str, used: str, *purpose: str | int) -> DataFrame:
-    """(group, key): one parent a group. In 4 of 10 groups any unused candidate is as likely; in the others weights are 1 / (used + 1)."""
-    weighted = -F.log((u(*purpose, "weight", F.col(group), F.col(key)) * F.lit(4294967296.0) + 0.5) / F.lit(4294967296.0)) * (F.col(used) + 1)
-    even = u(*purpose, "even", F.col(group), F.col(key))
-    branch = u(*purpose, "branch", F.col(group)) < 0.4
-    fresh = candidates.groupBy(group).agg(F.min_by(key, F.struct(F.when(F.col(used) == 0, even).otherwise(2.0), F.col(key))).alias("_even"), F.min(used).alias("_least"), F.min_by(key, F.struct(weighted, F.col(key))).alias("_weighted"))
-    return fresh.select(group, F.when(branch & (F.col("_least") == 0), F.col("_even")).otherwise(F.col("_weighted")).alias(key))
+def pick_parents(tasks: DataFrame, candidates: DataFrame, group: str, slot: str, key: str, used: str, *purpose: str | int) -> DataFrame:
+    """(group, slot, key): one parent for each task (group, slot), drawn with replacement among the group's candidates.
+
+    In 4 of 10 tasks, where the group has unused candidates, any of those is as likely; in the others weights are 1 / (used + 1). Tasks meet candidates by equi-joins: on
+    the number of an unused one, or on the stretch of a cumulative sum.
+    """
+    fresh = dense_ids(candidates.filter(F.col(used) == 0).select(group, key), key, "_at", by=(group,))
+    weighed = running_sums(candidates.select(group, key, F.floor(F.lit(UNIT) / (F.col(used) + 1)).cast("long").alias("_w")), key, "_w", "_hi", by=(group,))
+    size = candidates.groupBy(group).agg(F.count_if(F.col(used) == 0).alias("_fresh"), F.sum(F.floor(F.lit(UNIT) / (F.col(used) + 1)).cast("long")).alias("_mass"))
+    drawn = tasks.select(group, slot).join(size, group)
+    even = (u(*purpose, "branch", F.col(group), F.col(slot)) < 0.4) & (F.col("_fresh") > 0)
+    drawn = drawn.withColumn("_even", even).withColumn("_draw", u(*purpose, "draw", F.col(group), F.col(slot)))
+    one = drawn.filter("_even").withColumn("_at", F.floor(F.col("_draw") * F.col("_fresh"))).join(fresh, [group, "_at"])
+    at = drawn.filter("not _even").withColumn("_at", F.floor(F.col("_draw") * F.col("_mass"))).withColumn("_unit", F.floor(F.col("_at") / UNIT))
+    # A stretch is UNIT long at most, so it lies in one or two units: an equi-join on the unit instead of a range join.
+    lo = F.col("_hi") - F.col("_w")
+    stretch = weighed.select(group, key, lo.alias("_lo"), "_hi", F.explode(F.array_distinct(F.array(F.floor(lo / UNIT), F.floor((F.col("_hi") - 1) / UNIT)))).alias("_unit"))
+    other = at.join(stretch, [group, "_unit"]).filter((F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_hi")))
+    return one.select(group, slot, key).unionByName(other.select(group, slot, key))
 
 
 def migrated(rules: DataFrame, seed: int, generation: int, rate: float = 0.05, island: str = "island_id", key: str = "id") -> DataFrame:
@@ -57,9 +73,8 @@ def migrated(rules: DataFrame, seed: int, generation: int, rate: float = 0.05, i
     others = F.array_except("_all", F.array(F.col(island)))
     at = F.floor(u(seed, "target", generation, F.col(island)) * F.size(others)).cast("int")
     sizes = sizes.withColumn("_to", F.when(F.size(others) > 0, F.get(others, at)).otherwise(F.col(island))).drop("_all")
-    nth = F.row_number().over(Window.partitionBy(island).orderBy(u(seed, "migrate", generation, F.col(key)), key))
-    moved = rules.join(sizes, island).withColumn("_nth", nth)
-    return moved.withColumn(island, F.when(F.col("_nth") <= F.col("_m"), F.col("_to")).otherwise(F.col(island))).drop("_n", "_m", "_to", "_nth").select(*rules.columns)
+    drawn = dense_ids(rules.withColumn("_draw", u(seed, "migrate", generation, F.col(key))), "_draw", "_nth", by=(island,), ties=(key,))
+    return drawn.join(sizes, island).withColumn(island, F.when(F.col("_nth") < F.col("_m"), F.col("_to")).otherwise(F.col(island))).select(*rules.columns)
 
 
 def crossed_bullets(a: Column, b: Column, share: float, *key: Column | str | int) -> Column:
@@ -107,20 +122,15 @@ def next_generation(rules: DataFrame, tags: DataFrame, generation: int, settings
     owed = n.filter("n > 1").withColumn("k", offspring_count(F.col("n"), s.growth, s.elite)).filter("k > 0")
     tasks = owed.select("island_id", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("slot"))
 
-    # Parents by sampling with replacement: each task draws places in its island, weighted by a cumulative sum.
-    order = Window.partitionBy("island_id").orderBy("id")
-    ranked = rules.withColumn("w", F.lit(1.0) / (F.col("times_used_as_parent") + 1)).withColumn("hi", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    mass = ranked.groupBy("island_id").agg(F.max("hi").alias("mass"))
-    ranked = ranked.select("island_id", "id", (F.col("hi") - F.col("w")).alias("lo"), "hi")
-    # A rule's stretch is 1 long at most, so it lies in one or two units: an equi-join on the unit instead of a range join.
-    ranked = ranked.withColumn("unit", F.explode(F.array_distinct(F.array(F.floor("lo"), F.floor("hi")))))
+    tasks = materialize(tasks)
     drawn = None
     for side in ("p1", "p2"):
-        at = tasks.join(mass, "island_id").withColumn("at", u(s.seed, side, g, F.col("island_id"), F.col("slot")) * F.col("mass")).withColumn("unit", F.floor("at"))
-        one = at.join(ranked, ["island_id", "unit"]).filter((F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))).select("island_id", "slot", F.col("id").alias(side))
+        one = pick_parents(tasks, rules, "island_id", "slot", "id", "times_used_as_parent", s.seed, side, g).withColumnRenamed("id", side)
         drawn = one if drawn is None else drawn.join(one, ["island_id", "slot"])
+    # Children are numbered by island, then slot; the islands' ranges are cut by slot too.
+    drawn = materialize(drawn.withColumn("_order", F.col("island_id").cast("double") * 2.0**31 + F.col("slot")))
     field = lambda p: rules.select(F.col("id").alias(p), F.col("rule_content").alias(f"{p}_rule"), F.col("question_type").alias(f"{p}_type"), F.col("knowledge_point").alias(f"{p}_point"), F.col("ancestry_depth").alias(f"{p}_depth"))
-    both = dense_ids(drawn, "island_id", "id", ties=("slot",), start=next_id).join(field("p1"), "p1").join(field("p2"), "p2")
+    both = dense_ids(drawn, "_order", "id", start=next_id).drop("_order").join(field("p1"), "p1").join(field("p2"), "p2")
     tag = lambda c: F.when(u(s.seed, c, g, F.col("id")) < 0.5, F.col(f"p1_{c}")).otherwise(F.col(f"p2_{c}"))
     child = crossed_bullets(F.col("p1_rule"), F.col("p2_rule"), 0.7, s.seed, "bullet", g, F.col("id"))
     change = u(s.seed, "mutate", g, F.col("id")) < s.mutation

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.keyed import last_wins
 
@@ -45,8 +45,17 @@ def read_lines(spark: SparkSession, path: str | list[str], schema: StructType |
     return spark.read.schema(_schema(schema)).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST").json(path)
 
 
-def append_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+def append_lines(df: DataFrame, path: str, run: int | None = None) -> None:
+    """Appends JSON lines. With ``run``, each row says in ``_run`` which append it came with, so that later rows can win on resume."""
+    (df if run is None else df.withColumn("_run", F.lit(run).cast("long"))).write.mode("append").json(path)
+
+
+def last_run(spark: SparkSession, path: str) -> int:
+    """The number of the last append to ``path`` that says so; -1 where there is none."""
+    if not exists(spark, path):
+        return -1
+    top = read_lines(spark, path, "_run long").agg(F.max("_run")).first()[0]
+    return -1 if top is None else top
 
 
 def write_sorted(df: DataFrame, path: str, *order: str) -> None:
@@ -55,12 +64,19 @@ def write_sorted(df: DataFrame, path: str, *order: str) -> None:
 
 
 def resumed(spark: SparkSession, path: str, schema: StructType | str, key: str = "id", pos: str | None = None) -> DataFrame:
-    """The earlier output, of each key the last row (by ``pos``, where rows have one); an empty table where there is none."""
+    """The earlier output, of each key the last row; an empty table where there is none. Rows without a key are left out.
+
+    Later is what has a greater ``pos``, where rows have one; else a later ``_run`` (rows that name none came first), then a later file, then a greater row.
+    """
     schema = _schema(schema)
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = read_lines(spark, path, schema)
-    return rows.dropDuplicates([key]) if pos is None else last_wins(rows, key, pos=pos)
+    if pos is not None:
+        return last_wins(read_lines(spark, path, schema).filter(F.col(key).isNotNull()), key, pos=pos)
+    wide = StructType([*schema.fields, StructField("_run", LongType())])
+    rows = read_lines(spark, path, wide).select("*", F.col("_metadata.file_modification_time").alias("_time")).filter(F.col(key).isNotNull())
+    later = F.struct(F.coalesce("_run", F.lit(-1)).alias("run"), F.col("_time"), F.to_json(F.struct(*schema.names)).alias("row"))
+    return last_wins(rows.withColumn("_later", later).select(*schema.names, "_later"), key, pos="_later").select(*schema.names)
 
 
 def seed_questions(raw: DataFrame) -> DataFrame:

@@ -12,12 +12,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder of ``spark.checkpoint.dir``; in a temporary folder only where that is unset."""
+    """A new path in the shared folder of ``spark.checkpoint.dir``. Where that is unset: in a temporary folder in local mode, in the warehouse on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            local = spark.sparkContext.master.startswith("local")
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="scratch-") if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{app}"
+        root = _OWN_ROOTS[app]
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 

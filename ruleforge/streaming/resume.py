@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.merge import owed
-from ..sources.json_io import append_lines, resumed
+from ..sources.json_io import append_lines, last_run, resumed
 
 
 def run_available(spark: SparkSession, source: str, schema: str, log: str, log_schema: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], key: str = "id") -> None:
@@ -19,7 +19,7 @@ def run_available(spark: SparkSession, source: str, schema: str, log: str, log_s
     def batch(items: DataFrame, _: int) -> None:
         done = resumed(spark, log, log_schema, key)
         new = owed(items.dropDuplicates([key]), done, key)
-        append_lines(process(new), log)
+        append_lines(process(new), log, last_run(spark, log) + 1)
 
     stream = spark.readStream.schema(schema).json(source)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from ruleforge.functions.text import COUNT_EXTENSIONS, LETTERS
+from ruleforge.functions.keyed import running_sums
 from ruleforge.operators import aggregate, assemble, evolve, lineage, merge, neighbours, providers, select
 
 
@@ -51,6 +52,51 @@ def test_merges(spark):
     assert rows(merge.with_scores(q, sc).select("id", "q", "score")) == {(1, "first", 4)}
 
 
+def test_the_last_row_of_a_key_wins_in_every_merge(spark):
+    """Right sides with repeated keys never multiply rows; the row of the greatest position decides, or the greatest row where there are none."""
+    make = lambda data, kinds: spark.createDataFrame(data, kinds).repartition(3)
+    left = make([(1, "a"), (2, "b"), (2, "c"), (3, None)], "id long, e string")
+    right = make([(1, "new", 5), (1, "old", 2), (2, "x", 1), (2, None, 9), (3, "y", 0), (None, "z", 1)], "id long, t string, pos long")
+    assert rows(merge.replaced(left, right, "id", "e", "t")) == {(1, "new", True, True), (2, "x", True, True), (3, None, True, False)}
+    assert merge.replaced(left, right.drop("pos"), "id", "e", "t").count() == 4
+    tags = make([(1, "q1", None, 1), (1, "q2", "k2", 3), (1, "q3", "k3", 2)], "id long, q string, k string, pos long")
+    assert rows(merge.with_defaults(left.select("id"), tags, "id", ("q", "k"))) == {(1, "q2", "k2"), (2, "", ""), (3, "", "")}
+    scores = make([(1, 3, 1), (1, 4, 2), (9, 1, 1)], "id long, s int, pos long")
+    assert rows(merge.overlaid_scores(make([(1, "r", 7), (1, "last", 8), (2, "r", 9)], "id long, rule string, pos long"), scores).drop("pos")) == {(1, "last", 4)}
+    rules = make([(1, ["a"], "q", "k", 1), (1, None, "q2", "k2", 2)], "id long, rule_content array<string>, question_type string, knowledge_point string, pos long")
+    assert [tuple(r) for r in merge.with_meta(make([(1,)], "id long"), rules).collect()] == [(1, [], "q2", "k2")]
+    summary = make([("1", True, True, 1), ("1", True, False, 2), ("2", False, False, 1), ("2", False, True, 2)], "id string, has_duplicate boolean, has_blank boolean, pos long")
+    assert rows(merge.without_blank(make([(1,), (2,)], "id long"), summary)) == {(1, True)}
+    accuracy = make([("1", 0.9, 1), ("01", 0.1, 2), ("x", 0.5, 3)], "key string, value double, pos long")
+    assert rows(merge.with_accuracy(make([("1",)], "id string"), accuracy)) == {("1", 0.1)}
+    details = make([("7", "old", 1), ("7", "new", 2), ("bad", "no", 3)], "id string, v string, pos long")
+    assert rows(merge.with_details(make([("7_A",), ("bad_A",)], "id string"), details, ("v",))) == {("7_A", "new", True), ("bad_A", None, False)}
+
+
+def test_parents_by_both_branches(spark):
+    """In 4 of 10 draws one of the unused rules, else by weight; every task gets one parent of its own group."""
+    candidates = spark.createDataFrame([(g, g * 1000 + i, 0 if g == 0 and i < 10 else i % 4 + 1) for g in range(3) for i in range(100)], "g long, id long, used long")
+    tasks = spark.range(3).selectExpr("id as g", "explode(sequence(1L, 3000L)) as slot")
+    got = evolve.pick_parents(tasks, candidates, "g", "slot", "id", "used", 1, "p").collect()
+    assert len(got) == 9000 == len({(r.g, r.slot) for r in got}) and all(r.id // 1000 == r.g for r in got)
+    weight = {r.id: evolve.UNIT // (r.used + 1) for r in candidates.collect()}
+    for g in range(3):
+        mine = [r.id for r in got if r.g == g]
+        low = sum(i % 1000 < 10 for i in mine) / 3000
+        share = sum(w for i, w in weight.items() if i // 1000 == g and i % 1000 < 10) / sum(w for i, w in weight.items() if i // 1000 == g)
+        assert abs(low - (0.4 + 0.6 * share if g == 0 else share)) < 0.04
+
+
+def test_running_sums(spark):
+    df = spark.createDataFrame([(i % 3, i, i * i) for i in range(1000)], "g int, i long, w long").repartition(7)
+    got = {(r.g, r.i): r.s for r in running_sums(df, "i", "w", "s", by=("g",)).collect()}
+    for g in range(3):
+        total = 0
+        for i in range(g, 1000, 3):
+            total += i * i
+            assert got[g, i] == total
+
+
 def test_owed(spark):
     items = spark.createDataFrame([(1,), (2,), (3,)], "id long")
     done = spark.createDataFrame([(1, "error")] * 1 + [(2, None)] * 8 + [(3, None)] * 9, "id long, error string")

@@ -31,6 +31,10 @@ def test_lines_and_resume(spark, tmp_path):
     json_io.append_lines(spark.createDataFrame([(1, "a", 0), (2, "b", 1)], "id long, v string, pos long"), path)
     json_io.append_lines(spark.createDataFrame([(1, "c", 2)], "id long, v string, pos long"), path)
     assert {tuple(r) for r in json_io.resumed(spark, path, "id long, v string, pos long", pos="pos").select("id", "v").collect()} == {(1, "c"), (2, "b")}
+    again = str(tmp_path / "again")
+    for v in ("c", "b", "a"):
+        json_io.append_lines(spark.createDataFrame([(1, v), (2, v), (None, v)] if v != "a" else [(1, v)], "id long, v string").repartition(2), again, json_io.last_run(spark, again) + 1)
+    assert {tuple(r) for r in json_io.resumed(spark, again, "id long, v string").collect()} == {(1, "a"), (2, "b")} and json_io.last_run(spark, again) == 2
     (tmp_path / "w_1.jsonl").write_text('{"id": 1}\nbroken\n{"id": 2}\n')
     (tmp_path / "w_2.jsonl").write_text('{"id": 3}\n')
     assert {r.id for r in json_io.read_lines(spark, str(tmp_path / "w_*.jsonl"), "id long").collect()} == {1, 2, 3}
