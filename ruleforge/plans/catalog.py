@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scores, text
@@ -34,6 +34,18 @@ def query(sql: str | None = None):
     return add
 
 
+def _again(df: DataFrame, key: str, older: dict[str, Column], newer: dict[str, Column]) -> DataFrame:
+    """The rows with a position, and before every third and after every seventh of them another of the same key."""
+    one = lambda step, pos, fields: df.filter(F.pmod(key, F.lit(step)) == 0).withColumns(fields).withColumn("pos", F.lit(pos))
+    return one(1, 0, {}).unionByName(one(3, -1, older)).unionByName(one(7, 1, newer))
+
+
+def _again_sql(source: str, key: str, **fields: tuple[str, str, str]) -> str:
+    """What is left of such rows if the last of each key wins; fields as (own, older, newer)."""
+    one = lambda step, pos, i: f"SELECT {key}, {', '.join(f'{v[i]} AS {n}' for n, v in fields.items())}, {pos} AS pos FROM {source} WHERE {key} % {step} = 0"
+    return f"(SELECT * EXCLUDE (pos) FROM ({one(1, 0, 0)} UNION ALL {one(3, -1, 1)} UNION ALL {one(7, 1, 2)}) QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY pos DESC) = 1)"
+
+
 def _r(c, digits: int = 6):
     return F.round(c, digits)
 
@@ -70,10 +82,11 @@ def q04_options_block(spark, d):
 
 def _overlaid(spark, d):
     labels = table(spark, d, "labels").select("doc_id", F.concat(F.lit("quality "), F.col("quality")).alias("label"))
+    labels = _again(labels, "doc_id", {"label": F.lit("older")}, {"label": F.lit("newer")})
     return merge.replaced(table(spark, d, "documents").select("doc_id", "lang", "source"), labels, "doc_id", "lang", "label")
 
 
-_OVERLAID = """SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN 'quality ' || l.quality ELSE d.lang END AS lang, d.source, l.doc_id IS NOT NULL AS matched, l.doc_id IS NOT NULL AND d.lang IS NOT NULL AS replaced FROM documents d LEFT JOIN labels l USING (doc_id)"""
+_OVERLAID = f"""SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL AND d.lang IS NOT NULL THEN l.label ELSE d.lang END AS lang, d.source, l.doc_id IS NOT NULL AS matched, l.doc_id IS NOT NULL AND d.lang IS NOT NULL AS replaced FROM documents d LEFT JOIN {_again_sql("labels", "doc_id", label=("'quality ' || quality", "'older'", "'newer'"))} l USING (doc_id)"""
 
 
 @query(_OVERLAID)
@@ -94,9 +107,10 @@ def q07_project_rename(spark, d):
     return renamed(table(spark, d, "documents"), {"doc_id": "id", "lang": "language", "source": "origin", "n_chars": "length", "absent": "nothing"})
 
 
-@query("SELECT d.doc_id, d.source, coalesce(l.quality::VARCHAR, '') AS question_type, coalesce(l.toxic::VARCHAR, '') AS knowledge_point FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query(f"SELECT d.doc_id, d.source, coalesce(l.q, '') AS question_type, coalesce(l.t, '') AS knowledge_point FROM documents d LEFT JOIN {_again_sql('labels', 'doc_id', q=('quality::VARCHAR', chr(39) + 'older' + chr(39), 'NULL'), t=('toxic::VARCHAR', 'toxic::VARCHAR', chr(39) + 'newer' + chr(39)))} l USING (doc_id)")
 def q08_default_merge(spark, d):
-    right = table(spark, d, "labels").select("doc_id", F.col("quality").alias("question_type"), F.col("toxic").alias("knowledge_point"))
+    right = table(spark, d, "labels").select("doc_id", F.col("quality").cast("string").alias("question_type"), F.col("toxic").cast("string").alias("knowledge_point"))
+    right = _again(right, "doc_id", {"question_type": F.lit("older")}, {"question_type": F.lit(None).cast("string"), "knowledge_point": F.lit("newer")})
     return merge.with_defaults(table(spark, d, "documents").select("doc_id", "source"), right, "doc_id", ("question_type", "knowledge_point"))
 
 
@@ -151,14 +165,24 @@ def q14_elites(spark, d):
     return evolve.elites(rows, 0.1, "p_type", "fitness", "p_partkey").select("p_partkey", "p_type", _r("fitness").alias("fitness"))
 
 
+def _picked(tasks: str, candidates: str, group: str, slot: str, key: str, *purpose: str) -> str:
+    """SQL of one parent a task, from tasks (group, slot) and candidates (group, key, used)."""
+    return f"""(WITH c AS (SELECT {group} AS g, {key} AS k, used, 720720 // (used + 1) AS w FROM {candidates}),
+    h AS (SELECT *, sum(w) OVER (PARTITION BY g ORDER BY k)::BIGINT AS hi FROM c), f AS (SELECT g, k, row_number() OVER (PARTITION BY g ORDER BY k) - 1 AS at FROM c WHERE used = 0),
+    z AS (SELECT g, count(*) FILTER (used = 0) AS fresh, sum(w)::BIGINT AS mass FROM c GROUP BY 1),
+    t AS (SELECT {group} AS g, {slot} AS s, fresh, mass, {_u(*purpose, "'branch'", group, slot)} < 0.4 AND fresh > 0 AS even, {_u(*purpose, "'draw'", group, slot)} AS d FROM {tasks} JOIN z ON z.g = {group})
+    SELECT t.g AS {group}, t.s AS {slot}, f.k AS {key} FROM t JOIN f ON f.g = t.g AND f.at = floor(d * fresh) WHERE even
+    UNION ALL SELECT t.g, t.s, h.k FROM t JOIN h ON h.g = t.g AND floor(d * mass) >= h.hi - h.w AND floor(d * mass) < h.hi WHERE NOT even)"""
+
+
 @query(f"""WITH c AS (SELECT c_custkey, c_nationkey, count(o_orderkey) AS used FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2),
-w AS (SELECT *, round(-ln(({_u("'7'", "'weight'", "c_nationkey", "c_custkey")} * 4294967296.0 + 0.5) / 4294967296.0) * (used + 1), 9) AS ww, {_u("'7'", "'even'", "c_nationkey", "c_custkey")} AS ee, {_u("'7'", "'branch'", "c_nationkey")} < 0.4 AS br, min(used) OVER (PARTITION BY c_nationkey) AS least FROM c),
-r AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN br AND least = 0 THEN CASE WHEN used = 0 THEN ee ELSE 2 END ELSE ww END, c_custkey) AS nth FROM w)
-SELECT c_nationkey, c_custkey FROM r WHERE nth = 1""")
+n AS (SELECT DISTINCT c_nationkey, slot::BIGINT AS slot FROM customer, range(1, 41) t(slot)) SELECT * FROM {_picked("n", "c", "c_nationkey", "slot", "c_custkey", "'7'")}""")
 def q15_parent_pick(spark, d):
+    """Forty parents for each nation, as the evolution draws them."""
     orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("used"))
     rows = table(spark, d, "customer").select("c_custkey", "c_nationkey").join(orders, "c_custkey", "left").withColumn("used", F.coalesce("used", F.lit(0)))
-    return evolve.pick_parents(rows, "c_nationkey", "c_custkey", "used", 7)
+    tasks = rows.select("c_nationkey").distinct().withColumn("slot", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(40).cast("long"))))
+    return evolve.pick_parents(tasks, rows, "c_nationkey", "slot", "c_custkey", "used", 7)
 
 
 _PLACED = "SELECT p_partkey AS id, dense_rank() OVER (ORDER BY f) - 1 AS island_id FROM (SELECT p_partkey, min(p_partkey) OVER (PARTITION BY p_type) AS f FROM part)"
@@ -176,7 +200,7 @@ def q16_migration(spark, d):
     return evolve.migrated(rows.select("id", "island_id"), 7, 3)
 
 
-_LINES = r"""SELECT doc_id, list_transform(list_filter(list_transform(string_split("text", chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '' AND x <> '-'), lambda x: regexp_replace(x, '^[- ]+', ''))[1:8] AS b FROM documents"""
+_LINES = r"""SELECT doc_id, list_transform(list_filter(list_transform(string_split("text", chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '' AND x <> '-'), lambda x: regexp_replace(x, '^[- ]+', '')) AS b FROM documents"""
 
 
 def _bulleted(spark, d):
@@ -268,9 +292,11 @@ def q24_score_hist(spark, d):
     return aggregate.score_histograms(_score_texts(spark, d), ["format_score", "content_quality_score", "feasibility_score"])
 
 
-@query(_KNN + ", " + _SCORES.removeprefix("WITH ") + " SELECT id, repeat_count, format_score, content_quality_score, feasibility_score FROM knn JOIN s ON doc_id = id WHERE repeat_count = 0 AND format_score + content_quality_score + feasibility_score >= 11 AND feasibility_score >= 3")
+@query(_KNN + ", " + _SCORES.removeprefix("WITH ") + f", l AS {_again_sql('s', 'doc_id', format_score=('format_score', '1', '5'), content_quality_score=('content_quality_score', '1', '5'), feasibility_score=('feasibility_score', '1', '4'))} SELECT id, repeat_count, format_score, content_quality_score, feasibility_score FROM knn JOIN l ON doc_id = id WHERE repeat_count = 0 AND format_score + content_quality_score + feasibility_score >= 11 AND feasibility_score >= 3")
 def q25_rule_filter(spark, d):
-    rows = merge.overlaid_scores(_knn(spark, d), _score_texts(spark, d).withColumnRenamed("doc_id", "id"))
+    every = lambda a, b: {"format_score": F.lit(a), "content_quality_score": F.lit(a), "feasibility_score": F.lit(b)}
+    scores = _again(_score_texts(spark, d).withColumnRenamed("doc_id", "id"), "id", every(1, 1), every(5, 4))
+    rows = merge.overlaid_scores(_knn(spark, d), scores)
     return select.good_rules(rows, 11, 3).select("id", "repeat_count", "format_score", "content_quality_score", "feasibility_score")
 
 
@@ -341,8 +367,10 @@ def q31_variants(spark, d):
 
 
 def _lineage(spark, d):
+    """Chains of 16 parts with a short cut at every fifth; one part in ten is valid, so relatives lie deep, or are missing."""
     key = F.col("p_partkey")
-    return table(spark, d, "part").select(key.alias("id"), F.array_distinct(F.filter(F.array(F.floor(key / 2), F.floor(key / 3)), lambda p: p > 0)).alias("parents"), (F.col("p_size") % 3 == 0).alias("valid"))
+    parents = F.array(F.when(key % 16 > 0, key - 1), F.when((key % 5 == 0) & (key % 16 > 1), key - 2))
+    return table(spark, d, "part").select(key.alias("id"), F.filter(parents, lambda p: p > 0).alias("parents"), (F.col("p_size") % 10 == 0).alias("valid"))
 
 
 def _relatives(spark, d):
@@ -350,11 +378,10 @@ def _relatives(spark, d):
     return lineage.relatives(rules, rules.filter("valid").select("id"))
 
 
-_RELATIVES = """WITH RECURSIVE up AS (SELECT p_partkey AS src, unnest([p_partkey // 2, p_partkey // 3]) AS dst FROM part), e AS (SELECT src, dst FROM up WHERE dst > 0 AND dst <> src UNION SELECT dst, src FROM up WHERE dst > 0 AND dst <> src),
-v AS (SELECT p_partkey AS id FROM part WHERE p_size % 3 = 0),
-reach AS (SELECT p_partkey AS root, p_partkey AS node, 0 AS depth FROM part UNION SELECT r.root, e.dst, r.depth + 1 FROM reach r JOIN e ON e.src = r.node WHERE r.depth < 4),
-best AS (SELECT root, node, min(depth) AS depth FROM reach WHERE node <> root GROUP BY 1, 2),
-n AS (SELECT root, node, row_number() OVER (PARTITION BY root ORDER BY depth, node) AS nth FROM best JOIN v ON id = node),
+_RELATIVES = """WITH RECURSIVE up AS (SELECT p_partkey AS src, p_partkey - 1 AS dst FROM part WHERE p_partkey % 16 > 0 UNION ALL SELECT p_partkey, p_partkey - 2 FROM part WHERE p_partkey % 5 = 0 AND p_partkey % 16 > 1),
+e AS (SELECT src, dst FROM up WHERE dst > 0 UNION SELECT dst, src FROM up WHERE dst > 0), v AS (SELECT p_partkey AS id FROM part WHERE p_size % 10 = 0),
+reach(root, node, depth) USING KEY (root, node) AS (SELECT p_partkey AS root, p_partkey AS node, 0 AS depth FROM part UNION SELECT r.root, e.dst, r.depth + 1 FROM reach r JOIN e ON e.src = r.node WHERE NOT EXISTS (FROM recurring.reach x WHERE x.root = r.root AND x.node = e.dst)),
+n AS (SELECT root, node, row_number() OVER (PARTITION BY root ORDER BY depth, node) AS nth FROM reach JOIN v ON id = node WHERE node <> root),
 rel AS (SELECT p_partkey AS id, list(node ORDER BY nth) FILTER (nth <= 2) AS r FROM part LEFT JOIN n ON root = p_partkey GROUP BY 1)"""
 
 
@@ -371,16 +398,21 @@ def q33_assemble10(spark, d):
     return rows.select("id", text.options_block(F.col("options")).alias("options"), "correct_answer", F.array_join(F.transform("relatives_used", lambda x: x.cast("string")), ",").alias("relatives_used"))
 
 
-@query("""SELECT d.doc_id AS id, d.source, md5(CASE WHEN b.item_id IS NOT NULL THEN b."text" END) AS rule_md5, CASE WHEN b.item_id IS NOT NULL THEN 'benchmark' END AS question_type, CASE WHEN b.item_id IS NOT NULL THEN (b.item_id % 7)::VARCHAR END AS knowledge_point FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id""")
+@query(f"""SELECT d.doc_id AS id, d.source, md5(b.rule) AS rule_md5, b.kind AS question_type, b.point AS knowledge_point FROM documents d LEFT JOIN {_again_sql("benchmark", "item_id", rule=('"text"', "'older'", "''"), kind=("'benchmark'", "'older'", "'newer'"), point=("(item_id % 7)::VARCHAR", "NULL", "'newer'"))} b ON b.item_id = d.doc_id""")
 def q34_explanation_join(spark, d):
     rules = table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.array("text").alias("rule_content"), F.lit("benchmark").alias("question_type"), (F.col("item_id") % 7).cast("string").alias("knowledge_point"))
-    rows = merge.with_meta(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), rules)
+    older = {"rule_content": F.array(F.lit("older")), "question_type": F.lit("older"), "knowledge_point": F.lit(None).cast("string")}
+    newer = {"rule_content": F.lit(None).cast("array<string>"), "question_type": F.lit("newer"), "knowledge_point": F.lit("newer")}
+    rows = merge.with_meta(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), _again(rules, "id", older, newer))
     return rows.select("id", "source", F.md5(F.array_join("rule_content", "\n")).alias("rule_md5"), "question_type", "knowledge_point")
 
 
-@query("SELECT d.doc_id AS id, d.source, l.quality = 1 AS has_duplicate FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic = 0")
+@query(f"SELECT d.doc_id AS id, d.source, l.dup AS has_duplicate FROM documents d JOIN {_again_sql('labels', 'doc_id', dup=('quality = 1', 'quality = 0', 'quality = 0'), blank=('toxic = 1', 'true', 'toxic = 0'))} l USING (doc_id) WHERE NOT l.blank")
 def q35_blank_filter_join(spark, d):
-    summary = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("id"), (F.col("quality") == 1).alias("has_duplicate"), (F.col("toxic") == 1).alias("has_blank"))
+    other = F.col("quality") == 0
+    summary = table(spark, d, "labels").select("quality", "toxic", F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("has_duplicate"), (F.col("toxic") == 1).alias("has_blank"))
+    summary = _again(summary, "id", {"has_duplicate": other, "has_blank": F.lit(True)}, {"has_duplicate": other, "has_blank": F.col("toxic") == 0})
+    summary = summary.select(F.col("id").cast("string").alias("id"), "has_duplicate", "has_blank", "pos")
     return merge.without_blank(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), summary)
 
 
@@ -407,10 +439,11 @@ def q38_remaining_requests(spark, d):
     return merge.owed_requests(turns.select("id").distinct(), turns.filter("role = 'assistant'"))
 
 
-@query("""WITH a AS (SELECT doc_id, quality + toxic / 2.0 AS v FROM labels WHERE doc_id % 5 <> 0) SELECT d.doc_id AS id, d.source, a.v::DOUBLE AS accuracy FROM documents d LEFT JOIN a USING (doc_id)""")
+@query(f"""WITH a AS (SELECT * FROM {_again_sql("labels", "doc_id", v=("(quality + toxic / 2.0)::DOUBLE", "9.0::DOUBLE", "0.0::DOUBLE"))} WHERE doc_id % 5 <> 0) SELECT d.doc_id AS id, d.source, a.v AS accuracy FROM documents d LEFT JOIN a USING (doc_id)""")
 def q39_accuracy_merge(spark, d):
     doc = F.col("doc_id")
-    acc = table(spark, d, "labels").select(F.when(doc % 5 == 0, F.concat(F.lit("id "), doc)).otherwise(doc.cast("string")).alias("key"), (F.col("quality") + F.col("toxic") / 2).cast("double").alias("value"))
+    acc = _again(table(spark, d, "labels").select("doc_id", (F.col("quality") + F.col("toxic") / 2).cast("double").alias("value")), "doc_id", {"value": F.lit(9.0)}, {"value": F.lit(0.0)})
+    acc = acc.select(F.when(doc % 5 == 0, F.concat(F.lit("id "), doc)).otherwise(doc.cast("string")).alias("key"), "value", "pos")
     return merge.with_accuracy(table(spark, d, "documents").select(doc.alias("id"), "source"), acc)
 
 
@@ -418,19 +451,22 @@ def _variants(spark, d):
     key = F.col("p_partkey")
     variants = table(spark, d, "part").select(F.explode(F.array(*(F.concat(key.cast("string"), F.lit(f"_{c}")) for c in "ABCD"), F.concat(F.lit("x"), key))).alias("id"))
     details = table(spark, d, "part").filter("p_size > 10").select(key.alias("id"), F.array("p_name").alias("rule_content"), F.col("p_brand").alias("question_type"), F.col("p_type").alias("knowledge_point"), (F.col("p_size") % 2 == 0).alias("has_duplicate"), F.col("p_retailprice").alias("accuracy"))
-    return variants, details
+    older = {"question_type": F.lit("older"), "accuracy": F.lit(-1.0), "has_duplicate": F.lit(None).cast("boolean")}
+    return variants, _again(details, "id", older, older | {"question_type": F.lit("newer")})
 
 
-_VARIANTS = "WITH v AS (SELECT p_partkey AS k, unnest([p_partkey || '_A', p_partkey || '_B', p_partkey || '_C', p_partkey || '_D', 'x' || p_partkey]) AS id FROM part), p AS (SELECT * FROM part WHERE p_size > 10)"
+_VARIANTS = "WITH v AS (SELECT p_partkey AS k, unnest([p_partkey || '_A', p_partkey || '_B', p_partkey || '_C', p_partkey || '_D', 'x' || p_partkey]) AS id FROM part), p AS " + _again_sql(
+    "(SELECT * FROM part WHERE p_size > 10)", "p_partkey", rule=("p_name",) * 3, kind=("p_brand", "'older'", "'newer'"), point=("p_type",) * 3, dup=("p_size % 2 = 0", "NULL", "NULL"), acc=("p_retailprice", "-1.0", "-1.0")
+)
 
 
-@query(_VARIANTS + " SELECT v.id, p.p_name AS rule, p.p_brand AS question_type, p.p_type AS knowledge_point, p.p_size % 2 = 0 AS has_duplicate, p.p_retailprice AS accuracy, p.p_partkey IS NOT NULL AS matched FROM v LEFT JOIN p ON p.p_partkey = v.k AND NOT starts_with(v.id, 'x')")
+@query(_VARIANTS + " SELECT v.id, p.rule, p.kind AS question_type, p.point AS knowledge_point, p.dup AS has_duplicate, p.acc::DOUBLE AS accuracy, p.p_partkey IS NOT NULL AS matched FROM v LEFT JOIN p ON p.p_partkey = v.k AND NOT starts_with(v.id, 'x')")
 def q40_prefix_join(spark, d):
     rows = merge.with_details(*_variants(spark, d))
     return rows.select("id", F.array_join("rule_content", "\n").alias("rule"), "question_type", "knowledge_point", "has_duplicate", "accuracy", "matched")
 
 
-@query("SELECT p_partkey AS id, CASE WHEN p_size > 10 THEN p_brand END AS question_type, CASE WHEN p_size > 10 THEN p_size % 2 = 0 END AS has_duplicate, NULL::DOUBLE AS accuracy, p_size > 10 AS matched FROM part")
+@query(_VARIANTS + " SELECT part.p_partkey AS id, p.kind AS question_type, p.dup AS has_duplicate, NULL::DOUBLE AS accuracy, p.p_partkey IS NOT NULL AS matched FROM part LEFT JOIN p USING (p_partkey)")
 def q41_null_accuracy(spark, d):
     rows = merge.with_details(table(spark, d, "part").select(F.col("p_partkey").alias("id")), _variants(spark, d)[1], on=F.col("id"), null_accuracy=True)
     return rows.select("id", "question_type", "has_duplicate", "accuracy", "matched")
@@ -461,13 +497,13 @@ def q45_checkpoint_list(spark, d):
     return checkpoints.listed(saved.withColumn("saved_at", F.timestamp_seconds(F.lit(2))).unionByName(again)).select("generation", "rules", "path")
 
 
-@query("SELECT doc_id AS id, lang, source, n_chars FROM documents")
+@query("SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 'again' ELSE lang END AS lang, source, n_chars FROM documents")
 def q46_json_lines(spark, d):
-    """Appended in two parts and read back, the last record of each id."""
+    """Appended in three runs and read back, the last record of each id; every fourth comes twice."""
     path = scratch(spark)
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "source", "n_chars")
-    json_io.append_lines(rows.filter("lang = 'en'"), path)
-    json_io.append_lines(rows.filter("lang != 'en' or lang is null"), path)
+    for part in (rows.filter("lang = 'en'"), rows.filter("lang != 'en' or lang is null"), rows.filter("id % 4 = 0").withColumn("lang", F.lit("again"))):
+        json_io.append_lines(part, path, json_io.last_run(spark, path) + 1)
     return json_io.resumed(spark, path, "id long, lang string, source string, n_chars long")
 
 
@@ -507,3 +543,6 @@ def q51_evolution(spark, d):
     return evolve.evolve(rules, evolve.Settings(generations=3)).drop("rule_content", "parents")
 
 
+
+
+from . import catalog_steps  # noqa: E402, F401  registers its queries here
