@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +43,7 @@ def _lines(c: Column) -> Column:
     return F.transform(F.split(F.coalesce(c, F.lit("")), "\n"), strip)
 
 
+# Fixed value: the pattern is the format's.
 def bullets(c: Column) -> Column:
     """Lines without their leading dashes and spaces; blank lines and a lone dash are dropped."""
     kept = F.filter(_lines(c), lambda x: (x != "") & (x != "-"))
@@ -67,10 +70,12 @@ def int_tags(c: Column, *tags: str) -> Column:
     return F.when(complete, F.struct(*(v.alias(t) for t, v in zip(tags, values, strict=True))))
 
 
+# Fixed value: the pattern is the format's.
 def labelled_score(c: Column, label: str) -> Column:
     return F.regexp_extract(c, rf"{label}:\s*(\d+)", 1).try_cast("int")
 
 
+# Fixed value: the pattern is the format's.
 def boxed(c: Column) -> Column:
     """Stripped content of the first ``\\boxed{...}`` on one line; null where there is none, empty for an empty box."""
     pattern = r"\\boxed\{(.*?)\}"
@@ -105,11 +110,21 @@ def rule_block(rules: Column) -> Column:
 
 
 def rendered(template: Column | str, **values: Column) -> Column:
-    """The template with each ``{{name}}`` and ``{name}`` replaced, literally."""
-    out = F.lit(template) if isinstance(template, str) else template
-    for name, value in values.items():
-        text = F.coalesce(value.cast("string"), F.lit(""))
-        out = F.replace(F.replace(out, F.lit("{{" + name + "}}"), text), F.lit("{" + name + "}"), text)
+    """The template with each ``{{name}}`` and ``{name}`` replaced, literally and in one pass: a name inside a value stays. Unknown names stay, null is empty."""
+    text = {name: F.coalesce(value.cast("string"), F.lit("")) for name, value in values.items()}
+    if isinstance(template, str):
+        parts, at = [], 0
+        for m in re.finditer(r"\{\{(\w+)\}\}|\{(\w+)\}", template):
+            name = m.group(1) or m.group(2)
+            if name in text:
+                parts += [F.lit(template[at : m.start()]), text[name]]
+                at = m.end()
+        return F.concat(*parts, F.lit(template[at:]))
+    out = template
+    for i, name in enumerate(text):  # first all places are marked, then filled
+        out = F.replace(F.replace(out, F.lit("{{" + name + "}}"), F.lit(f"\0{i}\0")), F.lit("{" + name + "}"), F.lit(f"\0{i}\0"))
+    for i, value in enumerate(text.values()):
+        out = F.replace(out, F.lit(f"\0{i}\0"), F.replace(value, F.lit("\0"), F.lit("")))
     return out
 
 

@@ -9,17 +9,17 @@ from pyspark.sql.window import Window
 
 from ..functions.scores import hamming
 
-#: Vectors in a block; a task compares two blocks.
-BLOCK = 1024
+#: Vectors in a block; a task compares two blocks. Small tables take smaller blocks, so that all cores have some.
+BLOCK, LEAST_BLOCK = 8192, 1024
 
 
 def _near(k: int, limit: float):
     def run(key, left):
         import pyarrow as pa
 
-        side = np.array(left.column("side").to_pylist())
-        pos, ids = left.column("pos").to_numpy(), left.column("id").to_numpy()
-        x = np.array(left.column("v").to_pylist(), np.float64).reshape(len(pos), -1)
+        left = left.combine_chunks()
+        side, pos, ids = (left.column(c).to_numpy() for c in ("side", "pos", "id"))
+        x = left.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(pos), -1)
         q, r = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         out = [[], [], [], []]
         for s in range(0, len(q), 256):
@@ -43,10 +43,12 @@ def near_duplicates(df: DataFrame, k: int = 500, limit: float = 0.20, pos: str =
     """(id, pos, min_neighbor_distance, repeat_count, min_similar_rule_id) by exact squared distance.
 
     Of the k nearest, the row itself among them, those nearer than ``limit`` are its neighbours; the similar rule is the one
-    of least position. min_neighbor_distance is -1 where there is no other row. Rows meet in pairs of blocks, each a task of bounded size.
+    of least position. min_neighbor_distance is -1 where there is no other row. Rows meet in pairs of blocks, each a task of bounded
+    size; a vector is sent twice for each block there is. Vectors must be of one length, without nulls.
     """
     n = df.count()
-    blocks = max(1, -(-n // BLOCK))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-n // BLOCK), min(-(-n // LEAST_BLOCK), int((2 * cores) ** 0.5)))
     rows = df.select(F.col(pos).cast("long").alias("pos"), F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(F.col(pos)), F.lit(blocks)).cast("int").alias("block"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     asking = rows.select(F.col("block").alias("i"), every.alias("j"), F.lit(0).alias("side"), "pos", "id", "v")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -59,8 +60,8 @@ class Retry:
         raise RateLimited
 
 
-def ask(df: DataFrame, provider: ModelProvider, prompt: str = "prompt", retry: Retry = Retry(), parse: Callable[[str], object] | None = None, parses: int = 3) -> DataFrame:
-    """Adds ``response`` and ``error``: a row whose call fails keeps its place with the error, others go on.
+def ask(df: DataFrame, provider: ModelProvider, prompt: str = "prompt", retry: Retry = Retry(), parse: Callable[[str], object] | None = None, parses: int = 3, at_once: int = 8) -> DataFrame:
+    """Adds ``response`` and ``error``: a row whose call fails keeps its place with the error, others go on. A task has ``at_once`` calls open at most.
 
     With ``parse``, a response that it returns None for is asked for again, ``parses`` times in all.
     """
@@ -78,13 +79,38 @@ def ask(df: DataFrame, provider: ModelProvider, prompt: str = "prompt", retry: R
             return None, f"{type(e).__name__}: {e}"
 
     def run(frames: Iterator):
-        for frame in frames:
-            found = [one(t) for t in frame[prompt]]
-            yield frame.assign(response=[r for r, _ in found], error=[e for _, e in found])
+        with ThreadPoolExecutor(at_once) as calls:
+            for frame in frames:
+                found = list(calls.map(one, frame[prompt]))
+                yield frame.assign(response=[r for r, _ in found], error=[e for _, e in found])
 
     return df.mapInPandas(run, schema)
 
 
+def or_simulated(asked: DataFrame, simulated, response: str = "response") -> DataFrame:
+    """Responses, with ``simulated`` (a column) in place of those that calls and parses failed to give, and whether that was so."""
+    missing = F.col(response).isNull()
+    return asked.withColumn("is_simulated", missing).withColumn(response, F.coalesce(response, simulated))
+
+
+def ask_in_parts(df: DataFrame, provider: ModelProvider, log: str, schema: str, every: int = 1000, key: str = "id", **options) -> DataFrame:
+    """All records of ``log`` once the rows of ``df`` that it lacks have been asked for, in parts of about ``every`` rows, each committed before the next starts.
+
+    A run that breaks off loses one part at most, and goes on with what the log lacks. ``schema`` is that of the log: columns of ``df``, response and error.
+    """
+    from ..sources.json_io import append_lines, last_run, resumed
+    from ..sources.tables import materialize
+    from .merge import owed
+
+    spark = df.sparkSession
+    left = materialize(owed(df, resumed(spark, log, schema, key), key))
+    parts = -(-left.count() // every)
+    for i in range(parts):
+        part = left.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == i)
+        append_lines(ask(part, provider, **options), log, last_run(spark, log) + 1)
+    return resumed(spark, log, schema, key)
+
+
 def embedded(df: DataFrame, text: str = "text", size: int = 64) -> DataFrame:
     """Adds ``embedding``: unit vectors of hashed words, a stand-in for a model's."""
     import numpy as np
@@ -118,7 +144,29 @@ def attempts(ids: DataFrame, once: Callable[[DataFrame, int], DataFrame], most:
 
 
 class ScriptRunner(Protocol):
-    def __call__(self, path: str) -> str: ...
+    """Runs the script at a path and returns what it printed; raises TimeoutError beyond its time limit."""
+
+    def __call__(self, path: str) -> str | None: ...
+
+
+def run_scripts(df: DataFrame, runner: ScriptRunner, path: str = "path") -> DataFrame:
+    """Adds ``status``: success, fail, fail - timeout, or fail - no result. The runner is the user's; none here runs code."""
+    schema = df.withColumn("status", F.lit(None).cast("string")).schema
+
+    def one(p: str) -> str:
+        try:
+            said = runner(p)
+        except TimeoutError:
+            return "fail - timeout"
+        except Exception:
+            return "fail"
+        return "fail - no result" if not said else "success" if "success" in said.lower() else "fail"
+
+    def run(frames: Iterator):
+        for frame in frames:
+            yield frame.assign(status=[one(p) for p in frame[path]])
+
+    return df.mapInPandas(run, schema)
 
 
 def recorded_status(manifest: DataFrame) -> DataFrame:
@@ -154,3 +202,29 @@ def judged(requests: DataFrame, submit: Callable[[DataFrame, int], DataFrame], m
         if left.isEmpty():
             return done
     return done.unionByName(left.select(key, F.lit(None).cast("string").alias("content"), F.lit("attempts exhausted").alias("error")))
+
+
+def run_batches(requests: DataFrame, submit: Callable[[DataFrame, int], object], poll: Callable[[object], DataFrame | None], size: int = 500, active: int = 32, every: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """The answers to all batches of ``size`` requests (with a ``pos``), of which ``active`` are open at most.
+
+    ``submit(rows, number)`` opens a batch and returns its handle; ``poll(handle)`` returns None while it runs, its answers once it is done. The driver holds
+    batch numbers and handles alone. Answers are written as they come.
+    """
+    from ..sources.tables import materialize
+
+    rows = materialize(batches(requests, size, active))
+    waiting = [r.batch for r in rows.select("batch").distinct().orderBy("batch").collect()]  # one number a batch
+    open_: dict = {}
+    out = None
+    while waiting or open_:
+        while waiting and len(open_) < active:
+            number = waiting.pop(0)
+            open_[number] = submit(rows.filter(F.col("batch") == number), number)
+        done = {number: answers for number, handle in open_.items() if (answers := poll(handle)) is not None}
+        for number, answers in done.items():
+            del open_[number]
+            answers = materialize(answers)
+            out = answers if out is None else out.unionByName(answers)
+        if open_ and not done:
+            sleep(every)
+    return out

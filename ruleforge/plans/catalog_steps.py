@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import scores, text
+from ..functions import images, scores, text
 from ..functions.keyed import u
 from ..operators import aggregate, assemble, evolve, lineage, merge, providers, select
-from ..sources import checkpoints, directory, files, json_io
+from ..sources import checkpoints, directory, files, json_io, remote
 from ..sources.tables import scratch, table
 from ..streaming.resume import run_available
 from . import templates
@@ -334,3 +334,26 @@ def q86_incremental(spark, d):
 @query(f"""SELECT doc_id, {_u("'7'", "'mutate'", "'2'", "doc_id")} < 0.15::DOUBLE AS mutated, round(1.0::DOUBLE / (doc_id % 4 + 1), 6) AS weight FROM labels""")
 def q87_bernoulli_and_weights(spark, d):
     return table(spark, d, "labels").select("doc_id", (u(7, "mutate", 2, F.col("doc_id")) < 0.15).alias("mutated"), _r(scores.parent_weight(F.col("doc_id") % 4)).alias("weight"))
+
+
+def numbered_page(name: str, split: str, page: int):
+    """A fetcher without a network: ten rows a page."""
+    return [(page * 10 + i, f"{name}/{split}/{page}") for i in range(10)]
+
+
+@query("SELECT n_nationkey::BIGINT * 10 + i AS id, 'questions/train/' || n_nationkey AS source FROM nation, range(10) t(i)")
+def q88_remote_scan(spark, d):
+    """A dataset of as many pages as there are nations, fetched by the executors."""
+    pages = table(spark, d, "nation").count()
+    return remote.scan(spark, "ruleforge.plans.catalog_steps:numbered_page", "questions", "train", pages, "id long, source string")
+
+
+@query("SELECT s_suppkey AS id, s_suppkey % 3 = 0 AS blank, 4 AS n_longs FROM supplier")
+def q89_blank_images(spark, d):
+    """Rasters of one grey each, which count as blank, and of many, with their perceptual hashes."""
+    key = F.col("s_suppkey")
+    pixel = lambda i: F.lpad(F.hex(F.when(key % 3 == 0, key % 250).otherwise((key * 7 + i * 37) % 256).cast("long")), 2, "0")
+    data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(255)), pixel), ""))
+    image = F.struct(F.lit(16).alias("h"), F.lit(16).alias("w"), F.lit(1).alias("channels"), data.alias("data"))
+    looked = images.hashed_images(table(spark, d, "supplier").select(key.alias("id"), image.alias("pixels")))
+    return looked.select("id", "blank", F.size("phash").alias("n_longs"))

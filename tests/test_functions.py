@@ -147,3 +147,9 @@ def test_sheets_and_png():
     raw = np.frombuffer(zlib.decompress(data[at + 4 : at + 4 + int.from_bytes(data[at - 4 : at], "big")]), np.uint8).reshape(four.shape[0], -1)
     assert (raw[:, 1:].reshape(four.shape) == four).all()
     assert (raster.rgb(np.zeros((2, 2, 4))) == 255).all() and raster.rgb(np.zeros((2, 2))).shape == (2, 2, 3)
+
+
+def test_templates_in_one_pass(spark):
+    df = spark.createDataFrame([("has {b} in it", "B", "{{a}}|{b}|{c}")], "a string, b string, t string")
+    for template in ("{{a}}|{b}|{c}", F.col("t")):
+        assert df.select(text.rendered(template, a=F.col("a"), b=F.col("b"))).first()[0] == "has {b} in it|B|{c}"

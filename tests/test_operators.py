@@ -281,6 +281,59 @@ def test_providers(spark):
     assert providers.Retry(base=1, factor=2, most=3, sleep=waits.append).call(limited, "x") == "late" and waits == [1, 2, 3]
 
 
+def test_calls_in_parts_go_on_where_they_broke_off(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(40)], "id long, prompt string")
+    log, schema = str(tmp_path / "log"), "id long, prompt string, response string, error string"
+    first = providers.ask_in_parts(df.filter("id < 10"), providers.Offline(), log, schema, every=4)
+    assert first.count() == 10
+    every = providers.ask_in_parts(df, providers.Offline(), log, schema, every=7, at_once=3).collect()
+    assert {r.id: r.response for r in every} == {i: providers.Offline()(f"p{i}") for i in range(40)}
+    from ruleforge.sources import json_io
+
+    assert json_io.read_lines(spark, log, schema).count() == 40  # none was asked for twice
+    failed = providers.ask(df.limit(3), Broken(), parse=lambda a: None)
+    got = providers.or_simulated(failed, F.concat(F.lit("made "), "prompt")).collect()
+    assert all(r.is_simulated and r.response == f"made {r.prompt}" for r in got)
+
+
+class Broken:
+    def __call__(self, prompt):
+        raise ValueError("no")
+
+
+def test_batches_have_a_limit_of_open_ones(spark):
+    seen, open_ = [], set()
+
+    def submit(rows, number):
+        open_.add(number)
+        seen.append(len(open_))
+        return [number, rows, 2]
+
+    def poll(handle):
+        handle[2] -= 1
+        if handle[2]:
+            return None
+        open_.discard(handle[0])
+        return handle[1].select("id", "batch")
+
+    requests = spark.createDataFrame([(100 + i, i) for i in range(23)], "id long, pos long")
+    waits = []
+    got = providers.run_batches(requests, submit, poll, size=4, active=2, sleep=waits.append).collect()
+    assert sorted(r.id for r in got) == list(range(100, 123)) and max(seen) == 2 and len(seen) == 6 and waits
+
+
+class Runner:
+    def __call__(self, path):
+        if path == "slow":
+            raise TimeoutError
+        return {"ok": "SUCCESS: 8 images", "bad": "error", "none": None}[path]
+
+
+def test_script_runner(spark):
+    df = spark.createDataFrame([(p,) for p in ("ok", "bad", "none", "slow", "unknown")], "path string")
+    assert {r.path: r.status for r in providers.run_scripts(df, Runner()).collect()} == {"ok": "success", "bad": "fail", "none": "fail - no result", "slow": "fail - timeout", "unknown": "fail"}
+
+
 def test_judged_loses_no_request(spark):
     requests = spark.createDataFrame([(i,) for i in range(10)], "id long")
 
