@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
 Terms are 5-byte grams of lower-cased text in which every run of ASCII signs and spaces is one space, and the 8 bytes from each space on; so a
-term can hold the start or end of a word, and inflected forms share terms. The vocabulary is every term of the training texts that the labels tie to label 1
-(likelihood ratio above MIN_RATIO); over all terms the nearest texts are those of a like topic, not of a like tone. Document frequencies count all documents. Examples and queries are unit vectors of
+term can hold the start or end of a word, and inflected forms share terms. The model's vocabulary is the TERMS terms that the training labels tie to label 1 most
+(likelihood ratio above MIN_RATIO): with more of them, or all, the nearest texts are those of a like topic, not of a like tone, and fewer toxic texts are found. Document frequencies count all documents. Examples and queries are unit vectors of
 (1 + log tf) * idf. The index keeps a list of postings for each term, cut into blocks of examples, with the largest weight of each block;
 a query takes blocks by falling upper bound until none can change its K best, so the K best are exact.
 Votes weigh by squared cosine, with the base rate as a prior vote, and a logistic curve fitted to leave-one-out votes of the examples calibrates them.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import discard, materialize, mix64, prepare, string_buffer, text_chunks
 from .suffix_array import words8
 
-GRAM, START, MIN_RATIO, K, BLOCK = 5, 8, 15.0, 25, 64
+GRAM, START, TERMS, MIN_RATIO, K, BLOCK = 5, 8, 1024, 15.0, 25, 64
 MAX_LABELLED, MAX_EXAMPLES, CALIBRATED = 20_000, 4096, 2048
 #: Weight of the base rate among the votes.
 PRIOR = 0.5
@@ -114,13 +114,16 @@ class Index:
             blocks = order[s : s + step]
             if bound[blocks[0]] <= 0 or len(best) >= k and best[k - 1] > bound[blocks[0]] * (1 + 1e-9):
                 break
-            mine = _ranges(cuts[blocks], cuts[blocks + 1] - cuts[blocks])
-            r, v = run[mine], np.repeat(value[mine], self.count[run[mine]])
-            post = _ranges(self.first[r], self.count[r])
-            found, place = np.unique(self.at[post], return_inverse=True)
-            cos = np.bincount(place, v * self.weight[post], len(found))
-            more = np.flatnonzero((cos > 0) & (found != without))
-            at, best = np.r_[at, found[more]], np.r_[best, cos[more]]
+            runs = cuts[blocks + 1] - cuts[blocks]
+            mine = _ranges(cuts[blocks], runs)
+            r = run[mine]
+            post, count = _ranges(self.first[r], self.count[r]), self.count[r]
+            place = np.repeat(np.repeat(np.arange(len(blocks)), runs) * BLOCK, count) + self.at[post] % BLOCK
+            cos = np.bincount(place, np.repeat(value[mine], count) * self.weight[post], len(blocks) * BLOCK)
+            more = np.flatnonzero(cos > 0)
+            found = blocks[more // BLOCK] * BLOCK + more % BLOCK
+            cos, found = cos[more][found != without], found[found != without]
+            at, best = np.r_[at, found], np.r_[best, cos]
             top = np.lexsort((at, -best))[:k]
             at, best = at[top], best[top]
         return at, best
@@ -250,7 +253,7 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     m, a = F.col("n").cast("double"), F.col("ones").cast("double")
     ratio = 2 * (xlogy(a, m * base) + xlogy(m - a, m * (1 - base)) + xlogy(ones - a, ones - m * base) + xlogy((n - ones) - (m - a), (n - ones) - m * (1 - base)))
     found = training.mapInArrow(_counted, "gram long, n long, ones long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
-    chosen = found.filter(a / m > base).withColumn("ratio", ratio).filter(F.col("ratio") > MIN_RATIO).select("gram").collect()  # terms of MAX_LABELLED texts
+    chosen = found.filter(a / m > base).withColumn("ratio", ratio).filter(F.col("ratio") > MIN_RATIO).orderBy(F.desc("ratio"), "gram").select("gram").limit(TERMS).collect()
     if not chosen:
         return same
     terms = Terms(np.array([r.gram for r in chosen], np.int64).view(np.uint64))

@@ -94,6 +94,7 @@ def test_scores_against_brute_force(spark):
         return 2 * (part(y, x * base) + part(x - y, x * (1 - base)) + part(ones - y, ones - x * base) + part(n - ones - x + y, (n - ones) - x * (1 - base)))
 
     vocabulary = {g for g in have if bad[g] / have[g] > base and ratio(g) > m.MIN_RATIO}
+    assert 0 < len(vocabulary) <= m.TERMS
     df = Counter(g for _, t in docs for g in plain_terms(t) if g in vocabulary)
 
     def vector(t):
