@@ -5,6 +5,9 @@ the earliest and MAX_CHUNK at the latest; so after an insertion the cuts fall in
 the first by (doc_id, position) is the original. Runs of neighbouring chunks that all repeat an original are removed where
 they hold MIN_RUN bytes or more. That is the least chunk a cut can make, so that only a text's shorter rest stays: any longer
 limit loses shared passages whose edges fall into chunks that differ.
+
+Each piece of text tells its own repeats of a chunk before the shuffle, and these are dealt at random; so of a chunk that all documents hold,
+a task gets one row a piece.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare, release_shuffles, string_buffer, text_chunks
+from .common import _ODD, materialize, mix64, prepare, release_shuffles, string_buffer, text_chunks
 from .suffix_dedup import cut_out
 
 MIN_CHUNK, MASK_BITS, MAX_CHUNK, MIN_RUN = 16, 5, 255, 16
@@ -65,7 +68,12 @@ def _chunked(batches):
                 start = end
             doc.append(len(ends))
         halves = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), pa.array(np.repeat(ids, doc)), pa.array(place, pa.int64()), pa.array(number, pa.int32())], ["d", "e", "doc_id", "place", "number"])
+        d, e, doc, place = halves[:, 0], halves[:, 1], np.repeat(ids, doc), np.array(place, np.int64)
+        order = np.lexsort((place, doc, e, d))
+        again = np.zeros(len(d), bool)
+        again[order[1:]] = (d[order][1:] == d[order][:-1]) & (e[order][1:] == e[order][:-1])
+        d = np.where(again, mix64(doc.view(np.uint64) * _ODD[0] + place.view(np.uint64)).view(np.int64), d)
+        yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(np.ascontiguousarray(e)), pa.array(doc), pa.array(place), pa.array(number, pa.int32()), pa.array(again)], ["d", "e", "doc_id", "place", "number", "again"])
 
 
 def _repeats(batches):
@@ -74,12 +82,17 @@ def _repeats(batches):
 
     last = None
     for batch in batches:
-        if not batch.num_rows:
+        known = batch.column("again").to_numpy(zero_copy_only=False)
+        out = [batch.column(i) for i in (2, 3, 4)]
+        yield pa.RecordBatch.from_arrays(out, ["doc_id", "place", "number"]).filter(pa.array(known))
+        at = np.flatnonzero(~known)
+        if not len(at):
             continue
-        d, e = (batch.column(i).to_numpy() for i in (0, 1))
-        again = np.r_[last == (d[0], e[0]), (d[1:] == d[:-1]) & (e[1:] == e[:-1])]
+        d, e = (batch.column(i).to_numpy()[at] for i in (0, 1))
+        again = np.zeros(batch.num_rows, bool)
+        again[at] = np.r_[last == (d[0], e[0]), (d[1:] == d[:-1]) & (e[1:] == e[:-1])]
         last = (d[-1], e[-1])
-        yield pa.RecordBatch.from_arrays([batch.column(i) for i in (2, 3, 4)], ["doc_id", "place", "number"]).filter(pa.array(again))
+        yield pa.RecordBatch.from_arrays(out, ["doc_id", "place", "number"]).filter(pa.array(again))
 
 
 def remove_chunks(docs: DataFrame) -> DataFrame:
@@ -91,7 +104,7 @@ def remove_chunks(docs: DataFrame) -> DataFrame:
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = docs.filter("doc_id is not null and text != ''").mapInArrow(_chunked, "d long, e long, doc_id long, place long, number int")
+    chunks = docs.filter("doc_id is not null and text != ''").mapInArrow(_chunked, "d long, e long, doc_id long, place long, number int, again boolean")
     again = materialize(chunks.repartition("d").sortWithinPartitions("d", "e", "doc_id", "place").mapInArrow(_repeats, "doc_id long, place long, number int"), "again")
     del chunks
     release_shuffles(spark)
@@ -101,7 +114,7 @@ def remove_chunks(docs: DataFrame) -> DataFrame:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the kept bytes."""
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the kept bytes. Nulls, empty texts, repeats and empty tables as in remove_chunks()."""
     n = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"])
     return remove_chunks(docs).select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
