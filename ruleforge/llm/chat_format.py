@@ -71,7 +71,8 @@ def typed(turns: DataFrame) -> DataFrame:
 
 
 def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """One row per conv_id: n_turns, formatted, loss (array of start, stop), attachments, n_tokens_attached.
+    """One row per conv_id: n_turns, formatted, loss (array of start, stop), masks (the same with one entry a turn, null outside the loss, and ``at``, where the
+    range starts in its turn), attachments, n_tokens_attached.
 
     turns needs conv_id, turn, role and text, or parts instead of text; if both, parts count where they aren't null.
     Turns are ordered by turn (null first), then role, then body. Null roles and texts count as empty. Repeated rows stay,
@@ -87,7 +88,7 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     before = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
     rows = rows.withColumn("n", F.row_number().over(before)).withColumn("offset", F.coalesce(F.sum(F.length("rendered")).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     start = F.col("offset") + F.length("head")
-    one = [F.col("n"), F.col("rendered"), F.when(F.col("role") == loss_role, F.struct(start.alias("start"), (start + F.length("body")).alias("stop"))).alias("loss")]
+    one = [F.col("n"), F.col("rendered"), F.when(F.col("role") == loss_role, F.struct(start.alias("start"), (start + F.length("body")).alias("stop"), F.length("head").alias("at"))).alias("loss")]
     if "parts" in turns.columns:
         one.append(F.transform("attached", lambda a: F.struct(F.col("n").alias("turn"), a["number"].alias("number"), a["kind"].alias("kind"), a["uri"].alias("uri"), a["tokens"].alias("tokens"))).alias("attached"))
     chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(*one))).alias("t"))
@@ -95,7 +96,8 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
         "conv_id",
         F.size("t").cast("long").alias("n_turns"),
         F.array_join(F.col("t.rendered"), "").alias("formatted"),
-        F.filter(F.col("t.loss"), lambda s: s.isNotNull()).alias("loss"),
+        F.transform(F.filter(F.col("t.loss"), lambda s: s.isNotNull()), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))).alias("loss"),
+        F.col("t.loss").alias("masks"),
     ]
     if "parts" in turns.columns:
         every = F.flatten(F.filter(F.col("t.attached"), lambda a: a.isNotNull()))
@@ -117,11 +119,18 @@ def read_loss(formatted: Column, loss: Column) -> Column:
     return F.array_join(F.transform(loss, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")))), "")
 
 
+def read_masked(formatted: Column, masks: Column) -> Column:
+    """What read_loss() gives, turn by turn: a conversation of very many turns is split once instead of being walked for each range."""
+    pieces = F.split(formatted, r"<\|turn\|>")
+    body = lambda p, m: F.when(m.isNotNull(), unescape(F.substr(p, m["at"] - len(TURN) + 1, (m["stop"] - m["start"]).cast("int")))).otherwise(F.lit(""))
+    return F.array_join(F.zip_with(F.slice(pieces, F.lit(2), F.size(pieces)), masks, body), "")
+
+
 def digests(turns: DataFrame) -> DataFrame:
-    """What reading back each formatted conversation gives, as digests."""
+    """One row per conv_id with digests of what reading back its formatted text gives; nulls, repeats, ties and empty tables as in format_chats()."""
     chats = format_chats(turns)
     texts = F.array_join(F.transform(read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    chats = chats.select("conv_id", "n_turns", texts.alias("texts"), read_loss(F.col("formatted"), F.col("loss")).alias("lost"), F.length("formatted").cast("long").alias("formatted_chars"))
+    chats = chats.select("conv_id", "n_turns", texts.alias("texts"), read_masked(F.col("formatted"), F.col("masks")).alias("lost"), F.length("formatted").cast("long").alias("formatted_chars"))
     return chats.select("conv_id", "n_turns", F.sha2("texts", 256).alias("turns_sha256"), F.length("lost").cast("long").alias("loss_chars"), F.sha2("lost", 256).alias("loss_sha256"), "formatted_chars")
 
 
