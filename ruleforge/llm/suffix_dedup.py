@@ -7,7 +7,10 @@ anchor whose whole context also stands in a smaller document is settled there an
 stands in different contexts are the contexts themselves gathered, one for each context and smallest document,
 sharded by gram; a suffix array of each shard and its common prefixes of 50 bytes then find equal windows.
 
-Whole copies meet first by digest, so that large groups of copies send no anchors.
+Whole copies meet first by digest, so that large groups of copies send no anchors. No common gram or context fills a task: each piece of
+text settles its own repeats of a context before the shuffle; grams that are common in a sample of the documents are dealt by the bytes
+on either side of them as well; and where more than HOT_RUN contexts of a gram are left, their windows meet by hash, with partial minima,
+instead of in one suffix array. The sample only routes rows, so no result depends on it.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _ODD, discard, materialize, mix64, prepare, release_shuffles, string_buffer, text_chunks
+from .common import _ODD, attach, discard, materialize, mix64, prepare, release_shuffles, string_buffer, text_chunks
 from .suffix_array import permuted_prefixes, suffix_array, words8
 
 SPAN, GRAM = 50, 16
@@ -25,8 +28,10 @@ BEFORE = WIDTH - 1
 CONTEXT = BEFORE + SPAN
 #: Bytes of contexts in one suffix array, and of text in one pass.
 SHARD_BYTES, PIECE_BYTES = 1 << 19, 1 << 20
-#: Contexts of one gram that meet in one shard; where there are more, they are parted further.
-HOT_RUN = 4096
+#: Contexts of one gram that meet in one shard; where there are more, their windows meet by hash.
+HOT_RUN = 2048
+#: Documents whose anchors tell which grams are common, and the share of those anchors from which on a gram is.
+SAMPLED, COMMON = 4000, 1000
 #: Different codes of the bytes beside a gram; with 0 they fill 10 bits.
 CODES = 1023
 
@@ -105,24 +110,50 @@ def _unpack(place):
     return place >> 13, (place >> 12) & 1, (place >> 6) & 63, place & 63
 
 
-def _anchored(batches):
-    import pyarrow as pa
+def _anchored(common: np.ndarray | None = None):
+    """Rows (key, context hash, doc_id, place, covered): ``covered`` if a smaller document of the same piece of text has the context."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in text_chunks(batches, PIECE_BYTES):
+            raw, offs = string_buffer(batch.column("text"))
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            lo, hi = int(offs[0]), int(offs[-1])
+            if hi - lo <= 2 * PIECE_BYTES:
+                begin, end = offs[:-1] - lo, offs[1:] - lo
+                parts = [anchors(raw[lo:hi], begin, np.maximum(end - SPAN + 1, begin), begin, end)]
+            else:  # one very long text, by overlapping pieces
+                parts, n = [], hi - lo
+                for s in range(0, n - SPAN + 1, PIECE_BYTES):
+                    a, b = max(0, s - 2 * CONTEXT), min(n, s + PIECE_BYTES + 2 * CONTEXT)
+                    one = lambda x, a=a: np.array([x - a])
+                    parts.append(anchors(raw[lo + a : lo + b], one(s), one(min(s + PIECE_BYTES, n - SPAN + 1)), one(0), one(n)))
+            for doc, h, c, place in parts:
+                doc = ids[doc]
+                order = np.lexsort((doc, mix64(h) + c))
+                h, c, doc, place = (x[order] for x in (h, c, doc, place))
+                new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])] if len(h) else np.zeros(0, bool)
+                first = np.flatnonzero(new)
+                covered = doc > np.repeat(doc[first], np.diff(np.r_[first, len(h)]))
+                # What is settled needs no place beside its like.
+                key = np.where(covered, mix64(h ^ mix64(doc.astype(np.uint64) * _ODD[5] + place.astype(np.uint64))), h)
+                rows = [(key, c, doc, place, covered)]
+                if common is not None and len(common):
+                    at = ~covered & np.isin(h, common)
+                    rows = [tuple(x[~at] for x in rows[0])]
+                    for side, code in ((1, c >> np.uint64(10) & np.uint64(1023)), (2, c & np.uint64(1023))):
+                        x = np.flatnonzero(at & (code > 0))
+                        rows.append((_dealt(h[x], side, code[x]), c[x], doc[x], place[x], covered[x]))
+                for key, c, doc, place, covered in rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(place), pa.array(covered)], ["h", "c", "doc_id", "place", "covered"])
+
+    return run
 
-    for batch in text_chunks(batches, PIECE_BYTES):
-        raw, offs = string_buffer(batch.column("text"))
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        lo, hi = int(offs[0]), int(offs[-1])
-        if hi - lo <= 2 * PIECE_BYTES:
-            begin, end = offs[:-1] - lo, offs[1:] - lo
-            parts = [anchors(raw[lo:hi], begin, np.maximum(end - SPAN + 1, begin), begin, end)]
-        else:  # one very long text, by overlapping pieces
-            parts, n = [], hi - lo
-            for s in range(0, n - SPAN + 1, PIECE_BYTES):
-                a, b = max(0, s - 2 * CONTEXT), min(n, s + PIECE_BYTES + 2 * CONTEXT)
-                one = lambda x, a=a: np.array([x - a])
-                parts.append(anchors(raw[lo + a : lo + b], one(s), one(min(s + PIECE_BYTES, n - SPAN + 1)), one(0), one(n)))
-        for doc, h, c, place in parts:
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(ids[doc]), pa.array(place)], ["h", "c", "doc_id", "place"])
+
+def _dealt(h: np.ndarray, side: int, code: np.ndarray) -> np.ndarray:
+    """The key of a gram's contexts that have the same bytes on one side of it: equal windows share the gram and those of one side."""
+    return mix64(h * _ODD[side] + code)
 
 
 def _met(run: np.ndarray, c: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -137,11 +168,12 @@ def _met(run: np.ndarray, c: np.ndarray, code: np.ndarray) -> np.ndarray:
 
 
 def _settled(batches):
-    """From rows sorted by gram, context and document: covered anchors, and those whose contexts must be compared."""
+    """From rows sorted by gram, context and document: covered anchors, and those whose contexts must be compared (hot: by their windows)."""
     import pyarrow as pa
 
-    def out(h, doc, place, covered):
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array(place), pa.array(covered)], ["h", "doc_id", "place", "covered"])
+    def out(h, doc, place, covered, hot=False):
+        flags = [np.full(len(h), x) for x in (covered, hot)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, doc, place, *flags)], ["h", "doc_id", "place", "covered", "hot"])
 
     held = [np.zeros(0, np.int64)] * 4
     rows, ready = [], 0
@@ -156,7 +188,7 @@ def _settled(batches):
         kind = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
         of_kind = np.repeat(d[kind], np.diff(np.r_[kind, len(h)]))
         covered = d > of_kind
-        yield out(h[covered], d[covered], p[covered], np.ones(int(covered.sum()), bool))
+        yield out(h[covered], d[covered], p[covered], True)
         sizes = np.diff(np.r_[run, len(h)])
         open_ = np.repeat(np.minimum.reduceat(of_kind, run) < np.maximum.reduceat(of_kind, run), sizes)
         keep = ~covered
@@ -173,15 +205,14 @@ def _settled(batches):
         at = at[_met(of_run, c[at], (c[at] >> 10) & 1023) | _met(of_run, c[at], c[at] & 1023)]
         of_run = np.repeat(np.arange(len(run)), sizes)[at]
         hot = np.bincount(of_run, minlength=1)[of_run] > HOT_RUN if len(at) else np.zeros(0, bool)
-        yield out(h[at[~hot]], d[at[~hot]], p[at[~hot]], np.zeros(int((~hot).sum()), bool))
-        # The contexts of a gram in a great many of them meet by either side's code instead.
-        for side, code in ((1, c[at[hot]] >> 10 & 1023), (2, c[at[hot]] & 1023)):
-            x = at[hot][code > 0]
-            key = mix64(h[x].view(np.uint64) * _ODD[side] + code[code > 0].astype(np.uint64)).view(np.int64)
-            yield out(key, d[x], p[x], np.zeros(len(x), bool))
+        for x, is_hot in ((at[~hot], False), (at[hot], True)):
+            yield out(h[x], d[x], p[x], False, is_hot)
 
     for batch in batches:
-        rows.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
+        done = batch.column("covered").to_numpy(zero_copy_only=False)
+        h, c, d, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        yield out(h[done], d[done], p[done], True)
+        rows.append([x[~done] for x in (h, c, d, p)])
         ready += batch.num_rows
         if ready >= 200_000:
             yield from flush(False)
@@ -189,6 +220,32 @@ def _settled(batches):
     yield from flush(True)
 
 
+def _windowed(batches):
+    """(key of gram and window, doc_id, span) of every window around the anchors in ``wanted``."""
+    import pyarrow as pa
+
+    o = np.arange(WIDTH)
+    for batch in text_chunks(batches, PIECE_BYTES):
+        raw, offs = string_buffer(batch.column("text"))
+        lists, ids = batch.column("wanted"), batch.column("doc_id").to_numpy(zero_copy_only=False)
+        wanted, count = lists.flatten(), np.diff(lists.offsets.to_numpy())
+        w, offs = words8(raw[offs[0] : offs[-1]]), offs - offs[0]
+        every_h, every_place = (wanted.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        row = np.repeat(np.arange(batch.num_rows), count)
+        for s in range(0, len(row), 1 << 14):
+            h, place, r = every_h[s : s + (1 << 14)], every_place[s : s + (1 << 14)], row[s : s + (1 << 14)]
+            at, again, before, after = _unpack(place)
+            # window o starts o bytes before the gram, where the document has them all
+            which, left = np.nonzero((o <= before[:, None]) & (SPAN - o <= after[:, None]))
+            start = at[which] - left
+            p = offs[:-1][r[which]] + start
+            acc = np.zeros(len(p), np.uint64)
+            for i, x in enumerate((*range(0, SPAN - 8, 8), SPAN - 8)):
+                acc += mix64(w[p + x] * _ODD[i + 2])
+            window = mix64(acc + left.astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([pa.array(h[which]), pa.array(window)], ["h", "w"]), pa.array(ids[r[which]]), pa.array(start << 9 | again[which] << 8 | SPAN)], ["key", "doc_id", "span"])
+
+
 def _contexts(batches):
     import pyarrow as pa
 
@@ -321,6 +378,9 @@ def cut_out(least: int, copy_bytes: int):
     return run
 
 
+_ANCHORS = "h long, c long, doc_id long, place long, covered boolean"
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, removed (array of byte ranges), kept (the bytes that stay).
 
@@ -338,17 +398,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copies = materialize(digests.join(groups, "digest").filter("doc_id > least").select("doc_id").distinct(), "copies")
     singles = long.join(copies, "doc_id", "left_anti")
 
-    found = singles.mapInArrow(_anchored, "h long, c long, doc_id long, place long")
-    settled = materialize(found.repartition("h").sortWithinPartitions("h", "c", "doc_id", "place").mapInArrow(_settled, "h long, doc_id long, place long, covered boolean"), "settled")
-    discard(digests)
+    total = digests.count()
+    some = singles.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total // SAMPLED))) == 0) if total else singles
+    often = materialize(some.mapInArrow(_anchored(), _ANCHORS).groupBy("h").agg(F.count_if(~F.col("covered")).alias("n")), "often")
+    least = (often.agg(F.sum("n")).first()[0] or 0) // COMMON
+    common = np.array([r.h for r in often.filter(F.col("n") > max(least, HOT_RUN)).select("h").collect()], np.int64).view(np.uint64)  # COMMON at most
+    found = singles.mapInArrow(_anchored(common), _ANCHORS)
+    settled = found.repartition("h").sortWithinPartitions("h", "c", "doc_id", "place").mapInArrow(_settled, "h long, doc_id long, place long, covered boolean, hot boolean")
+    settled = materialize(settled, "settled")
+    discard(digests), discard(often)
     del found
     release_shuffles(spark)
 
-    wanted = settled.filter("not covered").groupBy("doc_id").agg(F.collect_list(F.struct("h", "place")).alias("wanted"))
-    contexts = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_contexts, "h long, doc_id long, start long, context binary")
+    def wanted(hot: bool) -> DataFrame:
+        places = settled.filter(~F.col("covered") & (F.col("hot") == hot)).groupBy("doc_id").agg(F.collect_list(F.struct("h", "place")).alias("wanted"))
+        return docs.join(places, "doc_id").select("doc_id", "text", "wanted")
+
+    contexts = wanted(False).mapInArrow(_contexts, "h long, doc_id long, start long, context binary")
     compared = materialize(contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_out, "doc_id long, span long"), "compared")
-    del wanted, contexts
+    del contexts
     release_shuffles(spark)
+    if not settled.filter("hot").isEmpty():
+        windows = materialize(wanted(True).mapInArrow(_windowed, "key struct<h:long,w:long>, doc_id long, span long"), "windows")
+        low = windows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")).filter("least < most").select("key", "least", "n")
+        low = materialize(low, "low")
+        again = materialize(attach(windows, low, "key", windows.count()).filter("doc_id > least").select("doc_id", "span"), "again")
+        discard(windows), discard(low)
+        compared = compared.unionByName(again)
 
     whole = settled.filter("covered").select("doc_id", F.expr("(((place >> 13) - ((place >> 6) & 63)) << 9) | (((place >> 12) & 1) << 8) | (((place >> 6) & 63) + (place & 63))").alias("span"))
     spans = whole.unionByName(compared).groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
@@ -358,7 +434,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the kept bytes."""
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the kept bytes. Nulls, empty texts, repeats and empty tables as in remove_repeats()."""
     n = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"])
     return remove_repeats(docs).select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 

@@ -43,19 +43,31 @@ def test_against_brute_force(docs):
     check(docs)
 
 
-def in_this_process(rows):
+def in_this_process(rows, common=False):
     """The steps of remove_repeats one after another, without Spark, so that the module's constants can be changed."""
     docs = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["doc_id", "text"])
-    found = pa.Table.from_batches(m._anchored([docs])).sort_by([(c, "ascending") for c in ("h", "c", "doc_id", "place")])
+    found = pa.Table.from_batches(m._anchored()([docs]))
+    if common:  # every gram is dealt by its sides
+        grams = np.unique(found["h"].to_numpy()).view(np.uint64)
+        found = pa.Table.from_batches(m._anchored(grams)([docs]))
+    found = found.sort_by([(c, "ascending") for c in ("h", "c", "doc_id", "place")])
     settled = pa.Table.from_batches(m._settled(found.to_batches(max_chunksize=37))).to_pylist()
     spans = {}
     for r in settled:
         at, again, before, after = m._unpack(r["place"])
         if r["covered"]:
             spans.setdefault(r["doc_id"], []).append((at - before) << 9 | again << 8 | before + after)
-    wanted = [[(r["h"], r["place"]) for r in settled if not r["covered"] and r["doc_id"] == i] for i, _ in rows]
     kind = pa.list_(pa.struct([("h", pa.int64()), ("place", pa.int64())]))
-    contexts = pa.Table.from_batches(m._contexts([docs.append_column("wanted", pa.array([[{"h": h, "place": p} for h, p in w] for w in wanted], kind))]))
+    asked = lambda hot: docs.append_column("wanted", pa.array([[{"h": r["h"], "place": r["place"]} for r in settled if not r["covered"] and r["hot"] == hot and r["doc_id"] == i] for i, _ in rows], kind))
+    windows = [r for b in m._windowed([asked(True)]) for r in b.to_pylist()]
+    least = {}
+    for r in windows:
+        key = (r["key"]["h"], r["key"]["w"])
+        least[key] = min(least.get(key, r["doc_id"]), r["doc_id"])
+    for r in windows:
+        if r["doc_id"] > least[r["key"]["h"], r["key"]["w"]]:
+            spans.setdefault(r["doc_id"], []).append(r["span"])
+    contexts = pa.Table.from_batches(m._contexts([asked(False)]), pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("context", pa.binary())]))
     for batch in m._sorted_out(contexts.sort_by([("h", "ascending")]).to_batches(max_chunksize=11)):
         for r in batch.to_pylist():
             spans.setdefault(r["doc_id"], []).append(r["span"])
@@ -64,8 +76,8 @@ def in_this_process(rows):
     return {r["doc_id"]: (r["n_bytes"], sum(x["stop"] - x["start"] for x in r["removed"]), len(r["removed"]), hashlib.sha256(r["kept"]).hexdigest()) for r in out}
 
 
-@pytest.mark.parametrize("hot,piece,shard", [(4096, 1 << 21, 1 << 20), (1, 200, 1000), (3, 5000, 300)])
-def test_overlapping_repeats_with_small_pieces_shards_and_runs(monkeypatch, hot, piece, shard):
+@pytest.mark.parametrize("hot,piece,shard,common", [(4096, 1 << 21, 1 << 20, False), (1, 200, 1000, False), (3, 5000, 300, True), (0, 1 << 20, 1 << 20, True), (4096, 100, 1 << 20, True)])
+def test_overlapping_repeats_with_small_pieces_shards_and_runs(monkeypatch, hot, piece, shard, common):
     rng = random.Random(2)
     base = prose(rng, 300)
     rows = [(i, base[(a := rng.randrange(600)) : a + rng.randint(30, 400)] + rng.choice(["", "x", prose(rng, 8)]) + base[(b := rng.randrange(900)) : b + rng.randint(40, 80)]) for i in range(60)]
@@ -73,7 +85,20 @@ def test_overlapping_repeats_with_small_pieces_shards_and_runs(monkeypatch, hot,
     monkeypatch.setattr(m, "HOT_RUN", hot)
     monkeypatch.setattr(m, "PIECE_BYTES", piece)
     monkeypatch.setattr(m, "SHARD_BYTES", shard)
-    assert in_this_process(rows) == brute([(i, t.encode()) for i, t in rows])
+    assert in_this_process(rows, common) == brute([(i, t.encode()) for i, t in rows])
+
+
+def test_common_passages_and_grams(spark, monkeypatch):
+    """A line in most texts, between words that differ, with every gram hot and common in the sample."""
+    from ruleforge.llm import common
+
+    monkeypatch.setattr(common, "HOT", 20)
+    monkeypatch.setattr(m, "COMMON", 1 << 40)
+    monkeypatch.setattr(m, "HOT_RUN", 2)
+    rng = random.Random(8)
+    line, passage = "the very same line stands in all of these texts", prose(rng, 30)
+    rows = [(i, f"{prose(rng, 4)} {line} {prose(rng, 3)}" + (f" {passage} {rng.randrange(3)}" if i % 3 else "")) for i in range(90)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
 
 
 def test_empty_table_and_rewrite(docs, empty):
