@@ -26,7 +26,7 @@ WEIGHTS, CAP, BLOCK_DOCS, SEED = (1, 2, 3), 3, 2048, 20240229
 #: Blocks of a source, at most: beyond that blocks grow, as the blocks of a source are ordered in one task.
 MAX_BLOCKS = 65_536
 #: Words of a shard, and bounds on the number of shards: the driver holds a number for each shard and source.
-SHARD_WORDS, SHARDS, MAX_SHARDS, MAX_CELLS = 20_000_000, 16, 65_536, 20_000_000
+SHARD_WORDS, SHARDS, MAX_SHARDS, MAX_CELLS = 2_000_000, 4, 65_536, 20_000_000
 #: The driver holds one row a source: more sources than this are an error.
 MAX_SOURCES = 100_000
 
