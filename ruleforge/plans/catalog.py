@@ -381,7 +381,7 @@ def _relatives(spark, d):
 _RELATIVES = """WITH RECURSIVE up AS (SELECT p_partkey AS src, p_partkey - 1 AS dst FROM part WHERE p_partkey % 16 > 0 UNION ALL SELECT p_partkey, p_partkey - 2 FROM part WHERE p_partkey % 5 = 0 AND p_partkey % 16 > 1),
 e AS (SELECT src, dst FROM up WHERE dst > 0 UNION SELECT dst, src FROM up WHERE dst > 0), v AS (SELECT p_partkey AS id FROM part WHERE p_size % 10 = 0),
 reach(root, node, depth) USING KEY (root, node) AS (SELECT p_partkey AS root, p_partkey AS node, 0 AS depth FROM part UNION SELECT r.root, e.dst, r.depth + 1 FROM reach r JOIN e ON e.src = r.node WHERE NOT EXISTS (FROM recurring.reach x WHERE x.root = r.root AND x.node = e.dst)),
-n AS (SELECT root, node, row_number() OVER (PARTITION BY root ORDER BY depth, node) AS nth FROM reach JOIN v ON id = node WHERE node <> root),
+n AS (SELECT root, node, depth, row_number() OVER (PARTITION BY root ORDER BY depth, node) AS nth FROM reach JOIN v ON id = node WHERE node <> root),
 rel AS (SELECT p_partkey AS id, list(node ORDER BY nth) FILTER (nth <= 2) AS r FROM part LEFT JOIN n ON root = p_partkey GROUP BY 1)"""
 
 
