@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, chunk_dedup, decontaminate, embedding_dedup, html_extract, minhash_dedup, quality_lm, source_mix, suffix_dedup, toxicity
+from . import best_fit, chat_format, chunk_dedup, decontaminate, divergence, embedding_dedup, html_extract, minhash_dedup, periodic, quality_lm, source_mix, suffix_dedup, toxicity
 from .common import table
 
 
@@ -53,7 +53,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op3_quality_classifier, op4_source_mixing, op5_toxicity, op6_minhash_dedup, op7_substring_dedup, op8_embedding_dedup, op9_html_extraction, op10_suffix_dedup)
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summaries(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_benchmark_decontamination, op2_chat_formatting, op3_quality_classifier, op4_source_mixing, op5_toxicity, op6_minhash_dedup, op7_substring_dedup, op8_embedding_dedup, op9_html_extraction, op10_suffix_dedup, op11_best_fit_packing, op12_source_divergence, op13_periodic_runs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -61,11 +73,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL where it can express an operator. No short SQL gives the fitted models, the splitting tree, page trees or rolling hashes."""
+    """SQL where it can express an operator. No short SQL gives the fitted models, the splitting tree, page trees, rolling hashes or a tokenizer."""
     return {
         "op1_benchmark_decontamination": decontaminate.ORACLE,
         "op2_chat_formatting": chat_format.ORACLE,
         "op6_minhash_dedup": minhash_dedup.ORACLE,
         "op8_embedding_dedup": embedding_dedup.ORACLE,
         "op10_suffix_dedup": suffix_dedup.ORACLE,
+        "op12_source_divergence": divergence.ORACLE,
+        "op13_periodic_runs": periodic.ORACLE,
     }
