@@ -24,8 +24,11 @@ from .common import discard, materialize, prepare, text_chunks
 
 MIN_PAGES, CONSTANT, CONSTANT_INSIDE, FRAME = 4, 0.8, 0.95, 4
 BROADCAST_BYTES = 16_000_000
-#: Child pairs of two nodes, and pairs of nodes of two pages, that are compared in full; longer lists are paired in order of their names.
+#: Pairs of children between which the best pairing by scores is sought, and pairs of nodes of two pages from which on it isn't any more; lists beyond that are
+#: paired by longest common subsequences of equal subtrees, then of equal shapes, then of equal labels.
 LIST_PAIRS, PAGE_PAIRS = 400, 20_000
+#: Bits of one table of a common subsequence; longer lists are halved.
+TABLE_BITS = 1 << 28
 
 _NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
 _STOP = re.compile(r"[\"'>]")
@@ -237,27 +240,90 @@ def layout(tree: Page) -> int:
     return (h - (1 << 64) if h >> 63 else h) or 1
 
 
-def _in_order(a: list[int], b: list[int], x: Page, y: Page) -> list[tuple[int, int]]:
-    """Pairs of equal labels in the order of both lists, each with the next that is free."""
+def _rows(a: list, b: list) -> list[int]:
+    """For each prefix of ``a`` the places of ``b`` (bits) where its common subsequence with ``b`` does not grow."""
     places: dict = {}
-    for j in range(len(b) - 1, -1, -1):
-        places.setdefault(y.label[b[j]], []).append(j)
-    out, least = [], 0
-    for i in a:
-        free = places.get(x.label[i], [])
-        while free and free[-1] < least:
-            free.pop()
-        if free and free[-1] - least <= 64:
-            least = free.pop() + 1
-            out.append((i, b[least - 1]))
+    for j, y in enumerate(b):
+        places[y] = places.get(y, 0) | 1 << j
+    whole, v, out = (1 << len(b)) - 1, (1 << len(b)) - 1, []
+    for x in a:
+        u = v & places.get(x, 0)
+        v = (v + u | v - u) & whole
+        out.append(v)
     return out
 
 
+def _grown(a: list, b: list):
+    """Lengths of the longest common subsequences of ``a`` and each prefix of ``b``."""
+    import numpy as np
+
+    places: dict = {}
+    for j, y in enumerate(b):
+        places[y] = places.get(y, 0) | 1 << j
+    whole = v = (1 << len(b)) - 1
+    for x in a:
+        u = v & places.get(x, 0)
+        v = (v + u | v - u) & whole
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(-(-len(b) // 8), "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.r_[0, np.cumsum(1 - bits.astype(np.int64))]
+
+
+def common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places (in a, in b) of a longest common subsequence, in order; by tables of bits, of bounded size."""
+    out, n = [], min(len(a), len(b))
+    s = next((k for k in range(n) if a[k] != b[k]), n)
+    e = next((k for k in range(n - s) if a[-1 - k] != b[-1 - k]), n - s)
+    todo = [(s, len(a) - e, s, len(b) - e)]
+    while todo:
+        i, p, j, q = todo.pop()
+        if i == p or j == q:
+            continue
+        if (p - i) * (q - j) > TABLE_BITS and p - i > 1:
+            half = (i + p) // 2
+            least = _grown(a[i:half], b[j:q]) + _grown(a[half:p][::-1], b[j:q][::-1])[::-1]
+            cut = j + int(least.argmax())
+            todo += [(i, half, j, cut), (half, p, cut, q)]
+            continue
+        rows = _rows(a[i:p], b[j:q])
+        x, y = p - i, q - j
+        while x and y:
+            if rows[x - 1] >> y - 1 & 1:
+                y -= 1
+            else:
+                x -= 1
+                if not x or rows[x - 1] >> y - 1 & 1:
+                    y -= 1
+                    out.append((i + x, j + y))
+    return [(k, k) for k in range(s)] + sorted(out) + [(len(a) - e + k, len(b) - e + k) for k in range(e)]
+
+
+def _parts(a: list[int], b: list[int], x: Page, y: Page, most: int) -> tuple[list, list]:
+    """(pairs, gaps) of two child lists: what is paired for good, and the stretches between where scores decide, of ``most`` pairs of children at most."""
+    pairs, gaps = [], [(a, b)]
+    for name in ("sign", "shape", "label"):
+        of_x, of_y = getattr(x, name), getattr(y, name)
+        rest = []
+        for p, q in gaps:
+            if len(p) * len(q) <= most:
+                rest.append((p, q))
+                continue
+            i = j = 0
+            for u, v in [*common([of_x[k] for k in p], [of_y[k] for k in q]), (len(p), len(q))]:
+                if u > i and v > j:
+                    rest.append((p[i:u], q[j:v]))
+                if u < len(p):
+                    pairs.append((p[u], q[v]))
+                i, j = u + 1, v + 1
+        gaps = rest
+    return pairs, [g for g in gaps if len(g[0]) * len(g[1]) <= most]  # of what is still long, no two labels pair in order
+
+
 def aligned(x: Page, y: Page) -> list[tuple[int, int]]:
     """Pairs (node of x, node of y) of text nodes that simple tree matching pairs and that read the same.
 
     Equal subtrees at both ends of two child lists are paired at once, which no other pairing can beat, and subtrees of equal shape node by node. The rest is
-    paired by dynamic programming over the scores of all pairs of equal labels, or in order where the lists are very long.
+    paired by dynamic programming over the scores of all pairs of equal labels; in lists of more than LIST_PAIRS pairs equal subtrees, shapes and labels are paired first, by their longest
+    common subsequences, and scores decide between them.
     """
     x.signed(), y.signed()
     score: dict = {}
@@ -294,19 +360,19 @@ def aligned(x: Page, y: Page) -> list[tuple[int, int]]:
             rows.append(row)
         return rows
 
-    todo, done, ordered = [(0, 0)] if x.shape[0] != y.shape[0] else [], [], {}
+    todo, parts = [(0, 0)] if x.shape[0] != y.shape[0] else [], {}
     while todo:
         i, j = todo.pop()
+        if (i, j) in parts:
+            continue
         _, a, b = middle(i, j)
-        done.append((i, j))
-        if len(a) * len(b) > LIST_PAIRS or len(done) + len(todo) > PAGE_PAIRS:
-            pairs = ordered[i, j] = _in_order(a, b, x, y)
-        else:
-            pairs = [(p, q) for p in a for q in b if x.label[p] == y.label[q]]
+        pairs, gaps = parts[i, j] = _parts(a, b, x, y, LIST_PAIRS if len(parts) + len(todo) <= PAGE_PAIRS else 0)
         todo += [(p, q) for p, q in pairs if x.shape[p] != y.shape[q]]
-    for i, j in reversed(done):  # children before parents
+        todo += [(p, q) for a, b in gaps for p in a for q in b if x.label[p] == y.label[q] and x.shape[p] != y.shape[q]]
+    for i, j in reversed(parts):  # children before parents
         _, a, b = middle(i, j)
-        found = sum(worth(*p) for p in ordered[i, j]) if (i, j) in ordered else table(a, b)[-1][-1]
+        pairs, gaps = parts[i, j]
+        found = sum([worth(*p) for p in pairs]) + sum([table(*g)[-1][-1] for g in gaps])
         score[i, j] = 2 + found + 2 * (x.size[i] - 1 - sum([x.size[k] for k in a]))
 
     out, todo = [], [(0, 0)]
@@ -323,18 +389,18 @@ def aligned(x: Page, y: Page) -> list[tuple[int, int]]:
         rest = len(x.kids[i]) - s - len(a)
         if rest:
             todo += zip(x.kids[i][-rest:], y.kids[j][-rest:], strict=True)
-        if (i, j) in ordered:
-            todo += ordered[i, j]
-            continue
-        rows, p, q = table(a, b), len(a), len(b)
-        while p and q:
-            if rows[p][q] == rows[p - 1][q]:
-                p -= 1
-            elif rows[p][q] == rows[p][q - 1]:
-                q -= 1
-            else:
-                p, q = p - 1, q - 1
-                todo.append((a[p], b[q]))
+        pairs, gaps = parts[i, j]
+        todo += pairs
+        for a, b in gaps:
+            rows, p, q = table(a, b), len(a), len(b)
+            while p and q:
+                if rows[p][q] == rows[p - 1][q]:
+                    p -= 1
+                elif rows[p][q] == rows[p][q - 1]:
+                    q -= 1
+                else:
+                    p, q = p - 1, q - 1
+                    todo.append((a[p], b[q]))
     return out
 
 

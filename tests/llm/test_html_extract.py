@@ -1,6 +1,10 @@
 import random
 import time
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from ruleforge.llm import html_extract as m
 from tests.llm.conftest import prose
 
@@ -165,3 +169,35 @@ def test_every_page_of_a_host_counts(spark):
     for i, (host, _, start) in enumerate(rows):
         assert not any(x in got[i] for x in ("Welcome", "Hello", "Only here", "Constant")), host
         assert got[i].startswith(start)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), max_size=40), st.lists(st.sampled_from("abcd"), max_size=40), st.sampled_from([1, 30, 1 << 20]))
+def test_common_subsequences(a, b, bits):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    old, m.TABLE_BITS = m.TABLE_BITS, bits
+    try:
+        pairs = m.common(a, b)
+    finally:
+        m.TABLE_BITS = old
+    assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+    assert all(i < k and j < n for (i, j), (k, n) in zip(pairs, pairs[1:], strict=False))
+
+
+@pytest.mark.parametrize("items", [15, 21, 30, 500])
+@pytest.mark.parametrize("depth", [0, 2])
+def test_long_menus_are_template(spark, items, depth):
+    """Of a menu of any length nothing is left, with an item more in front of every second page, one that varies at its end, and lists inside lists."""
+    inner = "".join(f"<em>part {d}</em>" for d in range(depth))
+    rows = []
+    for i in range(10):
+        menu = [f"<li><b>entry {k}</b>{inner}</li>" for k in range(items)]
+        menu = (["<li><b>further</b></li>"] if i % 2 else []) + menu + [f"<li>last {i}</li>"]
+        rows.append((i, f"http://long.example/{i}", f"<html><body><ul>{''.join(menu)}</ul><div>" + "".join(f"<p>story {i} says {j} of {i * 7 + j}</p>" for j in range(3)) + "</div></body></html>"))
+    got = m.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in got:
+        assert f"story {r.page_id} says 0" in r.text and "entry" not in r.text and "part" not in r.text
+        assert len(r.text.split()) <= 3 * 6 + 3, r.text
