@@ -16,6 +16,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import discard, materialize, mix64, prepare, string_buffer, text_chunks
 from .suffix_array import words8
@@ -207,47 +208,59 @@ def _sparse(shared):
     return run
 
 
+def _score(model, column, evidence: int = 0):
+    """(scores, evidence) of the texts of an Arrow column."""
+    terms, idf, index, base, (slope, offset), none = model
+    scores, found = np.full(len(column), none), [[] for _ in range(len(column))]
+    for d, t, v in _vectors(terms.counts(column), idf):
+        at, cos = index.nearest(t, v)
+        scores[d] = 1 / (1 + np.exp(-(slope * _log_odds(index.vote(at, cos, base)) + offset)))
+        found[d] = [{"doc_id": int(index.ids[i]), "toxic": int(index.labels[i]), "cosine": float(c)} for i, c in zip(at[:evidence], cos[:evidence], strict=True)]
+    return scores, found
+
+
 def _scored(shared, evidence: int):
     def run(batches):
         import pyarrow as pa
 
-        terms, idf, index, base, (slope, offset), none = shared.value
         fields = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
         for batch in text_chunks(batches):
-            scores, found = np.full(batch.num_rows, none), [[] for _ in range(batch.num_rows)]
-            for d, t, v in _vectors(terms.counts(batch.column("text")), idf):
-                at, cos = index.nearest(t, v)
-                scores[d] = 1 / (1 + np.exp(-(slope * _log_odds(index.vote(at, cos, base)) + offset)))
-                found[d] = [{"doc_id": int(index.ids[i]), "toxic": int(index.labels[i]), "cosine": float(c)} for i, c in zip(at[:evidence], cos[:evidence], strict=True)]
+            scores, found = _score(shared.value, batch.column("text"), evidence)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores), pa.array(found, fields)], ["doc_id", "score", "evidence"])
 
     return run
 
 
+def _clean(shared):
+    """The rows whose text is not predicted toxic."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in text_chunks(batches):
+            yield batch.filter(pa.array(_score(shared.value, batch.column("text"))[0] < 0.5)).drop_columns(["text"])
+
+    return run
+
+
 def held_out(doc_id):
     """Rows that training never reads."""
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
 
-def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
-    """One row per row of ``docs``: doc_id, score, evidence (nearest examples: doc_id, toxic, cosine).
-
-    docs needs doc_id and text; labels doc_id and toxic (0, 1 or null; of repeated rows the greatest counts). A score is read from the text alone.
-    Texts without a term of the vocabulary, so null and empty ones, get the share of label 1 among such labelled rows. Without labels of both kinds, or
-    any term that tells them apart, all scores are the share of label 1 (0 without any label). An empty table gives no rows.
-    """
+def fit(docs: DataFrame, labels: DataFrame):
+    """(model, share): a broadcast model of the labelled rows of ``docs``, or None where labels of both kinds or terms that tell them apart are missing; the share of label 1."""
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    training = materialize(docs.join(F.broadcast(some), "doc_id"), "training")  # MAX_LABELLED rows at most
+    # One text of each labelled doc_id, so MAX_LABELLED rows at most.
+    training = materialize(docs.join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "training")
     total = training.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("ones")).first()
     n, ones = total.n, total.ones
     base = ones / n if n else 0.0
-    none = "array<struct<doc_id:long,toxic:int,cosine:double>>"
-    same = docs.select("doc_id", F.lit(base).alias("score"), F.array().cast(none).alias("evidence"))
     if not 0 < ones < n:
-        return same
+        return None, base
 
     xlogy = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(0.0)
     m, a = F.col("n").cast("double"), F.col("ones").cast("double")
@@ -255,7 +268,7 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     found = training.mapInArrow(_counted, "gram long, n long, ones long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
     chosen = found.filter(a / m > base).withColumn("ratio", ratio).filter(F.col("ratio") > MIN_RATIO).orderBy(F.desc("ratio"), "gram").select("gram").limit(TERMS).collect()
     if not chosen:
-        return same
+        return None, base
     terms = Terms(np.array([r.gram for r in chosen], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(terms)
     counts = dict(docs.mapInArrow(_frequencies(shared), "term long, n long").groupBy("term").agg(F.sum("n")).collect())
@@ -279,8 +292,22 @@ def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
     share = (len(votes) - 2) / max(1, sum(v for (has, _), v in known.items() if has))
     curve = _curve(votes, np.array([*(r.toxic for r in rows[:CALIBRATED]), 0, 1]), np.r_[np.ones(len(votes) - 2), bare * share])
     none = float((bare[1] + base) / (bare.sum() + 1))
-    model = spark.sparkContext.broadcast((terms, idf, index, base, curve, none))
-    return docs.mapInArrow(_scored(model, evidence), "doc_id long, score double, evidence array<struct<doc_id:long,toxic:int,cosine:double>>")
+    return spark.sparkContext.broadcast((terms, idf, index, base, curve, none)), base
+
+
+def score(docs: DataFrame, labels: DataFrame, evidence: int = 3) -> DataFrame:
+    """One row per row of ``docs``: doc_id, score, evidence (nearest examples: doc_id, toxic, cosine).
+
+    docs needs doc_id and text; labels doc_id and toxic (0, 1 or null; of repeated rows the greatest counts). A score is read from the text alone.
+    Texts without a term of the vocabulary, so null and empty ones, get the share of label 1 among such labelled rows. Without labels of both kinds, or
+    any term that tells them apart, all scores are the share of label 1 (0 without any label). Training takes one text of a repeated doc_id, the least. An empty table gives no rows.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    model, base = fit(docs, labels)
+    kind = "array<struct<doc_id:long,toxic:int,cosine:double>>"
+    if model is None:
+        return docs.select("doc_id", F.lit(base).alias("score"), F.array().cast(kind).alias("evidence"))
+    return docs.mapInArrow(_scored(model, evidence), f"doc_id long, score double, evidence {kind}")
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -292,6 +319,13 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not predicted toxic. Scores are joined by doc_id; a repeated doc_id goes if one of its texts is toxic."""
-    gone = score(docs, labels).filter("score >= 0.5").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs``, all columns, whose text is not predicted toxic.
+
+    Each row is judged by its own text, so null and repeated ids make no difference. Null and empty texts, labels of one kind and empty tables as in score(): such
+    rows stay unless half of the like labelled ones are toxic.
+    """
+    model, base = fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels)
+    if model is None:
+        return docs.filter(F.lit(base < 0.5))
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    return rows.mapInArrow(_clean(model), StructType([rows.schema["row"]])).select("row.*")

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ruleforge.llm import toxicity as m
 from tests.llm.conftest import prose
@@ -145,3 +146,16 @@ def test_evidence_and_missing_labels(spark, tables, empty):
     assert m.predictions(empty, labels).count() == 0
     kept = m.without_toxic(docs, labels)
     assert kept.columns == docs.columns and 5003 not in {r.doc_id for r in kept.collect()}
+
+
+def test_each_row_is_judged_by_its_own_text(spark, tables):
+    docs, labels = tables
+    seen = docs.select("doc_id", "text").filter("doc_id < 5000").join(m.score(docs, labels), "doc_id")
+    worst, best = seen.orderBy(F.desc("score"), "doc_id").first(), seen.orderBy("score", "doc_id").first()
+    assert worst.score >= 0.5 > best.score
+    more = [(i, t, f"c{k}", k) for k, (i, t) in enumerate([(None, worst.text), (None, best.text), (90_001, worst.text), (90_001, best.text), (90_002, None), (90_003, "")])]
+    extra = spark.createDataFrame(more, "doc_id long, text string, row string, score int")
+    every = docs.select("doc_id", "text").withColumns({"row": F.lit("d"), "score": F.lit(-1)}).unionByName(extra)
+    got = [r for r in m.without_toxic(every, labels).collect() if r.row != "d"]
+    assert sorted(r.row for r in got) == ["c1", "c3", "c4", "c5"]
+    assert all(r.text == dict((c, t) for _, t, c, _ in more)[r.row] for r in got)
