@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Buckets by which dense numbers are given; each is ordered by one task.
-BUCKETS = 256
+from ..sources.tables import materialize
 
 
 def u(*key: Column | str | int) -> Column:
@@ -31,34 +30,47 @@ def _one(df: DataFrame, keys: tuple[str, ...], pick, pos: str) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, order: str, name: str = "new_id", by: tuple[str, ...] = (), ties: tuple[str, ...] = (), start: int = 0) -> DataFrame:
-    """Adds dense numbers by the numeric column ``order`` (then ``ties``), for each value of ``by``.
+    """Adds dense numbers by the column ``order`` (nulls first, then ``ties``), for each value of ``by``, null among them.
 
-    Rows fall into at most BUCKETS ranges by quantiles of ``order``; each range is numbered by itself and moved up by the
-    rows before it. So no task orders all rows, which a window without a partition would need.
+    Rows are sorted over ranges; each row's number is its place in its range, moved up by the rows of the ranges before. So no task orders all rows, which a window
+    without a partition would need, and no row is compared with the bounds of the ranges.
     """
-    rows = _ranged(df, order)
-    sizes = rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    nth = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(order, *ties))
-    return rows.withColumn("_nth", nth).join(sizes, [*by, "_bucket"]).withColumn(name, F.col("_before") + F.col("_nth") - 1 + start).select(*df.columns, name)
+    rows = _sorted(df, order, by, ties)
+    sizes = _before(rows.groupBy(*by, "__range").agg(F.count("*").alias("__n"), F.min("__at").alias("__first")), by)
+    return _beside(rows, sizes, by).withColumn(name, F.col("__before") + F.col("__at") - F.col("__first") + start).select(*df.columns, name)
 
 
 def running_sums(df: DataFrame, order: str, value: str, name: str, by: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:
-    """Adds the sum of ``value`` up to and with each row, by the numeric column ``order`` (then ``ties``), for each value of ``by``; ranges as in dense_ids()."""
-    rows = _ranged(df, order)
-    sums = rows.groupBy(*by, "_bucket").agg(F.sum(value).alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    here = F.sum(value).over(Window.partitionBy(*by, "_bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return rows.withColumn("_here", here).join(sums, [*by, "_bucket"]).withColumn(name, F.col("_before") + F.col("_here")).select(*df.columns, name)
-
-
-def _ranged(df: DataFrame, order: str) -> DataFrame:
-    """With ``_bucket``: one of at most BUCKETS ranges by quantiles of ``order``."""
-    bounds = df.select(F.percentile_approx(order, [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("q")).first().q or []
-    bounds = sorted({float(b) for b in bounds})
-    return df.withColumn("_bucket", F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b < F.col(order))) if bounds else F.lit(0))
+    """Adds the sum of ``value`` up to and with each row, by the column ``order`` (then ``ties``), for each value of ``by``; ranges as in dense_ids()."""
+    rows = _sorted(df, order, by, ties)
+    here = F.sum(value).over(Window.partitionBy("__range", *by).orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sums = _before(rows.groupBy(*by, "__range").agg(F.sum(value).alias("__n")), by)
+    return _beside(rows.withColumn("__here", here), sums, by).withColumn(name, F.col("__before") + F.coalesce("__here", F.lit(0))).select(*df.columns, name)
+
+
+def _sorted(df: DataFrame, order: str, by: tuple[str, ...], ties: tuple[str, ...]) -> DataFrame:
+    """Written with ``__range`` and ``__at``: which range of by, order and ties a row is in, and a number that rises with them.
+
+    Ranges hold as many rows each, as sampled; their number is that of the session's shuffle partitions, of which the adaptive execution joins small ones. Rows
+    that are alike in order and ties are told apart by a hash of the rest, so they need not share a range. The rows are written once, as ranges are drawn anew each time a plan runs.
+    """
+    keys = [*by, order, *ties, "__tie"]
+    rows = df.withColumn("__tie", F.xxhash64(*df.columns)).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return materialize(rows.withColumn("__at", F.monotonically_increasing_id()).drop("__tie")).withColumn("__range", F.shiftright("__at", 33))
+
+
+def _before(sizes: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """With the sum of ``__n`` over the ranges before, a row a range and value of ``by``."""
+    before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+
+
+def _beside(rows: DataFrame, sizes: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    sizes = sizes.select(F.col("__range").alias("__r"), *(F.col(c).alias(f"__b{i}") for i, c in enumerate(by)), *(c for c in sizes.columns if c not in (*by, "__range")))
+    same = F.col("__range") == F.col("__r")
+    for i, c in enumerate(by):
+        same &= F.col(c).eqNullSafe(F.col(f"__b{i}"))
+    return rows.join(sizes, same)
 
 
 def overlay(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:

@@ -80,6 +80,39 @@ def test_dense_ids_are_a_bijection_in_order(spark):
     assert keyed.dense_ids(df.limit(0), "pos").count() == 0
 
 
+def test_dense_ids_of_nulls_ties_and_one_value(spark):
+    rows = [(None, i % 5, i % 2) for i in range(40)] + [(i % 4, i, None) for i in range(60)] + [(7, 7, 0)] * 3
+    df = spark.createDataFrame(rows, "pos int, t int, grp int").repartition(6)
+    got = keyed.dense_ids(df, "pos", by=("grp",), ties=("t",)).collect()
+    assert len(got) == len(rows)
+    for g in (None, 0, 1):
+        mine = sorted((r.new_id, r.pos is not None, r.pos or 0, r.t) for r in got if r.grp == g)
+        assert [n for n, *_ in mine] == list(range(len(mine))) and [x[1:] for x in mine] == sorted(x[1:] for x in mine)
+    sums = keyed.running_sums(df, "pos", "t", "s", by=("grp",), ties=("t",)).collect()
+    assert max(r.s for r in sums if r.grp is None) == sum(t for _, t, g in rows if g is None)
+
+
+def test_ranges_follow_the_size(spark):
+    """One group of one order value is dealt over as many ranges as its size asks for, each of about the same rows."""
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        ranges = []
+        for n in (1_000, 20_000, 80_000):
+            df = spark.range(n).select("id", F.lit(1).alias("g"), F.lit(0).alias("pos"))
+            sizes = [r["count"] for r in keyed._sorted(df, "pos", ("g",), ("id",)).groupBy("__range").count().collect()]
+            assert sum(sizes) == n and max(sizes) < 4 * n / len(sizes)
+            ranges.append(len(sizes))
+            ids = keyed.dense_ids(df, "pos", by=("g",), ties=("id",)).filter("id != new_id")
+            assert ids.isEmpty()
+        assert ranges[0] < ranges[1] < ranges[2]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_wins_and_overlay(spark):
     df = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 5, "c")], "id long, pos long, v string")
     assert {(r.id, r.v) for r in keyed.last_wins(df, "id").collect()} == {(1, "b"), (2, "c")}
