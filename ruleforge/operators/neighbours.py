@@ -8,58 +8,236 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scores import hamming
+from ..sources.tables import materialize
 
-#: Vectors in a block; a task compares two blocks. Small tables take smaller blocks, so that all cores have some.
-BLOCK, LEAST_BLOCK = 8192, 1024
+#: Pivots, drawn from so many vectors; rows of a piece, and pieces at most (beyond that pieces grow); rows and questions that a task compares.
+PIVOTS, SAMPLE, PIECE, MAX_PIECES, BLOCK, QUESTIONS = 32, 1024, 4096, 4096, 8192, 1024
+#: Pieces that a vector without a near neighbour in its own piece visits before the others, so that its radius shrinks first.
+FIRST = 3
+#: Lower bounds are taken this much lower, for rounding.
+SLACK = 1e-9
+
+
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances; by differences, not products, so that equal vectors are at distance 0."""
+    out = np.empty((len(a), len(b)))
+    for i in range(0, len(b), 256):
+        out[:, i : i + 256] = ((a[:, None] - b[i : i + 256][None]) ** 2).sum(axis=2)
+    return out
+
+
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+class Pieces:
+    """The index: each vector belongs to its nearest pivot and, there, to a ring of distances to it. A piece knows the least and the greatest distance of its vectors to every pivot."""
+
+    def __init__(self, pivots: np.ndarray, rings: list[np.ndarray]):
+        self.pivots, self.rings = pivots, rings  # rings: the inner bounds of a pivot's rings but the first
+        self.first = np.cumsum([0, *(len(r) + 1 for r in rings)])
+        self.low = self.high = self.size = None
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        return np.sqrt(_squares(x, self.pivots))
+
+    def of(self, d: np.ndarray) -> np.ndarray:
+        """The piece of each row of distances to the pivots."""
+        home = d.argmin(axis=1)
+        own = d[np.arange(len(d)), home]
+        return self.first[home] + np.array([np.searchsorted(self.rings[h], x, side="right") for h, x in zip(home.tolist(), own.tolist(), strict=True)], np.int64)
+
+    def bounds(self, d: np.ndarray) -> np.ndarray:
+        """Least possible distances from each row to each piece, by the triangle inequality at every pivot."""
+        out = np.zeros((len(d), len(self.low)))
+        for p in range(d.shape[1]):
+            np.maximum(out, np.maximum(self.low[None, :, p] - d[:, p, None], d[:, p, None] - self.high[None, :, p]), out=out)
+        return out * (1 - SLACK) - SLACK
+
+
+def _pivots(sample: np.ndarray, n: int) -> np.ndarray:
+    """Vectors of the sample far from each other: each the one farthest from those before."""
+    if not len(sample):
+        return sample
+    out, near = [0], _squares(sample, sample[:1])[:, 0]
+    while len(out) < n and near.max() > 0:
+        out.append(int(near.argmax()))
+        near = np.minimum(near, _squares(sample, sample[out[-1:]])[:, 0])
+    return sample[out]
+
+
+def _homes(index: Pieces):
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                d = index.distances(_matrix(batch.column("v")))
+                yield pa.RecordBatch.from_arrays([pa.array(d.argmin(axis=1).astype(np.int32)), pa.array(d.min(axis=1))], ["home", "distance"])
+
+    return run
+
+
+def _placed(index: Pieces):
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("pos", "id", "v")), pa.array(index.of(index.distances(_matrix(batch.column("v")))))], ["pos", "id", "v", "piece"])
+
+    return run
+
+
+def _boxes(index: Pieces):
+    """(piece, pivot, low, high, n) over the rows of a task."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        pieces, pivots = int(index.first[-1]), len(index.pivots)
+        low, high, n = np.full((pieces, pivots), np.inf), np.full((pieces, pivots), -np.inf), np.zeros(pieces, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                d, at = index.distances(_matrix(batch.column("v"))), batch.column("piece").to_numpy()
+                np.minimum.at(low, at, d), np.maximum.at(high, at, d), np.add.at(n, at, 1)
+        i, j = np.nonzero(np.repeat(n[:, None] > 0, pivots, axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (i, j.astype(np.int32), low[i, j], high[i, j], n[i])], ["piece", "pivot", "low", "high", "n"])
+
+    return run
+
+
+def _routed(index: Pieces, limit: float, isolated: bool):
+    """(rep, v, piece) for the pieces that a vector has still to visit, from its (rep, v, own, alone, second, last): the distance of the second nearest row so far and of the last one that counts."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for s in range(0, batch.num_rows, 1024):
+                part = batch.slice(s, 1024)
+                own, second, last = (part.column(c).to_numpy(zero_copy_only=False) for c in ("own", "second", "last"))
+                bound = index.bounds(index.distances(_matrix(part.column("v"))))
+                bound[np.arange(len(own)), own] = np.inf
+                bound[:, index.size == 0] = np.inf
+                reach = np.maximum(second, np.minimum(limit, last))
+                go = np.where(bound > 0, bound, 0) ** 2 <= reach[:, None]
+                go &= np.isfinite(bound)
+                nearest = np.zeros_like(go)
+                alone = np.flatnonzero(part.column("alone").to_numpy(zero_copy_only=False))
+                first = np.argsort(bound[alone], axis=1, kind="stable")[:, :FIRST]
+                nearest[alone[:, None], first] = True
+                go = go & nearest if isolated else go & ~nearest
+                row, piece = np.nonzero(go)
+                row = pa.array(row)
+                yield pa.RecordBatch.from_arrays([part.column("rep").take(row), part.column("v").take(row), pa.array(piece)], ["rep", "v", "piece"])
+
+    return run
 
 
 def _near(k: int, limit: float):
+    """Of a piece's rows (side 1) the k nearest to each question (side 0): those nearer than ``limit``, and the two nearest in any case."""
+
     def run(key, left):
         import pyarrow as pa
 
         left = left.combine_chunks()
         side, pos, ids = (left.column(c).to_numpy() for c in ("side", "pos", "id"))
-        x = left.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(pos), -1)
+        x = _matrix(left.column("v").combine_chunks())
         q, r = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        r = r[np.argsort(pos[r], kind="stable")]  # ties go by position
         out = [[], [], [], []]
-        for s in range(0, len(q), 256):
-            a = x[q[s : s + 256]]
-            d = np.zeros((len(a), len(r)))
-            for i in range(0, len(r), 256):  # differences, not products, so that equal vectors are at distance 0
-                d[:, i : i + 256] = ((a[:, None] - x[r[i : i + 256]][None]) ** 2).sum(axis=2)
-            d = np.where(pos[q[s : s + 256], None] == pos[r][None], np.inf, d)
-            best = np.argsort(d, axis=1, kind="stable")[:, : max(1, k - 1)]
+        for s in range(0, len(q) if len(r) else 0, 256):
+            d = _squares(x[q[s : s + 256]], x[r])
+            best = np.argsort(d, axis=1, kind="stable")[:, : max(2, k)]
             near = np.take_along_axis(d, best, 1)
-            keep = np.isfinite(near) & ((near < limit) | (np.arange(near.shape[1]) == 0))
-            row, nth = np.nonzero(keep)
+            row, nth = np.nonzero((near < limit) | (np.arange(near.shape[1]) < 2))
             out[0].append(pos[q[s + row]]), out[1].append(pos[r[best[row, nth]]]), out[2].append(ids[r[best[row, nth]]]), out[3].append(near[row, nth])
         cat = lambda i, t: np.concatenate(out[i]) if out[i] else np.zeros(0, t)
-        return pa.table({"pos": pa.array(cat(0, np.int64)), "other": pa.array(cat(1, np.int64)), "other_id": pa.array(cat(2, np.int64)), "distance": pa.array(cat(3, np.float64))})
+        return pa.table({"rep": pa.array(cat(0, np.int64)), "other": pa.array(cat(1, np.int64)), "other_id": pa.array(cat(2, np.int64)), "distance": pa.array(cat(3, np.float64))})
 
     return run
 
 
+class Neighbours:
+    """Exact nearest neighbours by an index over pivots.
+
+    Vectors fall into pieces by their nearest pivot and their distance to it. A vector is first compared with its own piece; what it finds there is a radius, beyond
+    which nothing counts. Each piece knows how near and how far its vectors are to every pivot, so the triangle inequality gives a least distance to it,
+    and only pieces within the radius are visited: first, where nothing near was found yet, those of least bound, then with the smaller radius all others. Of equal vectors one asks for all.
+    Pieces of many rows or many questions are dealt over several tasks. ``visits`` counts the questions sent, by round.
+    """
+
+    def __init__(self, rows: DataFrame, k: int, limit: float):
+        self.k, self.limit, self.visits, self.spark = max(k, 2), limit, [], rows.sparkSession
+        rows = materialize(rows.filter("v is not null"))
+        self.n = n = rows.count()
+        if n <= PIECE:  # one piece, so nothing to bound
+            self.rows, self.index = rows.withColumn("piece", F.lit(0).cast("long")), Pieces(np.zeros((1, 0)), [np.zeros(0)])
+            self.index.size = np.array([n])
+            return
+        sample = rows.orderBy(F.xxhash64("pos"), "pos").limit(SAMPLE).collect()  # SAMPLE rows
+        pivots = _pivots(np.array([r.v for r in sample], float), min(PIVOTS, 1 + 2 * (n // PIECE)))
+        wanted = -(-n // max(PIECE, -(-n // MAX_PIECES)))
+        homes = rows.select("v").mapInArrow(_homes(Pieces(pivots, [np.zeros(0)] * len(pivots))), "home int, distance double").groupBy("home")
+        cuts = {r.home: (r.n, r.q) for r in homes.agg(F.count("*").alias("n"), F.percentile_approx("distance", [i / 64 for i in range(65)], 1000).alias("q")).collect()}
+        rings = []
+        for p in range(len(pivots)):
+            own, q = cuts.get(p, (0, [0.0] * 65))
+            parts = max(1, round(wanted * own / n))
+            rings.append(np.unique(np.interp(np.arange(1, parts) / parts, np.arange(65) / 64, q)))
+        self.index = index = Pieces(pivots, rings)
+        self.rows = materialize(rows.mapInArrow(_placed(index), "pos long, id long, v array<double>, piece long"))
+        shape = int(index.first[-1]), len(pivots)
+        index.low, index.high, index.size = np.full(shape, np.inf), np.full(shape, -np.inf), np.zeros(shape[0], np.int64)
+        found = self.rows.select("v", "piece").mapInArrow(_boxes(index), "piece long, pivot int, low double, high double, n long")
+        for r in found.groupBy("piece", "pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).collect():  # some MAX_PIECES x PIVOTS
+            index.low[r.piece, r.pivot], index.high[r.piece, r.pivot], index.size[r.piece] = r.low, r.high, r.n
+
+    def _asked(self, questions: DataFrame) -> DataFrame:
+        """The answers of the written ``questions`` (rep, v, piece), each by its piece alone."""
+        counts = {r.piece: r.n for r in questions.groupBy("piece").agg(F.count("*").alias("n")).collect()}
+        self.visits.append(sum(counts.values()))
+        deal = self.spark.createDataFrame([(int(p), -(-int(self.index.size[p]) // BLOCK), -(-n // QUESTIONS)) for p, n in counts.items()], "piece long, i long, j long")
+        dealt = F.broadcast(deal)  # MAX_PIECES rows, but for rings of one distance
+        each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        asking = questions.join(dealt, "piece").select("piece", each("i").alias("i"), F.pmod(F.xxhash64("rep"), F.col("j")).alias("j"), F.lit(0).alias("side"), F.col("rep").alias("pos"), F.lit(0).cast("long").alias("id"), "v")
+        asked = self.rows.join(dealt, "piece").select("piece", F.pmod(F.xxhash64("pos"), F.col("i")).alias("i"), each("j").alias("j"), F.lit(1).alias("side"), "pos", "id", "v")
+        return asking.unionByName(asked).groupBy("piece", "i", "j").applyInArrow(_near(self.k, self.limit), "rep long, other long, other_id long, distance double")
+
+    def _best(self, answers: DataFrame) -> DataFrame:
+        """(rep, near): the k nearest answers in order, those nearer than the limit and two at least."""
+        nth = F.row_number().over(Window.partitionBy("rep").orderBy("distance", "other"))
+        ranked = answers.withColumn("nth", nth).filter((F.col("nth") <= self.k) & ((F.col("distance") < self.limit) | (F.col("nth") <= 2)))
+        return ranked.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("distance", "other", "other_id"))).alias("near"))
+
+    def found(self) -> DataFrame:
+        """(pos, id, near): for each row the k - 1 nearest others, those nearer than the limit and one at least."""
+        index, k = self.index, self.k
+        reps = materialize(self.rows.groupBy("v").agg(F.min("pos").alias("rep"), F.first("piece").alias("own")))
+        best = materialize(self._best(self._asked(reps.select("rep", "v", F.col("own").alias("piece")))))
+        second, last = (F.coalesce(F.get("near", F.lit(i))["distance"], F.lit(float("inf"))) for i in (1, k - 1))
+        if len(index.size) > 1:
+            asking = materialize(reps.join(best, "rep").select("rep", "v", "own", (second >= self.limit).alias("alone")))
+            for isolated in (True, False):
+                state = asking.join(best, "rep").select("rep", "v", "own", "alone", second.alias("second"), last.alias("last"))
+                answers = self._asked(materialize(state.mapInArrow(_routed(index, self.limit, isolated), "rep long, v array<double>, piece long")))
+                best = materialize(self._best(answers.unionByName(best.select("rep", F.explode("near").alias("x")).select("rep", "x.other", "x.other_id", "x.distance"))))
+        every = self.rows.select("pos", "id", "v").join(reps.select("v", "rep"), "v").join(best, "rep")
+        return every.select("pos", "id", F.slice(F.filter("near", lambda x: x["other"] != F.col("pos")), 1, k - 1).alias("near"))
+
+
 def near_duplicates(df: DataFrame, k: int = 500, limit: float = 0.20, pos: str = "pos", key: str = "id", vector: str = "embedding") -> DataFrame:
     """(id, pos, min_neighbor_distance, repeat_count, min_similar_rule_id) by exact squared distance.
 
     Of the k nearest, the row itself among them, those nearer than ``limit`` are its neighbours; the similar rule is the one
-    of least position. min_neighbor_distance is -1 where there is no other row. Rows meet in pairs of blocks, each a task of bounded
-    size; a vector is sent twice for each block there is. Vectors must be of one length, without nulls.
+    of least position. min_neighbor_distance is -1 where there is no other row, or no vector. Vectors must be of one length, without null components; positions must differ.
     """
-    n = df.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    blocks = max(1, -(-n // BLOCK), min(-(-n // LEAST_BLOCK), int((2 * cores) ** 0.5)))
-    rows = df.select(F.col(pos).cast("long").alias("pos"), F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(F.col(pos)), F.lit(blocks)).cast("int").alias("block"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    asking = rows.select(F.col("block").alias("i"), every.alias("j"), F.lit(0).alias("side"), "pos", "id", "v")
-    asked = rows.select(every.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "pos", "id", "v")
-    pairs = asking.unionByName(asked).groupBy("i", "j").applyInArrow(_near(k, limit), "pos long, other long, other_id long, distance double")
-    rank = F.row_number().over(Window.partitionBy("pos").orderBy("distance", "other"))
-    found = pairs.withColumn("rank", rank).filter(F.col("rank") < max(k, 2)).groupBy("pos").agg(
-        F.min("distance").alias("nearest"),
-        F.count_if(F.col("distance") < limit).alias("repeat_count"),
-        F.min_by(F.when(F.col("distance") < limit, F.col("other_id")), F.when(F.col("distance") < limit, F.col("other"))).alias("min_similar_rule_id"),
-    )
+    rows = df.select(F.col(pos).cast("long").alias("pos"), F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    # From here on a row has one vector at least in its list, its nearest.
+    near = F.filter("near", lambda x: x["distance"] < limit)
+    first = F.array_min(F.transform(near, lambda x: F.struct(x["other"].alias("other"), x["other_id"].alias("id"))))
+    found = Neighbours(rows, k, limit).found().select("pos", F.get("near", F.lit(0))["distance"].alias("nearest"), F.size(near).cast("long").alias("repeat_count"), first["id"].alias("min_similar_rule_id"))
     return df.select(F.col(key).alias("id"), F.col(pos).alias("pos")).join(found, "pos", "left").select("id", "pos", F.coalesce("nearest", F.lit(-1.0)).alias("min_neighbor_distance"), F.coalesce("repeat_count", F.lit(0)).cast("long").alias("repeat_count"), "min_similar_rule_id")
 
 

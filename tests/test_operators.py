@@ -1,3 +1,5 @@
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ruleforge.functions.text import COUNT_EXTENSIONS, LETTERS
@@ -152,11 +154,35 @@ def test_neighbours(spark):
     assert {r.repeat_count for r in neighbours.near_duplicates(df, k=2, limit=0.02).collect()} == {0, 1}
     assert neighbours.near_duplicates(df.limit(1)).first().min_neighbor_distance == -1.0
     assert neighbours.near_duplicates(df.limit(0)).count() == 0
-    block, neighbours.BLOCK = neighbours.BLOCK, 2
-    try:
-        assert {(r.id, r.repeat_count, r.min_similar_rule_id) for r in neighbours.near_duplicates(df, limit=0.02).collect()} == {(r.id, r.repeat_count, r.min_similar_rule_id) for r in got.values()}
-    finally:
-        neighbours.BLOCK = block
+
+
+@pytest.mark.parametrize("pieces", [(64, 16, 4096), (20, 7, 8)])
+def test_neighbours_visit_only_what_their_radius_reaches(spark, monkeypatch, pieces):
+    """Clusters, loners, large groups of copies: the rows of a brute force, while each vector goes to few of the pieces."""
+    monkeypatch.setattr(neighbours, "PIECE", pieces[0])
+    monkeypatch.setattr(neighbours, "BLOCK", pieces[1])
+    monkeypatch.setattr(neighbours, "QUESTIONS", pieces[1])
+    monkeypatch.setattr(neighbours, "MAX_PIECES", pieces[2])
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(25, 6)) * 5
+    x = np.r_[centres[rng.integers(0, 25, 500)] + rng.normal(size=(500, 6)) * 0.05, np.repeat(centres[:1], 150, axis=0), rng.normal(size=(50, 6)) * 8]
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(1000 - i, i, v.tolist()) for i, v in enumerate(x)], "id long, pos long, embedding array<double>").repartition(4)
+    for k, limit in ((500, 0.03), (5, 1.0)):
+        d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+        np.fill_diagonal(d, np.inf)
+        expected = {}
+        for i in range(len(x)):
+            order = np.argsort(d[i], kind="stable")[: k - 1]
+            near = order[d[i][order] < limit]
+            expected[i] = (1000 - i, round(d[i][order[0]], 9), len(near), 1000 - int(near.min()) if len(near) else None)
+        got = neighbours.near_duplicates(df, k=k, limit=limit)
+        assert {r.pos: (r.id, round(r.min_neighbor_distance, 9), r.repeat_count, r.min_similar_rule_id) for r in got.collect()} == expected
+    index = neighbours.Neighbours(df.withColumnRenamed("embedding", "v"), 500, 0.03)
+    index.found()
+    different = len(np.unique(x, axis=0))
+    assert index.visits[0] == different
+    assert len(index.index.size) >= 8 and sum(index.visits) < different * len(index.index.size) / (4 if pieces[2] > 8 else 1.5)
 
 
 def test_hash_groups(spark):
