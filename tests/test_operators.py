@@ -223,6 +223,39 @@ def test_relatives_however_far(spark):
     assert got == {i: x[:2] for i, x in expected.items()}
 
 
+def searched(parents, valid, wanted=2):
+    """Nearest valid rules by a search from each rule."""
+    near = {i: set() for i in parents}
+    for i, ps in parents.items():
+        for p in ps:
+            near[i].add(p)
+            near[p].add(i)
+    out = {}
+    for i in parents:
+        seen, front, found = {i}, {i}, []
+        while front and len(found) < wanted:
+            front = {y for x in front for y in near[x]} - seen
+            seen |= front
+            found += sorted(front & valid)
+        out[i] = found[:wanted]
+    return out
+
+
+def test_relatives_over_a_long_chain_take_few_rounds(spark, monkeypatch):
+    """4,096 steps with valid rules at the ends alone, and a random graph."""
+    rounds = []
+    monkeypatch.setattr(lineage, "contracted", lambda g, v, f=lineage.contracted: rounds.append(f(g, v)) or rounds[-1])
+    rng = np.random.default_rng(3)
+    parents = {i: [i - 1] if i else [] for i in range(4096)} | {10_000 + i: sorted({10_000 + int(x) for x in rng.integers(max(0, i - 9), i, rng.integers(0, 3))}) if i else [] for i in range(300)}
+    valid = {0, 4095, *(10_000 + int(x) for x in rng.choice(300, 12, replace=False))}
+    r = spark.createDataFrame(list(parents.items()), "id long, parents array<long>")
+    got = {x.id: x.relatives for x in lineage.relatives(r, spark.createDataFrame([(i,) for i in valid], "id long")).collect()}
+    assert got[2048] == [4095, 0] and got[0] == [4095]
+    assert got == searched(parents, valid)
+    core, removed = rounds[0]
+    assert len(removed) <= 22 and core.count() < 700
+
+
 def groups(spark):
     return spark.createDataFrame([(i, [f"{i}c{k}" for k in range(5)], [f"{i}w{k}" for k in range(3)]) for i in range(30)] + [(99, ["a"], ["b"])], "id long, correct array<string>, incorrect array<string>")
 
