@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -241,11 +241,49 @@ def near_duplicates(df: DataFrame, k: int = 500, limit: float = 0.20, pos: str =
     return df.select(F.col(key).alias("id"), F.col(pos).alias("pos")).join(found, "pos", "left").select("id", "pos", F.coalesce("nearest", F.lit(-1.0)).alias("min_neighbor_distance"), F.coalesce("repeat_count", F.lit(0)).cast("long").alias("repeat_count"), "min_similar_rule_id")
 
 
+#: Images of a group up to which all its pairs are compared.
+SMALL_GROUP = 16
+
+
+def blocks(bits: Column, limit: int) -> Column:
+    """The bits of a hash (array of longs) cut into limit + 1 strings: two hashes that differ in at most ``limit`` bits are alike in one of them."""
+    text = F.array_join(F.transform(bits, lambda x: F.lpad(F.bin(x), 64, "0")), "")
+    n = F.size(bits) * 64
+    edge = lambda i: F.floor(n * i / (limit + 1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.lit(limit)), lambda i: F.substring(text, edge(i) + 1, edge(i + 1) - edge(i)))
+
+
+def hash_candidates(images: DataFrame, limit: int, within: list[str], row: str, bits: str) -> DataFrame:
+    """(within, a, b, x, y): each pair of rows of one group, a before b by ``row``, whose hashes are alike in a block, once; x and y are the hashes.
+
+    Rows meet by an equi-join on a block's number and bits. A pair that is alike in several blocks counts in the first of them, so no distinct is needed.
+    """
+    cut = images.filter(F.col(bits).isNotNull()).select(*within, row, bits, blocks(F.col(bits), limit).alias("_blocks"))
+    each = cut.select("*", F.posexplode("_blocks").alias("_at", "_block"))
+    mine = each.select(*within, F.col(row).alias("a"), F.col(bits).alias("x"), F.col("_blocks").alias("_x"), "_at", "_block")
+    other = each.select(*within, F.col(row).alias("b"), F.col(bits).alias("y"), F.col("_blocks").alias("_y"), "_at", "_block")
+    first = F.array_position(F.zip_with("_x", "_y", lambda p, q: p == q), True) == F.col("_at") + 1
+    return mine.join(other, [*within, "_at", "_block"]).filter(F.col("a") < F.col("b")).filter(first).select(*within, "a", "b", "x", "y")
+
+
+def near_hashes(images: DataFrame, limit: int = 2, key: str = "id", bits: str = "phash") -> DataFrame:
+    """(a, b, distance) of all pairs of rows of the table, by ``key``, whose hashes differ in at most ``limit`` bits; null hashes are near nothing. Hashes must be of one length."""
+    pairs = hash_candidates(images, limit, [], key, bits).withColumn("distance", hamming(F.col("x"), F.col("y")))
+    return pairs.filter(F.col("distance") <= limit).select("a", "b", "distance")
+
+
 def hash_pairs(images: DataFrame, limit: int = 2, key: str = "id", idx: str = "idx", bits: str = "phash") -> DataFrame:
-    """(id, a, b, distance) of the image pairs of each group (eight images) whose hashes (arrays of longs) differ in at most ``limit`` bits."""
-    a = images.select(key, F.col(idx).alias("a"), F.col(bits).alias("_x"))
-    b = images.select(key, F.col(idx).alias("b"), F.col(bits).alias("_y"))
-    return a.join(b, key).filter("a < b").withColumn("distance", hamming(F.col("_x"), F.col("_y"))).filter(F.col("distance") <= limit).select(key, "a", "b", "distance")
+    """(id, a, b, distance) of the image pairs of each group whose hashes (arrays of longs of one length) differ in at most ``limit`` bits; null hashes are near nothing.
+
+    Groups of up to SMALL_GROUP images, as attempts make them, compare all their pairs; in larger ones images meet by blocks of bits.
+    """
+    rows = images.select(key, F.col(idx).alias("a"), F.col(bits).alias("x"))
+    large = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > SMALL_GROUP).select(key)
+    few = rows.join(large, key, "left_anti")
+    pairs = few.join(few.select(key, F.col("a").alias("b"), F.col("x").alias("y")), key).filter("a < b")
+    many = hash_candidates(rows.join(large, key, "left_semi").select(key, F.col("a").alias("row"), F.col("x").alias("bits")), limit, [key], "row", "bits")
+    near = pairs.unionByName(many.select(*pairs.columns)).withColumn("distance", hamming(F.col("x"), F.col("y")))
+    return near.filter(F.col("distance") <= limit).select(key, "a", "b", "distance")
 
 
 def group_flags(images: DataFrame, pairs: DataFrame, key: str = "id", least_pairs: int = 2) -> DataFrame:

@@ -99,14 +99,16 @@ def ask_in_parts(df: DataFrame, provider: ModelProvider, log: str, schema: str,
     A run that breaks off loses one part at most, and goes on with what the log lacks. ``schema`` is that of the log: columns of ``df``, response and error.
     """
     from ..sources.json_io import append_lines, last_run, resumed
-    from ..sources.tables import materialize
+    from ..sources.tables import materialize, partitioned
     from .merge import owed
 
     spark = df.sparkSession
     left = materialize(owed(df, resumed(spark, log, schema, key), key))
     parts = -(-left.count() // every)
+    # Each part is a folder, so that it is read alone.
+    left = partitioned(left.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")), "_part") if parts else left
     for i in range(parts):
-        part = left.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == i)
+        part = left.filter(F.col("_part") == i).drop("_part")
         append_lines(ask(part, provider, **options), log, last_run(spark, log) + 1)
     return resumed(spark, log, schema, key)
 
@@ -129,12 +131,14 @@ def embedded(df: DataFrame, text: str = "text", size: int = 64) -> DataFrame:
     return df.withColumn("embedding", encode(text))
 
 
-def attempts(ids: DataFrame, once: Callable[[DataFrame, int], DataFrame], most: int = 4, key: str = "id") -> DataFrame:
-    """Records of up to ``most`` attempts: ``once(ids, attempt)`` returns (id, ok, ...); failed ids enter the next attempt."""
+def attempts(ids: DataFrame, once: Callable[[DataFrame, int], DataFrame], most: int = 4, key: str = "id", wait: Retry | None = None) -> DataFrame:
+    """Records of up to ``most`` attempts: ``once(ids, attempt)`` returns (id, ok, ...); failed ids enter the next attempt, after the delay of ``wait``."""
     from ..sources.tables import materialize
 
     out = None
     for n in range(1, most + 1):
+        if wait and n > 1:
+            wait.sleep(wait.delay(n - 2))
         records = materialize(once(ids, n).withColumn("attempt", F.lit(n)))
         out = records if out is None else out.unionByName(records)
         ids = records.filter(~F.col("ok")).select(key)
@@ -210,12 +214,13 @@ def run_batches(requests: DataFrame, submit: Callable[[DataFrame, int], object],
     ``submit(rows, number)`` opens a batch and returns its handle; ``poll(handle)`` returns None while it runs, its answers once it is done. The driver holds
     batch numbers and handles alone. Answers are written as they come.
     """
-    from ..sources.tables import materialize
+    from ..sources.tables import partitioned, scratch
 
-    rows = materialize(batches(requests, size, active))
+    spark = requests.sparkSession
+    rows = partitioned(batches(requests, size, active), "batch")  # a folder a batch, so that each is read once
     waiting = [r.batch for r in rows.select("batch").distinct().orderBy("batch").collect()]  # one number a batch
     open_: dict = {}
-    out = None
+    folder, kind = scratch(spark), None
     while waiting or open_:
         while waiting and len(open_) < active:
             number = waiting.pop(0)
@@ -223,8 +228,8 @@ def run_batches(requests: DataFrame, submit: Callable[[DataFrame, int], object],
         done = {number: answers for number, handle in open_.items() if (answers := poll(handle)) is not None}
         for number, answers in done.items():
             del open_[number]
-            answers = materialize(answers)
-            out = answers if out is None else out.unionByName(answers)
+            kind = answers.schema
+            answers.write.parquet(f"{folder}/answers-of={number}")
         if open_ and not done:
             sleep(every)
-    return out
+    return spark.read.schema(kind).parquet(folder).select(*kind.names) if kind else None

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions import images, scores, text
 from ..functions.keyed import u
-from ..operators import aggregate, assemble, evolve, lineage, merge, providers, select
+from ..operators import aggregate, assemble, evolve, inference, ledger, lineage, merge, neighbours, providers, select
 from ..sources import checkpoints, directory, files, json_io, remote
 from ..sources.tables import scratch, table
 from ..streaming.resume import run_available
 from . import templates
-from .catalog import _PLACED, _picked, _r, _u, query
+from .catalog import _BITS, _PLACED, _hashes, _picked, _r, _u, query
 
 
 def _folder(spark) -> str:
@@ -357,3 +357,60 @@ def q89_blank_images(spark, d):
     image = F.struct(F.lit(16).alias("h"), F.lit(16).alias("w"), F.lit(1).alias("channels"), data.alias("data"))
     looked = images.hashed_images(table(spark, d, "supplier").select(key.alias("id"), image.alias("pixels")))
     return looked.select("id", "blank", F.size("phash").alias("n_longs"))
+
+
+@query(f"WITH h AS ({_BITS}), v AS (SELECT id * 8 + idx AS row, b FROM h) SELECT x.row AS a, y.row AS b, list_sum(list_transform(list_zip(x.b, y.b), lambda z: (z[1] <> z[2])::INT))::INT AS distance FROM v x JOIN v y ON x.row < y.row WHERE list_sum(list_transform(list_zip(x.b, y.b), lambda z: (z[1] <> z[2])::INT)) <= 12")
+def q90_near_hashes(spark, d):
+    """All pairs of rows of the whole table whose hashes differ in 12 bits at most, by blocks of bits."""
+    rows = _hashes(spark, d).select((F.col("id") * 8 + F.col("idx")).alias("row"), "phash")
+    return neighbours.near_hashes(rows, 12, "row")
+
+
+class Counter:
+    """A batch service without a network: it keeps what it is sent; some answers fail once, some always."""
+
+    def __init__(self, spark):
+        self.spark, self.open, self.breaks = spark, {}, True
+
+    def submit(self, rows, key):
+        failed = (F.col("id") % 7 == 5) & F.lit(key.endswith("-1")) | (F.col("id") % 21 == 20)
+        self.open[key] = rows.select("id", "custom_id", F.when(failed, 500).otherwise(200).alias("status_code"), F.lit(None).cast("string").alias("error"), F.concat("event_type", F.lit(" "), F.col("id")).alias("content"))
+        if self.breaks and len(self.open) > 1:
+            self.breaks = False
+            raise ConnectionError
+        return key
+
+    def find(self, key):
+        return key if key in self.open else None
+
+    def poll(self, handle):
+        return self.open[handle]
+
+
+@query("""SELECT event_id AS id, CASE WHEN event_id % 21 <> 20 THEN event_type || ' ' || event_id END AS content, CASE WHEN event_id % 21 = 20 THEN 'attempts exhausted' END AS error, CASE WHEN event_id % 21 = 20 THEN 3 WHEN event_id % 7 = 5 THEN 2 ELSE 1 END AS attempts FROM events""")
+def q91_batch_ledger(spark, d):
+    """Requests in batches through a service, in a run that breaks off while it sends and is taken up again from its ledger."""
+    rows = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("event_id").alias("pos"), "event_type")
+    folder, service = scratch(spark), Counter(spark)
+    call = lambda: ledger.run(rows, folder, service, size=4000, most=3)
+    try:
+        call()
+    except ConnectionError:
+        pass
+    return call()
+
+
+class Digests:
+    """A model without weights: what it opens answers lists of prompts by their digests."""
+
+    def open(self):
+        import hashlib
+
+        return lambda prompts: [hashlib.md5(p.encode()).hexdigest() for p in prompts]
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size % 9 > 0 THEN md5('rate ' || p_name) END AS response, CAST(NULL AS VARCHAR) AS error FROM part")
+def q92_inference(spark, d):
+    """Lists of prompts through a model that each worker opens once; null prompts are not sent."""
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 9 > 0, F.concat(F.lit("rate "), "p_name")).alias("prompt"))
+    return inference.infer(rows, Digests(), batch=32).select("id", "response", "error")

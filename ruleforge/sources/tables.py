@@ -32,3 +32,10 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def partitioned(df: DataFrame, column: str) -> DataFrame:
+    """Written in a folder for each value of ``column`` and read again: a filter on it reads that folder alone."""
+    path = scratch(df.sparkSession)
+    df.write.partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -223,6 +223,37 @@ def test_relatives_however_far(spark):
     assert got == {i: x[:2] for i, x in expected.items()}
 
 
+def test_hashes_within_a_radius_by_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.integers(-(1 << 63), (1 << 63) - 1, (60, 4), dtype=np.int64)
+    def flipped(h, n):
+        bits = np.unpackbits(h.view(np.uint8))
+        bits[rng.choice(256, n, replace=False)] ^= 1
+        return np.packbits(bits).view(np.int64)
+    x = np.array([flipped(base[i % 60], int(rng.integers(0, 6))) for i in range(400)])
+    bits = np.unpackbits(np.ascontiguousarray(x).view(np.uint8).reshape(400, -1), axis=1)
+    apart = (bits[:, None] != bits[None]).sum(axis=2)
+    df = spark.createDataFrame([(i, i % 3 if i < 390 else 100 + i, h.tolist()) for i, h in enumerate(x)] + [(1000, 0, None)], "idx int, id int, phash array<long>")
+    for limit in (0, 2, 7):
+        every = {(i, j, int(apart[i, j])) for i in range(400) for j in range(i + 1, 400) if apart[i, j] <= limit}
+        assert rows(neighbours.near_hashes(df, limit, "idx")) == every
+        mine = {(i % 3, i, j, n) for i, j, n in every if i % 3 == j % 3 and j < 390}
+        assert rows(neighbours.hash_pairs(df, limit)) == mine
+        monkeypatch.setattr(neighbours, "SMALL_GROUP", 1000)
+        assert rows(neighbours.hash_pairs(df, limit)) == mine
+        monkeypatch.setattr(neighbours, "SMALL_GROUP", 16)
+
+
+def test_a_group_of_many_hashes_meets_few_pairs(spark):
+    """100,000 hashes of one group: of five thousand million pairs some thousand meet."""
+    n = 100_000
+    word = lambda i: F.xxhash64(F.lit(i), F.col("id"))
+    df = spark.range(n).select(F.col("id").cast("int").alias("idx"), F.lit(1).alias("id"), F.array(*(F.when(F.col("id") % 100 == 1, F.xxhash64(F.lit(i), F.col("id") - 1)).otherwise(word(i)) for i in range(3)), F.when(F.col("id") % 100 == 1, F.xxhash64(F.lit(3), F.col("id") - 1).bitwiseXOR(F.lit(5))).otherwise(word(3))).alias("phash"))
+    candidates = neighbours.hash_candidates(df, 2, ["id"], "idx", "phash").count()
+    assert rows(neighbours.hash_pairs(df, 2)) == {(1, i, i + 1, 2) for i in range(0, n, 100)}
+    assert candidates < 2 * n // 100
+
+
 def searched(parents, valid, wanted=2):
     """Nearest valid rules by a search from each rule."""
     near = {i: set() for i in parents}
