@@ -70,3 +70,30 @@ def hashed_images(df, image: str = "pixels"):
         return pd.DataFrame({"phash": [phash(a) for a in arrays], "blank": [is_blank(a) for a in arrays]})
 
     return df.withColumn("_look", look(image)).withColumn("phash", F.col("_look.phash")).withColumn("blank", F.col("_look.blank")).drop("_look")
+
+
+def hashed_files(df, content: str = "content"):
+    """Adds height, width, phash (array of longs) and blank to rows of image files, as binaryFile reads them; all null for what can't be read.
+
+    PNG files of any kind are read; other formats need a decoder of the user's, see looked_at().
+    """
+    from .png import decoded
+
+    return looked_at(df, decoded, content)
+
+
+def looked_at(df, decode, content: str = "content"):
+    """As hashed_files(), with ``decode`` from bytes to an array of gray, RGB or RGBA bytes, or None."""
+    from pyspark.sql import functions as F
+
+    def one(data):
+        x = decode(data)
+        return (None,) * 4 if x is None else (x.shape[0], x.shape[1], phash(x), is_blank(x))
+
+    @F.pandas_udf("height int, width int, phash array<long>, blank boolean")
+    def look(files: pd.Series) -> pd.DataFrame:
+        rows = [one(bytes(f)) if f is not None else (None,) * 4 for f in files]
+        out = pd.DataFrame(rows, columns=["height", "width", "phash", "blank"], dtype=object)
+        return out.astype({"height": "Int32", "width": "Int32"})
+
+    return df.withColumn("_look", look(content)).select(*(c for c in df.columns if c not in ("height", "width", "phash", "blank")), "_look.*")

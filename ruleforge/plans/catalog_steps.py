@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions import images, scores, text
+from ..functions import images, raster, scores, text
 from ..functions.keyed import u
 from ..operators import aggregate, assemble, evolve, inference, ledger, lineage, merge, neighbours, providers, select
 from ..sources import checkpoints, directory, files, json_io, remote
@@ -414,3 +416,26 @@ def q92_inference(spark, d):
     """Lists of prompts through a model that each worker opens once; null prompts are not sent."""
     rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 9 > 0, F.concat(F.lit("rate "), "p_name")).alias("prompt"))
     return inference.infer(rows, Digests(), batch=32).select("id", "response", "error")
+
+
+@query("SELECT s_suppkey AS id, 16 AS height, 12 AS width, s_suppkey % 3 = 0 AS blank, s_suppkey % 5 = 0 AS unreadable, CASE WHEN s_suppkey % 3 > 0 AND s_suppkey % 5 > 0 THEN s_suppkey % 4 = 0 END AS alike FROM supplier")
+def q93_image_files(spark, d):
+    """From pixels to files to hashes: two PNG files for each supplier, written with a commit, read back, decoded and hashed. Every third pair is blank, every fourth alike, every fifth first file cut short."""
+    key, root = F.col("s_suppkey"), _folder(spark)
+
+    @F.pandas_udf("binary")
+    def drawn(keys: pd.Series, nth: pd.Series) -> pd.Series:
+        def one(k, n):
+            x = (np.arange(192).reshape(16, 12) * (k % 89 + 5 + (n if k % 4 else 0) * 31) % 251).astype(np.uint8) if k % 3 else np.full((16, 12), k % 250, np.uint8)
+            data = raster.png(x)
+            return data[:60] if k % 5 == 0 and n == 0 else data
+
+        return pd.Series([one(k, n) for k, n in zip(keys, nth, strict=True)])
+
+    made = table(spark, d, "supplier").select(key, F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
+    if files.write_files(made.select(F.concat(key, F.lit("_1/output_correct/"), "n", F.lit(".png")).alias("path"), drawn(key, "n").alias("content")), root).filter("error is not null").count():
+        raise OSError(f"can't write to {root}")
+    looked = images.hashed_files(directory.files(spark, root, content=True).select("id", "name", "content"))
+    one = lambda name, as_: looked.filter(F.col("name") == name).select("id", F.struct("height", "width", "blank", "phash").alias(as_))
+    alike = F.when(~F.col("y.blank"), scores.hamming(F.col("x.phash"), F.col("y.phash")) <= images.MAX_DISTANCE)
+    return one("1.png", "y").join(one("0.png", "x"), "id").select("id", "y.height", "y.width", "y.blank", F.col("x.phash").isNull().alias("unreadable"), alike.alias("alike"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.images import hashed_files
 from ..functions.text import COUNT_EXTENSIONS, boxed, labelled_score, renamed_image, tag_text
 from ..operators import aggregate, assemble, merge, neighbours, select
 from ..operators.lineage import relatives
+from ..sources import directory
 
 
 def valid_ids(manifest: DataFrame) -> DataFrame:
@@ -25,6 +27,19 @@ def hash_summary(images: DataFrame) -> DataFrame:
     return neighbours.group_flags(images, neighbours.hash_pairs(images))
 
 
+def folder_flags(spark, root: str, limit: int = 2, total: int | None = 8) -> DataFrame:
+    """(id, has_duplicate, has_blank, unreadable) from the image files of attempt folders: of each id's last attempt with ``total`` images, all files are read, hashed and compared.
+
+    Files that can't be read are near nothing and not blank; ``unreadable`` counts them.
+    """
+    groups = aggregate.latest(directory.image_groups(directory.manifest(spark, root), total=total), "id", "attempt")
+    listed = groups.select("id", F.posexplode("images").alias("idx", "path"))
+    looked = hashed_files(directory.files(spark, root, content=True).select("path", "content")).drop("content")
+    images = listed.join(looked, "path").withColumn("unread", F.col("phash").isNull())
+    flags = neighbours.group_flags(images.withColumn("blank", F.coalesce("blank", F.lit(False))), neighbours.hash_pairs(images, limit))
+    return flags.join(images.groupBy("id").agg(F.count_if("unread").alias("unreadable")), "id")
+
+
 def puzzles(groups: DataFrame, rules: DataFrame, seed: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(four options, four variants of each, ten options)."""
     return assemble.four_options(groups, seed), assemble.four_variants(groups, seed), assemble.ten_options(groups, relatives(rules, groups), seed)

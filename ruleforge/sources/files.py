@@ -1,55 +1,144 @@
-"""Files written and copied by executors, in a folder that all of them share."""
+"""Files written and copied by executors, with a commit: all of a write becomes visible at its end, or nothing.
+
+Tasks write into a staging folder below the root, each attempt into one of its own. The commit moves the files of the attempts that Spark chose to their places and drops the
+rest, so a task that ran twice leaves one copy; a write that fails drops them all. Roots are local paths or URIs that pyarrow has a file system for (file, hdfs, s3, gs);
+on a cluster a local path must be one that all machines mount. A commit that is itself cut short can leave part of the files in their places, each of them whole.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+#: Files that a commit moves at once; bytes that a copy holds.
+MOVES, PIECE = 32, 1 << 22
 
-def write_files(df: DataFrame, root: str, path: str = "path", content: str = "content") -> DataFrame:
-    """Writes each row's bytes to ``root/path``, by a temporary name first, so that no reader sees half a file. Returns (path, error)."""
 
-    def run(frames):
-        import os
+def file_system(root: str):
+    """(file system, path) of a root."""
+    from pyarrow import fs
 
-        for frame in frames:
-            errors = []
-            for p, data in zip(frame[path], frame[content], strict=True):
-                try:
-                    target = os.path.join(root, p)
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    with open(f"{target}.part", "wb") as f:
-                        f.write(data)
-                    os.replace(f"{target}.part", target)
-                    errors.append(None)
-                except (OSError, TypeError) as e:
-                    errors.append(str(e))
-            yield frame[[path]].rename(columns={path: "path"}).assign(error=errors)
+    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
 
-    return df.select(path, content).mapInPandas(run, "path string, error string")
 
+def _uri(root: str) -> str:
+    return root if "://" in root else f"file://{root}"
 
-def copy_files(df: DataFrame, root: str, candidates: list[str], target: str = "target") -> DataFrame:
-    """Copies the first of the candidate paths that exists to ``root/target``. Returns (target, source, error); source is null if none does."""
-
-    def run(frames):
-        import os
-        import shutil
-
-        for frame in frames:
-            sources, errors = [], []
-            for row in frame.itertuples(index=False):
-                source = next((p for p in (getattr(row, c) for c in candidates) if p and os.path.exists(p)), None)
-                error = None if source else "no source"
-                if source:
+
+@dataclass
+class Written(WriterCommitMessage):
+    folder: str
+
+
+class FileWriter(DataSourceArrowWriter):
+    """Rows (path, content, sources): the content, or else the first of the sources that exists, goes to ``root/path``."""
+
+    def __init__(self, root: str, job: str):
+        self.root, self.job = root, job
+
+    def _staging(self):
+        files, root = file_system(self.root)
+        return files, root.rstrip("/"), f"{root.rstrip('/')}/_staging-{self.job}"
+
+    def write(self, iterator: Iterator) -> Written:
+        files, _, staging = self._staging()
+        folder, made = f"{staging}/{uuid.uuid4().hex}", set()
+        files.create_dir(f"{folder}/files")
+        with files.open_output_stream(f"{folder}/log") as log:
+            for batch in iterator:
+                for path, content, sources in zip(*(batch.column(c) for c in ("path", "content", "sources")), strict=True):
+                    path, source, error = path.as_py(), None, None
                     try:
-                        to = os.path.join(root, getattr(row, target))
-                        os.makedirs(os.path.dirname(to), exist_ok=True)
-                        shutil.copyfile(source, f"{to}.part")
-                        os.replace(f"{to}.part", to)
-                    except OSError as e:
+                        if path is None or path.startswith(("/", "_")) or ".." in path.split("/"):
+                            raise ValueError("no path below the root")
+                        target = f"{folder}/files/{path}"
+                        above = target.rpartition("/")[0]
+                        if above not in made:
+                            files.create_dir(above)
+                            made.add(above)
+                        if sources.is_valid:
+                            source = self._copied(files, sources.as_py(), target)
+                            error = None if source else "no source"
+                        elif content.is_valid:
+                            with files.open_output_stream(target) as out:
+                                out.write(content.as_buffer())
+                        else:
+                            error = "no content"
+                    except (OSError, ValueError) as e:
                         error = str(e)
-                sources.append(source), errors.append(error)
-            yield frame[[target]].rename(columns={target: "target"}).assign(source=sources, error=errors)
+                    log.write((json.dumps({"path": path, "source": source, "error": error}) + "\n").encode())
+        return Written(folder)
+
+    @staticmethod
+    def _copied(files, sources: list, target: str) -> str | None:
+        from pyarrow import fs
+
+        for source in sources:
+            if source:
+                other, place = file_system(source)
+                if other.get_file_info(place).type == fs.FileType.File:
+                    with other.open_input_stream(place) as data, files.open_output_stream(target) as out:
+                        while piece := data.read(PIECE):
+                            out.write(piece)
+                    return source
+        return None
+
+    def commit(self, messages: list) -> None:
+        from pyarrow import fs
 
-    return df.select(F.col(target), *candidates).mapInPandas(run, "target string, source string, error string")
+        files, root, staging = self._staging()
+        moves, logs = [], f"{root}/_written/{self.job}"
+        files.create_dir(logs)
+        for i, m in enumerate(x for x in messages if x is not None):
+            start = f"{m.folder}/files/"
+            found = files.get_file_info(fs.FileSelector(start.rstrip("/"), recursive=True))
+            for above in {f.path[len(start) :].rpartition("/")[0] for f in found if f.type == fs.FileType.File}:
+                files.create_dir(f"{root}/{above}")
+            moves += [(f.path, f"{root}/{f.path[len(start) :]}") for f in found if f.type == fs.FileType.File]
+            moves.append((f"{m.folder}/log", f"{logs}/part-{i}.json"))
+        with ThreadPoolExecutor(MOVES) as pool:
+            list(pool.map(lambda x: files.move(*x), moves))
+        self.abort([])
+
+    def abort(self, messages: list) -> None:
+        from pyarrow import fs
+
+        files, _, staging = self._staging()
+        if files.get_file_info(staging).type == fs.FileType.Directory:
+            files.delete_dir(staging)
+
+
+class FileSink(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "file_per_row"
+
+    def writer(self, schema, overwrite: bool) -> FileWriter:
+        return FileWriter(self.options["root"], self.options["job"])
+
+
+def _written(rows: DataFrame, root: str) -> DataFrame:
+    """(path, source, error) of the rows once they are written."""
+    spark, job = rows.sparkSession, uuid.uuid4().hex
+    spark.dataSource.register(FileSink)
+    rows.write.format("file_per_row").mode("append").options(root=root, job=job).save()
+    return spark.read.schema("path string, source string, error string").json(f"{_uri(root).rstrip('/')}/_written/{job}")
+
+
+def write_files(df: DataFrame, root: str, path: str = "path", content: str = "content") -> DataFrame:
+    """Writes each row's bytes to ``root/path``, all at once at the end. Returns (path, error), a row a row: null contents and paths outside the root are errors, and others go on."""
+    rows = df.select(F.col(path).alias("path"), F.col(content).cast("binary").alias("content"), F.lit(None).cast("array<string>").alias("sources"))
+    return _written(rows, root).select("path", "error")
+
+
+def copy_files(df: DataFrame, root: str, candidates: list[str], target: str = "target") -> DataFrame:
+    """Copies the first of the candidate paths that exists to ``root/target``, all at once at the end. Returns (target, source, error); source is null if none does."""
+    rows = df.select(F.col(target).alias("path"), F.lit(None).cast("binary").alias("content"), F.array(*candidates).alias("sources"))
+    return _written(rows, root).select(F.col("path").alias("target"), "source", "error")

@@ -1,3 +1,4 @@
+import pytest
 import json
 
 import pytest
@@ -112,3 +113,36 @@ def test_files(spark, tmp_path):
     moves = spark.createDataFrame([("x/2.png", "/no/such", str(tmp_path / "a/1.png")), ("y.png", None, "/none")], "target string, p string, q string")
     got = {r.target: (r.source, r.error) for r in files.copy_files(moves, str(tmp_path), ["p", "q"]).collect()}
     assert got == {"x/2.png": (str(tmp_path / "a/1.png"), None), "y.png": (None, "no source")} and (tmp_path / "x/2.png").read_bytes() == b"one"
+
+
+def visible(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file() and not str(p.relative_to(folder)).startswith("_written"))
+
+
+def test_a_task_that_runs_twice_leaves_one_copy(tmp_path):
+    """Two attempts of a part, of which Spark commits one; what the other left goes."""
+    import pyarrow as pa
+
+    batch = lambda text: pa.RecordBatch.from_pydict({"path": ["a/x", "b"], "content": [text, text], "sources": [None, None]}, pa.schema([("path", pa.string()), ("content", pa.binary()), ("sources", pa.list_(pa.string()))]))
+    writer = files.FileWriter(str(tmp_path), "job")
+    writer.write(iter([batch(b"lost")]))
+    kept = writer.write(iter([batch(b"kept")]))
+    assert not any(p.startswith("a/") for p in visible(tmp_path))
+    writer.commit([kept, None])
+    assert visible(tmp_path) == ["a/x", "b"] and (tmp_path / "a/x").read_bytes() == b"kept"
+    other = files.FileWriter(str(tmp_path), "other")
+    other.write(iter([batch(b"new")]))
+    other.abort([None])
+    assert visible(tmp_path) == ["a/x", "b"] and (tmp_path / "b").read_bytes() == b"kept"
+
+
+def test_nothing_is_visible_after_a_failure(spark, tmp_path):
+    fails = F.when(F.col("id") == 90, F.raise_error(F.lit("broken row"))).otherwise(F.lit("x"))
+    df = spark.range(100).repartition(4).select(F.concat(F.lit("f/"), "id").alias("path"), fails.cast("binary").alias("content"))
+    with pytest.raises(Exception, match="broken row"):
+        files.write_files(df, str(tmp_path))
+    assert visible(tmp_path) == []
+    good = df.filter("path != 'f/90'").unionByName(spark.createDataFrame([("../out", bytearray(b"x")), (None, bytearray(b"x")), ("/abs", bytearray(b"x"))], "path string, content binary"))
+    said = files.write_files(good, f"file://{tmp_path}")
+    assert said.count() == 102 and said.filter("error is not null").count() == 3 and said.count() == 102
+    assert len(visible(tmp_path)) == 99 and not (tmp_path.parent / "out").exists()
