@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.keyed import dense_ids
@@ -79,3 +79,10 @@ def status_counts(df: DataFrame) -> DataFrame:
     """Successes, errors and the share of successes of records with an ``error`` column."""
     ok = F.count_if(F.col("error").isNull() | (F.col("error") == ""))
     return df.agg(F.count("*").alias("total"), ok.alias("success")).withColumn("errors", F.col("total") - F.col("success")).withColumn("ratio", F.when(F.col("total") > 0, F.col("success") / F.col("total")).otherwise(0.0))
+
+
+def with_status(df: DataFrame, name: str = "status") -> tuple[DataFrame, Observation]:
+    """The records, and an observation of their number and of those without an error, counted while they are written or sent on."""
+    seen = Observation(name)
+    ok = F.count_if(F.col("error").isNull() | (F.col("error") == ""))
+    return df.observe(seen, F.count(F.lit(1)).alias("total"), ok.alias("success")), seen

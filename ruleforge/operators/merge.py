@@ -6,7 +6,7 @@ Joins carry no broadcast hints: statistics and adaptive execution choose the sid
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.keyed import dense_ids, first_wins, last_wins, overlay
@@ -53,6 +53,22 @@ def merge_counters(replaced_rows: DataFrame) -> DataFrame:
     )
 
 
+def with_counters(replaced_rows: DataFrame, name: str = "merge") -> tuple[DataFrame, Observation]:
+    """The rows, and what an action on them counts on its way: how many were replaced, had no partner, or lacked the field. The counters are there once an action has run over all rows."""
+    return observed(replaced_rows, name, replaced=F.count_if("replaced"), missing=F.count_if(~F.col("matched")), no_field=F.count_if(F.col("matched") & ~F.col("replaced")))
+
+
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The rows and an observation of named aggregates, from one execution; ``counters()`` waits for it."""
+    seen = Observation(name)
+    return df.observe(seen, *(m.alias(n) for n, m in metrics.items())), seen
+
+
+def counters(seen: Observation) -> dict:
+    """The observed aggregates; blocks until an action over all rows is over."""
+    return dict(seen.get)
+
+
 def correct_rows(predictions: DataFrame, answer: str, truth: str, key: str = "id") -> DataFrame:
     """Rows whose answer equals the truth, without case and outer white space; a null side never counts, two empty ones do."""
     return predictions.filter(F.col(key).isNotNull() & (normalized(F.col(answer)) == normalized(F.col(truth))))

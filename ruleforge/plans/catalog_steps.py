@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions import images, raster, scores, text
+from ..functions import images, raster, scores, sql, text
 from ..functions.keyed import u
 from ..operators import aggregate, assemble, evolve, inference, ledger, lineage, merge, neighbours, providers, select
 from ..sources import checkpoints, directory, files, json_io, remote
@@ -16,6 +16,10 @@ from . import templates
 from .catalog import _BITS, _PLACED, _hashes, _picked, _r, _u, query
 
 
+#: Of the orders, the columns that the remote dataset has.
+_ORDERS = "o_orderkey long, o_orderstatus string, o_totalprice double"
+
+
 def _folder(spark) -> str:
     """A scratch folder as executors' file calls see it; on several machines it must be one that all of them mount."""
     return scratch(spark).removeprefix("file://")
@@ -338,16 +342,33 @@ def q87_bernoulli_and_weights(spark, d):
     return table(spark, d, "labels").select("doc_id", (u(7, "mutate", 2, F.col("doc_id")) < 0.15).alias("mutated"), _r(scores.parent_weight(F.col("doc_id") % 4)).alias("weight"))
 
 
-def numbered_page(name: str, split: str, page: int):
-    """A fetcher without a network: ten rows a page."""
-    return [(page * 10 + i, f"{name}/{split}/{page}") for i in range(10)]
+class OrdersPages:
+    """A fetcher without a network: the orders of a folder in pages of 2,000 rows, which know their least and greatest key."""
+
+    @staticmethod
+    def _table(name, columns):
+        import pyarrow.parquet as pq
+
+        return pq.read_table(name, columns=columns)
+
+    def pages(self, name, split, conditions):
+        keys = self._table(name, ["o_orderkey"]).column(0).to_numpy()
+        cuts = [(s, keys[s : s + 2000].min(), keys[s : s + 2000].max()) for s in range(0, len(keys), 2000)]
+        outside = {"GreaterThan": lambda lo, hi, v: hi <= v, "LessThanOrEqual": lambda lo, hi, v: lo > v, "EqualTo": lambda lo, hi, v: not lo <= v <= hi}
+        return [s for s, lo, hi in cuts if not any(c == "o_orderkey" and kind in outside and outside[kind](lo, hi, v) for c, kind, v in conditions)]
+
+    def batches(self, name, split, page, columns, conditions):
+        yield from self._table(name, columns).slice(page, 2000).to_batches()
 
 
-@query("SELECT n_nationkey::BIGINT * 10 + i AS id, 'questions/train/' || n_nationkey AS source FROM nation, range(10) t(i)")
+orders_pages = OrdersPages()
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey > 5000 AND o_orderkey <= 30000")
 def q88_remote_scan(spark, d):
-    """A dataset of as many pages as there are nations, fetched by the executors."""
-    pages = table(spark, d, "nation").count()
-    return remote.scan(spark, "ruleforge.plans.catalog_steps:numbered_page", "questions", "train", pages, "id long, source string")
+    """The orders by pages of a remote dataset; the condition on the key reaches the fetcher, which leaves out pages, and two columns alone are fetched."""
+    rows = remote.scan(spark, "ruleforge.plans.catalog_steps:orders_pages", f"{d}/orders.parquet".removeprefix("file://"), "train", _ORDERS, ["o_orderkey", "o_orderstatus"])
+    return rows.filter((F.col("o_orderkey") > 5000) & (F.col("o_orderkey") <= 30000))
 
 
 @query("SELECT s_suppkey AS id, s_suppkey % 3 = 0 AS blank, 4 AS n_longs FROM supplier")
@@ -439,3 +460,18 @@ def q93_image_files(spark, d):
     one = lambda name, as_: looked.filter(F.col("name") == name).select("id", F.struct("height", "width", "blank", "phash").alias(as_))
     alike = F.when(~F.col("y.blank"), scores.hamming(F.col("x.phash"), F.col("y.phash")) <= images.MAX_DISTANCE)
     return one("1.png", "y").join(one("0.png", "x"), "id").select("id", "y.height", "y.width", "y.blank", F.col("x.phash").isNull().alias("unreadable"), alike.alias("alike"))
+
+
+@query(r"""WITH l AS (SELECT doc_id, list_transform(list_filter(list_transform(string_split("text", chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '' AND x <> '-'), lambda x: regexp_replace(x, '^[- ]+', '')) AS b FROM documents)
+SELECT doc_id, unnest(range(len(b)))::INT AS pos, md5(unnest(b)) AS bullet_md5 FROM l""")
+def q94_bullets_in_sql(spark, d):
+    """q03 in Spark SQL, by a registered table function."""
+    sql.register(spark)
+    return spark.sql("SELECT doc_id, pos, md5(bullet) AS bullet_md5 FROM {documents}, LATERAL bullets(text)", documents=table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query("""SELECT page_id, trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) AS title, 'k: ' || page_id AS options, (page_id % 90)::INT AS score FROM pages""")
+def q95_functions_in_sql(spark, d):
+    """Tags, options and scores by registered SQL functions."""
+    sql.register(spark)
+    return spark.sql("""SELECT page_id, tag_text(html, 'title') AS title, options_block(parsed_options(concat('{{"k": "', page_id, '"}}'))) AS options, int_tag(concat('<S> ', page_id % 90, '</S>'), 's') AS score FROM {pages}""", pages=table(spark, d, "pages"))
