@@ -11,7 +11,7 @@ from ..functions.keyed import u
 from ..operators import aggregate, assemble, evolve, inference, ledger, lineage, merge, neighbours, providers, select
 from ..sources import checkpoints, directory, files, json_io, remote
 from ..sources.tables import scratch, table
-from ..streaming.resume import run_available
+from ..streaming.resume import owed_attempts, run_available
 from . import templates
 from .catalog import _BITS, _PLACED, _hashes, _picked, _r, _u, query
 
@@ -475,3 +475,15 @@ def q95_functions_in_sql(spark, d):
     """Tags, options and scores by registered SQL functions."""
     sql.register(spark)
     return spark.sql("""SELECT page_id, tag_text(html, 'title') AS title, options_block(parsed_options(concat('{{"k": "', page_id, '"}}'))) AS options, int_tag(concat('<S> ', page_id % 90, '</S>'), 's') AS score FROM {pages}""", pages=table(spark, d, "pages"))
+
+
+@query("""WITH c AS (SELECT conv_id, count(*) AS n FROM conversations WHERE role = 'assistant' GROUP BY 1), i AS (SELECT DISTINCT conv_id FROM conversations) SELECT i.conv_id AS id, unnest(range(coalesce(n, 0) + 1, 9)) AS attempt FROM i LEFT JOIN c USING (conv_id)""")
+def q96_owed_stream(spark, d):
+    """q38 as a stream: finished requests come first, then the items, each twice; what is owed is counted in state."""
+    turns, folder = table(spark, d, "conversations").select(F.col("conv_id").alias("id"), "role"), scratch(spark)
+    items = turns.select("id", F.lit(False).alias("done")).distinct()
+    for part in (turns.filter("role = 'assistant'").select("id", F.lit(True).alias("done")), items.filter("id % 2 = 0"), items):
+        part.write.mode("append").json(f"{folder}/in")
+        stream = owed_attempts(spark.readStream.schema("id long, done boolean").json(f"{folder}/in"))
+        stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("id long, attempt long").parquet(f"{folder}/out")

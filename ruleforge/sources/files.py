@@ -1,13 +1,14 @@
 """Files written and copied by executors, with a commit: all of a write becomes visible at its end, or nothing.
 
 Tasks write into a staging folder below the root, each attempt into one of its own. The commit moves the files of the attempts that Spark chose to their places and drops the
-rest, so a task that ran twice leaves one copy; a write that fails drops them all. Roots are local paths or URIs that pyarrow has a file system for (file, hdfs, s3, gs);
+rest, so a task that ran twice leaves one copy; a write that fails drops them all. (Readers pass over the staging folder by its name, should it outlive a lost driver.) Roots are local paths or URIs that pyarrow has a file system for (file, hdfs, s3, gs);
 on a cluster a local path must be one that all machines mount. A commit that is itself cut short can leave part of the files in their places, each of them whole.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -111,8 +112,14 @@ class FileWriter(DataSourceArrowWriter):
         from pyarrow import fs
 
         files, _, staging = self._staging()
-        if files.get_file_info(staging).type == fs.FileType.Directory:
-            files.delete_dir(staging)
+        for wait in (0.0, 0.2, 0.5, 1.0, 2.0):  # other tasks of a failed write may still be writing
+            time.sleep(wait)
+            try:
+                if files.get_file_info(staging).type == fs.FileType.Directory:
+                    files.delete_dir(staging)
+                return
+            except OSError:
+                continue
 
 
 class FileSink(DataSource):

@@ -116,7 +116,7 @@ def test_files(spark, tmp_path):
 
 
 def visible(folder):
-    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file() and not str(p.relative_to(folder)).startswith("_written"))
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file() and not str(p.relative_to(folder)).startswith("_"))
 
 
 def test_a_task_that_runs_twice_leaves_one_copy(tmp_path):
@@ -146,3 +146,68 @@ def test_nothing_is_visible_after_a_failure(spark, tmp_path):
     said = files.write_files(good, f"file://{tmp_path}")
     assert said.count() == 102 and said.filter("error is not null").count() == 3 and said.count() == 102
     assert len(visible(tmp_path)) == 99 and not (tmp_path.parent / "out").exists()
+
+
+def test_a_batch_costs_what_its_items_cost(spark, tmp_path, monkeypatch):
+    """Of five micro-batches of a run the first alone reads the log; keys of an older log and keys that come again are known."""
+    from ruleforge.streaming import resume
+
+    src, log, ck = tmp_path / "in", str(tmp_path / "log"), str(tmp_path / "ck")
+    src.mkdir()
+    json_io.append_lines(spark.createDataFrame([(3, 30), (11, 110)], "id long, answer long"), log)
+    for i in range(5):
+        (src / f"{i}.json").write_text("".join(f'{{"id": {k}}}\n' for k in (3 * i, 3 * i + 1, 3 * i + 2, 1)))
+    reads, sizes = [], []
+    monkeypatch.setattr(resume, "resumed", lambda *a, f=resume.resumed: reads.append(1) or f(*a))
+
+    def process(items):
+        sizes.append(items.count())
+        return items.withColumn("answer", F.col("id") * 10)
+
+    go = lambda: resume.run_available(spark, str(src), "id long", log, "id long, answer long", ck, process, files=1)
+    go()
+    assert len(sizes) == 5 and sum(sizes) == 13 and len(reads) == 2  # once for the keys known before, once for the first batch
+    (src / "9.json").write_text('{"id": 3}\n{"id": 20}\n')
+    go()
+    assert sorted((r.id, r.answer) for r in spark.read.json(log).collect()) == [(i, 10 * i) for i in (*range(15), 20)]
+    assert len(reads) == 3
+
+
+def test_a_batch_that_runs_again_adds_nothing_twice(spark, tmp_path):
+    from ruleforge.streaming import resume
+
+    src, log, ck = tmp_path / "in", str(tmp_path / "log"), str(tmp_path / "ck")
+    src.mkdir()
+    (src / "a.json").write_text('{"id": 1}\n{"id": 2}\n')
+
+    class Ends(Exception):
+        pass
+
+    def broken(items):
+        json_io.append_lines(items.limit(1).withColumn("answer", F.lit(5).cast("long")), log, 0)
+        raise Ends
+
+    call = lambda process: resume.run_available(spark, str(src), "id long", log, "id long, answer long", ck, process)
+    with pytest.raises(Exception, match="Ends"):
+        call(broken)
+    call(lambda items: items.withColumn("answer", F.lit(7).cast("long")))
+    got = sorted((r.id, r.answer) for r in spark.read.json(log).collect())
+    assert [i for i, _ in got] == [1, 2] and sorted(a for _, a in got) == [5, 7]
+
+
+def test_owed_attempts_are_counted_in_state(spark, tmp_path):
+    from ruleforge.streaming import resume
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    parts = [[(1, True), (1, True), (2, True)], [(1, False), (2, False), (2, True), (3, False)], [(1, False), (3, True)], [(4, True)] * 9 + [(4, False)]]
+
+    def run():
+        stream = resume.owed_attempts(spark.readStream.schema("id long, done boolean").json(str(src)), 4)
+        stream.writeStream.format("json").option("path", out).option("checkpointLocation", f"{out}-ck").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+    for i, part in enumerate(parts):
+        (src / f"{i}.json").write_text("".join(json.dumps({"id": k, "done": d}) + "\n" for k, d in part))
+        run()
+    got = sorted((r.id, r.attempt) for r in spark.read.schema("id long, attempt long").json(out).collect())
+    assert got == [(1, 3), (1, 4), (2, 3), (2, 4), (3, 1), (3, 2), (3, 3), (3, 4)]
