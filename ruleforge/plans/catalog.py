@@ -511,11 +511,12 @@ def q46_json_lines(spark, d):
     return json_io.resumed(spark, path, "id long, lang string, source string, n_chars long")
 
 
-@query("SELECT n_nationkey::BIGINT AS pos, n_nationkey AS id, n_name AS name FROM nation")
+@query("""SELECT doc_id AS pos, doc_id AS id, md5("text") AS text_md5, source FROM documents""")
 def q47_json_array(spark, d):
+    """All documents as one JSON array in parts, and back."""
     path = scratch(spark)
-    json_io.write_array(table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), path, "id")
-    return json_io.read_array(spark, path, "id int, name string")
+    json_io.write_array(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source"), path, "id")
+    return json_io.read_array(spark, path, "id long, text string, source string").select("pos", "id", F.md5("text").alias("text_md5"), "source")
 
 
 @query("""WITH c AS (SELECT unnest([o_orderkey // 2, o_orderkey // 3]) AS p, o_orderkey FROM orders), n AS (SELECT p, count(DISTINCT o_orderkey) AS t FROM c GROUP BY 1) SELECT o_orderkey AS id, coalesce(t, 0) AS times_used FROM orders LEFT JOIN n ON p = o_orderkey""")

@@ -167,7 +167,10 @@ def q66_exports(spark, d):
     path = scratch(spark)
     checkpoints.export_islands(rules, path)
     written = json_io.read_lines(spark, path, "id long, island_id int").groupBy("island_id").agg(F.count("*").alias("written"))
-    whole = checkpoints.export_document(rules).select("total_rules", "n_islands", F.explode("islands").alias("i")).select("total_rules", "n_islands", "i.island_id", "i.size")
+    document = scratch(spark)
+    checkpoints.export_document(rules, document)
+    whole = json_io.read_array(spark, document, "total_rules long, n_islands long, islands array<struct<island_id:int,size:long,rules:array<struct<id:long>>>>", strict=True)
+    whole = whole.select("total_rules", "n_islands", F.explode("islands").alias("i")).select("total_rules", "n_islands", "i.island_id", F.size("i.rules").cast("long").alias("size"))
     return whole.join(written, "island_id").select("island_id", "size", "written", "total_rules", "n_islands")
 
 
@@ -178,11 +181,11 @@ def q67_sorted_snapshot(spark, d):
     return json_io.read_lines(spark, path, "id long, status string", tolerant=False)
 
 
-@query("SELECT r_regionkey::BIGINT AS pos, r_regionkey::BIGINT AS id, r_name AS rule FROM region")
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_orderkey AS id, o_orderpriority || chr(10) || '[\"' AS rule FROM orders")
 def q68_strict_array(spark, d):
     """A list of rules saved and loaded strictly; what is no JSON gives no rows where that is allowed."""
     path, bad = scratch(spark), scratch(spark)
-    json_io.write_array(table(spark, d, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("rule")), path, "id")
+    json_io.write_array(table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat("o_orderpriority", F.lit('\n["')).alias("rule")), path, "id")
     spark.range(1).select(F.lit("{broken").alias("value")).write.text(bad)
     return json_io.read_array(spark, path, "id long, rule string", strict=True).unionByName(json_io.read_array(spark, bad, "id long, rule string"))
 
@@ -317,13 +320,15 @@ def q84_recorded_status(spark, d):
     return providers.recorded_status(rows)
 
 
-@query("""SELECT name, md5(CASE name WHEN 'mutation' THEN 'Change this rule a little, in four to six bullets.{{rule}}' WHEN 'scoring' THEN 'own text' ELSE '' END) AS template_md5 FROM (SELECT unnest(['mutation', 'scoring', 'unknown']) AS name)""")
+@query("""SELECT p_partkey AS id, md5(CASE p_size % 3 WHEN 0 THEN 'Change this rule a little, in four to six bullets.' || chr(10) || '- ' || p_name WHEN 1 THEN 'own text for ' || chr(10) || '- ' || p_name ELSE '' END) AS prompt_md5 FROM part""")
 def q85_template_choice(spark, d):
-    """A template from a folder, the built-in one where the folder has none, the empty text where there is neither."""
+    """Prompts of all parts by the template that each one names: one from a folder, the built-in one where the folder has none, the empty text where there is neither."""
     folder = scratch(spark)
-    spark.range(1).select(F.lit("own text").alias("value")).coalesce(1).write.option("lineSep", "\n").text(f"{folder}/scoring.md")
-    names = ("mutation", "scoring", "unknown")
-    return spark.createDataFrame([(n, templates.template(spark, n, folder).strip()) for n in names], "name string, t string").select("name", F.md5("t").alias("template_md5"))
+    spark.range(1).select(F.lit("own text for {{rule}}").alias("value")).coalesce(1).write.option("lineSep", "\n").text(f"{folder}/scoring.md")
+    texts = {n: templates.template(spark, n, folder).strip() for n in ("mutation", "scoring", "unknown")}
+    made = lambda n: templates.rule_prompt(n, F.array("p_name"), text=texts[n])
+    prompt = F.when(F.col("p_size") % 3 == 0, made("mutation")).when(F.col("p_size") % 3 == 1, made("scoring")).otherwise(made("unknown"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.md5(prompt).alias("prompt_md5"))
 
 
 @query("SELECT event_id AS id, event_type || '!' AS answer FROM events WHERE event_id % 2 = 0 OR event_id % 5 = 0")

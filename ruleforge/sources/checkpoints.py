@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .json_io import exists
+from ..functions.keyed import dense_ids
+from .json_io import exists, text_parts
 
 
 def save(folder: str, generation: int, population: DataFrame, created: DataFrame | None = None) -> None:
@@ -39,7 +40,17 @@ def export_islands(rules: DataFrame, folder: str) -> None:
     rules.write.mode("overwrite").partitionBy("island_id").json(folder)
 
 
-def export_document(rules: DataFrame) -> DataFrame:
-    """One row: sizes and rules of the islands as arrays of structs, for results that fit one task."""
-    each = rules.groupBy("island_id").agg(F.count("*").alias("size"), F.array_sort(F.collect_list(F.struct(*[c for c in rules.columns if c != "island_id"]))).alias("rules"))
-    return each.agg(F.sum("size").alias("total_rules"), F.count("*").alias("n_islands"), F.array_sort(F.collect_list(F.struct("island_id", "size", "rules"))).alias("islands"))
+def export_document(rules: DataFrame, path: str) -> None:
+    """One JSON document {total_rules, n_islands, islands: [{island_id, size, rules: [...]}]}, a rule a line, as a folder of text parts which are the document one after another. No task has all rules."""
+    spark = rules.sparkSession
+    plain = [c for c in rules.columns if c != "island_id"]
+    rows = dense_ids(rules.select("island_id", F.to_json(F.struct(*plain)).alias("rule")), "rule", "nth", by=("island_id",))
+    sizes = dense_ids(rules.groupBy("island_id").agg(F.count("*").alias("size")), "island_id", "at")
+    total = sizes.agg(F.sum("size").alias("n"), F.count("*").alias("k")).first()
+    # An island's lines: its head, its rules, its end; `at` orders islands and `nth` the lines of one.
+    head = sizes.select("at", F.lit(-1).cast("long").alias("nth"), F.concat(F.lit('{"island_id": '), F.coalesce(F.col("island_id").cast("string"), F.lit("null")), F.lit(', "size": '), "size", F.lit(', "rules": [')).alias("value"))
+    foot = sizes.select("at", F.col("size").alias("nth"), F.concat(F.lit("]}"), F.when(F.col("at") < F.lit(total.k - 1), ",").otherwise("")).alias("value"))
+    numbered = sizes.select(F.col("island_id").alias("_island"), "size", "at")
+    body = rows.join(numbered, F.col("island_id").eqNullSafe(F.col("_island"))).select("at", "nth", F.concat(F.lit("  "), "rule", F.when(F.col("nth") < F.col("size") - 1, ",").otherwise("")).alias("value"))
+    lines = dense_ids(head.unionByName(body).unionByName(foot), "at", "n", ties=("nth",))
+    text_parts(spark, path, lines.select(F.lit(2).alias("k"), "n", "value"), f'{{"total_rules": {total.n or 0}, "n_islands": {total.k}, "islands": [', "]}")

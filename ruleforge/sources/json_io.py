@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
-from ..functions.keyed import last_wins
+from ..functions.keyed import dense_ids, last_wins
+from .tables import materialize
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -19,25 +24,94 @@ def _schema(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
+_STRING = r'"(?:[^"\\]|\\.)*"'
+
+
+def _pieces(lines: pd.Series, depths: pd.Series, bases: pd.Series) -> pd.Series:
+    """Each line cut at the commas between the elements of its document, without the outer brackets; depths are those at the line's start."""
+    token = re.compile(_STRING + r"|[\[\]{},]")
+
+    def one(line: str, depth: int, base: int) -> list[str]:
+        out, start = [], 0
+        for m in token.finditer(line):
+            c = m.group()
+            if c in "[{":
+                if depth < base:
+                    start = m.end()
+                depth += 1
+            elif c in "]}":
+                depth -= 1
+                if depth < base:
+                    out.append(line[start : m.start()])
+                    # Nothing may follow the end.
+                    return out + ["]" + line[m.end() :]] * (line[m.end() :].strip() != "")
+            elif c == "," and depth == base:
+                out.append(line[start : m.start()])
+                start = m.end()
+        return [*out, line[start:]]
+
+    return pd.Series([one(*x) for x in zip(lines, depths, bases, strict=True)])
+
+
 def read_array(spark: SparkSession, path: str, schema: StructType | str, strict: bool = False) -> DataFrame:
-    """Rows of a file that holds one JSON array (or one object), with their place as ``pos``.
+    """Rows of files that hold one JSON array (or one object) each, or of parts of files that hold one together, as write_array() leaves them, with their place in it as ``pos``.
 
-    A file that isn't there is an error; one that isn't JSON gives no rows, or an error if ``strict``. Such files are read whole by one task
-    each, so large inputs belong in JSON lines.
+    Files are read by lines in blocks. No string of JSON goes on in the next line, so how deep each line starts is a running sum over lines and blocks, and where an element ends
+    follows from that; the lines of an element then meet. So a task holds a block of lines, or one element, and a file of one line goes through one task. Documents that aren't JSON
+    give no rows, or an error if ``strict``; a path that isn't there is an error.
     """
-    schema = _schema(schema)
-    text = spark.read.text(path, wholetext=True).select(F.ltrim("value").alias("value"))
-    array = F.when(F.col("value").startswith("{"), F.concat(F.lit("["), F.col("value"), F.lit("]"))).otherwise(F.col("value"))
-    mode = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    parsed = text.select(F.from_json(array, f"array<{schema.simpleString()}>", mode).alias("rows"))
-    return parsed.select(F.posexplode("rows").alias("pos", "row")).select(F.col("pos").cast("long").alias("pos"), "row.*")
+    kind = _schema(schema).simpleString()
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = materialize(lines.filter(F.trim("value") != "").withColumn("n", F.monotonically_increasing_id()))
+    bare = F.regexp_replace(F.regexp_replace("value", r"\\.", ""), '"[^"]*"', "")  # without escapes each quote begins or ends a string
+    lines = lines.withColumn("change", F.length(F.regexp_replace(bare, r"[^\[{]", "")) - F.length(F.regexp_replace(bare, r"[^\]}]", "")))
+    # A row a block: how deep it starts, and which document its file belongs to.
+    blocks = lines.groupBy("file", "block").agg(F.sum("change").alias("all"), F.min_by(F.ltrim("value"), "n").alias("head"))
+    order = Window.partitionBy().orderBy("file", "block")
+    blocks = blocks.withColumn("deep", F.coalesce(F.sum("all").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    starts = (F.col("deep") <= 0) & (F.coalesce(F.lag("file").over(order), F.lit("")) != F.col("file"))
+    blocks = blocks.withColumn("document", F.sum(starts.cast("int")).over(order))
+    first = F.first("head").over(Window.partitionBy("document").orderBy("file", "block"))
+    blocks = blocks.withColumn("base", F.when(first.startswith("["), 1).otherwise(0)).drop("all", "head")
+    within = Window.partitionBy("file", "block").orderBy("n")
+    placed = lines.join(blocks, ["file", "block"]).withColumn("depth", F.col("deep") + F.sum("change").over(within) - F.col("change"))
+    cut = F.pandas_udf(_pieces, "array<string>")
+    placed = materialize(placed.select("document", "file", "block", "n", cut("value", F.col("depth").cast("int"), "base").alias("parts"), (F.col("depth") + F.col("change")).alias("after")))
+    # Elements before a line: commas in its block, and those of the blocks before.
+    sums = placed.groupBy("document", "file", "block").agg(F.sum(F.size("parts") - 1).alias("commas"))
+    past = F.coalesce(F.sum("commas").over(Window.partitionBy("document").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    here = F.sum(F.size("parts") - 1).over(within) - F.size("parts") + 1
+    each = placed.withColumn("here", here).join(sums.withColumn("past", past).drop("commas"), ["document", "file", "block"])
+    each = each.select("document", "file", "block", "n", (F.col("past") + F.col("here")).alias("_at"), F.posexplode("parts").alias("_i", "text"))
+    piece = F.struct("file", "block", "n", "text")
+    found = each.groupBy("document", (F.col("_at") + F.col("_i")).alias("pos")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["text"]), "\n").alias("text"))
+    found = materialize(found.withColumn("bad", (F.trim("text") != "") & F.try_parse_json("text").isNull()))
+    # A document is whole if all of its elements are, and it ends as deep as it began.
+    ends = placed.groupBy("document").agg(F.max_by("after", F.struct("file", "block", "n")).alias("after"))
+    broken = found.groupBy("document").agg(F.bool_or(F.col("bad") | ((F.trim("text") == "") & (F.col("pos") > 0))).alias("bad"))
+    broken = materialize(broken.join(ends, "document").filter("bad or after != 0").select("document"))
+    if strict and not broken.isEmpty():
+        raise ValueError(f"no JSON array in {path}")
+    rows = found.filter(F.trim("text") != "").join(broken, "document", "left_anti")
+    return rows.select(F.col("pos").cast("long").alias("pos"), F.from_json("text", kind).alias("row")).select("pos", "row.*")
 
 
 def write_array(df: DataFrame, path: str, order: str | None = None) -> None:
-    """One text file with a JSON array, in order; for results of a size that one task can write."""
-    rows = df.select(F.struct(F.lit(0) if order is None else F.col(order), F.to_json(F.struct(*df.columns)).alias("j")).alias("r"))
-    body = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["j"]), ",\n  ").alias("b"))
-    body.select(F.concat(F.lit("[\n  "), "b", F.lit("\n]")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """A JSON array in order, an element a line, as a folder of text parts which are the array one after another; concatenated by name they are one file. No task has all rows."""
+    key = order or "_order"
+    rows = df if order else df.withColumn("_order", F.lit(0))
+    body = F.to_json(F.struct(*df.columns))
+    numbered = dense_ids(rows.select(key, body.alias("_json")) if order else rows.select("_order", body.alias("_json")), key, "_n", ties=("_json",))
+    text_parts(df.sparkSession, path, numbered.select(F.lit(1).alias("k"), F.col("_n").alias("n"), F.concat(F.lit("  "), "_json").alias("value")), "[", "]")
+
+
+def text_parts(spark: SparkSession, path: str, body: DataFrame, head: str, foot: str) -> None:
+    """Lines (k, n, value) in order between two others, a comma after all but the last of k = 1, as a folder of text parts."""
+    last = body.agg(F.max("n")).first()[0]
+    ends = spark.createDataFrame([(0, 0, head), (9, 0, foot)], "k int, n long, value string")
+    comma = F.when((F.col("k") == 1) & (F.col("n") < F.lit(-1 if last is None else last)), F.concat("value", F.lit(","))).otherwise(F.col("value"))
+    every = body.select(F.col("k").cast("int").alias("k"), F.col("n").cast("long").alias("n"), "value").unionByName(ends)
+    every.withColumn("value", comma).orderBy("k", "n").select("value").write.mode("overwrite").text(path)
 
 
 def read_lines(spark: SparkSession, path: str | list[str], schema: StructType | str, tolerant: bool = True) -> DataFrame:

@@ -13,7 +13,7 @@ SCHEMA = "id long, name string, tags array<string>"
 def test_arrays(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"id": 2, "name": "é\n", "tags": ["x"]}, {"id": 1}], ensure_ascii=False, indent=2))
     got = json_io.read_array(spark, str(tmp_path / "a.json"), SCHEMA).collect()
-    assert [(r.pos, r.id, r.name, r.tags) for r in got] == [(0, 2, "é\n", ["x"]), (1, 1, None, None)]
+    assert [(r.pos, r.id, r.name, r.tags) for r in sorted(got)] == [(0, 2, "é\n", ["x"]), (1, 1, None, None)]
     (tmp_path / "o.json").write_text('{"id": 7}')
     assert [r.id for r in json_io.read_array(spark, str(tmp_path / "o.json"), SCHEMA).collect()] == [7]
     (tmp_path / "bad.json").write_text("[{")
@@ -22,7 +22,7 @@ def test_arrays(spark, tmp_path):
         json_io.read_array(spark, str(tmp_path / "bad.json"), SCHEMA, strict=True).collect()
     out = str(tmp_path / "out")
     json_io.write_array(spark.createDataFrame([(3, "c"), (1, "a")], "id long, name string"), out, "id")
-    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
     assert json.loads(text) == [{"id": 1, "name": "a"}, {"id": 3, "name": "c"}]
 
 
@@ -84,8 +84,11 @@ def test_checkpoints(spark, tmp_path):
     assert checkpoints.restore(spark, folder, 1)[1].count() == 1
     checkpoints.export_islands(rules, str(tmp_path / "islands"))
     assert sorted(p.name for p in (tmp_path / "islands").glob("island_id=*")) == ["island_id=0", "island_id=1"]
-    doc = checkpoints.export_document(rules).first()
-    assert (doc.total_rules, doc.n_islands) == (6, 2) and [i.size for i in doc.islands] == [3, 3]
+    checkpoints.export_document(rules, str(tmp_path / "document"))
+    doc = json.loads("".join(p.read_text() for p in sorted((tmp_path / "document").glob("part-*"))))
+    assert (doc["total_rules"], doc["n_islands"]) == (6, 2) and [(i["island_id"], i["size"], len(i["rules"])) for i in doc["islands"]] == [(0, 3, 3), (1, 3, 3)]
+    checkpoints.export_document(rules.limit(0), str(tmp_path / "none"))
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*")))) == {"total_rules": 0, "n_islands": 0, "islands": []}
 
 
 def test_streaming_resume(spark, tmp_path):
@@ -211,3 +214,35 @@ def test_owed_attempts_are_counted_in_state(spark, tmp_path):
         run()
     got = sorted((r.id, r.attempt) for r in spark.read.schema("id long, attempt long").json(out).collect())
     assert got == [(1, 3), (1, 4), (2, 3), (2, 4), (3, 1), (3, 2), (3, 3), (3, 4)]
+
+
+@pytest.mark.parametrize("indent", [None, 0, 3])
+def test_arrays_are_read_by_blocks(spark, tmp_path, indent):
+    """Whatever the line breaks and wherever a block ends: strings with brackets, quotes and commas, nested values, several documents, parts of one."""
+    odd = ['a "b" [', "}, {", "\\", "\\\"", "x\ny", "é,", "", "]"]
+    make = lambda n, k: [{"id": i * k, "name": odd[i % len(odd)] * (i % 4 + 1), "tags": [odd[(i + j) % len(odd)] for j in range(i % 3)]} for i in range(n)]
+    documents = {"a.json": make(120, 1), "b.json": [], "c.json": make(7, -1), "d.json": {"id": 5, "name": "one {", "tags": None}}
+    (tmp_path / "in").mkdir()
+    for name, rows in documents.items():
+        (tmp_path / "in" / name).write_text(json.dumps(rows, ensure_ascii=False, indent=indent) + "\n\n")
+    expected = [(p, r["id"], r["name"], r["tags"]) for rows in documents.values() for p, r in enumerate(rows if isinstance(rows, list) else [rows])]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        for strict in (True, False):
+            got = json_io.read_array(spark, str(tmp_path / "in"), SCHEMA, strict)
+            assert sorted(map(repr, ((r.pos, r.id, r.name, r.tags) for r in got.collect()))) == sorted(map(repr, expected))
+        rows = spark.createDataFrame([(r["id"], r["name"], r["tags"]) for r in documents["a.json"]], SCHEMA).repartition(5)
+        json_io.write_array(rows, str(tmp_path / "out"), "id")
+        back = json_io.read_array(spark, str(tmp_path / "out"), SCHEMA, strict=True)
+        assert sorted(map(repr, ((r.pos, r.id, r.name, r.tags) for r in back.collect()))) == sorted(repr(x) for x in expected[:120])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("text", ["[1, 2", "[{}, {]", '[{"id": 1},, {"id": 2}]', '{"id": 1', "nothing", '[{"id": 1}] x'])
+def test_broken_arrays(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    assert json_io.read_array(spark, str(tmp_path / "bad.json"), SCHEMA).count() == 0
+    with pytest.raises(ValueError, match="no JSON array"):
+        json_io.read_array(spark, str(tmp_path / "bad.json"), SCHEMA, strict=True)
