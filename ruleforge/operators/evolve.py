@@ -6,6 +6,7 @@ in SQL. How often a rule was a parent is frozen at the start of a generation ins
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,18 +64,21 @@ def pick_parents(tasks: DataFrame, candidates: DataFrame, group: str, slot: str,
     return one.select(group, slot, key).unionByName(other.select(group, slot, key))
 
 
-def migrated(rules: DataFrame, seed: int, generation: int, rate: float = 0.05, island: str = "island_id", key: str = "id") -> DataFrame:
+def migrated(rules: DataFrame, seed: int, generation: int, rate: float = 0.05, island: str = "island_id", key: str = "id", islands: DataFrame | None = None) -> DataFrame:
     """Rules with the island they live on afterwards. m = max(1, floor(rate * size of the first island)) rules leave each island, all of one with m or
-    fewer, for one other island drawn for each source. Nothing moves where there is one island only.
+    fewer, for one other island drawn for each source among ``islands`` (by default those that hold rules), so an emptied island can be settled again. Nothing moves where there is one island only.
     """
     sizes = rules.groupBy(island).agg(F.count("*").alias("_n"))
-    everyone = Window.partitionBy()  # one row an island
-    sizes = sizes.withColumn("_m", F.greatest(F.lit(1), F.floor(F.min_by("_n", island).over(everyone) * F.lit(rate)).cast("int"))).withColumn("_all", F.array_sort(F.collect_list(island).over(everyone)))
-    others = F.array_except("_all", F.array(F.col(island)))
-    at = F.floor(u(seed, "target", generation, F.col(island)) * F.size(others)).cast("int")
-    sizes = sizes.withColumn("_to", F.when(F.size(others) > 0, F.get(others, at)).otherwise(F.col(island))).drop("_all")
+    every = sizes.select(island) if islands is None else islands.select(island).unionByName(sizes.select(island)).distinct()
+    numbered = dense_ids(every, island, "_no")
+    n = numbered.count()
+    least = sizes.agg(F.min_by("_n", island)).first()[0] or 0
+    # Of the n - 1 others in order, the one at the place drawn.
+    at = F.floor(u(seed, "target", generation, F.col(island)) * (n - 1)).cast("long")
+    targets = sizes.join(numbered, island).withColumn("_goal", F.when(F.lit(n) > 1, F.when(at < F.col("_no"), at).otherwise(at + 1)).otherwise(F.col("_no")))
+    targets = targets.join(numbered.select(F.col("_no").alias("_goal"), F.col(island).alias("_to")), "_goal").select(island, "_to", F.lit(max(1, math.floor(least * rate))).alias("_m"))
     drawn = dense_ids(rules.withColumn("_draw", u(seed, "migrate", generation, F.col(key))), "_draw", "_nth", by=(island,), ties=(key,))
-    return drawn.join(sizes, island).withColumn(island, F.when(F.col("_nth") < F.col("_m"), F.col("_to")).otherwise(F.col(island))).select(*rules.columns)
+    return drawn.join(targets, island).withColumn(island, F.when(F.col("_nth") < F.col("_m"), F.col("_to")).otherwise(F.col(island))).select(*rules.columns)
 
 
 def crossed_bullets(a: Column, b: Column, share: float, *key: Column | str | int) -> Column:
@@ -115,7 +119,7 @@ def next_generation(rules: DataFrame, tags: DataFrame, generation: int, settings
     """
     s, g = settings, generation
     if g % s.interval == 0:
-        rules = migrated(rules, s.seed, g, s.migration)
+        rules = migrated(rules, s.seed, g, s.migration, islands=tags)
     rules = materialize(rules.withColumn("fitness", fitness(F.col("times_used_as_parent"), F.col("ancestry_depth"), F.col("mutated"), u(s.seed, "fitness", g, F.col("id")))))
     best = elites(rules, s.elite).drop("fitness")
     n = rules.groupBy("island_id").agg(F.count("*").alias("n"), F.min("id").alias("least"))

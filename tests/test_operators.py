@@ -344,6 +344,16 @@ def test_migration_moves_few_and_one_island_stays(spark):
     assert len(after) == 101 and len(moved) == 5 and 200 in moved
     alone = df.filter("island_id = 0")
     assert {r.island_id for r in evolve.migrated(alone, 1, 3).collect()} == {0}
+    # An island that lost all its rules can get some again.
+    every = spark.createDataFrame([(i,) for i in range(4)], "island_id int")
+    for seed in range(8):
+        after = {r.id: r.island_id for r in evolve.migrated(df, seed, 3, islands=every).collect()}
+        moved = {i: isl for i, isl in after.items() if isl != (2 if i == 200 else i % 2)}
+        assert len(moved) == 5 and len({moved[i] for i in moved if i % 2 and i != 200}) == 1
+        if 3 in moved.values():
+            break
+    else:
+        raise AssertionError("no rule reached the empty island")
 
 
 def test_providers(spark):
