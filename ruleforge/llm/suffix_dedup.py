@@ -8,9 +8,9 @@ stands in different contexts are the contexts themselves gathered, one for each
 sharded by gram; a suffix array of each shard and its common prefixes of 50 bytes then find equal windows.
 
 Whole copies meet first by digest, so that large groups of copies send no anchors. No common gram or context fills a task: each piece of
-text settles its own repeats of a context before the shuffle; grams that are common in a sample of the documents are dealt by the bytes
-on either side of them as well; and where more than HOT_RUN contexts of a gram are left, their windows meet by hash, with partial minima,
-instead of in one suffix array. The sample only routes rows, so no result depends on it.
+text settles its own repeats of a context before the shuffle; grams that are common by a sample of the documents are dealt by the bytes
+on either side of them as well; and where more than hot_run() contexts of a gram are left, their windows meet by hash, with partial minima,
+instead of in one suffix array. A task holds the open contexts of one gram, HELD at most. The sample only routes rows, so no result depends on it.
 """
 
 from __future__ import annotations
@@ -28,10 +28,19 @@ BEFORE = WIDTH - 1
 CONTEXT = BEFORE + SPAN
 #: Bytes of contexts in one suffix array, and of text in one pass.
 SHARD_BYTES, PIECE_BYTES = 1 << 19, 1 << 20
-#: Contexts of one gram that meet in one shard; where there are more, their windows meet by hash.
-HOT_RUN = 2048
-#: Documents whose anchors tell which grams are common, and the share of those anchors from which on a gram is.
-SAMPLED, COMMON = 4000, 1000
+#: Contexts of one gram that meet in one shard, by documents: one for each EACH of them, HOT_RUN at least and MOST_RUN at most, some 1.4 MB. Where there are more, their windows meet by hash,
+#: which takes 35 rows a context. Any bound gives the same result.
+HOT_RUN, EACH, MOST_RUN = 2048, 25, 16_384
+
+
+def hot_run(documents: int) -> int:
+    return max(HOT_RUN, min(documents // EACH, MOST_RUN))
+
+
+#: Documents whose anchors tell which grams are common: those of which all documents, by the sample's share, have more than hot_run() open anchors, and the sample SEEN or more.
+SAMPLED, SEEN = 4000, 16
+#: Open contexts of one gram that a task holds, beside the rows of a pass; where a gram has more, they meet by their windows.
+HELD, FLUSH = 100_000, 200_000
 #: Different codes of the bytes beside a gram; with 0 they fill 10 bits.
 CODES = 1023
 
@@ -167,8 +176,12 @@ def _met(run: np.ndarray, c: np.ndarray, code: np.ndarray) -> np.ndarray:
     return out
 
 
-def _settled(batches):
-    """From rows sorted by gram, context and document: covered anchors, and those whose contexts must be compared (hot: by their windows)."""
+def settled_by(most: int):
+    return lambda batches: _settled(batches, most)
+
+
+def _settled(batches, most: int | None = None):
+    """From rows sorted by gram, context and document: covered anchors, and those whose contexts must be compared (hot, where a gram has more than ``most``: by their windows)."""
     import pyarrow as pa
 
     def out(h, doc, place, covered, hot=False):
@@ -176,14 +189,15 @@ def _settled(batches):
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, doc, place, *flags)], ["h", "doc_id", "place", "covered", "hot"])
 
     held = [np.zeros(0, np.int64)] * 4
-    rows, ready = [], 0
+    rows, ready, full = [], 0, None  # full: a gram of more than HELD open contexts
 
     def flush(final: bool):
-        nonlocal held
+        nonlocal held, full
         h, c, d, p = (np.concatenate((held[i], *(r[i] for r in rows))) for i in range(4))
         rows.clear()
         if not len(h):
             return
+        known = len(held[0]) if full is not None else 0  # of a full gram the last context alone is held, which is out already
         run = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         kind = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
         of_kind = np.repeat(d[kind], np.diff(np.r_[kind, len(h)]))
@@ -192,19 +206,30 @@ def _settled(batches):
         sizes = np.diff(np.r_[run, len(h)])
         open_ = np.repeat(np.minimum.reduceat(of_kind, run) < np.maximum.reduceat(of_kind, run), sizes)
         keep = ~covered
+        keep[:known] = False
+        last = np.arange(len(h)) >= run[-1]
+        if full is not None:
+            more = keep & (h == full)
+            yield out(h[more], d[more], p[more], False, True)
+            keep &= ~more
         if final:
             held = [np.zeros(0, np.int64)] * 4
+        elif full is not None and h[-1] == full:
+            held = [x[~covered & (np.arange(len(h)) >= kind[-1])] for x in (h, c, d, p)]
         else:
-            last = np.arange(len(h)) >= run[-1]
-            held = [x[keep & last] for x in (h, c, d, p)]
+            held, full = [x[keep & last] for x in (h, c, d, p)], None
             keep &= ~last
+            if len(held[0]) > HELD:
+                full = h[-1]
+                yield out(held[0], held[2], held[3], False, True)
+                held = [x[~covered & (np.arange(len(h)) >= kind[-1])] for x in (h, c, d, p)]
         keep &= open_
         # Equal windows share the gram and all 17 bytes on its left or on its right.
         at = np.flatnonzero(keep)
         of_run = np.repeat(np.arange(len(run)), sizes)[at]
         at = at[_met(of_run, c[at], (c[at] >> 10) & 1023) | _met(of_run, c[at], c[at] & 1023)]
         of_run = np.repeat(np.arange(len(run)), sizes)[at]
-        hot = np.bincount(of_run, minlength=1)[of_run] > HOT_RUN if len(at) else np.zeros(0, bool)
+        hot = np.bincount(of_run, minlength=1)[of_run] > (HOT_RUN if most is None else most) if len(at) else np.zeros(0, bool)
         for x, is_hot in ((at[~hot], False), (at[hot], True)):
             yield out(h[x], d[x], p[x], False, is_hot)
 
@@ -214,7 +239,7 @@ def _settled(batches):
         yield out(h[done], d[done], p[done], True)
         rows.append([x[~done] for x in (h, c, d, p)])
         ready += batch.num_rows
-        if ready >= 200_000:
+        if ready >= FLUSH:
             yield from flush(False)
             ready = 0
     yield from flush(True)
@@ -401,10 +426,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total = digests.count()
     some = singles.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total // SAMPLED))) == 0) if total else singles
     often = materialize(some.mapInArrow(_anchored(), _ANCHORS).groupBy("h").agg(F.count_if(~F.col("covered")).alias("n")), "often")
-    least = (often.agg(F.sum("n")).first()[0] or 0) // COMMON
-    common = np.array([r.h for r in often.filter(F.col("n") > max(least, HOT_RUN)).select("h").collect()], np.int64).view(np.uint64)  # COMMON at most
+    # A share of the sample's anchors, so there are as many common grams at most as the sample has anchors, by SEEN.
+    run = hot_run(total)
+    least = max(SEEN, run // max(1, total // SAMPLED))
+    common = np.array([r.h for r in often.filter(F.col("n") >= least).select("h").collect()], np.int64).view(np.uint64)
     found = singles.mapInArrow(_anchored(common), _ANCHORS)
-    settled = found.repartition("h").sortWithinPartitions("h", "c", "doc_id", "place").mapInArrow(_settled, "h long, doc_id long, place long, covered boolean, hot boolean")
+    settled = found.repartition("h").sortWithinPartitions("h", "c", "doc_id", "place").mapInArrow(settled_by(run), "h long, doc_id long, place long, covered boolean, hot boolean")
     settled = materialize(settled, "settled")
     discard(digests), discard(often)
     del found

@@ -76,12 +76,15 @@ def in_this_process(rows, common=False):
     return {r["doc_id"]: (r["n_bytes"], sum(x["stop"] - x["start"] for x in r["removed"]), len(r["removed"]), hashlib.sha256(r["kept"]).hexdigest()) for r in out}
 
 
+@pytest.mark.parametrize("held,flush", [(100_000, 200_000), (5, 1), (1, 7), (0, 30)])
 @pytest.mark.parametrize("hot,piece,shard,common", [(4096, 1 << 21, 1 << 20, False), (1, 200, 1000, False), (3, 5000, 300, True), (0, 1 << 20, 1 << 20, True), (4096, 100, 1 << 20, True)])
-def test_overlapping_repeats_with_small_pieces_shards_and_runs(monkeypatch, hot, piece, shard, common):
+def test_overlapping_repeats_with_small_pieces_shards_and_runs(monkeypatch, hot, piece, shard, common, held, flush):
     rng = random.Random(2)
     base = prose(rng, 300)
     rows = [(i, base[(a := rng.randrange(600)) : a + rng.randint(30, 400)] + rng.choice(["", "x", prose(rng, 8)]) + base[(b := rng.randrange(900)) : b + rng.randint(40, 80)]) for i in range(60)]
     rows += [(100, "a" * 300), (101, "a" * 49), (102, "a" * 50), (103, "b" + "a" * 120), (104, "line of text again, " * 40), (105, "x line of text again, line of text again, line of text again"), (106, base)]
+    monkeypatch.setattr(m, "HELD", held)
+    monkeypatch.setattr(m, "FLUSH", flush)
     monkeypatch.setattr(m, "HOT_RUN", hot)
     monkeypatch.setattr(m, "PIECE_BYTES", piece)
     monkeypatch.setattr(m, "SHARD_BYTES", shard)
@@ -93,7 +96,7 @@ def test_common_passages_and_grams(spark, monkeypatch):
     from ruleforge.llm import common
 
     monkeypatch.setattr(common, "HOT", 20)
-    monkeypatch.setattr(m, "COMMON", 1 << 40)
+    monkeypatch.setattr(m, "SEEN", 1)
     monkeypatch.setattr(m, "HOT_RUN", 2)
     rng = random.Random(8)
     line, passage = "the very same line stands in all of these texts", prose(rng, 30)
@@ -134,3 +137,26 @@ def test_large_alphabet_and_prefixes():
         while n < min(len(a), len(b), 16) and a[n] == b[n]:
             n += 1
         assert plcp[x] >= n
+
+
+def test_a_task_holds_a_bounded_part_of_a_common_gram(monkeypatch):
+    """One gram in different contexts: what a task holds doesn't grow with the documents that have it."""
+    import tracemalloc
+
+    monkeypatch.setattr(m, "HELD", 3000)
+    monkeypatch.setattr(m, "FLUSH", 5000)
+
+    def rows(n):
+        for s in range(0, n, 1000):
+            c = np.arange(s, s + 1000) << 21
+            at = [np.full(1000, 77), c, np.arange(s, s + 1000) % 997, np.full(1000, 40 << 13 | 34 << 6 | 50), np.zeros(1000, bool)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in at], ["h", "c", "doc_id", "place", "covered"])
+
+    peaks = []
+    for n in (20_000, 200_000):
+        tracemalloc.start()
+        hot = sum(sum(b.column("hot").to_pylist()) for b in m._settled(rows(n)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert hot == n
+    assert peaks[1] < 1.2 * peaks[0]
