@@ -27,6 +27,8 @@ WEIGHTS, CAP, BLOCK_DOCS, SEED = (1, 2, 3), 3, 2048, 20240229
 MAX_BLOCKS = 65_536
 #: Words of a shard, and bounds on the number of shards: the driver holds a number for each shard and source.
 SHARD_WORDS, SHARDS, MAX_SHARDS, MAX_CELLS = 2_000_000, 4, 65_536, 20_000_000
+#: Tasks that write a shard, each a shuffled part of it.
+PARTS = 8
 #: The driver holds one row a source: more sources than this are an error.
 MAX_SOURCES = 100_000
 
@@ -145,5 +147,6 @@ def mixed(docs: DataFrame, shards: int | None = None, seed: int = SEED, **option
     rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key"))).filter("_nth = 1").drop("_nth")
     rows = rows.join(taken, "_key").select("_key", "_row", F.posexplode("_shards").alias("_copy", "_shard"))
     count = 1 + (plan.agg(F.max(F.array_max("shards"))).first()[0] or 0)
-    rows = rows.withColumn("_at", F.xxhash64(F.lit(seed + 4), "_key", "_copy")).repartition(count, "_shard").sortWithinPartitions("_shard", "_at")
-    return rows.select("_row.*", "_copy", "_shard")
+    # A shard is dealt in PARTS, so that few shards, or some that meet in one task, leave none with much more than its share.
+    rows = rows.withColumn("_at", F.xxhash64(F.lit(seed + 4), "_key", "_copy")).repartition(count * PARTS, "_shard", F.pmod("_at", F.lit(PARTS)))
+    return rows.sortWithinPartitions("_shard", "_at").select("_row.*", "_copy", "_shard")
