@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.keyed import dense_ids, running_sums, u
 from ..functions.scores import child_depth, elite_count, fitness, offspring_count
