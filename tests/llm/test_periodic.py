@@ -4,7 +4,6 @@ import re
 import zlib
 
 import numpy as np
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
