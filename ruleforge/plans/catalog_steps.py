@@ -10,7 +10,7 @@ from ..functions import images, raster, scores, sql, text
 from ..functions.keyed import u
 from ..operators import aggregate, assemble, evolve, inference, ledger, lineage, merge, neighbours, providers, select
 from ..sources import checkpoints, directory, files, json_io, remote
-from ..sources.tables import scratch, table
+from ..sources.tables import scratch, spread, table
 from ..streaming.resume import owed_attempts, run_available
 from . import templates
 from .catalog import _BITS, _PLACED, _hashes, _picked, _r, _u, query
@@ -383,7 +383,7 @@ def q89_blank_images(spark, d):
     pixel = lambda i: F.lpad(F.hex(F.when(key % 3 == 0, key % 250).otherwise((key * 7 + i * 37) % 256).cast("long")), 2, "0")
     data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(255)), pixel), ""))
     image = F.struct(F.lit(16).alias("h"), F.lit(16).alias("w"), F.lit(1).alias("channels"), data.alias("data"))
-    looked = images.hashed_images(table(spark, d, "supplier").select(key.alias("id"), image.alias("pixels")))
+    looked = images.hashed_images(spread(table(spark, d, "supplier").select(key)).select(key.alias("id"), image.alias("pixels")))
     return looked.select("id", "blank", F.size("phash").alias("n_longs"))
 
 

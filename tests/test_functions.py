@@ -186,3 +186,25 @@ def test_templates_in_one_pass(spark):
     df = spark.createDataFrame([("has {b} in it", "B", "{{a}}|{b}|{c}")], "a string, b string, t string")
     for template in ("{{a}}|{b}|{c}", F.col("t")):
         assert df.select(text.rendered(template, a=F.col("a"), b=F.col("b"))).first()[0] == "has {b} in it|B|{c}"
+
+
+def test_similarity_by_window_sums():
+    """The same as means and variances of each window, at a cost that doesn't follow the window's area."""
+    rng = np.random.default_rng(8)
+    c1, c2 = (0.01 * 255) ** 2, (0.03 * 255) ** 2
+    for x in (rng.integers(0, 256, (40, 30)), np.full((16, 16), 254), np.where(np.arange(900).reshape(30, 30) % 97 == 0, 0, 255), rng.integers(250, 256, (16, 12))):
+        view = np.lib.stride_tricks.sliding_window_view(images.resized(images.gray(x), 256, 256), (7, 7))
+        mean, var = view.mean(axis=(2, 3)), view.var(axis=(2, 3), ddof=1)
+        expected = (((2 * mean * 255 + c1) * c2) / ((mean**2 + 255.0**2 + c1) * (var + c2))).mean()
+        assert math.isclose(images.similarity_to_white(x), expected, rel_tol=1e-12)
+    cells = np.arange(20.0).reshape(4, 5)
+    assert images._window_sums(cells, 2).tolist() == [[cells[i : i + 2, j : j + 2].sum() for j in range(4)] for i in range(3)]
+
+
+def test_rows_of_one_file_are_spread(spark, tmp_path):
+    """A small file is read by one task; costly rows of it go to several."""
+    from ruleforge.sources.tables import spread
+
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert df.rdd.getNumPartitions() == 1 and sum(len(p) > 0 for p in spread(df).rdd.glom().collect()) >= 4
