@@ -1,14 +1,16 @@
 """Batch jobs that outlive the driver.
 
-A folder holds the requests, written once in a partition for each batch; the answers, a partition for each batch and attempt; and a ledger, to which each step of a batch is
-added before the next is taken. A run that breaks off is called again with the same folder: batches that are open are polled, finished ones are left alone, and a
+A folder holds the requests, written once in a partition for each batch; the answers, a partition for each batch and attempt; what a batch owes after an attempt; and a ledger, to which each step
+of a batch is added before the next is taken. Batches that end together are written together, so jobs follow the rounds of open batches, not the batches. A run that breaks off is called again with the same folder: batches that are open are polled, finished ones are left alone, and a
 batch whose sending was noted but not its handle is looked up at the service by its key, so none is sent twice.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.keyed import last_wins
+from ..sources import json_io
 from .providers import batch_outcome, batches
 
 LEDGER = "at long, batch long, attempt int, event string, handle string"
@@ -55,10 +58,19 @@ class Ledger:
                 self.state[r.batch] = (r.last.attempt, r.last.event, r.last.handle)
 
     def note(self, events: list[tuple[int, int, str, str | None]]) -> None:
-        """Adds events (batch, attempt, event, handle) as one file."""
+        """Adds events (batch, attempt, event, handle) as one file, which has its name once it is whole. They are few, so no job is started for them."""
         if not events:
             return
-        self.spark.createDataFrame([(self.at + 1 + i, *e) for i, e in enumerate(events)], LEDGER).coalesce(1).write.mode("append").json(self.path)
+        names = [f.split()[0] for f in LEDGER.split(", ")]
+        lines = "".join(json.dumps(dict(zip(names, (self.at + 1 + i, *e), strict=True))) + "\n" for i, e in enumerate(events))
+        at = self.spark._jvm.org.apache.hadoop.fs.Path
+        part, whole = at(f"{self.path}/_part-{self.at + 1}"), at(f"{self.path}/part-{self.at + 1}.json")
+        files = whole.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = files.create(part, True)
+        out.write(bytearray(lines.encode()))
+        out.close()
+        if not files.rename(part, whole):
+            raise OSError(f"can't write {whole.toString()}")
         self.at += len(events)
         self.state |= {b: tuple(rest) for b, *rest in events if b >= 0}
 
@@ -79,16 +91,32 @@ def run(requests: DataFrame, folder: str, service: BatchService, size: int = 500
     rows = spark.read.schema(planned.schema).parquet(f"{folder}/requests")
     known = [r.batch for r in rows.select("batch").distinct().orderBy("batch").collect()]  # from the folders' names
 
-    def answers(batch: int) -> DataFrame | None:
-        try:
-            found = batch_outcome(spark.read.schema(ANSWER + ", attempt int").option("basePath", f"{folder}/answers/batch={batch}").parquet(f"{folder}/answers/batch={batch}"))
-        except AnalysisException:
-            return None
-        return found.filter("outcome = 'ok'").select("id")
-
-    def owed(batch: int) -> DataFrame:
-        mine, good = rows.filter(F.col("batch") == batch), answers(batch)
-        return mine if good is None else mine.join(good, "id", "left_anti")
+    def owed(batch: int, attempt: int) -> DataFrame:
+        if attempt == 1:
+            return rows.filter(F.col("batch") == batch)
+        return spark.read.schema(planned.schema).option("basePath", f"{folder}/owed").parquet(f"{folder}/owed/batch={batch}/_attempt={attempt}").drop("_attempt")
+
+    def put(df: DataFrame, name: str, attempt: str) -> None:
+        """Rows with a batch and an attempt, in place of what an earlier run left of those."""
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", attempt).parquet(f"{folder}/{name}")
+
+    def settled(ended: list[int], found: list[DataFrame]) -> set[int]:
+        """Writes the answers that came in, and of the ended batches that may be sent again what they still owe; returns those that owe something. Two or three jobs, however many batches ended."""
+        if found:
+            put(reduce(DataFrame.unionAll, found), "answers", "attempt")
+        again = {b: ledger.state[b][0] + 1 for b in ended if ledger.state[b][0] < most}
+        if not again:
+            return set()
+        mine = rows.filter(F.col("batch").isin(list(again)))
+        there = [p for b in again if json_io.exists(spark, p := f"{folder}/answers/batch={b}")]
+        if there:
+            answers = spark.read.schema(ANSWER + ", batch long, attempt int").option("basePath", f"{folder}/answers").parquet(*there)
+            mine = mine.join(batch_outcome(answers).filter("outcome = 'ok'").select("batch", "id"), ["batch", "id"], "left_anti")
+        left = {r.batch for r in mine.select("batch").distinct().collect()}
+        if left:
+            attempt = reduce(lambda x, b: x.when(F.col("batch") == b, again[b]), left, F)
+            put(mine.filter(F.col("batch").isin(list(left))).withColumn("_attempt", attempt), "owed", "_attempt")
+        return left
 
     # A batch that was being sent when the run broke off is open, if the service knows it.
     ledger.note([(b, n, "open", handle) for b, (n, event, _) in ledger.state.items() if event == "sending" and (handle := service.find(f"{b}-{n}"))])
@@ -98,20 +126,21 @@ def run(requests: DataFrame, folder: str, service: BatchService, size: int = 500
         opening = [waiting.pop(0) for _ in range(min(len(waiting), active - len(open_)))]
         numbers = {b: (n if event == "sending" else n + 1) for b in opening for n, event, _ in [ledger.state.get(b, (0, "new", None))]}
         ledger.note([(b, n, "sending", None) for b, n in numbers.items()])
-        ledger.note([(b, n, "open", service.submit(owed(b), f"{b}-{n}")) for b, n in numbers.items()])
+        ledger.note([(b, n, "open", service.submit(owed(b, n), f"{b}-{n}")) for b, n in numbers.items()])
         open_ += opening
-        ended = []
+        ended, found = [], []
         for b in open_:
             n, _, handle = ledger.state[b]
             try:
-                found = service.poll(handle)
-                if found is None:
+                came = service.poll(handle)
+                if came is None:
                     continue
-                found.select("id", "custom_id", "status_code", "error", "content").write.mode("overwrite").parquet(f"{folder}/answers/batch={b}/attempt={n}")
-                left = not owed(b).isEmpty()
+                found.append(came.select("id", "custom_id", "status_code", "error", "content", F.lit(b).cast("long").alias("batch"), F.lit(n).alias("attempt")))
             except BatchFailed:
-                left = True
-            ended.append((b, n, "again" if left and n < most else "done", None))
+                pass
+            ended.append(b)
+        left = settled(ended, found)
+        ended = [(b, ledger.state[b][0], "again" if b in left else "done", None) for b in ended]
         ledger.note(ended)
         open_ = [b for b in open_ if b not in {e[0] for e in ended}]
         waiting += [b for b, _, event, _ in ended if event == "again"]

@@ -146,3 +146,25 @@ def test_attempts_wait_longer_each_time(spark):
     once = lambda ids, n: ids.select("id", (F.col("id") < n).alias("ok"))
     providers.attempts(spark.range(3), once, wait=providers.Retry(sleep=waits.append))
     assert waits == [1.0, 2.0]
+
+
+def test_jobs_follow_rounds_not_batches(spark, tmp_path):
+    """Batches that end together are settled together: three times the batches in a round take no more jobs."""
+    class Lazy(Service):
+        def submit(self, rows, key):
+            self.sent[key] = rows.select("id", "custom_id", F.when(F.col("id") % 5 == int(key[-1]), 500).otherwise(200).alias("status_code"), F.lit(None).cast("string").alias("error"), F.lit("a").alias("content"))
+            return key
+
+        def poll(self, handle):
+            return self.sent[handle]
+
+    jobs = []
+    for n in (80, 240):
+        group = f"ledger-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        requests, folder = spark.range(n).select("id", F.col("id").alias("pos")), f"file://{tmp_path}/jobs{n}"
+        ledger.run(requests, folder, service := Lazy(), size=10, active=24, most=2, sleep=lambda _: None)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        assert len(service.sent) == 2 * n // 10 and ledger.run(requests, folder, service).filter("attempts = 2 and error is null").count() == n // 5
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert jobs[1] <= jobs[0] + 2, jobs
