@@ -32,3 +32,9 @@ def test_every_query_but_one_has_sql():
 def test_every_bullet_and_any_depth_take_part(spark, con):
     assert con.execute(f"SELECT max(len(b)) FROM ({catalog._LINES})").fetchone()[0] > 8
     assert con.execute(catalog._RELATIVES + " SELECT max(depth) FROM n WHERE nth <= 2").fetchone()[0] > 6
+
+
+def test_option_lists_are_made_over_several_tasks(spark):
+    """The parts are one small file, which one task reads."""
+    assert catalog.table(spark, FOLDER, "part").rdd.getNumPartitions() == 1
+    assert sum(len(p) > 0 for p in catalog._groups(spark, FOLDER).rdd.glom().collect()) >= 4
