@@ -458,13 +458,15 @@ def q93_image_files(spark, d):
 
         return pd.Series([one(k, n) for k, n in zip(keys, nth, strict=True)])
 
-    made = table(spark, d, "supplier").select(key, F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
+    made = spread(table(spark, d, "supplier").select(key)).select(key, F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
     if files.write_files(made.select(F.concat(key, F.lit("_1/output_correct/"), "n", F.lit(".png")).alias("path"), drawn(key, "n").alias("content")), root).filter("error is not null").count():
         raise OSError(f"can't write to {root}")
     looked = images.hashed_files(directory.files(spark, root, content=True).select("id", "name", "content"))
-    one = lambda name, as_: looked.filter(F.col("name") == name).select("id", F.struct("height", "width", "blank", "phash").alias(as_))
+    # Both files of a supplier in one pass: each is read and hashed once.
+    one = lambda name: F.first(F.when(F.col("name") == name, F.struct("height", "width", "blank", "phash")), ignorenulls=True)
+    pairs = looked.groupBy("id").agg(one("0.png").alias("x"), one("1.png").alias("y")).filter("x is not null and y is not null")
     alike = F.when(~F.col("y.blank"), scores.hamming(F.col("x.phash"), F.col("y.phash")) <= images.MAX_DISTANCE)
-    return one("1.png", "y").join(one("0.png", "x"), "id").select("id", "y.height", "y.width", "y.blank", F.col("x.phash").isNull().alias("unreadable"), alike.alias("alike"))
+    return pairs.select("id", "y.height", "y.width", "y.blank", F.col("x.phash").isNull().alias("unreadable"), alike.alias("alike"))
 
 
 @query(r"""WITH l AS (SELECT doc_id, list_transform(list_filter(list_transform(string_split("text", chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '' AND x <> '-'), lambda x: regexp_replace(x, '^[- ]+', '')) AS b FROM documents)

@@ -38,3 +38,8 @@ def test_option_lists_are_made_over_several_tasks(spark):
     """The parts are one small file, which one task reads."""
     assert catalog.table(spark, FOLDER, "part").rdd.getNumPartitions() == 1
     assert sum(len(p) > 0 for p in catalog._groups(spark, FOLDER).rdd.glom().collect()) >= 4
+
+
+def test_image_files_are_hashed_once(spark):
+    plan = catalog.QUERIES["q93_image_files"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
