@@ -12,9 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keyed import dense_ids, running_sums, u
+from ..functions.keyed import below, dense_ids, running_sums, u
 from ..functions.scores import child_depth, elite_count, fitness, offspring_count
-from ..sources.tables import materialize
+from ..sources.tables import materialize, spread
 from .aggregate import islands
 
 RULE = "id long, rule_content array<string>, generation int, parents array<long>, mutated boolean, question_type string, knowledge_point string, times_used_as_parent long, creation_method string, ancestry_depth int, island_id int"
@@ -35,6 +35,13 @@ class Settings:
 UNIT = 720_720
 
 
+def slots(owed: DataFrame, group: str, count: str, stretch: int = 1000) -> DataFrame:
+    """(group, slot): slots 1 to ``count`` of each group. Groups are few and their slots many, so stretches of slots are dealt over tasks before they are counted out."""
+    parts = spread(owed.select(group, count, F.explode(F.sequence(F.lit(0), F.floor((F.col(count) - 1) / stretch).cast("int"))).alias("_part")))
+    first = F.col("_part").cast("long") * stretch + 1
+    return parts.select(group, F.explode(F.sequence(first, F.least(first + stretch - 1, F.col(count).cast("long")))).alias("slot"))
+
+
 def elites(rules: DataFrame, share: float = 0.1, island: str = "island_id", score: str = "fitness", pos: str = "id") -> DataFrame:
     """Of each island the max(1, floor(share * n)) fittest, ties by position. Ranks are taken by ranges, so no task orders an island."""
     n = rules.groupBy(island).agg(F.count("*").alias("_n"))
@@ -42,25 +49,27 @@ def elites(rules: DataFrame, share: float = 0.1, island: str = "island_id", scor
     return ranked.join(n, island).filter(F.col("_nth") < elite_count(F.col("_n"), share)).drop("_n", "_nth", "_less")
 
 
-def pick_parents(tasks: DataFrame, candidates: DataFrame, group: str, slot: str, key: str, used: str, *purpose: str | int) -> DataFrame:
-    """(group, slot, key): one parent for each task (group, slot), drawn with replacement among the group's candidates.
+def pick_parents(tasks: DataFrame, candidates: DataFrame, group: str, slot: str, key: str, used: str, *purpose: Column | str | int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(group, slot, *keep, key): one parent for each task (group, slot), drawn with replacement among the group's candidates.
 
     In 4 of 10 tasks, where the group has unused candidates, any of those is as likely; in the others weights are 1 / (used + 1). Tasks meet candidates by equi-joins: on
-    the number of an unused one, or on the stretch of a cumulative sum.
+    the number of an unused one, or on the stretch of a cumulative sum. Draws are hashed once and written, as filters and joins would each hash them anew. Several draws a task, told apart
+    by columns in ``keep`` and ``purpose``, share the sorts of the candidates.
     """
+    weight = F.floor(F.lit(UNIT) / (F.col(used) + 1)).cast("long")
     fresh = dense_ids(candidates.filter(F.col(used) == 0).select(group, key), key, "_at", by=(group,))
-    weighed = running_sums(candidates.select(group, key, F.floor(F.lit(UNIT) / (F.col(used) + 1)).cast("long").alias("_w")), key, "_w", "_hi", by=(group,))
-    size = candidates.groupBy(group).agg(F.count_if(F.col(used) == 0).alias("_fresh"), F.sum(F.floor(F.lit(UNIT) / (F.col(used) + 1)).cast("long")).alias("_mass"))
-    drawn = tasks.select(group, slot).join(size, group)
-    even = (u(*purpose, "branch", F.col(group), F.col(slot)) < 0.4) & (F.col("_fresh") > 0)
-    drawn = drawn.withColumn("_even", even).withColumn("_draw", u(*purpose, "draw", F.col(group), F.col(slot)))
+    weighed = running_sums(candidates.select(group, key, weight.alias("_w")), key, "_w", "_hi", by=(group,))
+    size = candidates.groupBy(group).agg(F.count_if(F.col(used) == 0).alias("_fresh"), F.sum(weight).alias("_mass"))
+    drawn = tasks.select(group, slot, *keep).join(size, group)
+    drawn = drawn.withColumn("_branch", u(*purpose, "branch", F.col(group), F.col(slot))).withColumn("_draw", u(*purpose, "draw", F.col(group), F.col(slot)))
+    drawn = materialize(drawn).withColumn("_even", (F.col("_branch") < 0.4) & (F.col("_fresh") > 0))
     one = drawn.filter("_even").withColumn("_at", F.floor(F.col("_draw") * F.col("_fresh"))).join(fresh, [group, "_at"])
     at = drawn.filter("not _even").withColumn("_at", F.floor(F.col("_draw") * F.col("_mass"))).withColumn("_unit", F.floor(F.col("_at") / UNIT))
     # A stretch is UNIT long at most, so it lies in one or two units: an equi-join on the unit instead of a range join.
     lo = F.col("_hi") - F.col("_w")
     stretch = weighed.select(group, key, lo.alias("_lo"), "_hi", F.explode(F.array_distinct(F.array(F.floor(lo / UNIT), F.floor((F.col("_hi") - 1) / UNIT)))).alias("_unit"))
     other = at.join(stretch, [group, "_unit"]).filter((F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_hi")))
-    return one.select(group, slot, key).unionByName(other.select(group, slot, key))
+    return one.select(group, slot, *keep, key).unionByName(other.select(group, slot, *keep, key))
 
 
 def migrated(rules: DataFrame, seed: int, generation: int, rate: float = 0.05, island: str = "island_id", key: str = "id", islands: DataFrame | None = None) -> DataFrame:
@@ -83,7 +92,7 @@ def migrated(rules: DataFrame, seed: int, generation: int, rate: float = 0.05, i
 def crossed_bullets(a: Column, b: Column, share: float, *key: Column | str | int) -> Column:
     """A marker, then the distinct bullets of both parents, each kept with probability ``share``."""
     every = F.array_distinct(F.concat(a, b))
-    kept = F.filter(every, lambda x, i: u(*key, i) < share)
+    kept = F.filter(every, lambda x, i: below(share, *key, i))
     return F.concat(F.array(F.lit("Combined rule")), kept)
 
 
@@ -123,23 +132,22 @@ def next_generation(rules: DataFrame, tags: DataFrame, generation: int, settings
     best = elites(rules, s.elite).drop("fitness")
     n = rules.groupBy("island_id").agg(F.count("*").alias("n"), F.min("id").alias("least"))
     owed = n.filter("n > 1").withColumn("k", offspring_count(F.col("n"), s.growth, s.elite)).filter("k > 0")
-    tasks = owed.select("island_id", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("slot"))
-
-    tasks = materialize(tasks)
-    drawn = None
-    for side in ("p1", "p2"):
-        one = pick_parents(tasks, rules, "island_id", "slot", "id", "times_used_as_parent", s.seed, side, g).withColumnRenamed("id", side)
-        drawn = one if drawn is None else drawn.join(one, ["island_id", "slot"])
+    tasks = slots(owed, "island_id", "k")
+    sides = tasks.withColumn("side", F.explode(F.array(F.lit("p1"), F.lit("p2"))))
+    picked = pick_parents(sides, rules, "island_id", "slot", "id", "times_used_as_parent", s.seed, F.col("side"), g, keep=("side",))
+    drawn = picked.groupBy("island_id", "slot").agg(*(F.max(F.when(F.col("side") == p, F.col("id"))).alias(p) for p in ("p1", "p2")))
     # Children are numbered by island, then slot; the islands' ranges are cut by slot too.
     drawn = materialize(drawn.withColumn("_order", F.col("island_id").cast("double") * 2.0**31 + F.col("slot")))
     field = lambda p: rules.select(F.col("id").alias(p), F.col("rule_content").alias(f"{p}_rule"), F.col("question_type").alias(f"{p}_type"), F.col("knowledge_point").alias(f"{p}_point"), F.col("ancestry_depth").alias(f"{p}_depth"))
     both = dense_ids(drawn, "_order", "id", start=next_id).drop("_order").join(field("p1"), "p1").join(field("p2"), "p2")
     tag = lambda c: F.when(u(s.seed, c, g, F.col("id")) < 0.5, F.col(f"p1_{c}")).otherwise(F.col(f"p2_{c}"))
     child = crossed_bullets(F.col("p1_rule"), F.col("p2_rule"), 0.7, s.seed, "bullet", g, F.col("id"))
-    change = u(s.seed, "mutate", g, F.col("id")) < s.mutation
+    # As columns of a step before, both are made once a row; inside the choice below each of their uses would make them anew.
+    both = both.withColumn("_change", u(s.seed, "mutate", g, F.col("id")) < s.mutation).withColumn("_child", child)
+    change = F.col("_change")
     born = both.select(
         "id",
-        F.when(change, mutated_bullets(child, s.seed, g, F.col("id"))).otherwise(child).alias("rule_content"),
+        F.when(change, mutated_bullets(F.col("_child"), s.seed, g, F.col("id"))).otherwise(F.col("_child")).alias("rule_content"),
         F.lit(g).alias("generation"),
         F.array_distinct(F.array("p1", "p2")).alias("parents"),
         change.alias("mutated"),
@@ -154,10 +162,11 @@ def next_generation(rules: DataFrame, tags: DataFrame, generation: int, settings
     lone = rules.join(n.filter("n = 1").select("island_id"), "island_id", "left_semi").drop("fitness")
     copies = dense_ids(lone, "id", "_id", start=(next_id if top is None else top + 1))
     copies = copies.withColumn("parents", F.array("id")).withColumn("id", F.col("_id")).withColumn("generation", F.lit(g)).withColumn("creation_method", F.lit("replicated")).drop("_id")
-    created = materialize(born.unionByName(copies))
+    # What is written is not written again with the rest.
+    created = born.unionByName(materialize(copies))
     counted = created.select(F.explode("parents").alias("id")).groupBy("id").agg(F.count("*").alias("_more"))
     kept = best.join(counted, "id", "left").withColumn("times_used_as_parent", F.col("times_used_as_parent") + F.coalesce("_more", F.lit(0))).drop("_more")
-    return materialize(kept.unionByName(created)), created
+    return materialize(kept).unionByName(created), created
 
 
 def evolve(rules: DataFrame, settings: Settings = Settings(), on_generation=None, done: tuple[int, DataFrame, DataFrame] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ruleforge.functions.text import COUNT_EXTENSIONS, LETTERS
+from ruleforge.functions import keyed
 from ruleforge.functions.keyed import running_sums
 from ruleforge.operators import aggregate, assemble, evolve, lineage, merge, neighbours, providers, select
 
@@ -365,6 +366,27 @@ def test_evolution_invariants(spark):
     assert 0.03 < share < 0.35
 
 
+def test_slots_are_dealt_and_candidates_sorted_once(spark, monkeypatch):
+    """One group's slots go over several tasks, and both parents share the sorts of the candidates."""
+    made = evolve.slots(spark.createDataFrame([(0, 20_500), (1, 1)], "g int, k int"), "g", "k")
+    parts = made.rdd.map(tuple).glom().collect()
+    assert sum(len(p) > 0 for p in parts) >= 3 and max(map(len, parts)) < 20_000
+    assert sorted(x for p in parts for x in p) == [*((0, i) for i in range(1, 20_501)), (1, 1)]
+    sorts = []
+    monkeypatch.setattr(keyed, "_sorted", lambda *a, f=keyed._sorted: sorts.append(a) or f(*a))
+    seeds = spark.createDataFrame([(i, [f"r{i}"], "t" + str(i % 2), "k") for i in range(16)], "id long, rule_content array<string>, question_type string, knowledge_point string")
+    population, tags = evolve.seeded(seeds)
+    sorts.clear()
+    assert evolve.next_generation(population, tags, 1, evolve.Settings(), 16)[1].count() > 0
+    assert len(sorts) == 5  # elites, unused candidates, all candidates, children, lone rules
+
+
+def test_a_share_of_draws_by_digits(spark):
+    shares = [-1.0, 0.0, 2.0**-33, 0.15, 0.5, 0.7, 1 - 2.0**-33, 1.0, 2.0]
+    row = spark.range(500).select(*(F.count_if(keyed.below(x, 7, "b", F.col("id")) != (keyed.u(7, "b", F.col("id")) < x)).alias(f"c{i}") for i, x in enumerate(shares))).first()
+    assert not any(row)
+
+
 def test_evolution_goes_on_from_a_saved_generation(spark):
     seeds = spark.createDataFrame([(i, [f"r{i}"], "t" + str(i % 2), "k") for i in range(16)], "id long, rule_content array<string>, question_type string, knowledge_point string")
     saved = {}
