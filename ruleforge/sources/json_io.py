@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,85 +25,120 @@ def _schema(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
-_STRING = r'"(?:[^"\\]|\\.)*"'
+#: Up to so many blocks of lines go to all tasks; more meet their lines by a join.
+BLOCKS = 100_000
 
+_STRING = r'"[^"\\]*(?:\\.[^"\\]*)*"'
 
-def _pieces(lines: pd.Series, depths: pd.Series, bases: pd.Series) -> pd.Series:
-    """Each line cut at the commas between the elements of its document, without the outer brackets; depths are those at the line's start."""
-    token = re.compile(_STRING + r"|[\[\]{},]")
 
-    def one(line: str, depth: int, base: int) -> list[str]:
-        out, start = [], 0
-        for m in token.finditer(line):
-            c = m.group()
-            if c in "[{":
-                if depth < base:
-                    start = m.end()
-                depth += 1
-            elif c in "]}":
-                depth -= 1
-                if depth < base:
-                    out.append(line[start : m.start()])
-                    # Nothing may follow the end.
-                    return out + ["]" + line[m.end() :]] * (line[m.end() :].strip() != "")
-            elif c == "," and depth == base:
-                out.append(line[start : m.start()])
+def _cut(line: str, depth: int, base: int, token: re.Pattern) -> list[str]:
+    """A line cut at the commas between the elements of its document, without the outer brackets; ``depth`` is that at its start."""
+    out, start = [], 0
+    for m in token.finditer(line):
+        c = m.group()
+        if c in "[{":
+            if depth < base:
                 start = m.end()
-        return [*out, line[start:]]
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+            if depth < base:
+                out.append(line[start : m.start()])
+                # Nothing may follow the end.
+                return out + ["]" + line[m.end() :]] * (line[m.end() :].strip() != "")
+        elif c == "," and depth == base:
+            out.append(line[start : m.start()])
+            start = m.end()
+    return [*out, line[start:]]
 
-    return pd.Series([one(*x) for x in zip(lines, depths, bases, strict=True)])
+
+def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The elements of each block of lines, numbered from 0 in it. The first and the last of a block are marked as its edges: they may go on beyond it."""
+    token = re.compile(_STRING + r"|[\[\]{},]")
+    block, document, depth, i, open_ = None, None, 0, 0, []
+    out: list[tuple] = []
+    end = lambda edge: out.append((document, block, i, edge, "\n".join(open_)))
+    columns = ["document", "no", "i", "edge", "text"]
+    for batch in batches:
+        for line, change, no, of, deep, base in zip(*(batch[c] for c in ("value", "change", "no", "document", "deep", "base")), strict=True):
+            if no != block:
+                if block is not None:
+                    end(True)
+                block, document, depth, i, open_ = no, of, deep, 0, []
+            first, *more = _cut(line, depth, base, token)
+            depth += change
+            open_.append(first)
+            for part in more:
+                end(i == 0)
+                i, open_ = i + 1, [part]
+        yield pd.DataFrame(out, columns=columns)
+        out.clear()
+    if block is not None:
+        end(True)
+        yield pd.DataFrame(out, columns=columns)
 
 
 def read_array(spark: SparkSession, path: str, schema: StructType | str, strict: bool = False) -> DataFrame:
     """Rows of files that hold one JSON array (or one object) each, or of parts of files that hold one together, as write_array() leaves them, with their place in it as ``pos``.
 
-    Files are read by lines in blocks. No string of JSON goes on in the next line, so how deep each line starts is a running sum over lines and blocks, and where an element ends
-    follows from that; the lines of an element then meet. So a task holds a block of lines, or one element, and a file of one line goes through one task. Documents that aren't JSON
+    Files are read by lines in blocks, twice: how deep each block starts is a running sum over blocks; then each block is cut into elements, which are written once. Only an element at the edge
+    of a block meets the rest of it by a shuffle. So a task holds a block of lines, or one element, and a file of one line goes through one task. Documents that aren't JSON
     give no rows, or an error if ``strict``; a path that isn't there is an error.
     """
     kind = _schema(schema).simpleString()
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    lines = materialize(lines.filter(F.trim("value") != "").withColumn("n", F.monotonically_increasing_id()))
+    lines = lines.filter(F.trim("value") != "").withColumn("n", F.monotonically_increasing_id())
     bare = F.regexp_replace(F.regexp_replace("value", r"\\.", ""), '"[^"]*"', "")  # without escapes each quote begins or ends a string
     lines = lines.withColumn("change", F.length(F.regexp_replace(bare, r"[^\[{]", "")) - F.length(F.regexp_replace(bare, r"[^\]}]", "")))
     # A row a block: how deep it starts, and which document its file belongs to.
-    blocks = lines.groupBy("file", "block").agg(F.sum("change").alias("all"), F.min_by(F.ltrim("value"), "n").alias("head"))
+    blocks = lines.groupBy("file", "block").agg(F.sum("change").alias("all"), F.min_by(F.substring(F.ltrim("value"), 1, 1), "n").alias("head"))
     order = Window.partitionBy().orderBy("file", "block")
-    blocks = blocks.withColumn("deep", F.coalesce(F.sum("all").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    blocks = blocks.withColumn("no", F.row_number().over(order).cast("long")).withColumn("deep", F.coalesce(F.sum("all").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     starts = (F.col("deep") <= 0) & (F.coalesce(F.lag("file").over(order), F.lit("")) != F.col("file"))
     blocks = blocks.withColumn("document", F.sum(starts.cast("int")).over(order))
     first = F.first("head").over(Window.partitionBy("document").orderBy("file", "block"))
-    blocks = blocks.withColumn("base", F.when(first.startswith("["), 1).otherwise(0)).drop("all", "head")
-    within = Window.partitionBy("file", "block").orderBy("n")
-    placed = lines.join(blocks, ["file", "block"]).withColumn("depth", F.col("deep") + F.sum("change").over(within) - F.col("change"))
-    cut = F.pandas_udf(_pieces, "array<string>")
-    placed = materialize(placed.select("document", "file", "block", "n", cut("value", F.col("depth").cast("int"), "base").alias("parts"), (F.col("depth") + F.col("change")).alias("after")))
-    # Elements before a line: commas in its block, and those of the blocks before.
-    sums = placed.groupBy("document", "file", "block").agg(F.sum(F.size("parts") - 1).alias("commas"))
-    past = F.coalesce(F.sum("commas").over(Window.partitionBy("document").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    here = F.sum(F.size("parts") - 1).over(within) - F.size("parts") + 1
-    each = placed.withColumn("here", here).join(sums.withColumn("past", past).drop("commas"), ["document", "file", "block"])
-    each = each.select("document", "file", "block", "n", (F.col("past") + F.col("here")).alias("_at"), F.posexplode("parts").alias("_i", "text"))
-    piece = F.struct("file", "block", "n", "text")
-    found = each.groupBy("document", (F.col("_at") + F.col("_i")).alias("pos")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["text"]), "\n").alias("text"))
-    found = materialize(found.withColumn("bad", (F.trim("text") != "") & F.try_parse_json("text").isNull()))
+    blocks = materialize(blocks.withColumn("base", F.when(first == "[", 1).otherwise(0)).drop("head"))
+    few = F.broadcast if blocks.count() <= BLOCKS else lambda df: df
+    # In each task a block's lines follow one another, whichever way the join goes.
+    placed = lines.join(few(blocks), ["file", "block"]).sortWithinPartitions("n").select("value", "change", "no", "document", "deep", "base")
+    bad = (F.trim("text") != "") & F.try_parse_json("text").isNull()
+    cut = placed.mapInPandas(_elements, "document long, no long, i long, edge boolean, text string")
+    cut = materialize(cut.withColumn("bad", ~F.col("edge") & bad))
+    # Elements before a block: commas in the blocks before.
+    before = Window.partitionBy("document").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    past = cut.groupBy("document", "no").agg(F.max("i").alias("i")).select("no", F.coalesce(F.sum("i").over(before), F.lit(0)).alias("past"))
+    each = cut.join(few(materialize(past)), "no").withColumn("pos", F.col("past") + F.col("i"))
+    meeting = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "text"))), lambda x: x["text"]), "\n")
+    edges = materialize(each.filter("edge").groupBy("document", "pos").agg(meeting.alias("text")).withColumn("bad", bad))
+    found = each.filter("not edge").select("document", "pos", "text", "bad").unionByName(edges)
     # A document is whole if all of its elements are, and it ends as deep as it began.
-    ends = placed.groupBy("document").agg(F.max_by("after", F.struct("file", "block", "n")).alias("after"))
+    ends = blocks.groupBy("document").agg(F.max_by(F.col("deep") + F.col("all"), "no").alias("after"))
     broken = found.groupBy("document").agg(F.bool_or(F.col("bad") | ((F.trim("text") == "") & (F.col("pos") > 0))).alias("bad"))
     broken = materialize(broken.join(ends, "document").filter("bad or after != 0").select("document"))
     if strict and not broken.isEmpty():
         raise ValueError(f"no JSON array in {path}")
-    rows = found.filter(F.trim("text") != "").join(broken, "document", "left_anti")
+    rows = found.filter(F.trim("text") != "").join(few(broken), "document", "left_anti")
     return rows.select(F.col("pos").cast("long").alias("pos"), F.from_json("text", kind).alias("row")).select("pos", "row.*")
 
 
 def write_array(df: DataFrame, path: str, order: str | None = None) -> None:
-    """A JSON array in order, an element a line, as a folder of text parts which are the array one after another; concatenated by name they are one file. No task has all rows."""
-    key = order or "_order"
-    rows = df if order else df.withColumn("_order", F.lit(0))
+    """A JSON array in order, an element a line, as a folder of text parts which are the array one after another; concatenated by name they are one file. No task has all rows.
+
+    The rows are shuffled once, by the sort that writes them. Only those of the greatest key, among which is the one without a comma, are numbered first.
+    """
     body = F.to_json(F.struct(*df.columns))
-    numbered = dense_ids(rows.select(key, body.alias("_json")) if order else rows.select("_order", body.alias("_json")), key, "_n", ties=("_json",))
-    text_parts(df.sparkSession, path, numbered.select(F.lit(1).alias("k"), F.col("_n").alias("n"), F.concat(F.lit("  "), "_json").alias("value")), "[", "]")
+    rows = df.select((F.col(order) if order else body).alias("o"), F.concat(F.lit("  "), body).alias("value"))
+    top = materialize(rows.agg(F.max("o").alias("top")))
+    rows = rows.crossJoin(F.broadcast(top)).withColumn("last", F.col("o").eqNullSafe(F.col("top")))
+    # Without a key the text is the key, and is not shuffled beside itself.
+    key = F.col("o") if order else F.lit(0)
+    tail = dense_ids(rows.filter("last").select(key.alias("o"), "value"), "value", "n")
+    n = tail.agg(F.max("n")).first()[0]
+    tail = tail.select(F.lit(2).alias("k"), "o", "n", F.when(F.col("n") < F.lit(-1 if n is None else n), F.concat("value", F.lit(","))).otherwise(F.col("value")).alias("value"))
+    every = rows.filter("not last").select(F.lit(1).alias("k"), key.alias("o"), F.lit(0).cast("long").alias("n"), F.concat("value", F.lit(",")).alias("value")).unionByName(tail)
+    ends = df.sparkSession.createDataFrame([(0, 0, "["), (9, 0, "]")], "k int, n long, value string")
+    every = every.unionByName(ends, allowMissingColumns=True)
+    every.orderBy("k", "o", "n", "value").select("value").write.mode("overwrite").text(path)
 
 
 def text_parts(spark: SparkSession, path: str, body: DataFrame, head: str, foot: str) -> None:

@@ -240,6 +240,36 @@ def test_arrays_are_read_by_blocks(spark, tmp_path, indent):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_arrays_move_their_text_once(spark, tmp_path, monkeypatch, most):
+    """Of 3,000 elements the one of the greatest key is numbered, all are written once, and those at the edges of blocks meet; blocks are joined either way. Copies and null keys stay."""
+    moved = {"numbered": 0, "written": 0}
+    texts = {"value", "parts", "text"}
+
+    def counted(kind, f):
+        def run(df, *a, **b):
+            moved[kind] += df.count() if texts & {*df.columns} or "_json" in df.columns else 0
+            return f(df, *a, **b)
+
+        return run
+
+    data = [(i, "x, [" * (i % 5), None) for i in range(2997)] + [(None, "n", ["a"]), (2996, "", None), (2996, "", None)]
+    df = spark.createDataFrame(data, SCHEMA)
+    monkeypatch.setattr(json_io, "dense_ids", counted("numbered", json_io.dense_ids))
+    monkeypatch.setattr(json_io, "materialize", counted("written", json_io.materialize))
+    monkeypatch.setattr(json_io, "BLOCKS", most, raising=False)
+    json_io.write_array(df, str(tmp_path / "out"), "id")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = json_io.read_array(spark, str(tmp_path / "out"), SCHEMA, strict=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert [(r.id, r.name, r.tags) for r in sorted(got)] == sorted(data, key=key) and [r.pos for r in sorted(got)] == [*range(3000)]
+    assert moved["numbered"] == 3 and moved["written"] < 3200
+
+
 @pytest.mark.parametrize("text", ["[1, 2", "[{}, {]", '[{"id": 1},, {"id": 2}]', '{"id": 1', "nothing", '[{"id": 1}] x'])
 def test_broken_arrays(spark, tmp_path, text):
     (tmp_path / "bad.json").write_text(text)
