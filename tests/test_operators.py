@@ -325,6 +325,19 @@ def test_relatives_over_a_long_chain_take_few_rounds(spark, monkeypatch):
     assert len(removed) <= 22 and core.count() < 700
 
 
+def test_relatives_and_ten_options_send_no_table_to_the_driver(spark, monkeypatch):
+    """However small the files, tables that grow with the rules aren't broadcast."""
+    plans = []
+    shown = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(lineage, "materialize", lambda df, f=lineage.materialize: shown(df) or f(df))
+    g = groups(spark)
+    rules = spark.createDataFrame([(i, [i - 1] if i else []) for i in range(30)], "id long, parents array<long>")
+    ten = assemble.ten_options(g, lineage.relatives(rules, rules.filter("id % 4 = 0")))
+    shown(ten)
+    assert ten.count() == 30
+    assert sum("SortMergeJoin" in p for p in plans) > 5 and not any("Broadcast" in p for p in plans)
+
+
 def groups(spark):
     return spark.createDataFrame([(i, [f"{i}c{k}" for k in range(5)], [f"{i}w{k}" for k in range(3)]) for i in range(30)] + [(99, ["a"], ["b"])], "id long, correct array<string>, incorrect array<string>")
 
