@@ -86,15 +86,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     bitmap = spark.range(longs).join(bits, F.col("id") == F.col("word"), "left").agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("b")).select(F.col("b.bits").alias("b"))
     bitmap = materialize(bitmap, "bitmap").scalar()
 
-    texts = docs.filter("doc_id is not null and text is not null").select("doc_id", words_col(F.col("text")).alias("words"))
-    texts = texts.select("doc_id", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("wh"), bitmap.alias("bitmap"))
+    whole = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
+    row = F.xxhash64("doc_id", "words")
+    texts = whole.select("doc_id", words_col(F.col("text")).alias("words"))
+    texts = texts.select("doc_id", row.alias("row"), F.transform("words", lambda w: F.xxhash64(w)).alias("wh"), bitmap.alias("bitmap"))
     hits = F.array().cast("array<struct<h:bigint,at:int>>")
     for k in sorted(size.k):
         hits = F.concat(hits, _hits(F.col("bitmap"), longs, k))
     # The outer form: for a plain filter the optimizer finds all hits a second time.
-    texts = texts.select("doc_id", "words", hits.alias("hits")).select("doc_id", "words", F.explode_outer(F.when(F.size("hits") > 0, F.array("hits"))).alias("hits")).filter("hits is not null")
-    texts = materialize(texts.withColumn("row", F.xxhash64("doc_id", "words")).dropDuplicates(["row"]), "suspects")
-    hits = texts.select("row", F.size("words").alias("doc_n"), F.explode("hits").alias("x")).select("row", "doc_n", "x.h", "x.at")
+    texts = texts.select("doc_id", "row", F.size("wh").alias("doc_n"), hits.alias("hits")).select("doc_id", "row", "doc_n", F.explode_outer(F.when(F.size("hits") > 0, F.array("hits"))).alias("hits")).filter("hits is not null")
+    # Places alone are kept, as the bitmap lets some through by chance and so holds most long texts for suspects: with their words, 2.9 GB of documents made 4,038 MB here.
+    suspects = materialize(texts.dropDuplicates(["row"]), "suspects")
+    hits = suspects.select("row", "doc_n", F.explode("hits").alias("x")).select("row", "doc_n", "x.h", "x.at")
 
     # Any match holds one of the item's total - need + 1 shingles that come first in any order; rare ones make few pairs.
     often = grams.groupBy("h").agg(F.count("*").alias("often"))
@@ -111,15 +114,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     step = placed.select("row", "item_id", "doc_n", "n", "need", "need_full", F.explode(F.array(F.struct(end.alias("start"), F.lit(1).alias("by")), F.struct((F.col("at") + 1).alias("start"), F.lit(-1).alias("by")))).alias("e")).select("*", "e.start", "e.by")
     held = F.sum("by").over(Window.partitionBy("row", "item_id").orderBy("start"))
     enough = F.when(F.col("doc_n") < F.col("n"), F.col("need")).otherwise(F.col("need_full"))
-    starts = step.withColumn("held", held).filter((F.col("by") > 0) & (F.col("held") >= enough)).select("row", "item_id", "start", "held").distinct()
+    starts = step.withColumn("held", held).filter((F.col("by") > 0) & (F.col("held") >= enough)).select("row", "item_id", "n", "start", "held").distinct()
     # Where no shingle repeats, what a window holds is exact, and the first of the best windows is enough.
     plain = placed.groupBy("row", "item_id").agg((~F.first("repeats") & (F.count("*") == F.count_distinct("h"))).alias("plain"))
     best = F.row_number().over(Window.partitionBy("row", "item_id").orderBy(F.desc("held"), "start"))
-    starts = materialize(starts.withColumn("best", best).join(plain, ["row", "item_id"]).filter(~F.col("plain") | (F.col("best") == 1)).select("row", "item_id", "start"), "starts")
-
+    starts = materialize(starts.withColumn("best", best).join(plain, ["row", "item_id"]).filter(~F.col("plain") | (F.col("best") == 1)).select("row", "item_id", "n", "start"), "starts")
+
+    # The texts that have such a window are read again and cut into words anew, once each; a window's words are cut out as soon as its text is met, and written with their fingerprint.
+    leaky = materialize(suspects.join(starts.select("row").distinct(), "row", "left_semi").select("doc_id").distinct(), "leaky")
+    n_leaky, n_starts = leaky.count(), starts.count()
+    texts = whole.join(_bounded(leaky, n_leaky, 8 * n_leaky), "doc_id", "left_semi").select("doc_id", words_col(F.col("text")).alias("words")).withColumn("row", row)
+    windows = texts.join(_bounded(starts, n_starts, 32 * n_starts), "row").select("row", "doc_id", "item_id", "start", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
+    # Repeated rows of a text have the same windows.
+    cut = materialize(windows.dropDuplicates(["row", "item_id", "start"]).drop("row").withColumn("fp", fingerprint(F.col("words"))), "windows")
     parts = items.select("item_id", "n", "k", "total", "item_fp", "item_grams")
-    windows = starts.join(texts.select("row", "doc_id", "words"), "row").join(_bounded(parts, n_items, n_bytes), "item_id")
-    windows = windows.withColumn("words", F.slice("words", F.col("start") + 1, F.col("n"))).withColumn("fp", fingerprint(F.col("words")))
+    windows = cut.join(_bounded(parts, n_items, n_bytes), "item_id")
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     near = windows.filter(F.arrays_overlap(blocks(F.col("fp")), blocks(F.col("item_fp")))).withColumn("distance", distance).filter(F.col("distance") <= RADIUS)
     near = materialize(near.select("doc_id", "item_id", "start", "n", "total", "distance", shingles(F.col("words"), F.col("k")).alias("w"), "item_grams"), "near")
@@ -131,7 +140,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     verified = common.withColumn("union", union).filter(F.col("both") * 100 >= F.col("union") * percent)
     best = verified.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("both") / F.col("union")).alias("s"), (-F.col("start")).alias("at"), F.col("n"), F.col("distance"))).alias("b"))
     out = materialize(best.select("doc_id", "item_id", F.col("b.s").alias("similarity"), (-F.col("b.at")).alias("start_word"), F.col("b.n").alias("n_words"), F.col("b.distance").alias("distance")), "matches")
-    for done in (items, grams, texts, shared, starts, near):
+    for done in (items, grams, suspects, shared, starts, leaky, cut, near):
         discard(done)
     return out
 

@@ -107,3 +107,15 @@ def test_empty_tables_and_filter(spark, docs, empty):
     assert m.matches(empty, bench).count() == 0 and m.matches(docs, none).count() == 0
     kept = m.without_leaks(docs, bench)
     assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_words_of_texts_are_not_written(spark, monkeypatch):
+    """Of the texts places alone are written, and the words of the windows, as a bitmap's chance hits make most long texts suspects."""
+    docs, items = cases()
+    written, write = {}, m.materialize
+    monkeypatch.setattr(m, "materialize", lambda df, name: written.setdefault(name, write(df, name)))
+    monkeypatch.setattr(m, "discard", lambda df: None)
+    assert m.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).count()
+    assert {n for n, df in written.items() if "string" in str(dict(df.dtypes).values())} <= {"items", "windows", "near"}
+    longest = written["items"].agg({"n": "max"}).first()[0]
+    assert 0 < written["windows"].selectExpr("max(size(words))").first()[0] <= longest
