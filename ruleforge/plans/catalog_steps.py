@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -395,24 +397,29 @@ def q90_near_hashes(spark, d):
 
 
 class Counter:
-    """A batch service without a network: it keeps what it is sent; some answers fail once, some always."""
+    """A batch service without a network, many batches a call: it keeps what it is sent; some answers fail once, some always."""
 
     def __init__(self, spark):
         self.spark, self.open, self.breaks = spark, {}, True
 
-    def submit(self, rows, key):
-        failed = (F.col("id") % 7 == 5) & F.lit(key.endswith("-1")) | (F.col("id") % 21 == 20)
-        self.open[key] = rows.select("id", "custom_id", F.when(failed, 500).otherwise(200).alias("status_code"), F.lit(None).cast("string").alias("error"), F.concat("event_type", F.lit(" "), F.col("id")).alias("content"))
-        if self.breaks and len(self.open) > 1:
-            self.breaks = False
-            raise ConnectionError
-        return key
+    def submit_all(self, rows, keys):
+        failed = (F.col("id") % 7 == 5) & F.col("key").endswith("-1") | (F.col("id") % 21 == 20)
+        answers = rows.select("key", "id", "custom_id", F.when(failed, 500).otherwise(200).alias("status_code"), F.lit(None).cast("string").alias("error"), F.concat("event_type", F.lit(" "), F.col("id")).alias("content"))
+        for key in keys:
+            self.open[key] = answers
+            if self.breaks and len(self.open) > 1:
+                self.breaks = False
+                raise ConnectionError
+        return keys
 
     def find(self, key):
         return key if key in self.open else None
 
-    def poll(self, handle):
-        return self.open[handle]
+    def poll_all(self, handles):
+        sent = {}
+        for handle in handles:
+            sent.setdefault(id(self.open[handle]), (self.open[handle], []))[1].append(handle)
+        return reduce(lambda x, y: x.unionByName(y), (answers.filter(F.col("key").isin(part)) for answers, part in sent.values())), handles, []
 
 
 @query("""SELECT event_id AS id, CASE WHEN event_id % 21 <> 20 THEN event_type || ' ' || event_id END AS content, CASE WHEN event_id % 21 = 20 THEN 'attempts exhausted' END AS error, CASE WHEN event_id % 21 = 20 THEN 3 WHEN event_id % 7 = 5 THEN 2 ELSE 1 END AS attempts FROM events""")

@@ -168,3 +168,60 @@ def test_jobs_follow_rounds_not_batches(spark, tmp_path):
         assert len(service.sent) == 2 * n // 10 and ledger.run(requests, folder, service).filter("attempts = 2 and error is null").count() == n // 5
         spark.sparkContext._jsc.sc().clearJobGroup()
     assert jobs[1] <= jobs[0] + 2, jobs
+
+
+def test_rounds_are_settled_together(spark, tmp_path):
+    """What ended in one round waits for that of the next, as long as more batches can be opened: three times the rounds take no more jobs."""
+    class Lazy(Service):
+        def submit(self, rows, key):
+            self.sent[key] = rows.select("id", "custom_id", F.lit(200).alias("status_code"), F.lit(None).cast("string").alias("error"), F.lit("a").alias("content"))
+            return key
+
+        def poll(self, handle):
+            return self.sent[handle]
+
+    jobs = []
+    for n in (80, 240):
+        spark.sparkContext.setJobGroup(f"rounds-{n}", "rounds")
+        ledger.run(spark.range(n).select("id", F.col("id").alias("pos")), f"file://{tmp_path}/jobs{n}", service := Lazy(), size=10, active=4, most=2, sleep=lambda _: None)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds-{n}")))
+        assert len(service.sent) == n // 10
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert jobs[1] <= jobs[0] + 2, jobs
+
+
+class Bulk(Service):
+    """Takes many batches in a call; breaks off between two of them."""
+
+    def submit_all(self, rows, keys):
+        assert {r.key for r in rows.select("key").distinct().collect()} == set(keys)
+        for key in keys:
+            self.submit(rows.filter(F.col("key") == key).drop("key"), key)
+        return keys
+
+    def poll_all(self, handles):
+        came, lost = None, []
+        for handle in handles:
+            try:
+                one = self.poll(handle)
+            except ledger.BatchFailed:
+                lost.append(handle)
+                continue
+            if one is not None:
+                one = one.withColumn("key", F.lit(handle))
+                came = one if came is None else came.unionByName(one)
+        done = [] if came is None else [r.key for r in came.select("key").distinct().collect()]
+        return came, done, lost
+
+
+@pytest.mark.parametrize("dies_after", [None, 1, 6, 9])
+def test_many_batches_a_call(spark, tmp_path, dies_after):
+    requests = spark.range(45).select("id", F.col("id").alias("pos"), F.lit("p").alias("prompt"))
+    service, folder = Bulk(dies_after, ["1-1"]), f"file://{tmp_path}/jobs"
+    call = lambda: ledger.run(requests, folder, service, size=10, active=2, most=3, sleep=lambda _: None)
+    if dies_after is not None:
+        with pytest.raises(Killed):
+            call()
+    assert {tuple(r) for r in call().collect()} == expected(45, lost={1})
+    assert len(service.sent["0-2"][0]) == sum(i % 7 == 5 or i % 21 == 20 for i in range(10)) and len(service.sent["1-2"][0]) == 10
+    assert "0-3" not in service.sent and "2-3" in service.sent
