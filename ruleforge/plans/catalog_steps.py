@@ -466,9 +466,10 @@ def q93_image_files(spark, d):
         return pd.Series([one(k, n) for k, n in zip(keys, nth, strict=True)])
 
     made = spread(table(spark, d, "supplier").select(key)).select(key, F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
-    if files.write_files(made.select(F.concat(key, F.lit("_1/output_correct/"), "n", F.lit(".png")).alias("path"), drawn(key, "n").alias("content")), root).filter("error is not null").count():
+    written = files.write_files(made.select(F.concat(key, F.lit("_1/output_correct/"), "n", F.lit(".png")).alias("path"), drawn(key, "n").alias("content")), root)
+    if written.filter("error is not null").count():
         raise OSError(f"can't write to {root}")
-    looked = images.hashed_files(directory.files(spark, root, content=True).select("id", "name", "content"))
+    looked = images.hashed_files(directory.known_files(spread(written), root).select("id", "name", "content"))
     # Both files of a supplier in one pass: each is read and hashed once.
     one = lambda name: F.first(F.when(F.col("name") == name, F.struct("height", "width", "blank", "phash")), ignorenulls=True)
     pairs = looked.groupBy("id").agg(one("0.png").alias("x"), one("1.png").alias("y")).filter("x is not null and y is not null")

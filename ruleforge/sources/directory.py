@@ -6,13 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import HASH_EXTENSIONS, mime_type
+from .files import read_files
 
 _ATTEMPT = r"/(\d+)_(\d+)/(?:(output_correct|output_incorrect)/)?([^/]+)$"
 
 
 def files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
     """(path, id, attempt, kind, name, length[, content]) of the files of all attempts; content is read only if asked for."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).filter(F.col("path").rlike(_ATTEMPT))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return _of_attempts(found, content)
+
+
+def known_files(paths: DataFrame, root: str) -> DataFrame:
+    """As files() with content, of the rows' ``path`` below the root. Nothing is listed: a listing of all files is held by the driver."""
+    found = read_files(paths.select("path"), root)
+    return _of_attempts(found.withColumn("path", F.concat(F.lit(root.rstrip("/") + "/"), "path")).withColumn("length", F.length("content").cast("long")), True)
+
+
+def _of_attempts(found: DataFrame, content: bool) -> DataFrame:
+    found = found.filter(F.col("path").rlike(_ATTEMPT))
     part = lambda i: F.regexp_extract("path", _ATTEMPT, i)
     columns = ["path", part(1).try_cast("long").alias("id"), part(2).try_cast("int").alias("attempt"), F.nullif(part(3), F.lit("")).alias("kind"), part(4).alias("name"), "length"]
     return found.select(*columns, *(["content"] if content else []))

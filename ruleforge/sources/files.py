@@ -7,19 +7,22 @@ on a cluster a local path must be one that all machines mount. A commit that is
 
 from __future__ import annotations
 
+import io
 import json
 import time
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-#: Files that a commit moves at once; bytes that a copy holds.
-MOVES, PIECE = 32, 1 << 22
+#: Files that a commit moves at once and knows at once; bytes that a copy holds.
+MOVES, KNOWN, PIECE = 32, 4096, 1 << 22
 
 
 def file_system(root: str):
@@ -94,20 +97,34 @@ class FileWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         from pyarrow import fs
 
-        files, root, staging = self._staging()
-        moves, logs = [], f"{root}/_written/{self.job}"
+        files, root, _ = self._staging()
+        logs = f"{root}/_written/{self.job}"
         files.create_dir(logs)
-        for i, m in enumerate(x for x in messages if x is not None):
-            start = f"{m.folder}/files/"
-            found = files.get_file_info(fs.FileSelector(start.rstrip("/"), recursive=True))
-            for above in {f.path[len(start) :].rpartition("/")[0] for f in found if f.type == fs.FileType.File}:
-                files.create_dir(f"{root}/{above}")
-            moves += [(f.path, f"{root}/{f.path[len(start) :]}") for f in found if f.type == fs.FileType.File]
-            moves.append((f"{m.folder}/log", f"{logs}/part-{i}.json"))
+
+        def moved(place: str, target: str) -> None:
+            try:
+                files.move(place, target)
+            except OSError:  # a path that a task wrote twice is there already
+                if files.get_file_info(place).type != fs.FileType.NotFound or files.get_file_info(target).type != fs.FileType.File:
+                    raise
+
         with ThreadPoolExecutor(MOVES) as pool:
-            list(pool.map(lambda x: files.move(*x), moves))
+            for i, m in enumerate(x for x in messages if x is not None):
+                for paths in self._logged(files, f"{m.folder}/log"):
+                    list(pool.map(files.create_dir, {f"{root}/{p}".rpartition("/")[0] for p in paths}))
+                    list(pool.map(lambda p, m=m: moved(f"{m.folder}/files/{p}", f"{root}/{p}"), paths))
+                files.move(f"{m.folder}/log", f"{logs}/part-{i}.json")
         self.abort([])
 
+    @staticmethod
+    def _logged(files, log: str) -> Iterator[list[str]]:
+        """The paths that a task wrote, KNOWN at a time: the driver holds no list of all files, however many there are."""
+        with files.open_input_stream(log) as data, io.TextIOWrapper(io.BufferedReader(data), encoding="utf-8") as lines:
+            entries = (json.loads(line) for line in lines)
+            paths = (e["path"] for e in entries if e["error"] is None)
+            while some := list(dict.fromkeys(islice(paths, KNOWN))):
+                yield some
+
     def abort(self, messages: list) -> None:
         from pyarrow import fs
 
@@ -149,3 +166,29 @@ def copy_files(df: DataFrame, root: str, candidates: list[str], target: str = "t
     """Copies the first of the candidate paths that exists to ``root/target``, all at once at the end. Returns (target, source, error); source is null if none does."""
     rows = df.select(F.col(target).alias("path"), F.lit(None).cast("binary").alias("content"), F.array(*candidates).alias("sources"))
     return _written(rows, root).select(F.col("path").alias("target"), "source", "error")
+
+
+def read_files(df: DataFrame, root: str, path: str = "path") -> DataFrame:
+    """Adds ``content``: the bytes of ``root/path``, which tasks open by these names, PIECE or one file at a time. Nothing is listed, so the driver holds nothing of a file."""
+
+    def read(batches):
+        import pyarrow as pa
+
+        files, base = file_system(root)
+
+        def together(batch, start, data):
+            return pa.RecordBatch.from_arrays([*batch.slice(start, len(data)).columns, pa.array(data, pa.binary())], [*batch.schema.names, "content"])
+
+        for batch in batches:
+            start, size, data = 0, 0, []
+            for p in batch.column(path):
+                with files.open_input_stream(f"{base.rstrip('/')}/{p.as_py()}") as stream:
+                    data.append(stream.read())
+                size += len(data[-1])
+                if size >= PIECE:
+                    yield together(batch, start, data)
+                    start, size, data = start + len(data), 0, []
+            if data:
+                yield together(batch, start, data)
+
+    return df.mapInArrow(read, StructType([*df.schema, StructField("content", BinaryType())]))

@@ -43,3 +43,9 @@ def test_option_lists_are_made_over_several_tasks(spark):
 def test_image_files_are_hashed_once(spark):
     plan = catalog.QUERIES["q93_image_files"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_image_files_are_not_listed_by_the_driver(spark):
+    """Spark's own listing holds each file's status in the driver and makes a task of a few files each."""
+    plan = catalog.QUERIES["q93_image_files"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "binaryFile" not in plan and plan.count("MapInArrow") == 1

@@ -208,3 +208,15 @@ def test_rows_of_one_file_are_spread(spark, tmp_path):
     spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")
     assert df.rdd.getNumPartitions() == 1 and sum(len(p) > 0 for p in spread(df).rdd.glom().collect()) >= 4
+
+
+def test_the_bound_of_similarity_to_white_holds():
+    """Blank checks stop at a bound from the windows' mean: it is never below the similarity, and equal to it where nothing varies."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        h, w, low = rng.integers(1, 40), rng.integers(1, 40), rng.integers(0, 255)
+        x = rng.integers(low, 256, (h, w))
+        assert images.most_similarity_to_white(x) >= images.similarity_to_white(x) - 1e-9
+        assert images.is_blank(x) == bool(x.std() < images.MIN_DEVIATION or images.similarity_to_white(x) > images.MAX_WHITE)
+    flat = np.full((20, 31), 240)
+    assert math.isclose(images.most_similarity_to_white(flat), images.similarity_to_white(flat), rel_tol=1e-9)

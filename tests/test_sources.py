@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 import json
 
@@ -276,3 +277,21 @@ def test_broken_arrays(spark, tmp_path, text):
     assert json_io.read_array(spark, str(tmp_path / "bad.json"), SCHEMA).count() == 0
     with pytest.raises(ValueError, match="no JSON array"):
         json_io.read_array(spark, str(tmp_path / "bad.json"), SCHEMA, strict=True)
+
+
+def test_a_commit_knows_few_files_at_once(spark, tmp_path, monkeypatch):
+    """Files are moved by the tasks' logs, a bounded number at a time, a path that is written twice among them; and read back by their names, in bounded pieces."""
+    messages, task = [], files.FileWriter(str(tmp_path), "job")
+    table = pa.table({"path": [f"{i % 90}_1/output_correct/{i % 90}.png" for i in range(100)] + ["/out"], "content": [bytes([i]) * 10 for i in range(101)], "sources": pa.nulls(101, pa.list_(pa.string()))})
+    messages.append(task.write(iter(table.to_batches())))
+    held = []
+    monkeypatch.setattr(files, "KNOWN", 16)
+    monkeypatch.setattr(files.FileWriter, "_logged", staticmethod(lambda *a, f=files.FileWriter._logged: (held.append(len(x)) or x for x in f(*a))))
+    task.commit(messages)
+    assert max(held) <= 16 and sum(held) == 100
+    paths = spark.createDataFrame([(f"{i}_1/output_correct/{i}.png",) for i in range(90)], "path string").repartition(2)
+    monkeypatch.setattr(files, "PIECE", 25)
+    got = {r.id: (r.content, r.length, r.name, r.attempt, r.kind) for r in directory.known_files(paths, str(tmp_path)).collect()}
+    assert got == {i: (bytes([i + 90 if i < 10 else i]) * 10, 10, f"{i}.png", 1, "output_correct") for i in range(90)}
+    listed = directory.files(spark, str(tmp_path), content=True)
+    assert {r.id: (r.content, r.length, r.name, r.attempt, r.kind) for r in listed.collect()} == got and listed.columns == directory.known_files(paths, str(tmp_path)).columns
